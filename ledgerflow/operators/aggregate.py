@@ -69,7 +69,7 @@ def monthly_history(monthly: DataFrame, series_keys: Sequence[str] = ()) -> Data
 def revenue_by_company(olap: DataFrame) -> DataFrame:                              # G6
     return olap.dropna(subset=["ID_COMPANY"]).groupBy("ID_COMPANY").agg(
         zero_if_null_sum("VAL_REVENUES").cast("double").alias("VAL_REVENUES"),
-        (zero_if_null_sum("VAL_REVENUES") / F.lit(1_000_000)).cast("double").alias("VAL_REVENUES_MLN"))
+        (zero_if_null_sum("VAL_REVENUES").cast("double") / F.lit(1_000_000.0)).alias("VAL_REVENUES_MLN"))
 
 
 def orders_by_country(olap: DataFrame) -> DataFrame:                               # G7

@@ -106,11 +106,11 @@ OLAP_DOUBLE = """SELECT * REPLACE (CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES,
   CAST(VAL_COST AS DOUBLE) AS VAL_COST, CAST(VAL_MARGIN AS DOUBLE) AS VAL_MARGIN) FROM olap"""
 
 
-def _totals(keys: str) -> str:
+def _totals(keys: str, money: str = "DOUBLE") -> str:
     return f"""SELECT {keys},
-  CAST(coalesce(sum(VAL_REVENUES), 0) AS DOUBLE) AS TOTAL_REVENUES,
-  CAST(coalesce(sum(VAL_COST), 0) AS DOUBLE) AS TOTAL_COST,
-  CAST(coalesce(sum(VAL_MARGIN), 0) AS DOUBLE) AS TOTAL_MARGIN,
+  CAST(coalesce(sum(VAL_REVENUES), 0) AS {money}) AS TOTAL_REVENUES,
+  CAST(coalesce(sum(VAL_COST), 0) AS {money}) AS TOTAL_COST,
+  CAST(coalesce(sum(VAL_MARGIN), 0) AS {money}) AS TOTAL_MARGIN,
   count(ID_ORDER_NUM) AS N_ORDERS
 FROM olap WHERE {' AND '.join(k.strip() + ' IS NOT NULL' for k in keys.split(','))}
 GROUP BY {keys}"""
@@ -130,4 +130,35 @@ def statements() -> dict[str, str]:
     q["monthly_sales"] = f"{e}\n{_totals(MONTH_KEYS)}"
     q["customer_sales"] = f"{e}\n{_totals(CUSTOMER_KEYS)}"
     q["item_sales"] = f"{e}\n{_totals(ITEM_KEYS)}"
+    q["monthly_total"] = f"""{e},
+m AS ({_totals(MONTH_KEYS, "DECIMAL(38,4)")})
+SELECT ORDER_YEAR, ORDER_MONTH, CAST(sum(TOTAL_REVENUES) AS DOUBLE) AS TOTAL_REVENUES,
+  CAST(sum(N_ORDERS) AS BIGINT) AS N_ORDERS FROM m GROUP BY ORDER_YEAR, ORDER_MONTH"""
+    q["monthly_history"] = f"""{e},
+m AS ({_totals(MONTH_KEYS, "DECIMAL(38,4)")})
+SELECT ORDER_YEAR, ORDER_MONTH, CAST(sum(TOTAL_REVENUES) AS DOUBLE) AS REVENUES,
+  make_date(ORDER_YEAR, ORDER_MONTH, 1) AS DATE FROM m GROUP BY ORDER_YEAR, ORDER_MONTH"""
+    q["revenue_by_company"] = f"""{e}
+SELECT ID_COMPANY, CAST(coalesce(sum(VAL_REVENUES), 0) AS DOUBLE) AS VAL_REVENUES,
+  CAST(coalesce(sum(VAL_REVENUES), 0) AS DOUBLE) / 1000000.0 AS VAL_REVENUES_MLN
+FROM olap WHERE ID_COMPANY IS NOT NULL GROUP BY ID_COMPANY"""
+    q["orders_by_country"] = f"""{ed}
+SELECT ID_COUNTRY, count(*) AS N_ROWS FROM olap WHERE ID_COUNTRY IS NOT NULL GROUP BY ID_COUNTRY"""
+    q["daily_revenue"] = f"""{e}
+SELECT ID_ORDER_DATE AS ORDER_DATE, CAST(coalesce(sum(VAL_REVENUES), 0) AS DOUBLE) AS VAL_REVENUES
+FROM olap WHERE ID_ORDER_DATE IS NOT NULL GROUP BY ID_ORDER_DATE"""
+    q["customer_frequency"] = f"""{e}
+SELECT IDS_CUSTOMER, count(ID_ORDER_NUM) AS N_ORDERS,
+  CAST(coalesce(sum(VAL_REVENUES), 0) AS DOUBLE) AS TOTAL_REVENUES
+FROM olap WHERE IDS_CUSTOMER IS NOT NULL GROUP BY IDS_CUSTOMER"""
+    q["rfm"] = f"""{e}
+SELECT IDS_CUSTOMER,
+  CAST(date_diff('day', max(ID_ORDER_DATE), (SELECT max(ID_ORDER_DATE) FROM olap) + INTERVAL 1 DAY) AS INTEGER) AS Recency,
+  count(DISTINCT ID_ORDER_NUM) AS Frequency,
+  CAST(coalesce(sum(VAL_REVENUES), 0) AS DOUBLE) AS Monetary
+FROM olap WHERE IDS_CUSTOMER IS NOT NULL GROUP BY IDS_CUSTOMER"""
+    q["invoice_delay"] = f"""{e}
+SELECT ID_ORDER_NUM, IDS_CUSTOMER, CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES,
+  CAST(date_diff('day', ID_ORDER_DATE, ID_INVOICE_DATE) AS INTEGER) AS INVOICE_DAYS
+FROM olap WHERE ID_ORDER_DATE IS NOT NULL AND ID_INVOICE_DATE IS NOT NULL"""
     return q

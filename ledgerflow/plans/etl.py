@@ -28,7 +28,7 @@ class EtlConfig:
 @dataclass
 class EtlResult:
     olap: DataFrame
-    tables: dict            # cleaned tables as the join sees them (sequential path)
+    tables: dict            # lazily built table states (see _Stages)
     stages: dict            # intermediate table states by phase name
     config: EtlConfig
 
@@ -63,22 +63,56 @@ def _row_prep(df: DataFrame, name: str, cfg: EtlConfig, date_cols: list[str]) ->
     return clean.normalise_dates(df, date_cols)
 
 
+class _Stages(dict):
+    """Intermediate states, built on first use (the fused OLAP path does not
+    need the sequential foreign-key states; the audit does)."""
+
+    def __init__(self, tables: dict, cfg: EtlConfig):
+        super().__init__()
+        self._tables, self._cfg = tables, cfg
+
+    def __missing__(self, key):
+        t, cfg = self._tables, self._cfg
+        if key == "inputs":
+            val = dict(t)
+        elif key == "date_cols":
+            val = {n: clean.date_columns(df) for n, df in t.items()}
+        elif key == "all_dates":
+            val = sorted({c for cols in self["date_cols"].values() for c in cols})
+        elif key == "deduped":
+            val = {n: clean.dedup_rows(df) for n, df in t.items()}
+        elif key == "pk":
+            val = {n: clean.repair_pk(df, cfg.primary_keys.get(n, ())) for n, df in self["deduped"].items()}
+        elif key in ("fk", "fk_seen"):
+            self["fk"], self["fk_seen"] = _check_foreign_keys(self["pk"], cfg)
+            return self[key]
+        elif key == "final":
+            val = {}
+            for n, df in self["fk"].items():
+                df = _row_prep(df, n, cfg, self["date_cols"][n])
+                val[n] = clean.apply_null_policy(df, self["date_cols"][n], cfg.critical)
+            val[cfg.fact] = olap.add_margin(val[cfg.fact])
+        else:
+            raise KeyError(key)
+        self[key] = val
+        return val
+
+
+def _fact_after_margin_columns(fact_cols: list[str]) -> list[str]:
+    cols = [c for c in fact_cols if c != ORDER_COLUMN]
+    if {"VAL_REVENUES", "VAL_COST"} <= set(cols):
+        cols.append("VAL_MARGIN")
+    return cols
+
+
 def run_etl(tables: dict[str, DataFrame], cfg: EtlConfig | None = None,
             fused: bool = True) -> EtlResult | None:
     cfg = cfg or EtlConfig()
     if missing_tables(tables.keys(), {cfg.fact, *cfg.primary_keys}):
         return None
-    deduped = {n: clean.dedup_rows(df) for n, df in tables.items()}
-    pk_state = {n: clean.repair_pk(df, cfg.primary_keys.get(n, ())) for n, df in deduped.items()}
-    fk_state, fk_seen = _check_foreign_keys(pk_state, cfg)
-
-    date_cols = {n: clean.date_columns(df) for n, df in tables.items()}
-    all_dates = sorted({c for cols in date_cols.values() for c in cols})
-    final = {}
-    for n, df in fk_state.items():
-        df = _row_prep(df, n, cfg, date_cols[n])
-        final[n] = clean.apply_null_policy(df, date_cols[n], cfg.critical)
-    final[cfg.fact] = olap.add_margin(final[cfg.fact])
+    st = _Stages(tables, cfg)
+    date_cols = st["date_cols"]
+    pk_state = st["pk"]
 
     if fused and _fused_allowed(cfg):
         # fact rows: every row step except the FK filter, which the inner joins do
@@ -92,16 +126,17 @@ def run_etl(tables: dict[str, DataFrame], cfg: EtlConfig | None = None,
                 keep[n] = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drop])
         joined = olap.check_and_enrich(fact, cfg.fact, views, cfg.relations, keep)
     else:
+        final = st["final"]
         joined = olap.snowflake_join(final[cfg.fact], cfg.fact, final, cfg.relations)
 
-    order = olap.olap_column_order(final[cfg.fact].columns, {n: d.columns for n, d in final.items()},
-                                   cfg.fact, cfg.relations)
+    shapes = {n: [c for c in d.columns if c != ORDER_COLUMN] for n, d in tables.items()}
+    fact_cols = _fact_after_margin_columns(tables[cfg.fact].columns)
+    order = olap.olap_column_order(fact_cols, shapes, cfg.fact, cfg.relations)
     joined = joined.select(order)
-    post = clean.apply_null_policy(joined, all_dates, cfg.critical)
+    st["joined"] = joined
+    post = clean.apply_null_policy(joined, st["all_dates"], cfg.critical)
     result = olap.add_order_calendar(post)
-    stages = {"inputs": dict(tables), "deduped": deduped, "pk": pk_state, "fk": fk_state, "fk_seen": fk_seen,
-              "final": final, "joined": joined, "date_cols": date_cols, "all_dates": all_dates}
-    return EtlResult(olap=result, tables=final, stages=stages, config=cfg)
+    return EtlResult(olap=result, tables=st, stages=st, config=cfg)
 
 
 # --- S13: audit -------------------------------------------------------------------

@@ -25,8 +25,16 @@ def query(name: str):
     return deco
 
 
+_PLANS: dict = {}
+
+
 def etl(spark: SparkSession, sf_dir: str, dirty: bool = False):
-    return run_etl(star_tables(spark, sf_dir, dirty=dirty))
+    """The ETL plan over the star tables; logical plans are immutable, so one
+    is built per (session, folder, variant) and shared by every query."""
+    key = (id(spark), sf_dir, dirty)
+    if key not in _PLANS:
+        _PLANS[key] = run_etl(star_tables(spark, sf_dir, dirty=dirty))
+    return _PLANS[key]
 
 
 def olap(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
@@ -60,3 +68,43 @@ def q_customer_sales(spark, sf_dir):
 @query("item_sales")
 def q_item_sales(spark, sf_dir):
     return G.item_sales(olap(spark, sf_dir))
+
+
+@query("monthly_total")
+def q_monthly_total(spark, sf_dir):
+    return G.monthly_total(G.monthly_sales(olap(spark, sf_dir), as_double=False))
+
+
+@query("monthly_history")
+def q_monthly_history(spark, sf_dir):
+    return G.monthly_history(G.monthly_sales(olap(spark, sf_dir), as_double=False))
+
+
+@query("revenue_by_company")
+def q_revenue_by_company(spark, sf_dir):
+    return G.revenue_by_company(olap(spark, sf_dir))
+
+
+@query("orders_by_country")
+def q_orders_by_country(spark, sf_dir):
+    return G.orders_by_country(olap(spark, sf_dir, dirty=True))
+
+
+@query("daily_revenue")
+def q_daily_revenue(spark, sf_dir):
+    return G.daily_revenue(olap(spark, sf_dir))
+
+
+@query("customer_frequency")
+def q_customer_frequency(spark, sf_dir):
+    return G.customer_frequency(olap(spark, sf_dir))
+
+
+@query("rfm")
+def q_rfm(spark, sf_dir):
+    return G.rfm(olap(spark, sf_dir))
+
+
+@query("invoice_delay")
+def q_invoice_delay(spark, sf_dir):
+    return G.invoice_delay(olap(spark, sf_dir))
