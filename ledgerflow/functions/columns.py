@@ -56,3 +56,10 @@ def safe_corr(x: str | Column, y: str | Column) -> Column:
     when either side is constant."""
     xp, yp = pair_complete(x, y)
     return F.try_divide(F.covar_samp(xp, yp), F.stddev_samp(xp) * F.stddev_samp(yp))
+
+
+def round_exact(c: str | Column, digits: int = 2, via_scale: int = 6) -> Column:
+    """Round half-up on the decimal value: the double is first fixed to
+    ``via_scale`` decimals, so binary representation error cannot move a
+    value across a rounding boundary.  Returns double."""
+    return F.round(_c(c).cast(f"decimal(38,{via_scale})"), digits).cast("double")

@@ -40,7 +40,7 @@ def dedup_report(name: str, df: DataFrame) -> DataFrame:
     """(TABLE, ROWS_BEFORE, ROWS_AFTER, REMOVED) in one grouped pass."""
     grouped = df.groupBy(*data_columns(df)).count()
     return grouped.agg(F.sum("count").alias("ROWS_BEFORE"), F.count(F.lit(1)).alias("ROWS_AFTER")).select(
-        F.lit(name).alias("TABLE"),
+        F.lit(name).alias("TABLE_NAME"),
         F.coalesce("ROWS_BEFORE", F.lit(0)).cast("long").alias("ROWS_BEFORE"),
         F.col("ROWS_AFTER").cast("long").alias("ROWS_AFTER"),
         (F.coalesce("ROWS_BEFORE", F.lit(0)) - F.col("ROWS_AFTER")).cast("long").alias("REMOVED"))
@@ -81,7 +81,7 @@ def pk_report(name: str, df: DataFrame, pk: str) -> DataFrame:
         F.sum("count").alias("ROWS"),
         F.sum(F.when(F.col("k").isNull(), F.col("count"))).alias("NULL_KEYS"),
         F.sum(F.when(F.col("k").isNotNull(), F.col("count") - 1)).alias("DUPLICATE_ROWS"),
-    ).select(F.lit(name).alias("TABLE"), F.lit(pk).alias("COLUMN"),
+    ).select(F.lit(name).alias("TABLE_NAME"), F.lit(pk).alias("COLUMN_NAME"),
              *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("ROWS", "NULL_KEYS", "DUPLICATE_ROWS")])
 
 
@@ -89,7 +89,7 @@ def _missing_column_row(name: str, column: str) -> DataFrame:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame([(name, column, None, None, None)],
-                                 "TABLE string, COLUMN string, ROWS long, NULL_KEYS long, DUPLICATE_ROWS long")
+                                 "TABLE_NAME string, COLUMN_NAME string, ROWS long, NULL_KEYS long, DUPLICATE_ROWS long")
 
 
 # --- S3 / J3: foreign keys --------------------------------------------------
@@ -147,8 +147,8 @@ def technical_key_report(name: str, df: DataFrame, keys: Iterable[str]) -> DataF
     """(TABLE, COLUMN, NULLS) per technical key present in the table."""
     present = [k for k in keys if k in df.columns]
     row = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in present])
-    return (row.unpivot([], present, "COLUMN", "NULLS")
-            .select(F.lit(name).alias("TABLE"), "COLUMN", F.col("NULLS").cast("long").alias("NULLS")))
+    return (row.unpivot([], present, "COLUMN_NAME", "NULLS")
+            .select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", F.col("NULLS").cast("long").alias("NULLS")))
 
 
 # --- S6 / S7 / S8: null policy ------------------------------------------------
@@ -158,10 +158,10 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     cols = list(columns or data_columns(df))
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
-    return (row.unpivot([], cols, "COLUMN", "NULLS")
+    return (row.unpivot([], cols, "COLUMN_NAME", "NULLS")
             .where(F.col("NULLS") > 0)
-            .select("COLUMN", F.col("NULLS").cast("long").alias("NULLS"),
-                    pos[F.col("COLUMN")].alias("POSITION")))
+            .select("COLUMN_NAME", F.col("NULLS").cast("long").alias("NULLS"),
+                    pos[F.col("COLUMN_NAME")].alias("POSITION")))
 
 
 def _kind(df: DataFrame, col: str, dates: Sequence[str], critical: Sequence[str],
@@ -205,13 +205,13 @@ def null_policy_report(name: str, df: DataFrame, dates: Sequence[str], critical:
     row = df.agg(*aggs)
     kind_map = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(kinds[c]))])
     pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
-    kind = kind_map[F.col("COLUMN")]
-    return (row.unpivot([], cols, "COLUMN", "NULLS").where(F.col("NULLS") > 0)
-            .select(F.lit(name).alias("TABLE"), "COLUMN", kind.alias("KIND"),
+    kind = kind_map[F.col("COLUMN_NAME")]
+    return (row.unpivot([], cols, "COLUMN_NAME", "NULLS").where(F.col("NULLS") > 0)
+            .select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", kind.alias("KIND"),
                     F.col("NULLS").cast("long").alias("NULLS"),
                     F.when(kind.isin(*_DROP_KINDS), "DROP").otherwise("KEEP").alias("ACTION"),
                     F.when(kind.isin(*_LEVEL), "ERROR").otherwise("WARNING").alias("LEVEL"),
-                    pos[F.col("COLUMN")].alias("POSITION")))
+                    pos[F.col("COLUMN_NAME")].alias("POSITION")))
 
 
 # --- S9 / S10: dates ----------------------------------------------------------
@@ -239,21 +239,21 @@ def date_profile(name: str, df: DataFrame, columns: Sequence[str] | None = None,
         F.count(F.lit(1)).alias(f"{c}__n"),
         F.count_if(far[c]).alias(f"{c}__far"))])
     counts = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("COLUMN"), F.col(f"{c}__8").cast("long").alias("N_8_DIGITS"),
+        F.struct(F.lit(c).alias("COLUMN_NAME"), F.col(f"{c}__8").cast("long").alias("N_8_DIGITS"),
                  (F.col(f"{c}__n") - F.col(f"{c}__8")).cast("long").alias("N_OTHER"),
                  F.col(f"{c}__far").cast("long").alias("N_YEAR_GT_2262"))
         for c in cols])).alias("r")).select("r.*")
 
     values = df.select(F.explode(F.array(*[
-        F.when(far[c], F.struct(F.lit(c).alias("COLUMN"), txt[c].alias("V"))) for c in cols
+        F.when(far[c], F.struct(F.lit(c).alias("COLUMN_NAME"), txt[c].alias("V"))) for c in cols
     ])).alias("r")).where(F.col("r").isNotNull()).select("r.*").distinct()
     from pyspark.sql import Window
-    w = Window.partitionBy("COLUMN").orderBy("V")
+    w = Window.partitionBy("COLUMN_NAME").orderBy("V")
     smallest = (values.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= examples)
-                .groupBy("COLUMN")
+                .groupBy("COLUMN_NAME")
                 .agg(F.array_join(F.array_sort(F.collect_list("V")), ",").alias("EXAMPLES")))
-    return (counts.join(smallest, on="COLUMN", how="left")
-            .select(F.lit(name).alias("TABLE"), "COLUMN", "N_8_DIGITS", "N_OTHER", "N_YEAR_GT_2262",
+    return (counts.join(smallest, on="COLUMN_NAME", how="left")
+            .select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", "N_8_DIGITS", "N_OTHER", "N_YEAR_GT_2262",
                     "EXAMPLES"))
 
 

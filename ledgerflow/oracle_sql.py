@@ -121,6 +121,118 @@ CUSTOMER_KEYS = "IDS_CUSTOMER, DESC_CUSTOMER, ID_COUNTRY, DESC_AREA_MANAGER"
 ITEM_KEYS = "IDS_ITEM, DESC_ITEM, DESC_BUSINESS_LINE"
 
 
+OLAP_COLUMNS = ("ID_COMPANY ID_ORDER_NUM IDS_CUSTOMER IDS_ITEM ID_ORDER_DATE ID_INVOICE_DATE VAL_REVENUES "
+                "VAL_COST VAL_MARGIN DESC_COMPANY DESC_CUSTOMER ID_COUNTRY ID_AREA_MANAGER DESC_AREA_MANAGER "
+                "DESC_ITEM ID_BUSINESS_LINE DESC_BUSINESS_LINE ORDER_YEAR ORDER_MONTH ORDER_WEEK").split()
+MONEY = ("VAL_REVENUES", "VAL_COST", "VAL_MARGIN")
+CALENDAR = ("ORDER_YEAR", "ORDER_MONTH", "ORDER_WEEK")
+DATES = ("ID_ORDER_DATE", "ID_INVOICE_DATE")
+CATEGORICAL = tuple(c for c in OLAP_COLUMNS if c not in MONEY + CALENDAR + DATES)
+
+
+def round_exact(x: str, digits: int = 2, via: int = 6) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,{via})), {digits}) AS DOUBLE)"
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _profiles(e: str, ed: str) -> dict[str, str]:
+    q: dict[str, str] = {}
+    shapes = [("SALES", "sales_src", 8), ("AREA_MANAGER_LOOKUP", "area_src", 2),
+              ("COMPANY_LOOKUP", "company_src", 2), ("CUSTOMER_LOOKUP", "customer_src", 4),
+              ("ITEM_BUSINESS_LINE_LOOKUP", "bl_src", 2), ("ITEM_LOOKUP", "item_src", 3),
+              ("OLAP", "olap", len(OLAP_COLUMNS))]
+    q["profile_shape"] = ed + "\n" + _union(
+        [f"SELECT '{n}' AS DATASET, count(*) AS ROWS, {k} AS COLUMNS FROM {t}" for n, t, k in shapes])
+    nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in OLAP_COLUMNS)
+    pos = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(OLAP_COLUMNS))
+    q["profile_missing"] = f"""{ed},
+r AS (SELECT count(*) AS _rows, {nulls} FROM olap),
+u AS (UNPIVOT r ON {", ".join(OLAP_COLUMNS)} INTO NAME COLUMN_NAME VALUE MISSING)
+SELECT COLUMN_NAME, CAST(MISSING AS BIGINT) AS MISSING,
+  {round_exact("CAST(MISSING AS DOUBLE) * 100.0::DOUBLE / CAST(_rows AS DOUBLE)", 2, 10)} AS PCT,
+  CASE COLUMN_NAME {pos} END AS POSITION
+FROM u WHERE MISSING > 0"""
+    q["profile_distinct"] = ed + "\n" + _union(
+        [f"SELECT '{c}' AS COLUMN_NAME, count(DISTINCT {c}) AS N_DISTINCT FROM olap" for c in OLAP_COLUMNS])
+    q["profile_numeric"] = e + "\n" + _union([f"""SELECT '{c}' AS COLUMN_NAME, CAST(count({c}) AS DOUBLE) AS COUNT,
+  {round_exact(f"avg({c})")} AS MEAN, {round_exact(f"stddev_samp(CAST({c} AS DOUBLE))")} AS STD,
+  {round_exact(f"min({c})")} AS MIN, {round_exact(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)")} AS P25,
+  {round_exact(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)")} AS P50,
+  {round_exact(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)")} AS P75, {round_exact(f"max({c})")} AS MAX
+FROM olap""" for c in MONEY])
+    pairs = _union([f"SELECT '{c}' AS COLUMN_NAME, CAST({c} AS VARCHAR) AS VALUE FROM olap" for c in CATEGORICAL])
+    q["profile_topk"] = f"""{ed},
+p AS ({pairs}),
+c AS (SELECT COLUMN_NAME, VALUE, count(*) AS FREQUENCY FROM p GROUP BY COLUMN_NAME, VALUE),
+r AS (SELECT *, row_number() OVER (PARTITION BY COLUMN_NAME ORDER BY FREQUENCY DESC, VALUE ASC NULLS LAST) AS RANK
+      FROM c)
+SELECT COLUMN_NAME, CAST(RANK AS INTEGER) AS RANK, VALUE, FREQUENCY,
+  {round_exact("CAST(FREQUENCY AS DOUBLE) * 100.0::DOUBLE / CAST((SELECT count(*) FROM olap) AS DOUBLE)", 2, 10)} AS PCT
+FROM r WHERE RANK <= 5"""
+    q["profile_range"] = e + "\n" + _union(
+        [f"SELECT '{c}' AS COLUMN_NAME, CAST(min({c}) AS DOUBLE) AS MIN, CAST(max({c}) AS DOUBLE) AS MAX FROM olap"
+         for c in MONEY])
+    q["profile_dates"] = ed + "\n" + _union(
+        [f"SELECT '{c}' AS COLUMN_NAME, min({c}) AS MIN, max({c}) AS MAX FROM olap" for c in DATES])
+
+    def corr_sql(cols, src):
+        parts = []
+        for a in cols:
+            for b in cols:
+                xa = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+                xb = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+                parts.append(f"SELECT '{a}' AS COL_A, '{b}' AS COL_B, round(covar_samp({xa}, {xb}) / "
+                             f"nullif(stddev_samp({xa}) * stddev_samp({xb}), 0), 3) AS CORR FROM {src}")
+        return _union(parts)
+    q["correlation"] = e + "\n" + corr_sql(list(MONEY + CALENDAR), "olap")
+    q["correlation_profit"] = (e + ",\nop AS (SELECT *, VAL_REVENUES - VAL_COST AS VAL_PROFIT FROM olap)\n"
+                               + corr_sql(["VAL_REVENUES", "VAL_COST", "VAL_PROFIT"], "op"))
+
+    def binexpr(x, lo, hi, bins):
+        return (f"CAST(CASE WHEN {hi} = {lo} THEN 0 ELSE least(floor(({x} - {lo}) * {float(bins)} / ({hi} - {lo})), "
+                f"{bins - 1}) END AS INTEGER)")
+    q["revenue_histogram"] = f"""{e},
+b AS (SELECT min(CAST(VAL_REVENUES AS DOUBLE)) AS lo, max(CAST(VAL_REVENUES AS DOUBLE)) AS hi FROM olap),
+c AS (SELECT {binexpr("CAST(VAL_REVENUES AS DOUBLE)", "lo", "hi", 50)} AS BIN, count(*) AS COUNT
+      FROM olap, b WHERE VAL_REVENUES IS NOT NULL GROUP BY 1)
+SELECT CAST(g.range AS INTEGER) AS BIN, lo + CAST(g.range AS INTEGER) * ((hi - lo) / 50.0::DOUBLE) AS LOWER,
+  lo + (CAST(g.range AS INTEGER) + 1) * ((hi - lo) / 50.0::DOUBLE) AS UPPER, coalesce(c.COUNT, 0) AS COUNT
+FROM range(50) g CROSS JOIN b LEFT JOIN c ON c.BIN = g.range"""
+    q["revenue_density"] = f"""{e},
+x AS (SELECT CAST(VAL_REVENUES AS DOUBLE) AS x FROM olap WHERE VAL_REVENUES IS NOT NULL),
+s AS (SELECT min(x) AS lo, max(x) AS hi, CAST(count(*) AS DOUBLE) AS n, stddev_samp(x) AS sd FROM x),
+p AS (SELECT lo, hi, n, sd * pow(n, -0.2) AS h, (hi - lo) / 199.0::DOUBLE AS step FROM s),
+d AS (SELECT g.range AS POINT, sum(exp(-0.5 * pow((lo + g.range * step - x) / h, 2))) AS S
+      FROM x, p, range(200) g GROUP BY g.range)
+SELECT CAST(POINT AS INTEGER) AS POINT, lo + POINT * step AS X,
+  round(S / (n * h * 2.5066282746310002) * 1e6, 6) AS DENSITY_PER_MILLION,
+  round(S / (n * h * 2.5066282746310002) * n * ((hi - lo) / 50.0::DOUBLE), 6) AS COUNT_DENSITY
+FROM d, p"""
+    q["revenue_box"] = f"""{e},
+d AS (SELECT ID_BUSINESS_LINE, CAST(VAL_REVENUES AS DOUBLE) AS X FROM olap WHERE VAL_REVENUES IS NOT NULL),
+q AS (SELECT ID_BUSINESS_LINE, quantile_cont(X, 0.25) AS Q1, quantile_cont(X, 0.5) AS MEDIAN,
+        quantile_cont(X, 0.75) AS Q3 FROM d GROUP BY ID_BUSINESS_LINE),
+t AS (SELECT d.ID_BUSINESS_LINE, count(*) AS N,
+        min(X) FILTER (WHERE X >= Q1 - 1.5 * (Q3 - Q1) AND X <= Q3 + 1.5 * (Q3 - Q1)) AS WHISKER_LOW,
+        max(X) FILTER (WHERE X >= Q1 - 1.5 * (Q3 - Q1) AND X <= Q3 + 1.5 * (Q3 - Q1)) AS WHISKER_HIGH,
+        count(*) FILTER (WHERE NOT (X >= Q1 - 1.5 * (Q3 - Q1) AND X <= Q3 + 1.5 * (Q3 - Q1))) AS N_OUTLIERS
+      FROM d JOIN q USING (ID_BUSINESS_LINE) GROUP BY d.ID_BUSINESS_LINE)
+SELECT ID_BUSINESS_LINE, N, {round_exact("Q1")} AS Q1, {round_exact("MEDIAN")} AS MEDIAN, {round_exact("Q3")} AS Q3,
+  {round_exact("Q3 - Q1")} AS IQR, {round_exact("WHISKER_LOW")} AS WHISKER_LOW,
+  {round_exact("WHISKER_HIGH")} AS WHISKER_HIGH, N_OUTLIERS
+FROM q JOIN t USING (ID_BUSINESS_LINE)"""
+    q["cost_revenue_bins"] = f"""{e},
+b AS (SELECT min(CAST(VAL_COST AS DOUBLE)) AS xlo, max(CAST(VAL_COST AS DOUBLE)) AS xhi,
+             min(CAST(VAL_REVENUES AS DOUBLE)) AS ylo, max(CAST(VAL_REVENUES AS DOUBLE)) AS yhi FROM olap)
+SELECT {binexpr("CAST(VAL_COST AS DOUBLE)", "xlo", "xhi", 50)} AS BIN_X,
+  {binexpr("CAST(VAL_REVENUES AS DOUBLE)", "ylo", "yhi", 50)} AS BIN_Y, count(*) AS COUNT
+FROM olap, b WHERE VAL_COST IS NOT NULL AND VAL_REVENUES IS NOT NULL GROUP BY 1, 2"""
+    return q
+
+
 def statements() -> dict[str, str]:
     e = etl_ctes(False)
     ed = etl_ctes(True)
@@ -161,4 +273,5 @@ FROM olap WHERE IDS_CUSTOMER IS NOT NULL GROUP BY IDS_CUSTOMER"""
 SELECT ID_ORDER_NUM, IDS_CUSTOMER, CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES,
   CAST(date_diff('day', ID_ORDER_DATE, ID_INVOICE_DATE) AS INTEGER) AS INVOICE_DAYS
 FROM olap WHERE ID_ORDER_DATE IS NOT NULL AND ID_INVOICE_DATE IS NOT NULL"""
+    q.update(_profiles(e, ed))
     return q

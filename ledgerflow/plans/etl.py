@@ -12,7 +12,7 @@ from ledgerflow import schema as S
 from ledgerflow.operators import clean, olap
 from ledgerflow.sources.csv_tables import ORDER_COLUMN, missing_tables
 
-AUDIT_SCHEMA = "PHASE string, TABLE string, COLUMN string, CHECK string, LEVEL string, N long"
+AUDIT_SCHEMA = "PHASE string, TABLE_NAME string, COLUMN_NAME string, CHECK string, LEVEL string, N long"
 
 
 @dataclass
@@ -146,7 +146,7 @@ def _rows(df: DataFrame, phase: str, table: Column, column: Column, checks: dict
     parts = []
     for check, level in checks.items():
         n = F.col(check).cast("long")
-        parts.append(df.select(F.lit(phase).alias("PHASE"), table.alias("TABLE"), column.alias("COLUMN"),
+        parts.append(df.select(F.lit(phase).alias("PHASE"), table.alias("TABLE_NAME"), column.alias("COLUMN_NAME"),
                                F.lit(check).alias("CHECK"),
                                (F.lit(level) if level == "INFO" else
                                 F.when(n > 0, F.lit(level)).otherwise(F.lit("OK"))).alias("LEVEL"),
@@ -161,13 +161,13 @@ def build_audit(res: EtlResult, phases: tuple = ("DEDUP", "PK", "FK", "TECHNICAL
     if "DEDUP" in phases:
         for n, df in _input_tables(res).items():
             rep = clean.dedup_report(n, df)
-            parts.append(_rows(rep, "DEDUP", F.col("TABLE"), F.lit(None).cast("string"),
+            parts.append(_rows(rep, "DEDUP", F.col("TABLE_NAME"), F.lit(None).cast("string"),
                                {"ROWS_BEFORE": "INFO", "REMOVED": "INFO"}))
     if "PK" in phases:
         for n, pks in cfg.primary_keys.items():
             for pk in pks:
                 rep = clean.pk_report(n, st["deduped"][n], pk)
-                parts.append(_rows(rep, "PK", F.col("TABLE"), F.col("COLUMN"),
+                parts.append(_rows(rep, "PK", F.col("TABLE_NAME"), F.col("COLUMN_NAME"),
                                    {"NULL_KEYS": "ERROR", "DUPLICATE_ROWS": "ERROR"}))
     if "FK" in phases:
         for rel, child, parent in st["fk_seen"]:
@@ -177,13 +177,13 @@ def build_audit(res: EtlResult, phases: tuple = ("DEDUP", "PK", "FK", "TECHNICAL
     if "TECHNICAL" in phases:
         for n, keys in cfg.technical_keys.items():
             rep = clean.technical_key_report(n, st["fk"][n], keys)
-            parts.append(_rows(rep, "TECHNICAL", F.col("TABLE"), F.col("COLUMN"), {"NULLS": "WARNING"}))
+            parts.append(_rows(rep, "TECHNICAL", F.col("TABLE_NAME"), F.col("COLUMN_NAME"), {"NULLS": "WARNING"}))
     if "DATES" in phases:
         for n, cols in st["date_cols"].items():
             if not cols:
                 continue
             rep = clean.date_profile(n, st["fk"][n], cols)
-            parts.append(_rows(rep, "DATES", F.col("TABLE"), F.col("COLUMN"),
+            parts.append(_rows(rep, "DATES", F.col("TABLE_NAME"), F.col("COLUMN_NAME"),
                                {"N_8_DIGITS": "INFO", "N_OTHER": "INFO", "N_YEAR_GT_2262": "WARNING"}))
     if "NULLS_PRE" in phases:
         for n, df in st["fk"].items():
@@ -197,7 +197,7 @@ def build_audit(res: EtlResult, phases: tuple = ("DEDUP", "PK", "FK", "TECHNICAL
 
 
 def _level_rows(rep: DataFrame, phase: str) -> DataFrame:
-    return rep.select(F.lit(phase).alias("PHASE"), "TABLE", "COLUMN",
+    return rep.select(F.lit(phase).alias("PHASE"), "TABLE_NAME", "COLUMN_NAME",
                       F.concat(F.lit("NULLS_"), F.col("ACTION")).alias("CHECK"), "LEVEL",
                       F.col("NULLS").alias("N"))
 

@@ -108,3 +108,74 @@ def q_rfm(spark, sf_dir):
 @query("invoice_delay")
 def q_invoice_delay(spark, sf_dir):
     return G.invoice_delay(olap(spark, sf_dir))
+
+
+# --- profiles (C1-C13) ----------------------------------------------------------
+
+from ledgerflow.operators import profile as P  # noqa: E402
+
+
+@query("profile_shape")
+def q_profile_shape(spark, sf_dir):
+    res = etl(spark, sf_dir, dirty=True)
+    return P.shape({**res.stages["inputs"], "OLAP": res.olap})
+
+
+@query("profile_missing")
+def q_profile_missing(spark, sf_dir):
+    return P.missing(olap(spark, sf_dir, dirty=True))
+
+
+@query("profile_distinct")
+def q_profile_distinct(spark, sf_dir):
+    return P.distinct_counts(olap(spark, sf_dir, dirty=True))
+
+
+@query("profile_numeric")
+def q_profile_numeric(spark, sf_dir):
+    return P.describe(olap(spark, sf_dir))
+
+
+@query("profile_topk")
+def q_profile_topk(spark, sf_dir):
+    return P.top_values(olap(spark, sf_dir, dirty=True), k=5, include_nulls=True)
+
+
+@query("profile_range")
+def q_profile_range(spark, sf_dir):
+    return P.numeric_range(olap(spark, sf_dir))
+
+
+@query("profile_dates")
+def q_profile_dates(spark, sf_dir):
+    return P.date_range(olap(spark, sf_dir, dirty=True))
+
+
+@query("correlation")
+def q_correlation(spark, sf_dir):
+    return P.correlation(olap(spark, sf_dir))
+
+
+@query("correlation_profit")
+def q_correlation_profit(spark, sf_dir):
+    return P.correlation_with_profit(olap(spark, sf_dir))
+
+
+@query("revenue_histogram")
+def q_revenue_histogram(spark, sf_dir):
+    return P.histogram(olap(spark, sf_dir), "VAL_REVENUES", 50)
+
+
+@query("revenue_density")
+def q_revenue_density(spark, sf_dir):
+    return P.density(olap(spark, sf_dir), "VAL_REVENUES")
+
+
+@query("revenue_box")
+def q_revenue_box(spark, sf_dir):
+    return P.box_stats(olap(spark, sf_dir), "ID_BUSINESS_LINE", "VAL_REVENUES")
+
+
+@query("cost_revenue_bins")
+def q_cost_revenue_bins(spark, sf_dir):
+    return P.binned_pairs(olap(spark, sf_dir), "VAL_COST", "VAL_REVENUES", 50)

@@ -30,6 +30,9 @@ def build_session(master: str | None = None, app: str = "ledgerflow",
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("LEDGERFLOW_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra)
