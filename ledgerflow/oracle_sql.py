@@ -233,6 +233,127 @@ FROM olap, b WHERE VAL_COST IS NOT NULL AND VAL_REVENUES IS NOT NULL GROUP BY 1,
     return q
 
 
+FEATURES = ("MONTH_IDX", "ORDER_MONTH", "LAG_1")
+
+
+def _det3(a):
+    return (f"(({a[0][0]} * (({a[1][1]} * {a[2][2]}) - ({a[1][2]} * {a[2][1]}))) "
+            f"- ({a[0][1]} * (({a[1][0]} * {a[2][2]}) - ({a[1][2]} * {a[2][0]})))) "
+            f"+ ({a[0][2]} * (({a[1][0]} * {a[2][1]}) - ({a[1][1]} * {a[2][0]})))")
+
+
+def _forecast_ctes(e: str, series: list[str]) -> str:
+    """monthly totals (t), features (f), folds (fo), coefficients (co), last month (lm)."""
+    sk = ", ".join(series)
+    sk_ = sk + ", " if series else ""
+    part = f"PARTITION BY {sk} " if series else ""
+    on = " AND ".join(f"a.{k} = b.{k}" for k in series) if series else "TRUE"
+    xs = [f"CAST({c} AS DOUBLE)" for c in FEATURES]
+    y = "CAST(TOTAL_REVENUES AS DOUBLE)"
+
+    def c(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"_c{i}{j}"
+    a = [[c(i, j) for j in range(3)] for i in range(3)]
+    rhs = [f"_c{i}y" for i in range(3)]
+    det = _det3(a)
+    betas = []
+    for k in range(3):
+        ak = [[rhs[i] if j == k else a[i][j] for j in range(3)] for i in range(3)]
+        betas.append(f"CASE WHEN NOT SINGULAR THEN ({_det3(ak)}) / ({det}) END AS B_{FEATURES[k]}")
+    covs = ", ".join([f"covar_samp({xs[i]}, {xs[j]}) AS _c{i}{j}" for i in range(3) for j in range(i, 3)]
+                     + [f"covar_samp({xs[i]}, {y}) AS _c{i}y" for i in range(3)])
+    return f"""{e},
+m AS ({_totals(MONTH_KEYS, "DECIMAL(38,4)")}),
+t AS (SELECT {sk_}ORDER_YEAR, ORDER_MONTH, CAST(sum(TOTAL_REVENUES) AS DOUBLE) AS TOTAL_REVENUES,
+        CAST(sum(N_ORDERS) AS BIGINT) AS N_ORDERS FROM m GROUP BY {sk_}ORDER_YEAR, ORDER_MONTH),
+s AS (SELECT *, CAST(row_number() OVER ({part}ORDER BY ORDER_YEAR, ORDER_MONTH) - 1 AS INTEGER) AS MONTH_IDX,
+        lag(TOTAL_REVENUES) OVER ({part}ORDER BY ORDER_YEAR, ORDER_MONTH) AS LAG_1 FROM t),
+f AS (SELECT *, MONTH_IDX - 1 AS SAMPLE FROM s WHERE LAG_1 IS NOT NULL),
+fn AS (SELECT *, count(*) OVER ({part}) AS _n FROM f),
+fn2 AS (SELECT *, CAST(floor(_n / 4) AS BIGINT) AS _ts FROM fn),
+fo AS (SELECT * EXCLUDE (_n, _ts) FROM (
+  SELECT fn2.*, CAST(k.range AS INTEGER) AS FOLD,
+    CASE WHEN k.range = 0 THEN 'TRAIN' WHEN _ts < 1 THEN NULL
+         WHEN SAMPLE < _n - (3 - k.range + 1) * _ts THEN 'TRAIN'
+         WHEN SAMPLE < _n - (3 - k.range + 1) * _ts + _ts THEN 'TEST' END AS ROLE
+  FROM fn2, range(4) k) WHERE ROLE IS NOT NULL),
+mo AS (SELECT {sk_}FOLD, count(*) AS N_TRAIN, avg({y}) AS _my, {", ".join(f"avg({x}) AS _m{i}" for i, x in enumerate(xs))},
+         {covs}
+       FROM fo WHERE ROLE = 'TRAIN' GROUP BY {sk_}FOLD),
+mo2 AS (SELECT *, coalesce((abs({det}) <= 1e-12 * abs(_c00 * _c11 * _c22)) OR (N_TRAIN < 4), TRUE) AS SINGULAR FROM mo),
+co0 AS (SELECT {sk_}FOLD, N_TRAIN, {", ".join(betas)}, SINGULAR, _my, _m0, _m1, _m2 FROM mo2),
+co AS (SELECT * EXCLUDE (_my, _m0, _m1, _m2),
+         _my - (((B_MONTH_IDX * _m0) + (B_ORDER_MONTH * _m1)) + (B_LAG_1 * _m2)) AS INTERCEPT FROM co0),
+pr AS (SELECT fo.*, (((B_MONTH_IDX * CAST(MONTH_IDX AS DOUBLE)) + (B_ORDER_MONTH * CAST(ORDER_MONTH AS DOUBLE)))
+         + (B_LAG_1 * CAST(LAG_1 AS DOUBLE))) + INTERCEPT AS PREDICTION
+       FROM fo JOIN co USING ({sk_}FOLD)),
+lm AS (SELECT {sk_}arg_max(MONTH_IDX, MONTH_IDX) AS LAST_IDX, arg_max(ORDER_YEAR, MONTH_IDX) AS LAST_YEAR,
+         arg_max(ORDER_MONTH, MONTH_IDX) AS LAST_MONTH, arg_max(TOTAL_REVENUES, MONTH_IDX) AS LAST_REVENUE
+       FROM s {"GROUP BY " + sk if series else ""})"""
+
+
+def _recursive(ctes: str) -> str:
+    return ctes.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _rollout(horizon: int, series: list[str]) -> str:
+    sk_ = ", ".join(series) + ", " if series else ""
+    sel = ", ".join(f"r.{k}" for k in series) + ", " if series else ""
+    using = f"USING ({', '.join(series)})" if series else "ON TRUE"
+    pred = ("greatest((((B_MONTH_IDX * CAST(LAST_IDX + r.k + 1 AS DOUBLE)) + (B_ORDER_MONTH * "
+            "CAST((LAST_MONTH + r.k + 1 - 1) % 12 + 1 AS DOUBLE))) + (B_LAG_1 * r.lag)) + INTERCEPT, 0.0)")
+    return f""",
+base AS (SELECT lm.*, co.B_MONTH_IDX, co.B_ORDER_MONTH, co.B_LAG_1, co.INTERCEPT
+         FROM lm JOIN (SELECT * FROM co WHERE FOLD = 0) co {using}),
+roll AS (
+  SELECT {sk_}0 AS k, CAST(LAST_REVENUE AS DOUBLE) AS lag, NULL::DOUBLE AS p, LAST_IDX, LAST_MONTH, LAST_YEAR,
+         B_MONTH_IDX, B_ORDER_MONTH, B_LAG_1, INTERCEPT FROM base
+  UNION ALL
+  SELECT {sel}r.k + 1, {pred}, {pred}, r.LAST_IDX, r.LAST_MONTH, r.LAST_YEAR,
+         r.B_MONTH_IDX, r.B_ORDER_MONTH, r.B_LAG_1, r.INTERCEPT
+  FROM roll r WHERE r.k < {horizon})
+SELECT {sk_}CAST(LAST_YEAR + floor((LAST_MONTH + k - 1) / 12) AS INTEGER) AS ORDER_YEAR,
+  CAST((LAST_MONTH + k - 1) % 12 + 1 AS INTEGER) AS ORDER_MONTH,
+  make_date(CAST(LAST_YEAR + floor((LAST_MONTH + k - 1) / 12) AS INTEGER), CAST((LAST_MONTH + k - 1) % 12 + 1 AS INTEGER), 1) AS DATE,
+  round(p, 2) AS FORECAST_REVENUES, 'PREVISIONE' AS TIPO
+FROM roll WHERE k >= 1"""
+
+
+def _forecasts(e: str) -> dict[str, str]:
+    q: dict[str, str] = {}
+    fc = _forecast_ctes(e, [])
+    q["forecast_features"] = fc + "\nSELECT ORDER_YEAR, ORDER_MONTH, TOTAL_REVENUES, N_ORDERS, MONTH_IDX, LAG_1, SAMPLE FROM f"
+    q["cv_folds"] = fc + ("\nSELECT FOLD, ROLE, SAMPLE, ORDER_YEAR, ORDER_MONTH, MONTH_IDX, LAG_1, TOTAL_REVENUES "
+                          "FROM fo")
+    q["linear_model"] = fc + ("\nSELECT FOLD, N_TRAIN, SINGULAR, round(B_MONTH_IDX, 4) AS B_MONTH_IDX, "
+                              "round(B_ORDER_MONTH, 4) AS B_ORDER_MONTH, round(B_LAG_1, 10) AS B_LAG_1, "
+                              "round(INTERCEPT, 2) AS INTERCEPT FROM co")
+    q["cv_metrics"] = fc + """,
+per AS (SELECT FOLD, count(*) AS N_TEST, avg(abs(CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION)) AS MAE,
+          sqrt(avg((CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION) * (CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION))) AS RMSE,
+          sum((CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION) * (CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION)) AS sse,
+          count(*) * var_pop(CAST(TOTAL_REVENUES AS DOUBLE)) AS sst
+        FROM pr WHERE ROLE = 'TEST' AND FOLD > 0 GROUP BY FOLD),
+per2 AS (SELECT FOLD, N_TEST, MAE, RMSE,
+           CASE WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 - sse / sst END AS R2 FROM per),
+allr AS (SELECT * FROM per2 UNION ALL
+         SELECT 0, NULL, avg(MAE), avg(RMSE), avg(R2) FROM per2)
+SELECT 'LINEAR' AS MODEL, CAST(FOLD AS INTEGER) AS FOLD, N_TEST, round(MAE, 0) AS MAE, round(RMSE, 0) AS RMSE,
+  round(R2, 4) AS R2 FROM allr"""
+    q["forecast_linear"] = _recursive(fc) + _rollout(6, [])
+    fcs = _forecast_ctes(e, ["ID_COMPANY"])
+    q["forecast_linear_by_company"] = _recursive(fcs) + _rollout(6, ["ID_COMPANY"])
+    six = _recursive(fc) + _rollout(6, [])
+    twelve = _recursive(fc) + _rollout(12, [])
+    q["compare_horizons"] = (f"SELECT *, 6 AS HORIZON FROM ({six})\nUNION ALL\n"
+                             f"SELECT *, 12 AS HORIZON FROM ({twelve})")
+    q["history_plus_forecast"] = (f"{_recursive(fc)}\nSELECT ORDER_YEAR, ORDER_MONTH, TOTAL_REVENUES AS FORECAST_REVENUES, "
+                                  f"make_date(ORDER_YEAR, ORDER_MONTH, 1) AS DATE, 'STORICO' AS TIPO FROM t\n"
+                                  f"UNION ALL BY NAME\nSELECT * FROM ({six})")
+    return q
+
+
 def statements() -> dict[str, str]:
     e = etl_ctes(False)
     ed = etl_ctes(True)
@@ -274,4 +395,5 @@ SELECT ID_ORDER_NUM, IDS_CUSTOMER, CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES,
   CAST(date_diff('day', ID_ORDER_DATE, ID_INVOICE_DATE) AS INTEGER) AS INVOICE_DAYS
 FROM olap WHERE ID_ORDER_DATE IS NOT NULL AND ID_INVOICE_DATE IS NOT NULL"""
     q.update(_profiles(e, ed))
+    q.update(_forecasts(e))
     return q

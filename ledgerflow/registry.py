@@ -179,3 +179,69 @@ def q_revenue_box(spark, sf_dir):
 @query("cost_revenue_bins")
 def q_cost_revenue_bins(spark, sf_dir):
     return P.binned_pairs(olap(spark, sf_dir), "VAL_COST", "VAL_REVENUES", 50)
+
+
+# --- forecasting (F1-F10) -----------------------------------------------------------
+
+from ledgerflow.operators import forecast as FC  # noqa: E402
+
+COEF_DIGITS = {"B_MONTH_IDX": 4, "B_ORDER_MONTH": 4, "B_LAG_1": 10, "INTERCEPT": 2}
+
+
+def monthly_exact(spark, sf_dir, dirty: bool = False):
+    """G1 kept in exact decimals: the forecast inputs are exact month totals."""
+    return G.monthly_sales(olap(spark, sf_dir, dirty), as_double=False)
+
+
+@query("forecast_features")
+def q_forecast_features(spark, sf_dir):
+    return FC.features(monthly_exact(spark, sf_dir))
+
+
+@query("cv_folds")
+def q_cv_folds(spark, sf_dir):
+    return FC.cv_folds(FC.features(monthly_exact(spark, sf_dir))).select(
+        "FOLD", "ROLE", "SAMPLE", "ORDER_YEAR", "ORDER_MONTH", "MONTH_IDX", "LAG_1", "TOTAL_REVENUES")
+
+
+@query("linear_model")
+def q_linear_model(spark, sf_dir):
+    _, coef = FC.linear_cv(monthly_exact(spark, sf_dir))
+    return coef.select("FOLD", "N_TRAIN", "SINGULAR",
+                       *[F.round(c, d).alias(c) for c, d in COEF_DIGITS.items()])
+
+
+@query("cv_metrics")
+def q_cv_metrics(spark, sf_dir):
+    pred, _ = FC.linear_cv(monthly_exact(spark, sf_dir))
+    return FC.fold_metrics(pred)
+
+
+def _linear_forecast(spark, sf_dir, horizon, series_keys=()):
+    m = monthly_exact(spark, sf_dir)
+    if series_keys:
+        _, coef = FC.linear_cv(m, series_keys)
+    else:
+        _, coef = FC.linear_cv(m)
+    return FC.rollout_linear(m, coef, horizon, series_keys)
+
+
+@query("forecast_linear")
+def q_forecast_linear(spark, sf_dir):
+    return _linear_forecast(spark, sf_dir, 6)
+
+
+@query("forecast_linear_by_company")
+def q_forecast_linear_by_company(spark, sf_dir):
+    return _linear_forecast(spark, sf_dir, 6, ("ID_COMPANY",))
+
+
+@query("compare_horizons")
+def q_compare_horizons(spark, sf_dir):
+    return FC.compare_horizons({6: _linear_forecast(spark, sf_dir, 6), 12: _linear_forecast(spark, sf_dir, 12)})
+
+
+@query("history_plus_forecast")
+def q_history_plus_forecast(spark, sf_dir):
+    m = monthly_exact(spark, sf_dir)
+    return FC.history_plus_forecast(m, _linear_forecast(spark, sf_dir, 6))
