@@ -106,7 +106,7 @@ def repair_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str | None = Non
     if fk not in child.columns or pk not in parent.columns:
         return child
     child = child.withColumn(fk, to_key(fk)).where(F.col(fk).isNotNull())
-    return child.join(parent_keys(parent, pk, fk), on=fk, how="left_semi")
+    return child.join(parent_keys(parent, pk, fk), on=fk, how="left_semi").select(child.columns)
 
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str | None = None) -> DataFrame:

@@ -239,25 +239,32 @@ def _assemble(df: DataFrame) -> DataFrame:
         df.withColumns({c: F.col(c).cast("double") for c in FEATURES}))
 
 
-def gbt_cv(monthly: DataFrame, n_splits: int = 3):
+def gbt_cv(monthly: DataFrame, n_splits: int = 3, parallelism: int | None = None):
     """Folds 1..n_splits trained and scored, plus the final model on all
-    samples.  Returns (predictions of every fold, final model).  MLlib's
-    trees use binned splits, so numbers differ from exact-split boosting."""
-    from ledgerflow.session import checkpoint_dir
-    checkpoint_dir(monthly.sparkSession)          # periodic checkpoints of the boosting state
-    folded = _assemble(cv_folds(features(monthly), (), n_splits)).persist()
-    preds, final = None, None
-    for f in range(0, n_splits + 1):
-        train = folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN"))
-        if train.isEmpty():
-            continue
-        model = _gbt().fit(train)
+    samples.  Returns (predictions of every fold, final model).
+
+    The feature table has one row per month, so it is held in one partition;
+    the independent fold models are fitted concurrently (as MLlib's
+    CrossValidator does with ``parallelism``).  MLlib's trees use binned
+    splits, so numbers differ from exact-split boosting.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    folded = _assemble(cv_folds(features(monthly), (), n_splits)).coalesce(1).persist()
+    folds = [f for f in range(0, n_splits + 1)
+             if not folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")).isEmpty()]
+
+    def fit(f):
+        return f, _gbt().fit(folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")))
+
+    with ThreadPoolExecutor(max_workers=parallelism or len(folds) or 1) as pool:
+        models = dict(pool.map(fit, folds))
+    preds = None
+    for f, model in sorted(models.items()):
         if f == 0:
-            final = model
             continue
         p = model.transform(folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TEST")))
         preds = p if preds is None else preds.unionByName(p)
-    return preds, final
+    return preds, models.get(0)
 
 
 def gbt_importance(model) -> DataFrame:

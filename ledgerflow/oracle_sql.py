@@ -354,6 +354,148 @@ SELECT 'LINEAR' AS MODEL, CAST(FOLD AS INTEGER) AS FOLD, N_TEST, round(MAE, 0) A
     return q
 
 
+TABLES = {  # name -> (source CTE, columns, kinds for the null policy)
+    "SALES": ("sales_src", ["ID_COMPANY", "ID_ORDER_NUM", "IDS_CUSTOMER", "IDS_ITEM", "ID_ORDER_DATE",
+                            "ID_INVOICE_DATE", "VAL_REVENUES", "VAL_COST"]),
+    "AREA_MANAGER_LOOKUP": ("area_src", ["ID_AREA_MANAGER", "DESC_AREA_MANAGER"]),
+    "COMPANY_LOOKUP": ("company_src", ["ID_COMPANY", "DESC_COMPANY"]),
+    "CUSTOMER_LOOKUP": ("customer_src", ["IDS_CUSTOMER", "DESC_CUSTOMER", "ID_COUNTRY", "ID_AREA_MANAGER"]),
+    "ITEM_BUSINESS_LINE_LOOKUP": ("bl_src", ["ID_BUSINESS_LINE", "DESC_BUSINESS_LINE"]),
+    "ITEM_LOOKUP": ("item_src", ["IDS_ITEM", "DESC_ITEM", "ID_BUSINESS_LINE"]),
+}
+PKS = {"CUSTOMER_LOOKUP": "IDS_CUSTOMER", "ITEM_LOOKUP": "IDS_ITEM", "AREA_MANAGER_LOOKUP": "ID_AREA_MANAGER",
+       "ITEM_BUSINESS_LINE_LOOKUP": "ID_BUSINESS_LINE", "COMPANY_LOOKUP": "ID_COMPANY"}
+# (child, fk, parent, child state CTE, parent state CTE) in check order
+FK_SEEN = [("SALES", "ID_COMPANY", "COMPANY_LOOKUP", "sales_d", "company_pk"),
+           ("SALES", "IDS_CUSTOMER", "CUSTOMER_LOOKUP", "sales_fk1", "customer_pk"),
+           ("SALES", "IDS_ITEM", "ITEM_LOOKUP", "sales_fk2", "item_pk"),
+           ("CUSTOMER_LOOKUP", "ID_AREA_MANAGER", "AREA_MANAGER_LOOKUP", "customer_pk", "area_pk"),
+           ("ITEM_LOOKUP", "ID_BUSINESS_LINE", "ITEM_BUSINESS_LINE_LOOKUP", "item_pk", "bl_pk")]
+FK_STATE = {"SALES": "sales_fk", "CUSTOMER_LOOKUP": "customer_fk", "ITEM_LOOKUP": "item_fk",
+            "AREA_MANAGER_LOOKUP": "area_pk", "COMPANY_LOOKUP": "company_pk", "ITEM_BUSINESS_LINE_LOOKUP": "bl_pk"}
+TECHNICAL = {"SALES": ["ID_ORDER_NUM", "ID_ORDER_DATE", "ID_INVOICE_DATE"], "CUSTOMER_LOOKUP": ["ID_COUNTRY"]}
+
+
+def _policy(table: str, src: str, cols: list[str], kinds: dict[str, str]) -> str:
+    """Sequential null counts: each column counted over rows whose earlier
+    DATE/CRITICAL columns are present."""
+    exprs, alive, rows = [], "TRUE", []
+    for i, c in enumerate(cols):
+        exprs.append(f"count(*) FILTER (WHERE {alive} AND {c} IS NULL) AS n{i}")
+        if kinds[c] in ("DATE", "CRITICAL"):
+            alive += f" AND {c} IS NOT NULL"
+    for i, c in enumerate(cols):
+        k = kinds[c]
+        act = "DROP" if k in ("DATE", "CRITICAL") else "KEEP"
+        lvl = "ERROR" if k in ("DATE", "CRITICAL", "DERIVED") else "WARNING"
+        rows.append(f"SELECT '{table}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, '{k}' AS KIND, CAST(n{i} AS BIGINT) AS NULLS, "
+                    f"'{act}' AS ACTION, '{lvl}' AS LEVEL, {i} AS POSITION FROM agg_{table} WHERE n{i} > 0")
+    return f"agg_{table} AS (SELECT {', '.join(exprs)} FROM {src})", _union(rows)
+
+
+def _kinds(cols: list[str], types: dict[str, str], derived=()) -> dict[str, str]:
+    out = {}
+    for c in cols:
+        if c in derived:
+            out[c] = "DERIVED"
+        elif "DATE" in c.upper():
+            out[c] = "DATE"
+        elif c in ("VAL_REVENUES", "VAL_COST"):
+            out[c] = "CRITICAL"
+        else:
+            out[c] = types.get(c, "TEXT")
+    return out
+
+
+def _cleaning(ed: str) -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["dedup_rows"] = ed + "\n" + _union([
+        f"SELECT '{n}' AS TABLE_NAME, (SELECT count(*) FROM {src}) AS ROWS_BEFORE, "
+        f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS ROWS_AFTER, "
+        f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS REMOVED"
+        for n, (src, _) in TABLES.items()])
+    q["pk_repair"] = ed + "\nSELECT * FROM item_pk"
+    q["fk_repair"] = ed + "\nSELECT * REPLACE (CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES, CAST(VAL_COST AS DOUBLE) AS VAL_COST) FROM sales_fk"
+    q["fk_orphans"] = ed + "\n" + _union([
+        f"SELECT '{c}' AS CHILD, '{fk}' AS FK, '{p}' AS PARENT, {fk} AS VALUE, count(*) AS ROWS FROM {cs} "
+        f"WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {PKS[p]} FROM {ps} WHERE {PKS[p]} IS NOT NULL) GROUP BY {fk}"
+        for c, fk, p, cs, ps in FK_SEEN])
+    q["technical_keys"] = ed + "\n" + _union([
+        f"SELECT '{t}' AS TABLE_NAME, '{k}' AS COLUMN_NAME, count(*) FILTER (WHERE {k} IS NULL) AS NULLS FROM {FK_STATE[t]}"
+        for t, ks in TECHNICAL.items() for k in ks])
+
+    def audit_rows(phase, table, column, src, checks):
+        return [f"SELECT '{phase}' AS PHASE, {table} AS TABLE_NAME, {column} AS COLUMN_NAME, '{ck}' AS \"CHECK\", "
+                + (f"'INFO'" if lvl == "INFO" else f"CASE WHEN ({expr}) > 0 THEN '{lvl}' ELSE 'OK' END")
+                + f" AS LEVEL, CAST(({expr}) AS BIGINT) AS N FROM {src}" for ck, lvl, expr in checks]
+    parts = []
+    for n, (src, _) in TABLES.items():
+        parts += audit_rows("DEDUP", f"'{n}'", "NULL", f"(SELECT (SELECT count(*) FROM {src}) AS b, "
+                            f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS a)",
+                            [("ROWS_BEFORE", "INFO", "b"), ("REMOVED", "INFO", "b - a")])
+    for n, pk in PKS.items():
+        src = TABLES[n][0]
+        parts += audit_rows("PK", f"'{n}'", f"'{pk}'", f"(SELECT count(*) FILTER (WHERE {pk} IS NULL) AS nk, "
+                            f"count({pk}) - count(DISTINCT {pk}) AS dk FROM (SELECT DISTINCT * FROM {src}))",
+                            [("NULL_KEYS", "ERROR", "nk"), ("DUPLICATE_ROWS", "ERROR", "dk")])
+    for c, fk, p, cs, ps in FK_SEEN:
+        orphan = f"{fk} IS NOT NULL AND {fk} NOT IN (SELECT {PKS[p]} FROM {ps} WHERE {PKS[p]} IS NOT NULL)"
+        parts += audit_rows("FK", f"'{c}'", f"'{fk}'", f"(SELECT count(*) FILTER (WHERE {fk} IS NULL) AS nf, "
+                            f"count(DISTINCT {fk}) FILTER (WHERE {orphan}) AS ov, "
+                            f"count(*) FILTER (WHERE {orphan}) AS orow FROM {cs})",
+                            [("NULL_FK", "ERROR", "nf"), ("ORPHAN_VALUES", "ERROR", "ov"), ("ORPHAN_ROWS", "ERROR", "orow")])
+    for t, ks in TECHNICAL.items():
+        for k in ks:
+            parts += audit_rows("TECHNICAL", f"'{t}'", f"'{k}'", f"(SELECT count(*) FILTER (WHERE {k} IS NULL) AS nn FROM {FK_STATE[t]})",
+                                [("NULLS", "WARNING", "nn")])
+    q["integrity_audit"] = ed + "\n" + _union(parts)
+
+    ctes, sels = [], []
+    for n, (src, cols) in TABLES.items():
+        state = FK_STATE[n]
+        if n == "SALES":
+            state = "sales_dt"
+        cte, sel = _policy(n, state, cols, _kinds(cols, {}))
+        ctes.append(cte)
+        sels.append(sel)
+    q["nulls_pre"] = ed + ",\n" + ",\n".join(ctes) + "\n" + _union(sels)
+    joined = [c for c in OLAP_COLUMNS if c not in CALENDAR]
+    nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in joined)
+    pos = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(joined))
+    q["null_report"] = f"""{ed},
+r AS (SELECT {nulls} FROM olap),
+u AS (UNPIVOT r ON {", ".join(joined)} INTO NAME COLUMN_NAME VALUE NULLS)
+SELECT COLUMN_NAME, CAST(NULLS AS BIGINT) AS NULLS, CASE COLUMN_NAME {pos} END AS POSITION FROM u WHERE NULLS > 0"""
+    cte, sel = _policy("OLAP", "olap", joined, _kinds(joined, {}, derived=("VAL_MARGIN",)))
+    q["nulls_post"] = ed + ",\n" + cte + "\n" + sel
+
+    def dprof(c):
+        t = f"trim(CAST({c} AS VARCHAR))"
+        eight = f"regexp_full_match({t}, '\\d{{8}}')"
+        far = f"({eight} AND TRY_CAST(substr({t}, 1, 4) AS INTEGER) > 2262)"
+        return (f"SELECT 'SALES' AS TABLE_NAME, '{c}' AS COLUMN_NAME, count(*) FILTER (WHERE {eight}) AS N_8_DIGITS, "
+                f"count(*) - count(*) FILTER (WHERE {eight}) AS N_OTHER, count(*) FILTER (WHERE {far}) AS N_YEAR_GT_2262, "
+                f"(SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {t} AS v FROM sales_fk WHERE {far} "
+                f"ORDER BY v LIMIT 5)) AS EXAMPLES FROM sales_fk")
+    q["date_profile"] = ed + "\n" + _union([dprof(c) for c in DATES])
+    q["normalise_dates"] = (ed + f"\nSELECT ID_ORDER_NUM, IDS_ITEM, {parse_date('ID_ORDER_DATE')} AS ID_ORDER_DATE, "
+                            f"{parse_date('ID_INVOICE_DATE')} AS ID_INVOICE_DATE FROM sales_d")
+    q["margin"] = ed + ("\nSELECT ID_ORDER_NUM, IDS_ITEM, CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES, "
+                        "CAST(VAL_COST AS DOUBLE) AS VAL_COST, CAST(VAL_REVENUES - VAL_COST AS DOUBLE) AS VAL_MARGIN FROM sales_d")
+    od = parse_date("ID_ORDER_DATE")
+    q["order_calendar"] = ed + (f"\nSELECT ID_ORDER_NUM, IDS_ITEM, {od} AS ID_ORDER_DATE, CAST(year({od}) AS INTEGER) AS ORDER_YEAR, "
+                                f"CAST(month({od}) AS INTEGER) AS ORDER_MONTH, CAST(weekofyear({od}) AS INTEGER) AS ORDER_WEEK "
+                                f"FROM sales_d")
+    fan = []
+    for c, fk, p, _, _ in FK_SEEN:
+        cs, ps = TABLES[c][0], TABLES[p][0]
+        fan.append(f"SELECT '{c}' AS CHILD, '{fk}' AS FK, '{p}' AS PARENT, (SELECT count(*) FROM (SELECT DISTINCT * FROM {cs})) "
+                   f"AS ROWS_BEFORE, (SELECT count(*) FROM (SELECT DISTINCT * FROM {cs}) a LEFT JOIN "
+                   f"(SELECT DISTINCT * FROM {ps}) b ON a.{fk} = b.{PKS[p]}) AS ROWS_AFTER")
+    q["join_fanout"] = ed + "\n" + _union(fan)
+    return q
+
+
 def statements() -> dict[str, str]:
     e = etl_ctes(False)
     ed = etl_ctes(True)
@@ -396,4 +538,5 @@ SELECT ID_ORDER_NUM, IDS_CUSTOMER, CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES,
 FROM olap WHERE ID_ORDER_DATE IS NOT NULL AND ID_INVOICE_DATE IS NOT NULL"""
     q.update(_profiles(e, ed))
     q.update(_forecasts(e))
+    q.update(_cleaning(ed))
     return q

@@ -245,3 +245,151 @@ def q_compare_horizons(spark, sf_dir):
 def q_history_plus_forecast(spark, sf_dir):
     m = monthly_exact(spark, sf_dir)
     return FC.history_plus_forecast(m, _linear_forecast(spark, sf_dir, 6))
+
+
+def _gbt(spark, sf_dir):
+    key = (id(spark), sf_dir, "gbt")
+    if key not in _PLANS:
+        _PLANS[key] = FC.gbt_cv(monthly_exact(spark, sf_dir))
+    return _PLANS[key]
+
+
+@query("gbt_model")
+def q_gbt_model(spark, sf_dir):
+    preds, _ = _gbt(spark, sf_dir)
+    return FC.fold_metrics(preds, model="GBT")
+
+
+@query("gbt_importance")
+def q_gbt_importance(spark, sf_dir):
+    _, model = _gbt(spark, sf_dir)
+    return FC.gbt_importance(model)
+
+
+@query("forecast_gbt")
+def q_forecast_gbt(spark, sf_dir):
+    _, model = _gbt(spark, sf_dir)
+    return FC.rollout_model(monthly_exact(spark, sf_dir), model, 6)
+
+
+@query("compare_models")
+def q_compare_models(spark, sf_dir):
+    m = monthly_exact(spark, sf_dir)
+    _, model = _gbt(spark, sf_dir)
+    return FC.compare_models(m, {"LINEAR": _linear_forecast(spark, sf_dir, 6),
+                                 "GBT": FC.rollout_model(m, model, 6)})
+
+
+# --- cleaning, integrity, audit (S1-S13, J2, J3) -----------------------------------------
+# These run over the perturbed star (FIXTURES.md §3) so that every check has
+# something to find; the perturbation touches whole tables, not subsets.
+
+from functools import reduce  # noqa: E402
+
+from ledgerflow import schema as S  # noqa: E402
+from ledgerflow.operators import clean as C  # noqa: E402
+from ledgerflow.operators import olap as O  # noqa: E402
+from ledgerflow.plans.etl import build_audit  # noqa: E402
+
+_MONEY = ("VAL_REVENUES", "VAL_COST", "VAL_MARGIN")
+
+
+def _money_double(df):
+    return df.withColumns({c: F.col(c).cast("double") for c in _MONEY if c in df.columns})
+
+
+def _dirty(spark, sf_dir):
+    return etl(spark, sf_dir, dirty=True)
+
+
+@query("dedup_rows")
+def q_dedup_rows(spark, sf_dir):
+    res = _dirty(spark, sf_dir)
+    return reduce(lambda a, b: a.unionByName(b),
+                  [C.dedup_report(n, df) for n, df in res.stages["inputs"].items()])
+
+
+@query("pk_repair")
+def q_pk_repair(spark, sf_dir):
+    return _dirty(spark, sf_dir).stages["pk"][S.ITEM]
+
+
+@query("fk_repair")
+def q_fk_repair(spark, sf_dir):
+    return _money_double(_dirty(spark, sf_dir).stages["fk"][S.SALES])
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    res = _dirty(spark, sf_dir)
+    parts = []
+    for rel, child, parent in res.stages["fk_seen"]:
+        o = C.fk_orphans(child, rel.fk, parent, S.PRIMARY_KEYS[rel.parent][0])
+        parts.append(o.select(F.lit(rel.child).alias("CHILD"), F.lit(rel.fk).alias("FK"),
+                              F.lit(rel.parent).alias("PARENT"), F.col(rel.fk).alias("VALUE"), "ROWS"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("technical_keys")
+def q_technical_keys(spark, sf_dir):
+    res = _dirty(spark, sf_dir)
+    return reduce(lambda a, b: a.unionByName(b), [
+        C.technical_key_report(n, res.stages["fk"][n], keys) for n, keys in S.TECHNICAL_KEYS.items()])
+
+
+@query("integrity_audit")
+def q_integrity_audit(spark, sf_dir):
+    return build_audit(_dirty(spark, sf_dir), phases=("DEDUP", "PK", "FK", "TECHNICAL"))
+
+
+@query("nulls_pre")
+def q_nulls_pre(spark, sf_dir):
+    res = _dirty(spark, sf_dir)
+    st, cfg = res.stages, res.config
+    parts = []
+    for n, df in st["fk"].items():
+        prepared = C.normalise_dates(C.cast_technical_keys(df, cfg.technical_keys.get(n, ())), st["date_cols"][n])
+        parts.append(C.null_policy_report(n, prepared, st["date_cols"][n], cfg.critical))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("null_report")
+def q_null_report(spark, sf_dir):
+    return C.null_report(_dirty(spark, sf_dir).stages["joined"])
+
+
+@query("nulls_post")
+def q_nulls_post(spark, sf_dir):
+    res = _dirty(spark, sf_dir)
+    return C.null_policy_report("OLAP", res.stages["joined"], res.stages["all_dates"], res.config.critical,
+                                res.config.derived)
+
+
+@query("date_profile")
+def q_date_profile(spark, sf_dir):
+    res = _dirty(spark, sf_dir)
+    return C.date_profile(S.SALES, res.stages["fk"][S.SALES])
+
+
+@query("normalise_dates")
+def q_normalise_dates(spark, sf_dir):
+    sales = _dirty(spark, sf_dir).stages["deduped"][S.SALES]
+    return C.normalise_dates(sales).select("ID_ORDER_NUM", "IDS_ITEM", "ID_ORDER_DATE", "ID_INVOICE_DATE")
+
+
+@query("margin")
+def q_margin(spark, sf_dir):
+    sales = _dirty(spark, sf_dir).stages["deduped"][S.SALES]
+    return _money_double(O.add_margin(sales)).select("ID_ORDER_NUM", "IDS_ITEM", *_MONEY)
+
+
+@query("order_calendar")
+def q_order_calendar(spark, sf_dir):
+    sales = _dirty(spark, sf_dir).stages["deduped"][S.SALES]
+    return O.add_order_calendar(sales).select("ID_ORDER_NUM", "IDS_ITEM", "ID_ORDER_DATE",
+                                              "ORDER_YEAR", "ORDER_MONTH", "ORDER_WEEK")
+
+
+@query("join_fanout")
+def q_join_fanout(spark, sf_dir):
+    return O.fanout_report(_dirty(spark, sf_dir).stages["deduped"])
