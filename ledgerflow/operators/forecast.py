@@ -277,9 +277,11 @@ def gbt_importance(model) -> DataFrame:
 def rollout_model(monthly: DataFrame, model, horizon: int = 6) -> DataFrame:
     """Autoregressive roll-out with a fitted MLlib model: one small
     transform per step on the 1-row state, fed back as LAG_1."""
-    state = last_month(monthly).select(
+    from ledgerflow.session import cut_lineage
+    # one row per series; checkpointed so each step starts from stored rows
+    state = cut_lineage(last_month(monthly).select(
         F.col("LAST_IDX").alias("_i"), F.col("LAST_YEAR").alias("_y"), F.col("LAST_MONTH").alias("_m"),
-        F.col("LAST_REVENUE").cast("double").alias("_lag"))
+        F.col("LAST_REVENUE").cast("double").alias("_lag")))
     out = None
     for k in range(1, horizon + 1):
         month = ((F.col("_m") + k - 1) % 12 + 1).cast("int")
@@ -289,11 +291,9 @@ def rollout_model(monthly: DataFrame, model, horizon: int = 6) -> DataFrame:
         p = model.transform(_assemble(x)).withColumn("PREDICTION", F.greatest("PREDICTION", F.lit(0.0)))
         step = p.select("ORDER_YEAR", "ORDER_MONTH", F.make_date("ORDER_YEAR", "ORDER_MONTH", F.lit(1)).alias("DATE"),
                         F.round("PREDICTION", 2).alias("FORECAST_REVENUES"), F.lit("PREVISIONE").alias("TIPO"))
+        step = cut_lineage(step)
         out = step if out is None else out.unionByName(step)
-        state = p.select("_i", "_y", "_m", F.col("PREDICTION").alias("_lag"))
-        if k % 4 == 0:
-            from ledgerflow.session import cut_lineage
-            state = cut_lineage(state)
+        state = cut_lineage(p.select("_i", "_y", "_m", F.col("PREDICTION").alias("_lag")))
     return out
 
 
