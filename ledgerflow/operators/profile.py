@@ -163,21 +163,24 @@ def date_range(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 # --- C8 / C9 ------------------------------------------------------------------------
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 3) -> DataFrame:
-    """Pearson matrix in long form (COL_A, COL_B, CORR), every pair from one
-    aggregate; pairwise-complete rows; a constant column gives null."""
+    """Pearson matrix in long form (COL_A, COL_B, CORR), pairwise-complete
+    rows, null (not an error) for a constant column.
+
+    The matrix is symmetric, so only the upper triangle is computed: every
+    row emits one (pair, x, y) entry per pair, and one grouped aggregate with
+    three statistics covers all pairs (it stays inside whole-stage codegen).
+    """
     cols = list(columns if columns is not None else numeric_columns(df, profiled_only=False))
     if len(cols) < 2:
         return None
-    # the matrix is symmetric: aggregate the upper triangle only, then mirror
     upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in upper])
-    pos = {c: i for i, c in enumerate(cols)}
-
-    def cell(a, b):
-        return f"{a}__{b}" if pos[a] <= pos[b] else f"{b}__{a}"
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("COL_A"), F.lit(b).alias("COL_B"),
-                 F.round(F.col(cell(a, b)), digits).alias("CORR")) for a in cols for b in cols])).alias("r")).select("r.*")
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("A"), F.lit(b).alias("B"), F.col(a).cast("double").alias("X"),
+                 F.col(b).cast("double").alias("Y")) for a, b in upper])).alias("r")).select("r.*")
+    tri = long.groupBy("A", "B").agg(safe_corr("X", "Y").alias("CORR"))
+    mirrored = tri.unionByName(tri.where(F.col("A") != F.col("B")).select(
+        F.col("B").alias("A"), F.col("A").alias("B"), "CORR"))
+    return mirrored.select(F.col("A").alias("COL_A"), F.col("B").alias("COL_B"), F.round("CORR", digits).alias("CORR"))
 
 
 def correlation_with_profit(df: DataFrame, digits: int = 3) -> DataFrame:

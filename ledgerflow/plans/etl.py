@@ -67,9 +67,10 @@ class _Stages(dict):
     """Intermediate states, built on first use (the fused OLAP path does not
     need the sequential foreign-key states; the audit does)."""
 
-    def __init__(self, tables: dict, cfg: EtlConfig):
+    def __init__(self, tables: dict, cfg: EtlConfig, keep=None):
         super().__init__()
         self._tables, self._cfg = tables, cfg
+        self._keep = keep or (lambda name, df: df)
 
     def __missing__(self, key):
         t, cfg = self._tables, self._cfg
@@ -80,7 +81,10 @@ class _Stages(dict):
         elif key == "all_dates":
             val = sorted({c for cols in self["date_cols"].values() for c in cols})
         elif key == "deduped":
-            val = {n: clean.dedup_rows(df) for n, df in t.items()}
+            # the deduplicated fact feeds every later phase and the audit:
+            # ``keep`` may store it once (e.g. as a table in the shared folder)
+            val = {n: (self._keep(f"{n}-dedup", clean.dedup_rows(df)) if n == cfg.fact else clean.dedup_rows(df))
+                   for n, df in t.items()}
         elif key == "pk":
             val = {n: clean.repair_pk(df, cfg.primary_keys.get(n, ())) for n, df in self["deduped"].items()}
         elif key in ("fk", "fk_seen"):
@@ -106,11 +110,13 @@ def _fact_after_margin_columns(fact_cols: list[str]) -> list[str]:
 
 
 def run_etl(tables: dict[str, DataFrame], cfg: EtlConfig | None = None,
-            fused: bool = True) -> EtlResult | None:
+            fused: bool = True, keep=None) -> EtlResult | None:
+    """Phases 1-11.  ``keep(name, df) -> df`` may store an intermediate state
+    (the deduplicated fact) and return it read back; default keeps it lazy."""
     cfg = cfg or EtlConfig()
     if missing_tables(tables.keys(), {cfg.fact, *cfg.primary_keys}):
         return None
-    st = _Stages(tables, cfg)
+    st = _Stages(tables, cfg, keep)
     date_cols = st["date_cols"]
     pk_state = st["pk"]
 
@@ -203,4 +209,4 @@ def _level_rows(rep: DataFrame, phase: str) -> DataFrame:
 
 
 def _input_tables(res: EtlResult) -> dict:
-    return res.stages.get("inputs", {}) or {n: d for n, d in res.stages["deduped"].items()}
+    return res.stages["inputs"]

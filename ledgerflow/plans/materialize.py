@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.session import checkpoint_dir
 
-ETL_VERSION = "etl-3"
+ETL_VERSION = "etl-4"
 CACHE_CONF = "ledgerflow.cache.dir"
 
 

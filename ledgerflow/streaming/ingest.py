@@ -2,20 +2,24 @@
 same key-check-and-enrich joins into the OLAP sink.
 
 The lookups are static (primary-key-checked once); the fact arrives as a
-file stream.  Full-row duplicates are dropped within an event-time
-watermark on the order date, so dedup state stays bounded; a copy arriving
-later than the watermark is not matched (the batch ETL drops every copy).
+file stream.  Each micro-batch is deduplicated in itself and then against
+the rows already in the sink (a null-safe anti join on every column, which
+Spark runs as a distributed join), so the stream keeps no growing state
+and a copy arriving in any later file is still dropped, as in the batch
+ETL.  Dedup compares the sales columns after date parsing.
 """
 
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import schema as S
 from ledgerflow.operators import clean, olap
+from ledgerflow.plans.materialize import _fs_exists
 from ledgerflow.session import checkpoint_dir
 
 
@@ -26,33 +30,45 @@ def sales_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return reader.csv(source_dir)
 
 
-def olap_stream(sales: DataFrame, lookups: dict[str, DataFrame], watermark: str = "400 days",
-                relations: dict = S.RELATIONS) -> DataFrame:
-    """Streaming OLAP rows from a SALES stream and static lookup tables."""
+def olap_rows(sales: DataFrame, lookups: dict[str, DataFrame], relations: dict = S.RELATIONS) -> DataFrame:
+    """OLAP rows for a batch or stream of SALES rows against static lookups
+    (row rules, margin, fused key check + join, calendar)."""
     pk = {n: clean.repair_pk(clean.dedup_rows(df), S.PRIMARY_KEYS.get(n, ())) for n, df in lookups.items()}
     views = {n: clean.cast_technical_keys(df, S.TECHNICAL_KEYS.get(n, ())) for n, df in pk.items()}
     dates = clean.date_columns(sales)
     rows = clean.cast_technical_keys(sales, S.TECHNICAL_KEYS[S.SALES])
-    rows = clean.apply_null_policy(clean.normalise_dates(rows, dates), dates, S.CRITICAL_NUMERIC)
-    data_cols = list(rows.columns)
-    rows = (rows.withColumn("_event", F.col("ID_ORDER_DATE").cast("timestamp"))
-            .withWatermark("_event", watermark)
-            .dropDuplicatesWithinWatermark(data_cols)
-            .drop("_event"))
-    rows = olap.add_margin(rows)
+    rows = olap.add_margin(clean.apply_null_policy(clean.normalise_dates(rows, dates), dates, S.CRITICAL_NUMERIC))
     joined = olap.check_and_enrich(rows, S.SALES, views, relations)
     order = olap.olap_column_order(rows.columns, {n: d.columns for n, d in lookups.items()}, S.SALES, relations)
     return olap.add_order_calendar(joined.select(order))
 
 
+def olap_stream(sales: DataFrame, lookups: dict[str, DataFrame], relations: dict = S.RELATIONS) -> DataFrame:
+    """Streaming OLAP rows (stream-static joins); dedup happens at the sink."""
+    return olap_rows(sales, lookups, relations)
+
+
+def _append_new(batch: DataFrame, path: str, fact_columns: list[str]) -> None:
+    batch = batch.dropDuplicates()
+    spark = batch.sparkSession
+    if _fs_exists(spark, os.path.join(path, "_SUCCESS")):
+        seen = spark.read.parquet(path)
+        # months present in the batch bound the part of the sink that is read
+        keys = ["ORDER_YEAR", "ORDER_MONTH", *fact_columns]
+        cond = reduce(lambda a, b: a & b, [batch[k].eqNullSafe(seen[k]) for k in keys])
+        batch = batch.join(seen.select(*keys), cond, "left_anti")
+    batch.write.mode("append").partitionBy("ORDER_YEAR", "ORDER_MONTH").parquet(path)
+
+
 def start_olap_sink(stream: DataFrame, path: str, name: str = "olap", available_now: bool = True,
                     checkpoint: str | None = None):
-    """Append into the OLAP Parquet table partitioned by year and month; the
-    stream's progress lives in the shared checkpoint folder, so a restarted
-    or re-scheduled query resumes where it stopped."""
+    """Append new OLAP rows into the Parquet table partitioned by year and
+    month; progress lives in the shared checkpoint folder, so a restarted or
+    re-scheduled query resumes where it stopped."""
     spark = stream.sparkSession
     checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
-    w = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("ORDER_YEAR", "ORDER_MONTH").outputMode("append"))
+    fact_cols = [c for c in S.TABLE_SCHEMAS[S.SALES].fieldNames()]
+    w = (stream.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda df, _id: _append_new(df, path, fact_cols)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(path)
+    return w.start()

@@ -72,7 +72,7 @@ def test_date_profile(spark):
 
 def test_null_policy_sequential_counts(spark):
     df = spark.createDataFrame(
-        [(None, 1.0, None, "a"), (dt.date(2020, 1, 1), None, None, None), (dt.date(2020, 1, 1), 2.0, 1.0, "b")],
+        [(None, 1.0, None, "a"), (dt.date(2020, 1, 1), None, None, "c"), (dt.date(2020, 1, 1), 2.0, 1.0, None)],
         "ID_ORDER_DATE date, VAL_REVENUES double, VAL_MARGIN double, NOTE string")
     rep = {r.COLUMN_NAME: r for r in clean.null_policy_report(
         "T", df, ["ID_ORDER_DATE"], ["VAL_REVENUES"], ["VAL_MARGIN"]).collect()}

