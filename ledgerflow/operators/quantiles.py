@@ -1,13 +1,22 @@
 """Exact quantiles with bounded per-task memory.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer,
-which a hot group at scale cannot afford.  Here a mergeable sketch
-(``percentile_approx``) brackets each target rank; exact counts below the
-bracket give the offset, and only rows inside the bracket are ranked.  A
-group of at most ``small_group`` rows is ranked whole.  Either way no task
-ranks more than about ``max(small_group, 10 n / accuracy)`` rows, and the
-result is the exact linear interpolation between neighbouring order
-statistics (numpy's default and DuckDB's ``quantile_cont``).
+which a hot group at scale cannot afford.  Here each target rank is narrowed
+down in rounds:
+
+1. every (group, probability) starts with the bracket (-inf, +inf) and the
+   exact count of values below it (0);
+2. while a bracket holds more than ``rank_limit`` rows, one pass sketches the
+   rows inside every open bracket (``percentile_approx``, a mergeable
+   summary, at a fixed grid of percentages) and moves each bracket to the two
+   grid values around its target, counting exactly how many rows fell below;
+   each round shrinks a bracket by roughly the grid size;
+3. the rows inside the final brackets (at most ``rank_limit`` per bracket) are
+   ranked with a window, and the two order statistics around the target are
+   interpolated linearly (numpy's default, DuckDB's ``quantile_cont``).
+
+The only driver-side step is reading the largest bracket size after each
+round (one number), to decide whether another round is needed.
 """
 
 from __future__ import annotations
@@ -18,53 +27,95 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 100_000
-SMALL_GROUP = 100_000
+RANK_LIMIT = 1_000_000
+GRID = 1000          # grid intervals per sketch; a round shrinks a bracket ~GRID / 2 times
+MAX_ROUNDS = 8
+
+
+def _bracket_rows(data: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
+    return (data.join(state.select(*keys, "PROB", "_lo", "_hi"), on=keys)
+            .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP) -> DataFrame:
-    """(keys.., PROB, QUANTILE) per group with at least one non-null value."""
+                    accuracy: int = DEFAULT_ACCURACY, rank_limit: int = RANK_LIMIT,
+                    grid: int = GRID, small_group: int | None = None) -> DataFrame:
+    """(keys.., PROB, QUANTILE) per group with at least one non-null value.
+
+    ``small_group`` is accepted as an alias of ``rank_limit``.
+    """
     keys = list(keys)
+    rank_limit = small_group or rank_limit
     probs = [float(p) for p in probs]
     data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
 
-    # rank error of the sketch (n / accuracy) plus the position slack (2 / n,
-    # at most 2 / small_group for sketched groups)
-    delta = 2.0 / accuracy + 2.0 / small_group
-    bounds = [q for p in probs for q in (max(0.0, p - delta), min(1.0, p + delta))]
-    stats = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("_sk"))
-
-    small = F.col("_n") <= small_group
-    per_prob = F.explode(F.array(*[
-        F.struct(F.lit(p).alias("PROB"),
-                 F.when(small, F.lit(float("-inf"))).otherwise(F.col("_sk")[2 * j]).alias("_lo"),
-                 F.when(small, F.lit(float("inf"))).otherwise(F.col("_sk")[2 * j + 1]).alias("_hi"))
-        for j, p in enumerate(probs)]))
-    targets = (stats.select(*keys, "_n", per_prob.alias("t")).select(*keys, "_n", "t.*")
-               .withColumn("_pos", F.col("PROB") * (F.col("_n") - 1))
-               .withColumn("_i", F.floor("_pos").cast("long"))
-               .withColumn("_frac", F.col("_pos") - F.col("_i")))
-
-    # exact number of values below each bracket
-    tagged = data.join(targets.select(*keys, "PROB", "_lo", "_hi"), on=keys)
-    below = tagged.groupBy(*keys, "PROB").agg(F.count_if(F.col("_x") < F.col("_lo")).alias("_below"))
-    targets = targets.join(below, on=[*keys, "PROB"])
-
-    # rank only the rows inside the bracket
-    inside = tagged.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))).select(*keys, "PROB", "_x")
-    w = Window.partitionBy(*keys, "PROB").orderBy("_x")
-    ranked = inside.withColumn("_rk", F.row_number().over(w) - 1)
-    picked = ranked.join(targets.select(*keys, "PROB", "_i", "_below"), on=[*keys, "PROB"]).where(
-        (F.col("_rk") == F.col("_i") - F.col("_below")) | (F.col("_rk") == F.col("_i") - F.col("_below") + 1))
+    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    state = (sizes.select(*keys, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("PROB"))
+             .withColumn("_pos", F.col("PROB") * (F.col("_n") - 1))
+             .withColumn("_i", F.floor("_pos").cast("long"))
+             .withColumn("_frac", F.col("_pos") - F.col("_i"))
+             .withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf")))
+             .withColumn("_below", F.lit(0).cast("long")).withColumn("_m", F.col("_n")))
+    # the sketch's rank error plus one grid step, as a fraction of the bracket
+    slack = 1.0 / accuracy
+    percentages = [k / grid for k in range(grid + 1)]
+    rounds = 0
+    for _ in range(MAX_ROUNDS):
+        widest = state.agg(F.max("_m")).first()[0]
+        if widest is None or widest <= rank_limit:
+            break
+        inside = _bracket_rows(data, keys, state)
+        sk = inside.groupBy(*keys, "PROB").agg(
+            F.percentile_approx("_x", F.array(*[F.lit(p) for p in percentages]), accuracy).alias("_g"))
+        # target position inside the current bracket, as a fraction of it
+        r = (F.col("_i") - F.col("_below")).cast("double")
+        q_lo = (r / F.col("_m")) - F.lit(slack)
+        q_hi = ((r + 1) / F.col("_m")) + F.lit(slack)
+        j_lo = F.greatest(F.floor(q_lo * grid) - 1, F.lit(0)).cast("int")
+        j_hi = F.least(F.ceil(q_hi * grid) + 1, F.lit(grid)).cast("int")
+        moved = state.join(sk, on=[*keys, "PROB"], how="left").select(
+            *keys, "PROB", "_n", "_pos", "_i", "_frac", "_below", "_m",
+            F.when(F.col("_m") > rank_limit, F.when(j_lo > 0, F.element_at("_g", j_lo + 1))
+                   .otherwise(F.col("_lo"))).otherwise(F.col("_lo")).alias("_lo2"),
+            F.when(F.col("_m") > rank_limit, F.when(j_hi < grid, F.element_at("_g", j_hi + 1))
+                   .otherwise(F.col("_hi"))).otherwise(F.col("_hi")).alias("_hi2"),
+            F.col("_lo").alias("_lo"), F.col("_hi").alias("_hi"))
+        # exact counts for the new brackets: rows of the old bracket below / inside the new one
+        counted = (_bracket_rows(data, keys, state).join(moved.select(*keys, "PROB", "_lo2", "_hi2"),
+                                                         on=[*keys, "PROB"])
+                   .groupBy(*keys, "PROB").agg(
+                       F.count_if(F.col("_x") < F.col("_lo2")).alias("_add"),
+                       F.count_if((F.col("_x") >= F.col("_lo2")) & (F.col("_x") <= F.col("_hi2"))).alias("_m2")))
+        state = moved.join(counted, on=[*keys, "PROB"], how="left").select(
+            *keys, "PROB", "_n", "_pos", "_i", "_frac",
+            (F.col("_below") + F.coalesce("_add", F.lit(0))).alias("_below"),
+            F.coalesce("_m2", F.lit(0)).cast("long").alias("_m"),
+            F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"))
+        state = _freeze(state)
+        rounds += 1
+
+    tgt = state.select(*keys, "PROB", (F.col("_i") - F.col("_below")).alias("_t"))
+    if rounds == 0:
+        # every bracket is its whole group: rank each group once, for all probabilities
+        ranked = data.withColumn("_rk", F.row_number().over(Window.partitionBy(*keys).orderBy("_x")) - 1)
+        picked = ranked.join(tgt, on=keys).where((F.col("_rk") == F.col("_t")) | (F.col("_rk") == F.col("_t") + 1))
+    else:
+        ranked = _bracket_rows(data, keys, state).withColumn(
+            "_rk", F.row_number().over(Window.partitionBy(*keys, "PROB").orderBy("_x")) - 1)
+        picked = ranked.join(tgt, on=[*keys, "PROB"]).where(
+            (F.col("_rk") == F.col("_t")) | (F.col("_rk") == F.col("_t") + 1))
     vals = picked.groupBy(*keys, "PROB").agg(
-        F.max(F.when(F.col("_rk") == F.col("_i") - F.col("_below"), F.col("_x"))).alias("_a"),
-        F.max(F.when(F.col("_rk") == F.col("_i") - F.col("_below") + 1, F.col("_x"))).alias("_b"))
-    out = targets.join(vals, on=[*keys, "PROB"]).select(
-        *keys, "PROB",
-        (F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * F.col("_frac")).alias("QUANTILE"))
-    return out
+        F.max(F.when(F.col("_rk") == F.col("_t"), F.col("_x"))).alias("_a"),
+        F.max(F.when(F.col("_rk") == F.col("_t") + 1, F.col("_x"))).alias("_b"))
+    return state.join(vals, on=[*keys, "PROB"]).select(
+        *keys, "PROB", (F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * F.col("_frac")).alias("QUANTILE"))
+
+
+def _freeze(state: DataFrame) -> DataFrame:
+    """The bracket table is small (groups x probabilities); store it so each
+    round's plan starts from stored rows instead of replaying every round."""
+    from ledgerflow.session import cut_lineage
+    return cut_lineage(state)
 
 
 def quantile_columns(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],

@@ -22,7 +22,7 @@ def test_histogram_top_value_in_last_bin(spark):
     assert h == dict(enumerate(np.histogram([0, 1, 2, 10], bins=5)[0].tolist()))
 
 
-@pytest.mark.parametrize("accuracy,small", [(100_000, 100_000), (100, 20)])
+@pytest.mark.parametrize("accuracy,small", [(100_000, 100_000), (1000, 200)])
 def test_exact_quantiles_brute_force(spark, accuracy, small):
     rng = np.random.default_rng(7)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 3000), "x": rng.integers(0, 50, 3000) * 1.25})
