@@ -78,17 +78,15 @@ def missing(df: DataFrame) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
                     rsd: float = 0.01) -> DataFrame:
-    """(COLUMN, N_DISTINCT), nulls excluded.  Exact by default: one grouped
-    pass over (column, value) pairs; ``approx`` uses HyperLogLog++."""
+    """(COLUMN_NAME, N_DISTINCT), nulls excluded.  Exact by default: one
+    aggregate with a distinct count per column (Spark expands the rows once
+    per column and aggregates in two levels, values kept in their own types);
+    ``approx`` uses HyperLogLog++ sketches instead (fixed memory per column)."""
     cols = list(columns or _cols(df))
-    if approx:
-        row = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
-        return row.unpivot([], cols, "COLUMN_NAME", "N_DISTINCT")
-    pairs = _long(df, cols).distinct()
-    counted = pairs.groupBy("COLUMN_NAME").agg(F.count(F.lit(1)).alias("N_DISTINCT"))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "COLUMN_NAME string")
-    return names.join(counted, on="COLUMN_NAME", how="left").select(
-        "COLUMN_NAME", F.coalesce("N_DISTINCT", F.lit(0)).cast("long").alias("N_DISTINCT"))
+    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
+    row = df.agg(*[agg(c).alias(c) for c in cols])
+    return row.unpivot([], cols, "COLUMN_NAME", "N_DISTINCT").select(
+        "COLUMN_NAME", F.col("N_DISTINCT").cast("long").alias("N_DISTINCT"))
 
 
 # --- C4 / C6 -----------------------------------------------------------------------
