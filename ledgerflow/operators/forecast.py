@@ -249,6 +249,9 @@ def gbt_cv(monthly: DataFrame, n_splits: int = 3, parallelism: int | None = None
     splits, so numbers differ from exact-split boosting.
     """
     from concurrent.futures import ThreadPoolExecutor
+
+    from ledgerflow.session import checkpoint_dir
+    checkpoint_dir(monthly.sparkSession)    # MLlib checkpoints the boosting state every 10 trees
     folded = _assemble(cv_folds(features(monthly), (), n_splits)).coalesce(1).persist()
     folds = [f for f in range(0, n_splits + 1)
              if not folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")).isEmpty()]

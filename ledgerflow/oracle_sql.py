@@ -415,6 +415,8 @@ def _cleaning(ed: str) -> dict[str, str]:
         f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS REMOVED"
         for n, (src, _) in TABLES.items()])
     q["pk_repair"] = ed + "\nSELECT * FROM item_pk"
+    q["load_csv"] = ed + ("\nSELECT * REPLACE (CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES, "
+                          "CAST(VAL_COST AS DOUBLE) AS VAL_COST) FROM sales_src")
     q["fk_repair"] = ed + "\nSELECT * REPLACE (CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES, CAST(VAL_COST AS DOUBLE) AS VAL_COST) FROM sales_fk"
     q["fk_orphans"] = ed + "\n" + _union([
         f"SELECT '{c}' AS CHILD, '{fk}' AS FK, '{p}' AS PARENT, {fk} AS VALUE, count(*) AS ROWS FROM {cs} "

@@ -418,3 +418,30 @@ def q_order_calendar(spark, sf_dir):
 @query("join_fanout")
 def q_join_fanout(spark, sf_dir):
     return O.fanout_report(_dirty(spark, sf_dir).stages["deduped"])
+
+
+# --- A1-A4: CSV source round trip ------------------------------------------------------
+
+import os  # noqa: E402
+
+from ledgerflow.plans.materialize import _fs_exists, cache_root  # noqa: E402
+from ledgerflow.sources.csv_tables import ORDER_COLUMN, load_csv_tables  # noqa: E402
+
+
+def csv_folder(spark, sf_dir: str, dirty: bool = True) -> str:
+    """The six input tables written as CSV files (one folder per table, named
+    <TABLE>.csv, header row, empty field for null) once per input
+    fingerprint, in the shared folder."""
+    variant = "dirty" if dirty else "clean"
+    folder = os.path.join(cache_root(spark), f"csv-{variant}-{fingerprint(sf_dir, variant, inputs=sf_dir)}")
+    for name, df in star(spark, sf_dir, dirty).items():
+        path = os.path.join(folder, f"{name}.csv")
+        if not _fs_exists(spark, os.path.join(path, "_SUCCESS")):
+            df.write.mode("overwrite").option("header", True).csv(path)
+    return folder
+
+
+@query("load_csv")
+def q_load_csv(spark, sf_dir):
+    tables = load_csv_tables(spark, csv_folder(spark, sf_dir))
+    return tables[S.SALES].drop(ORDER_COLUMN)
