@@ -6,14 +6,22 @@ library's operators; ``oracle_sql`` holds the DuckDB statement for each.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow import schema as S
 from ledgerflow.operators import aggregate as G
-from ledgerflow.plans.etl import run_etl
-from ledgerflow.plans.materialize import fingerprint, materialized
+from ledgerflow.operators import clean as C
+from ledgerflow.operators import forecast as FC
+from ledgerflow.operators import olap as O
+from ledgerflow.operators import profile as P
+from ledgerflow.plans.etl import build_audit, run_etl
+from ledgerflow.plans.materialize import _fs_exists, cache_root, fingerprint, materialized
+from ledgerflow.sources.csv_tables import ORDER_COLUMN, load_csv_tables
 from ledgerflow.sources.star import star_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,8 +145,6 @@ def q_invoice_delay(spark, sf_dir):
 
 # --- profiles (C1-C13) ----------------------------------------------------------
 
-from ledgerflow.operators import profile as P  # noqa: E402
-
 
 @query("profile_shape")
 def q_profile_shape(spark, sf_dir):
@@ -208,7 +214,6 @@ def q_cost_revenue_bins(spark, sf_dir):
 
 # --- forecasting (F1-F10) -----------------------------------------------------------
 
-from ledgerflow.operators import forecast as FC  # noqa: E402
 
 COEF_DIGITS = {"B_MONTH_IDX": 4, "B_ORDER_MONTH": 4, "B_LAG_1": 10, "INTERCEPT": 2}
 
@@ -309,12 +314,6 @@ def q_compare_models(spark, sf_dir):
 # These run over the perturbed star (FIXTURES.md §3) so that every check has
 # something to find; the perturbation touches whole tables, not subsets.
 
-from functools import reduce  # noqa: E402
-
-from ledgerflow import schema as S  # noqa: E402
-from ledgerflow.operators import clean as C  # noqa: E402
-from ledgerflow.operators import olap as O  # noqa: E402
-from ledgerflow.plans.etl import build_audit  # noqa: E402
 
 _MONEY = ("VAL_REVENUES", "VAL_COST", "VAL_MARGIN")
 
@@ -422,11 +421,6 @@ def q_join_fanout(spark, sf_dir):
 
 # --- A1-A4: CSV source round trip ------------------------------------------------------
 
-import os  # noqa: E402
-
-from ledgerflow.plans.materialize import _fs_exists, cache_root  # noqa: E402
-from ledgerflow.sources.csv_tables import ORDER_COLUMN, load_csv_tables  # noqa: E402
-
 
 def csv_folder(spark, sf_dir: str, dirty: bool = True) -> str:
     """The six input tables written as CSV files (one folder per table, named
