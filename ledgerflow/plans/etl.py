@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import schema as S
 from ledgerflow.operators import clean, olap
-from ledgerflow.sources.csv_tables import ORDER_COLUMN, missing_tables
+from ledgerflow.sources.csv_tables import ORDER_COLUMN, expected_table_report, missing_tables
 
 AUDIT_SCHEMA = "PHASE string, TABLE_NAME string, COLUMN_NAME string, CHECK string, LEVEL string, N long"
 
@@ -160,10 +160,17 @@ def _rows(df: DataFrame, phase: str, table: Column, column: Column, checks: dict
     return reduce(DataFrame.unionByName, parts)
 
 
-def build_audit(res: EtlResult, phases: tuple = ("DEDUP", "PK", "FK", "TECHNICAL", "DATES",
+def build_audit(res: EtlResult, phases: tuple = ("LOAD", "DEDUP", "PK", "FK", "TECHNICAL", "DATES",
                                                  "NULLS_PRE", "NULLS_POST")) -> DataFrame:
     cfg, st = res.config, res.stages
     parts = []
+    if "LOAD" in phases:
+        inputs = _input_tables(res)
+        rep = expected_table_report(res.olap.sparkSession, inputs.keys(), [cfg.fact, *cfg.primary_keys])
+        parts.append(rep.select(F.lit("LOAD").alias("PHASE"), "TABLE_NAME", F.lit(None).cast("string").alias("COLUMN_NAME"),
+                                F.lit("PRESENT").alias("CHECK"),
+                                F.when(F.col("PRESENT"), "OK").otherwise("ERROR").alias("LEVEL"),
+                                F.col("PRESENT").cast("long").alias("N")))
     if "DEDUP" in phases:
         for n, df in _input_tables(res).items():
             rep = clean.dedup_report(n, df)

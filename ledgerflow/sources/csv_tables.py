@@ -25,6 +25,13 @@ def missing_tables(tables: Iterable[str], expected: Iterable[str] = S.EXPECTED_T
     return set(expected) - set(tables)
 
 
+def expected_table_report(spark: SparkSession, tables: Iterable[str],
+                          expected: Iterable[str] = S.EXPECTED_TABLES) -> DataFrame:
+    """(TABLE_NAME, PRESENT) for every expected table: the load check as data."""
+    have = set(tables)
+    return spark.createDataFrame([(t, t in have) for t in expected], "TABLE_NAME string, PRESENT boolean")
+
+
 def _schema_for(name: str, header: list[str] | None) -> T.StructType:
     """Declared types for known columns, text for any extra column."""
     known = S.TABLE_SCHEMAS.get(name)

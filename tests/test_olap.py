@@ -84,6 +84,7 @@ def test_fanout_report(spark):
 def test_audit_levels(spark):
     res = run_etl(_tables(spark))
     audit = {(r.PHASE, r.TABLE_NAME, r.COLUMN_NAME, r.CHECK): (r.LEVEL, r.N) for r in res.audit().collect()}
+    assert audit[("LOAD", S.COMPANY, None, "PRESENT")] == ("OK", 1)
     assert audit[("DEDUP", S.SALES, None, "REMOVED")] == ("INFO", 1)
     assert audit[("PK", S.ITEM, "IDS_ITEM", "DUPLICATE_ROWS")] == ("ERROR", 1)
     assert audit[("FK", S.SALES, "ID_COMPANY", "NULL_FK")] == ("ERROR", 1)
