@@ -36,14 +36,26 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.groupBy(*cols).agg(F.min(ORDER_COLUMN).alias(ORDER_COLUMN)).select(df.columns)
 
 
-def dedup_report(name: str, df: DataFrame) -> DataFrame:
-    """(TABLE, ROWS_BEFORE, ROWS_AFTER, REMOVED) in one grouped pass."""
-    grouped = df.groupBy(*data_columns(df)).count()
-    return grouped.agg(F.sum("count").alias("ROWS_BEFORE"), F.count(F.lit(1)).alias("ROWS_AFTER")).select(
+def dedup_report(name: str, df: DataFrame, deduped: DataFrame | None = None) -> DataFrame:
+    """(TABLE_NAME, ROWS_BEFORE, ROWS_AFTER, REMOVED).
+
+    Given the deduplicated table (e.g. the stored one), this is two counting
+    passes and no shuffle; otherwise one grouped pass over the input.  The
+    two counts are combined by a conditional sum over their union (no join).
+    """
+    if deduped is None:
+        grouped = df.groupBy(*data_columns(df)).count()
+        counts = grouped.agg(F.sum("count").alias("ROWS_BEFORE"), F.count(F.lit(1)).alias("ROWS_AFTER"))
+    else:
+        both = (df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("before").alias("k"), "n")
+                .unionByName(deduped.agg(F.count(F.lit(1)).alias("n")).select(F.lit("after").alias("k"), "n")))
+        counts = both.agg(F.sum(F.when(F.col("k") == "before", F.col("n"))).alias("ROWS_BEFORE"),
+                          F.sum(F.when(F.col("k") == "after", F.col("n"))).alias("ROWS_AFTER"))
+    return counts.select(
         F.lit(name).alias("TABLE_NAME"),
         F.coalesce("ROWS_BEFORE", F.lit(0)).cast("long").alias("ROWS_BEFORE"),
-        F.col("ROWS_AFTER").cast("long").alias("ROWS_AFTER"),
-        (F.coalesce("ROWS_BEFORE", F.lit(0)) - F.col("ROWS_AFTER")).cast("long").alias("REMOVED"))
+        F.coalesce("ROWS_AFTER", F.lit(0)).cast("long").alias("ROWS_AFTER"),
+        (F.coalesce("ROWS_BEFORE", F.lit(0)) - F.coalesce("ROWS_AFTER", F.lit(0))).cast("long").alias("REMOVED"))
 
 
 # --- S2: primary keys -------------------------------------------------------

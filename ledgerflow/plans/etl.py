@@ -173,7 +173,7 @@ def build_audit(res: EtlResult, phases: tuple = ("LOAD", "DEDUP", "PK", "FK", "T
                                 F.col("PRESENT").cast("long").alias("N")))
     if "DEDUP" in phases:
         for n, df in _input_tables(res).items():
-            rep = clean.dedup_report(n, df)
+            rep = clean.dedup_report(n, df, st["deduped"][n])
             parts.append(_rows(rep, "DEDUP", F.col("TABLE_NAME"), F.lit(None).cast("string"),
                                {"ROWS_BEFORE": "INFO", "REMOVED": "INFO"}))
     if "PK" in phases:

@@ -330,7 +330,7 @@ def _dirty(spark, sf_dir):
 def q_dedup_rows(spark, sf_dir):
     res = _dirty(spark, sf_dir)
     return reduce(lambda a, b: a.unionByName(b),
-                  [C.dedup_report(n, df) for n, df in res.stages["inputs"].items()])
+                  [C.dedup_report(n, df, res.stages["deduped"][n]) for n, df in res.stages["inputs"].items()])
 
 
 @query("pk_repair")
