@@ -37,11 +37,16 @@ def query(name: str):
 _PLANS: dict = {}
 
 
+def _sid(spark: SparkSession) -> tuple:
+    """Identity of a live session: a stopped session's object id may be reused."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def star(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, DataFrame]:
     """The six input tables, derived from the test tables once per input
     fingerprint and stored in the shared folder (the source pipeline's CSV
     files play this role)."""
-    key = (id(spark), sf_dir, dirty, "star")
+    key = (*_sid(spark), sf_dir, dirty, "star")
     if key not in _PLANS:
         variant = "dirty" if dirty else "clean"
         fp = fingerprint(sf_dir, variant, inputs=sf_dir)
@@ -53,7 +58,7 @@ def star(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, Dat
 def etl(spark: SparkSession, sf_dir: str, dirty: bool = False):
     """The ETL plan over the star tables; logical plans are immutable, so one
     is built per (session, folder, variant) and shared by every query."""
-    key = (id(spark), sf_dir, dirty)
+    key = (*_sid(spark), sf_dir, dirty)
     if key not in _PLANS:
         variant = "dirty" if dirty else "clean"
         fp = fingerprint(sf_dir, variant, inputs=sf_dir)
@@ -67,7 +72,7 @@ def etl(spark: SparkSession, sf_dir: str, dirty: bool = False):
 def olap(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """The OLAP table, written once per input fingerprint to the shared folder
     and read back (see plans.materialize)."""
-    key = (id(spark), sf_dir, dirty, "olap")
+    key = (*_sid(spark), sf_dir, dirty, "olap")
     if key not in _PLANS:
         fp = fingerprint(sf_dir, "dirty" if dirty else "clean", inputs=sf_dir)
         _PLANS[key] = materialized(spark, "olap-dirty" if dirty else "olap", lambda: etl(spark, sf_dir, dirty).olap, fp)
@@ -278,7 +283,7 @@ def q_history_plus_forecast(spark, sf_dir):
 
 
 def _gbt(spark, sf_dir):
-    key = (id(spark), sf_dir, "gbt")
+    key = (*_sid(spark), sf_dir, "gbt")
     if key not in _PLANS:
         _PLANS[key] = FC.gbt_cv(monthly_exact(spark, sf_dir))
     return _PLANS[key]
