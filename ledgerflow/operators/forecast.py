@@ -112,7 +112,7 @@ def linear_fit(folded: DataFrame, series_keys: Sequence[str] = (), rel_tol: floa
     return out.withColumn("INTERCEPT", intercept).drop("_my", "_m0", "_m1", "_m2")
 
 
-def linear_predict(b: DataFrame | None, idx: Column, month: Column, lag: Column) -> Column:
+def linear_predict(idx: Column, month: Column, lag: Column) -> Column:
     """b0 + b1*MONTH_IDX + b2*ORDER_MONTH + b3*LAG_1, always in this order."""
     return (((F.col("B_MONTH_IDX") * idx.cast("double") + F.col("B_ORDER_MONTH") * month.cast("double"))
              + F.col("B_LAG_1") * lag.cast("double")) + F.col("INTERCEPT"))
@@ -151,7 +151,7 @@ def linear_cv(monthly: DataFrame, series_keys: Sequence[str] = (), n_splits: int
     folded = cv_folds(features(monthly, series_keys), series_keys, n_splits)
     coef = linear_fit(folded, series_keys)
     pred = folded.join(coef, on=[*series_keys, "FOLD"]).withColumn(
-        "PREDICTION", linear_predict(None, F.col("MONTH_IDX"), F.col("ORDER_MONTH"), F.col("LAG_1")))
+        "PREDICTION", linear_predict(F.col("MONTH_IDX"), F.col("ORDER_MONTH"), F.col("LAG_1")))
     return pred, coef
 
 
@@ -184,7 +184,7 @@ def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
 
     def step(acc, k):
         month = ((m + k - 1) % 12 + 1)
-        pred = F.greatest(linear_predict(None, i0 + k, month, acc["lag"]), F.lit(0.0))
+        pred = F.greatest(linear_predict(i0 + k, month, acc["lag"]), F.lit(0.0))
         row = F.struct(k.alias("STEP"), pred.alias("P"))
         return F.struct(pred.alias("lag"), F.array_append(acc["rows"], row).alias("rows"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.functions.columns import round_exact, safe_corr
 from ledgerflow.operators.quantiles import quantile_columns
-from ledgerflow.schema import is_date_like, is_profiled_numeric
+from ledgerflow.schema import is_profiled_numeric
 from ledgerflow.sources.csv_tables import ORDER_COLUMN
 
 
@@ -35,8 +35,7 @@ def categorical_columns(df: DataFrame) -> list[str]:
 
 def date_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
-            or (is_date_like(f.name) and f.name != ORDER_COLUMN and isinstance(f.dataType, T.DateType))]
+            if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
 
 
 def _long(df: DataFrame, cols: Sequence[str], as_type: str = "string", keep_nulls: bool = False) -> DataFrame:
@@ -150,8 +149,7 @@ def top_values(df: DataFrame, k: int = 5, columns: Sequence[str] | None = None,
 # --- C7 --------------------------------------------------------------------------
 
 def date_range(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    cols = list(columns if columns is not None else
-                [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)])
+    cols = list(columns if columns is not None else date_columns(df))
     row = df.agg(*[e for c in cols for e in (F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"))])
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("COLUMN_NAME"), F.col(f"{c}__min").alias("MIN"), F.col(f"{c}__max").alias("MAX"))
