@@ -30,6 +30,16 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Entry names in a folder on any Hadoop-supported file system."""
+    if "://" not in folder or folder.startswith("file:"):
+        return sorted(os.listdir(folder.replace("file:", "", 1)))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
 def fingerprint(*parts: str, inputs: str | None = None) -> str:
     h = hashlib.sha1(ETL_VERSION.encode())
     for p in parts:

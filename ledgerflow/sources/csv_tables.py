@@ -67,9 +67,9 @@ def load_csv_tables(spark: SparkSession, folder: str,
 
     Emptiness is checked with ``isEmpty`` (reads one row), not a count.
     """
-    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    from ledgerflow.plans.materialize import list_names
     files = {table_name_from_file(f): os.path.join(folder, f)
-             for f in sorted(os.listdir(local)) if f.lower().endswith(".csv")}
+             for f in list_names(spark, folder) if f.lower().endswith(".csv")}
     tables: dict[str, DataFrame] = {}
     failed = []
     for name in expected:
