@@ -95,3 +95,14 @@ def test_audit_levels(spark):
     assert audit[("TECHNICAL", S.CUSTOMER, "ID_COUNTRY", "NULLS")] == ("OK", 0)
     assert audit[("DATES", S.SALES, "ID_INVOICE_DATE", "N_YEAR_GT_2262")] == ("OK", 0)
     assert audit[("NULLS_PRE", S.SALES, "ID_INVOICE_DATE", "NULLS_DROP")] == ("ERROR", 1)
+
+
+def test_other_relation_order_falls_back_to_sequential(spark):
+    from ledgerflow.plans.etl import EtlConfig, _fused_allowed
+    t = _tables(spark)
+    # lookups checked first: the fact then meets customers already filtered, so checks cascade
+    order = {S.CUSTOMER: S.RELATIONS[S.CUSTOMER], S.ITEM: S.RELATIONS[S.ITEM], S.SALES: S.RELATIONS[S.SALES]}
+    cfg = EtlConfig(relations=order)
+    assert not _fused_allowed(cfg) and _fused_allowed(EtlConfig())
+    got = sorted(r.ID_ORDER_NUM for r in run_etl(t, cfg).olap.collect())
+    assert got == ["1"]          # order 4's customer and order 7's item fail their own checks first
