@@ -212,7 +212,7 @@ def histogram(df: DataFrame, col: str = "VAL_REVENUES", bins: int = 50) -> DataF
 
 
 def density(df: DataFrame, col: str = "VAL_REVENUES", grid: int = 200, bins: int = 50,
-            digits: int = 6) -> DataFrame:
+            digits: int = 6, count_digits: int = 3) -> DataFrame:
     """Gaussian kernel density on ``grid`` points spanning [min, max]
     (no extension past the data), Scott bandwidth ``std * n^(-1/5)``.
 
@@ -221,7 +221,9 @@ def density(df: DataFrame, col: str = "VAL_REVENUES", grid: int = 200, bins: int
     batches in, ``grid`` rows out), and one small grouped sum combines the
     tasks: no grid-by-row join, and the shuffle carries ``grid`` rows per
     task.  DENSITY_PER_MILLION is the pdf times 1e6; COUNT_DENSITY scales it
-    to the histogram's expected count per bin.
+    to the histogram's expected count per bin.  Both are rounded to about 8
+    significant digits: the kernel sums depend on summation order in the last
+    few digits.
     """
     x = F.col(col).cast("double")
     st = df.where(x.isNotNull()).select(x.alias("x"))
@@ -249,7 +251,7 @@ def density(df: DataFrame, col: str = "VAL_REVENUES", grid: int = 200, bins: int
     pdf = F.col("S") / (F.lit(n) * F.lit(h) * F.lit(2.5066282746310002))
     return sums.select("POINT", (F.lit(lo) + F.col("POINT") * F.lit(step)).alias("X"),
                        F.round(pdf * F.lit(1e6), digits).alias("DENSITY_PER_MILLION"),
-                       F.round(pdf * F.lit(n) * F.lit((hi - lo) / bins), digits).alias("COUNT_DENSITY"))
+                       F.round(pdf * F.lit(n) * F.lit((hi - lo) / bins), count_digits).alias("COUNT_DENSITY"))
 
 
 def binned_pairs(df: DataFrame, x_col: str = "VAL_COST", y_col: str = "VAL_REVENUES",

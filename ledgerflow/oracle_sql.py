@@ -209,7 +209,7 @@ d AS (SELECT g.range AS POINT, sum(exp(-0.5 * pow((lo + g.range * step - x) / h,
       FROM x, p, range(200) g GROUP BY g.range)
 SELECT CAST(POINT AS INTEGER) AS POINT, lo + POINT * step AS X,
   round(S / (n * h * 2.5066282746310002) * 1e6, 6) AS DENSITY_PER_MILLION,
-  round(S / (n * h * 2.5066282746310002) * n * ((hi - lo) / 50.0::DOUBLE), 6) AS COUNT_DENSITY
+  round(S / (n * h * 2.5066282746310002) * n * ((hi - lo) / 50.0::DOUBLE), 3) AS COUNT_DENSITY
 FROM d, p"""
     q["revenue_box"] = f"""{e},
 d AS (SELECT ID_BUSINESS_LINE, CAST(VAL_REVENUES AS DOUBLE) AS X FROM olap WHERE VAL_REVENUES IS NOT NULL),
