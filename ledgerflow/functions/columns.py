@@ -15,6 +15,14 @@ def to_key(c: str | Column) -> Column:
     return _c(c).cast("string")
 
 
+def normalise_numeric_key(c: str | Column) -> Column:
+    """All-digit keys without leading zeros ('00040' -> '40', '000' -> '0');
+    other keys only trimmed.  For sources that disagree on zero padding
+    (one read as integers, one as text); off unless asked for."""
+    s = F.trim(_c(c).cast("string"))
+    return F.when(s.rlike(r"^[0-9]+$"), F.regexp_replace(s, r"^0+(?=[0-9])", "")).otherwise(s)
+
+
 def parse_yyyymmdd(c: str | Column) -> Column:
     """Dates given as integer-like YYYYMMDD text (or ISO yyyy-MM-dd).
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.functions.columns import parse_yyyymmdd, to_key
+from ledgerflow.functions.columns import normalise_numeric_key, parse_yyyymmdd, to_key
 from ledgerflow.schema import is_date_like
 from ledgerflow.sources.csv_tables import ORDER_COLUMN
 
@@ -106,17 +106,23 @@ def _missing_column_row(name: str, column: str) -> DataFrame:
 
 # --- S3 / J3: foreign keys --------------------------------------------------
 
-def parent_keys(parent: DataFrame, pk: str, as_name: str) -> DataFrame:
-    return parent.select(to_key(pk).alias(as_name)).where(F.col(as_name).isNotNull())
+def parent_keys(parent: DataFrame, pk: str, as_name: str, normalise: bool = False) -> DataFrame:
+    key = normalise_numeric_key(pk) if normalise else to_key(pk)
+    return parent.select(key.alias(as_name)).where(F.col(as_name).isNotNull())
 
 
-def repair_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str | None = None) -> DataFrame:
+def repair_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str | None = None,
+              normalise: bool = False) -> DataFrame:
     """Null keys dropped, then rows whose key is absent from the parent
     (a semi join; the parent side is broadcast only if the planner's size
-    check allows)."""
+    check allows).  ``normalise`` compares all-digit keys without leading
+    zeros on both sides (and stores the child key that way)."""
     pk = pk or fk
     if fk not in child.columns or pk not in parent.columns:
         return child
+    if normalise:
+        child = child.withColumn(fk, normalise_numeric_key(fk)).where(F.col(fk).isNotNull())
+        return child.join(parent_keys(parent, pk, fk, True), on=fk, how="left_semi").select(child.columns)
     child = child.withColumn(fk, to_key(fk)).where(F.col(fk).isNotNull())
     return child.join(parent_keys(parent, pk, fk), on=fk, how="left_semi").select(child.columns)
 

@@ -98,3 +98,14 @@ def test_name_predicates_are_substring_rules():
 def test_null_report(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     assert rows(clean.null_report(df)) == [("a", 1, 0), ("b", 2, 1)]
+
+
+def test_numeric_keys_with_and_without_zero_padding(spark):
+    from ledgerflow.functions.columns import normalise_numeric_key
+    df = spark.createDataFrame([("00040",), ("40",), ("000",), (" 7 ",), ("4C1",), ("00040-10277",), (None,)], "k string")
+    got = [r[0] for r in df.select(normalise_numeric_key("k")).collect()]
+    assert got == ["40", "40", "0", "7", "4C1", "00040-10277", None]
+    child = spark.createDataFrame([(1, "40"), (2, "00041")], "n int, ID_COMPANY string")
+    parent = spark.createDataFrame([("00040",), ("41",)], "ID_COMPANY string")
+    assert clean.repair_fk(child, "ID_COMPANY", parent).count() == 0          # text keys: no match (default)
+    assert rows(clean.repair_fk(child, "ID_COMPANY", parent, normalise=True)) == [(1, "40"), (2, "41")]
