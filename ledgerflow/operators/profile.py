@@ -90,9 +90,11 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
 
 # --- C4 / C6 -----------------------------------------------------------------------
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, rounded: bool = True) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, rounded: bool = True,
+             approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles (exact, interpolated), max per
-    numeric column; ID-like and calendar columns excluded by default."""
+    numeric column; ID-like and calendar columns excluded by default.
+    ``approx`` takes the quartiles from a sketch (``percentile_approx``)."""
     cols = list(columns if columns is not None else numeric_columns(df))
     types = [df.schema[c].dataType for c in cols]
     exact = all(isinstance(t, (T.DecimalType, T.IntegralType)) for t in types)
@@ -105,7 +107,12 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, rounded: bool
         F.count("X").alias("COUNT"), F.avg("X").alias("MEAN"),
         F.stddev_samp(F.col("X").cast("double")).alias("STD"),
         F.min("X").alias("MIN"), F.max("X").alias("MAX"))
-    q = quantile_columns(long, ["COLUMN_NAME"], "X", [0.25, 0.5, 0.75], ["P25", "P50", "P75"])
+    if approx:
+        pq = F.percentile_approx(F.col("X").cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
+        q = long.groupBy("COLUMN_NAME").agg(pq.alias("_q")).select(
+            "COLUMN_NAME", *[F.col("_q")[i].alias(n) for i, n in enumerate(("P25", "P50", "P75"))])
+    else:
+        q = quantile_columns(long, ["COLUMN_NAME"], "X", [0.25, 0.5, 0.75], ["P25", "P50", "P75"])
     out = moments.join(q, on="COLUMN_NAME", how="left")
     stats = ["MEAN", "STD", "MIN", "P25", "P50", "P75", "MAX"]
     fix = (lambda c: round_exact(c, 2)) if rounded else (lambda c: F.col(c).cast("double"))

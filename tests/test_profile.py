@@ -72,3 +72,10 @@ def test_box_stats(spark):
     df = spark.createDataFrame([("g", v) for v in vals], "ID_BUSINESS_LINE string, VAL_REVENUES double")
     r = P.box_stats(df).first()
     assert (r.Q1, r.MEDIAN, r.Q3, r.WHISKER_HIGH, r.N_OUTLIERS) == (2.0, 3.0, 4.0, 4.0, 1)
+
+
+def test_describe_approx_option(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(1, 1001)], "VAL double")
+    exact = P.describe(df).first()
+    approx = P.describe(df, approx=True).first()
+    assert exact.P50 == 500.5 and abs(approx.P50 - 500.5) <= 1.0
