@@ -174,17 +174,23 @@ def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
     series (``aggregate`` over ``sequence(1, horizon)``); the output is
     rounded to 2 decimals.  Columns: series.., ORDER_YEAR, ORDER_MONTH, DATE,
     FORECAST_REVENUES, TIPO."""
-    final = coef.where(F.col("FOLD") == 0)
-    base = last_month(monthly, series_keys)
-    if series_keys:
-        base = base.join(final, on=list(series_keys))
-    else:   # one row on each side: join on a constant key
-        base = base.withColumn("_one", F.lit(1)).join(final.withColumn("_one", F.lit(1)), on="_one")
+    final = (coef.where(F.col("FOLD") == 0)
+             .select(*series_keys, "B_MONTH_IDX", "B_ORDER_MONTH", "B_LAG_1", "INTERCEPT")
+             .withColumn("_has_fit", F.lit(True)))
+    last = last_month(monthly, series_keys).withColumn("_has_last", F.lit(True))
+    # one row per series from both sides, without a join: union by name, then
+    # collapse each series' two rows (keeps series present on both sides)
+    cols = [c for c in last.columns + final.columns if c not in series_keys]
+    merged = last.unionByName(final, allowMissingColumns=True)
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in dict.fromkeys(cols)]
+    base = merged.groupBy(*series_keys).agg(*firsts) if series_keys else merged.agg(*firsts)
+    base = base.where(F.col("_has_fit") & F.col("_has_last"))
     m, y0, i0 = F.col("LAST_MONTH"), F.col("LAST_YEAR"), F.col("LAST_IDX")
 
     def step(acc, k):
         month = ((m + k - 1) % 12 + 1)
-        pred = F.greatest(linear_predict(i0 + k, month, acc["lag"]), F.lit(0.0))
+        raw = linear_predict(i0 + k, month, acc["lag"])
+        pred = F.when(raw.isNotNull(), F.greatest(raw, F.lit(0.0)))      # a singular fit forecasts null
         row = F.struct(k.alias("STEP"), pred.alias("P"))
         return F.struct(pred.alias("lag"), F.array_append(acc["rows"], row).alias("rows"))
 

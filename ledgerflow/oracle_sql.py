@@ -301,8 +301,9 @@ def _rollout(horizon: int, series: list[str]) -> str:
     sk_ = ", ".join(series) + ", " if series else ""
     sel = ", ".join(f"r.{k}" for k in series) + ", " if series else ""
     using = f"USING ({', '.join(series)})" if series else "ON TRUE"
-    pred = ("greatest((((B_MONTH_IDX * CAST(LAST_IDX + r.k + 1 AS DOUBLE)) + (B_ORDER_MONTH * "
-            "CAST((LAST_MONTH + r.k + 1 - 1) % 12 + 1 AS DOUBLE))) + (B_LAG_1 * r.lag)) + INTERCEPT, 0.0)")
+    raw = ("(((B_MONTH_IDX * CAST(LAST_IDX + r.k + 1 AS DOUBLE)) + (B_ORDER_MONTH * "
+           "CAST((LAST_MONTH + r.k + 1 - 1) % 12 + 1 AS DOUBLE))) + (B_LAG_1 * r.lag)) + INTERCEPT")
+    pred = f"CASE WHEN ({raw}) IS NOT NULL THEN greatest({raw}, 0.0) END"
     return f""",
 base AS (SELECT lm.*, co.B_MONTH_IDX, co.B_ORDER_MONTH, co.B_LAG_1, co.INTERCEPT
          FROM lm JOIN (SELECT * FROM co WHERE FOLD = 0) co {using}),

@@ -97,3 +97,10 @@ def test_gbt_importances_sum_to_one(spark):
     assert sum(r.IMPORTANCE for r in imp) == pytest.approx(1.0)
     assert preds.count() == 3 * (35 // 4)
     assert FC.rollout_model(monthly, model, 2).count() == 2
+
+
+def test_singular_fit_forecasts_null(spark):
+    monthly = _monthly(spark, [5.0] * 30)
+    _, coef = FC.linear_cv(monthly)
+    out = FC.rollout_linear(monthly, coef, 3).collect()
+    assert len(out) == 3 and all(r.FORECAST_REVENUES is None for r in out)
