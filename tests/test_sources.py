@@ -67,3 +67,20 @@ def test_statistics_report(spark, tmp_path):
     written = sinks.write_report(parts, str(tmp_path))
     assert len(written) == 5
     assert part_name("x" * 40) == "x" * 31
+
+
+def test_command_line_run(spark, tmp_path):
+    from ledgerflow.__main__ import main
+    _write_csv(star_tables(spark, SF_SMALL), str(tmp_path / "in"))
+    out = tmp_path / "out"
+    # the test session is reused (getOrCreate); stop() at the end is skipped by patching
+    import pyspark.sql
+    stop = pyspark.sql.SparkSession.stop
+    pyspark.sql.SparkSession.stop = lambda self: None
+    try:
+        assert main(["--csv-dir", str(tmp_path / "in"), "--out", str(out), "--no-gbt"]) == 0
+    finally:
+        pyspark.sql.SparkSession.stop = stop
+    for part in ("olap", "audit", "report/riepilogo", "charts/rfm", "forecast", "models/linear_metrics"):
+        assert (out / part).exists(), part
+    assert spark.read.parquet(str(out / "olap")).count() == run_etl(star_tables(spark, SF_SMALL)).olap.count()
