@@ -8,9 +8,11 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerflow.oracle_sql import statements
+from ledgerflow.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-SQL = oracle_sql()
+SQL = statements()
 
 
 @pytest.fixture(scope="module")
@@ -33,14 +35,14 @@ def _canon(cols, data):
 
 
 def test_every_query_has_sql_or_is_model_based():
-    no_sql = set(queries()) - set(SQL)
+    no_sql = set(QUERIES) - set(SQL)
     assert no_sql <= {"gbt_model", "gbt_importance", "forecast_gbt", "compare_models"}
-    assert set(SQL) <= set(queries())
+    assert set(SQL) <= set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_duckdb(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
     cur = con.execute(SQL[name])
     cols = [d[0] for d in cur.description]

@@ -3,7 +3,7 @@
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import queries
+from ledgerflow.registry import QUERIES
 
 MODEL_BASED = {"gbt_model", "gbt_importance", "forecast_gbt", "compare_models"}
 
@@ -12,15 +12,15 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - MODEL_BASED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_BASED))
 def test_no_pair_explosion_and_no_row_udf(spark, name):
-    plan = _plan(queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert op not in plan, f"{name} plans a {op}"
 
 
 def test_top_k_limits_before_the_shuffle(spark):
-    plan = queries()["profile_topk"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["profile_topk"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
