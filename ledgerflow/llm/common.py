@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.session import checkpoint_dir
 
@@ -35,3 +38,19 @@ def ascii_lower(col: Column) -> Column:
 def crc_mod(col: Column, n: int) -> Column:
     """crc32 of an id written as text, modulo ``n``."""
     return F.crc32(col.cast("string").cast("binary")) % n
+
+
+def arrow_column(df: DataFrame, source: str, out: str, kind: T.DataType,
+                 make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """``df`` with column ``out`` computed batch by batch from ``source``; a column
+    of that name is replaced.  ``make`` builds the function once per task."""
+    at = df.columns.index(source)
+    keep = [k for k, c in enumerate(df.columns) if c != out]
+    schema = T.StructType([*(df.schema.fields[k] for k in keep), T.StructField(out, kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = make()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), of(batch.column(at))], schema.names)
+
+    return df.mapInArrow(run, schema)

@@ -17,14 +17,14 @@ ValueError.  Defined results: null and empty texts give no ids and decode to an
 empty text; characters outside the vocabulary become byte pieces, or the
 unknown id if the model has none; control strings such as ``</s>`` inside a
 text are ordinary characters; decoding gives the text with U+2581 read as a
-space; rows repeat as they come; other columns are kept.
+space; rows repeat as they come; other columns are kept, one named like the output is
+replaced.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.llm.common import arrow_column
+
 SPACE = "▁"
 UNKNOWN = "�"
 #: Entries a worker remembers before it starts anew.
@@ -229,46 +231,36 @@ def codec(model: bytes) -> PieceCodec:
     return PieceCodec(model)
 
 
-def _append(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
-    if name in schema.names:
-        raise ValueError(f"column {name!r} exists already; choose another output name")
-    return T.StructType([*schema.fields, T.StructField(name, kind)])
-
-
 def encode_column(df: DataFrame, model_path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``df`` with ``out_col``: the ids (array<int>) of each whole text."""
     with open(model_path, "rb") as f:           # a tokenizer file installed beside the driver; half a megabyte
         model = f.read()
-    at = df.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         c = codec(model)
-        for batch in batches:
-            got = [c.encode_bytes(t or "") for t in batch.column(at).to_pylist()]
+
+        def of(texts: pa.Array) -> pa.Array:
+            got = [c.encode_bytes(t or "") for t in texts.to_pylist()]
             ends = np.cumsum([0, *(len(g) // 4 for g in got)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, out_col])
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.int32)))
+        return of
 
-    return df.mapInArrow(run, _append(df.schema, out_col, T.ArrayType(T.IntegerType())))
+    return arrow_column(df, text_col, out_col, T.ArrayType(T.IntegerType()), make)
 
 
 def decode_column(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with ``out_col``: the text that the ids decode to (null ids: empty)."""
     with open(model_path, "rb") as f:
         model = f.read()
-    at = df.columns.index(ids_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         c = codec(model)
-        for batch in batches:
-            col = batch.column(at)
-            flat = col.values.to_numpy(zero_copy_only=False)
-            ends = col.offsets.to_numpy()
-            texts = [c.decode_bytes(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
-            text = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, out_col])
-
-    return df.mapInArrow(run, _append(df.schema, out_col, T.StringType()))
+
+        def of(ids: pa.Array) -> pa.Array:
+            return pa.array([c.decode_bytes(one or []) for one in ids.to_pylist()], pa.binary()).cast(pa.string())
+        return of
+
+    return arrow_column(df, ids_col, out_col, T.StringType(), make)
 
 
 def digest(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:

@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import content_sort, piece_codec
-from ledgerflow.llm.common import table
+from ledgerflow.llm import content_sort, crf_quality, lang_zstd, piece_codec
+from ledgerflow.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = crc_mod(F.col("doc_id"), 3) != 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = crf_quality.fit(docs, table(spark, sf_dir, "labels").filter(learn))
+    return crf_quality.score_column(docs, field).select(
+        "doc_id", (~learn).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -44,3 +53,13 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
 FROM t
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = lang_zstd.fit(docs.filter(~held_out))
+    got = lang_zstd.predict(docs, model)
+    return got.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
+                      "margin", "accepted")
