@@ -38,8 +38,10 @@ from ledgerflow.llm.common import arrow_column
 
 SPACE = "▁"
 UNKNOWN = "�"
-#: Entries a worker remembers before it starts anew.
-REMEMBER = 600_000
+#: Entries a worker remembers of words and of piece pairs before it starts anew.
+REMEMBER_WORDS, REMEMBER_PAIRS = 300_000, 600_000
+#: More than there are pieces and characters.
+PAIR = 1 << 21
 
 
 class _Units(dict):
@@ -50,7 +52,7 @@ class _Units(dict):
         self.codec, self.mark = codec, mark
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= REMEMBER:
+        if len(self) >= REMEMBER_WORDS:
             self.clear()
         got = self[unit] = self.codec.unit_ids(self.mark + unit)
         return got
@@ -80,12 +82,17 @@ class PieceCodec:
         self.byte_ids = [by_value[b] for b in range(256)] if kind.byte_fallback else None
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
 
+        #: Every token by number: the pieces, then characters outside the vocabulary as they come.
+        self.tokens = [p.piece for p in proto.pieces]
+        self.n_pieces = len(self.tokens)
+        self.sizes = [len(t) for t in self.tokens]
+        self.outside: dict[str, int] = {}
         self.find = ahocorasick.Automaton()
-        for p in self.ids:
-            self.find.add_word(p, len(p))
+        self.shorter = [-1] * self.n_pieces
+        for p, i in self.ids.items():
+            self.find.add_word(p, i)
+            self.shorter[i] = next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), -1)
         self.find.make_automaton()
-        self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), None)
-                        for p in self.ids}
 
         self.surface = [b""] * len(proto.pieces)       # of each id, as bytes
         self.byte_of = {}
@@ -97,7 +104,7 @@ class PieceCodec:
                 self.surface[i] = None
             elif p.type == piece.UNKNOWN:
                 self.surface[i] = kind.unk_surface.encode()
-        self._fits: dict[tuple[str | None, str], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._words = _Units(self, SPACE)          # of words, without the mark before them
         self._other = _Units(self, "")
 
@@ -115,64 +122,80 @@ class PieceCodec:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def fits(self, last: str | None, piece: str) -> bool:
-        """Whether ``piece`` may follow ``last`` (or start a text)."""
-        key = (last, piece)
+    def fits(self, last: int, token: int) -> bool:
+        """Whether ``token`` may follow ``last`` (-1: start a text)."""
+        key = (last + 1) * PAIR + token
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= REMEMBER:
+            if len(self._fits) >= REMEMBER_PAIRS:
                 self._fits.clear()
-            if last is None or self.fits(None, last) and self.fits(None, piece):
-                known = self.merged((last or "") + piece) == ([piece] if last is None else [last, piece])
+            text = self.tokens[token]
+            if last < 0:
+                known = self.merged(text) == [text]
             else:
-                known = False
+                before = self.tokens[last]
+                known = self.fits(-1, last) and self.fits(-1, token) and self.merged(before + text) == [before, text]
             self._fits[key] = known
         return known
 
-    def pieces(self, text: str) -> list[str]:
-        """Backtracking over longest matches."""
-        n = len(text)
-        longest = [1] * n                      # a character outside the vocabulary stands alone
-        for end, size in self.find.iter(text):
-            if size > longest[end - size + 1]:
-                longest[end - size + 1] = size
+    def _outside(self, char: str) -> int:
+        got = self.outside.get(char)
+        if got is None:
+            got = self.outside[char] = len(self.tokens)
+            self.tokens.append(char)
+            self.sizes.append(1)
+            self.shorter.append(-1)
+        return got
+
+    def pieces(self, text: str) -> list[int]:
+        """Tokens of a text: backtracking over longest matches."""
+        n, sizes, shorter, checked = len(text), self.sizes, self.shorter, self._fits
+        longest = [-1] * n
+        for end, i in self.find.iter(text):
+            at = end - sizes[i] + 1
+            if longest[at] < 0 or sizes[i] > sizes[longest[at]]:
+                longest[at] = i
         failed = bytearray(n + 1)
-        checked = self._fits
-        out: list[str] = []
-        pos, nxt = 0, text[:longest[0]] if n else None
-        while nxt is not None:
-            last = out[-1] if out else None
-            token = nxt
-            while token is not None:
-                end = pos + len(token)
+        out: list[int] = []
+        pos = 0
+        token = last = -1
+        while pos < n:
+            if token < 0:
+                token = longest[pos]
+                if token < 0:                  # a character outside the vocabulary stands alone
+                    token = self._outside(text[pos])
+            start = (last + 1) * PAIR
+            while token >= 0:
+                end = pos + sizes[token]
                 if not failed[end]:
-                    fits = checked.get((last, token))
+                    fits = checked.get(start + token)
                     if fits is None:
                         fits = self.fits(last, token)
-                else:
-                    fits = False
-                if fits:
-                    out.append(token)
-                    pos = end
-                    nxt = text[end:end + longest[end]] if end < n else None
-                    break
-                token = self.shorter.get(token)
-            else:
-                if not out:
-                    raise ValueError("no merge result covers this text")
-                failed[pos] = 1
-                nxt = out.pop()
-                pos -= len(nxt)
+                    if fits:
+                        break
+                token = shorter[token]
+            if token >= 0:
+                out.append(token)
+                pos, last, token = end, token, -1
+                continue
+            if not out:
+                raise ValueError("no merge result covers this text")
+            failed[pos] = 1                    # nothing fits here: take the last piece back, shorten it
+            token = out.pop()
+            pos -= sizes[token]
+            last = out[-1] if out else -1
         return out
 
     def unit_ids(self, unit: str) -> bytes:
+        got, n = self.pieces(unit), self.n_pieces
+        if not got or max(got) < n:
+            return array("i", got).tobytes()
         ids = array("i")
-        for p in self.pieces(unit):
-            i = self.ids.get(p)
-            if i is not None:
+        for i in got:
+            if i < n:
                 ids.append(i)
             elif self.byte_ids is not None:
-                ids.extend(self.byte_ids[b] for b in p.encode())
+                ids.extend(self.byte_ids[b] for b in self.tokens[i].encode())
             else:
                 ids.append(self.unk)
         return ids.tobytes()
@@ -257,7 +280,10 @@ def decode_column(df: DataFrame, model_path: str, ids_col: str = "ids", out_col:
         c = codec(model)
 
         def of(ids: pa.Array) -> pa.Array:
-            return pa.array([c.decode_bytes(one or []) for one in ids.to_pylist()], pa.binary()).cast(pa.string())
+            flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            real = ids.is_valid().to_numpy(zero_copy_only=False)
+            texts = [c.decode_bytes(flat[a:b].tolist()) if ok else b"" for a, b, ok in zip(ends[:-1], ends[1:], real)]
+            return pa.array(texts, pa.binary()).cast(pa.string())
         return of
 
     return arrow_column(df, ids_col, out_col, T.StringType(), make)
