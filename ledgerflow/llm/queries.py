@@ -6,14 +6,15 @@ whole of its table and derives the contract's columns from the real output.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import content_sort, crf_quality, lang_zstd, piece_codec
-from ledgerflow.llm.common import crc_mod, table
+from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, piece_codec
+from ledgerflow.llm.common import crc_mod, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +64,79 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = lang_zstd.predict(docs, model)
     return got.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
                       "margin", "accepted")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+ORACLE["op5_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, k, w[i:i + k - 1] AS gram
+      FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+            FROM b WHERE len(w) > 0)),
+p AS (SELECT doc_id, k, x.pos AS pos, x.gram AS gram FROM (
+        SELECT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2),
+                                                lambda i: struct_pack(pos := i, gram := w[i:i + k - 1]))) AS x
+        FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k)),
+h AS (SELECT doc_id, pos, k, item_id FROM p JOIN g USING (k, gram)),
+c AS (SELECT doc_id, count(DISTINCT x) AS n_hit
+      FROM (SELECT doc_id, unnest(range(pos, pos + k)) AS x FROM (SELECT DISTINCT doc_id, pos, k FROM h)) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+
+#: A conversation whose texts hold control strings.
+CONTROL_CONVERSATION = -7
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    by_turn = chat_format.canonical_turns(rows.select("conv_id", "turn", F.struct("role", "text").alias("record")))
+    message = json.dumps({"messages": [{"role": r, "content": CONTROL_TEXT} for r in ("user", "assistant")]})
+    extra = spark.range(1).select(F.lit(CONTROL_CONVERSATION).cast("long").alias("conv_id"), F.lit(0).alias("turn"),
+                                  F.lit(message).alias("record"))
+    turns = by_turn.unionByName(chat_format.canonical_turns(extra))
+    formatted = stored(chat_format.format_chats(turns), "chats")
+    return chat_format.digest(chat_format.read_back(formatted))
+
+
+def _op6_sql() -> str:
+    t = chat_format.Template()
+
+    def quoted(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    def size(column: str, role: bool) -> str:
+        for sign, code in t.codes.items():
+            if role or sign != t.after_role:
+                column = f"replace({column}, {quoted(sign)}, {quoted(code)})"
+        return f"length({column})"
+
+    marks = len(t.open + t.after_role + t.close)
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT {CONTROL_CONVERSATION}, 0, 'user', {quoted(CONTROL_TEXT)}
+           UNION ALL SELECT {CONTROL_CONVERSATION}, 1, 'assistant', {quoted(CONTROL_TEXT)}),
+g AS (SELECT conv_id, count(*) AS n_turns,
+             string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS every,
+             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+             CAST(sum({marks} + {size('role', True)} + {size('text', False)}) AS BIGINT) AS formatted_chars
+      FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(every) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM g
+"""
+
+
+ORACLE["op6_chat_format"] = _op6_sql()
