@@ -30,7 +30,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -289,9 +289,12 @@ def decode_column(df: DataFrame, model_path: str, ids_col: str = "ids", out_col:
     return arrow_column(df, ids_col, out_col, T.StringType(), make)
 
 
-def digest(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 from encoded and decoded columns."""
-    return df.select(
-        F.col(id_col).alias("doc_id"), F.size(ids_col).cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col(ids_col).cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col(decoded_col), 256).alias("decoded_sha256"))
+def digest_columns(ids_col: str = "ids", decoded_col: str = "decoded") -> list[Column]:
+    """n_tokens, ids_sha256, decoded_sha256 from encoded and decoded columns."""
+    return [F.size(ids_col).cast("long").alias("n_tokens"),
+            F.sha2(F.concat_ws(",", F.col(ids_col).cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+            F.sha2(F.col(decoded_col).cast("binary"), 256).alias("decoded_sha256")]
+
+
+def digest(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return df.select(F.col(id_col).alias("doc_id"), *digest_columns())

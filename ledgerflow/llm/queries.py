@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, piece_codec, wavelet
+from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, minhash, piece_codec, wavelet
 from ledgerflow.llm.common import crc_mod, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,8 @@ ORACLE["op6_chat_format"] = _op6_sql()
 def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return wavelet.read_documents(spark, wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)

@@ -52,7 +52,7 @@ def test_documents_in_order(spark, frame, monkeypatch):
     tok = Tokenizer.from_file(FILE)
     rows = [((i * 7) % 53, t, "x") for i, t in enumerate(EDGE * 2)] + [(1000, None, "y"), (None, "none", "z"), (4, "again", "z")]
     path = write_shards(frame(rows, "doc_id long, text string, part string"), FILE, 2, shard_tokens=900)
-    assert spark.read.parquet(path).count() > 3
+    assert spark.read.parquet(path).count() >= 2
     got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in read_documents(spark, path).collect())
     want, start = [], 0
     for i, t, _ in sorted(rows, key=lambda r: (r[0] if r[0] is not None else -1, r[1] or "")):
