@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, minhash, piece_codec, wavelet
+from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, minhash, piece_codec, wavelet, wrappers
 from ledgerflow.llm.common import crc_mod, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,8 @@ def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
