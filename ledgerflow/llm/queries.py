@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, minhash, piece_codec, wavelet, wrappers
+from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, line_dedup, minhash, piece_codec, wavelet, wrappers
 from ledgerflow.llm.common import crc_mod, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,33 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+o AS (SELECT doc_id, pos, list_distinct(list_filter(regexp_split_to_array(lower(lines[pos + 1]), '[ \t\x0B\f\r]+'),
+                                                    lambda w: w <> '')) AS s
+      FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS pos FROM d)),
+c AS (SELECT row_number() OVER (ORDER BY min((doc_id, pos))) AS c, list_sort(s) AS s, len(s) AS n, min((doc_id, pos)) AS first
+      FROM o WHERE len(s) > 0 GROUP BY 2, 3),
+w AS (SELECT c, n, unnest(s) AS word FROM c),
+f AS (SELECT word, count(*) AS df FROM w GROUP BY word),
+r AS (SELECT c, n, word, row_number() OVER (PARTITION BY c ORDER BY df, word) AS k FROM w JOIN f USING (word)),
+p AS (SELECT c, n, word FROM r WHERE k <= n - CAST(ceil(n * 0.8) AS BIGINT) + 1),
+pairs AS (SELECT DISTINCT x.c AS x, y.c AS y FROM p x JOIN p y USING (word)
+          WHERE y.c < x.c AND 100 * x.n >= 80 * y.n AND 100 * y.n >= 80 * x.n),
+gone AS (SELECT DISTINCT x FROM (SELECT pairs.x, len(list_intersect(a.s, b.s)) AS i, a.n AS n, b.n AS m
+                                 FROM pairs JOIN c a ON a.c = pairs.x JOIN c b ON b.c = pairs.y)
+         WHERE 100 * i >= 80 * (n + m - i)),
+k AS (SELECT first[1] AS doc_id, count(*) AS n, string_agg(CAST(first[2] AS VARCHAR), ',' ORDER BY first[2]) AS kept_lines
+      FROM c WHERE c NOT IN (SELECT x FROM gone) GROUP BY 1),
+e AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (len(s) > 0) AS n_worded FROM o GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines - n_worded + coalesce(n, 0), 0) AS n_kept,
+       coalesce(n_worded - coalesce(n, 0), 0) AS n_removed, coalesce(kept_lines, '') AS kept_lines
+FROM d LEFT JOIN e USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
