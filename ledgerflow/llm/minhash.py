@@ -46,6 +46,8 @@ CUT_BELOW = 0.14
 PIVOTS = 3
 #: Members that are confirmed against one partner's text in one sorted run.
 SALT = 64
+#: Partners that a class has confirmed in the rounds before all the rest.
+TRIES = (1, 8)
 _WORDS_REMEMBERED = 400_000
 _NO_WORD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -219,24 +221,24 @@ def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _link_all(kept: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Labels after confirming every kept pair that still joins two components.  A class
-    confirms its lowest partner first, then twice as many in each further round."""
+    """Labels after confirming every kept pair that still joins two components.  A class confirms
+    its lowest partner first, which joins most groups, then a few more, then all that are left."""
     named = stored(kept.select("x").union(kept.select("y")).toDF("rep").distinct(), "minhash-named")
     if not named.limit(1).count():
         return labels
     # a class has one text only, also where rows repeat
     texts = stored(texts.join(named, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "minhash-texts")
-    tries = 1
-    while True:
+    for tries in (*TRIES, None):
         left = stored(_between(kept, labels), "minhash-left")
         if not left.limit(1).count():
-            return labels
-        rank = F.row_number().over(Window.partitionBy("x").orderBy("y"))
-        ranked = left.withColumn("k", rank)
-        links = stored(_confirm(ranked.filter(F.col("k") <= tries).select("x", "y"), texts, width, percent), "minhash-links")
-        kept = stored(ranked.filter(F.col("k") > tries).select("x", "y"), "minhash-kept")
-        labels = stored(_components(labels, links), "minhash-labels")
-        tries *= 2
+            break
+        ranked = left.withColumn("k", F.row_number().over(Window.partitionBy("x").orderBy("y")))
+        now, kept = (left, None) if tries is None else (
+            ranked.filter(F.col("k") <= tries).select("x", "y"), ranked.filter(F.col("k") > tries).select("x", "y"))
+        links = stored(_confirm(now, texts, width, percent), "minhash-links")
+        if links.limit(1).count():
+            labels = stored(_components(labels, links), "minhash-labels")
+    return labels
 
 
 def _across(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, cut: float) -> DataFrame:
