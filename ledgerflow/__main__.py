@@ -9,6 +9,12 @@ import argparse
 import os
 import sys
 
+from ledgerflow.operators.aggregate import MONTH_KEYS
+
+
+#: Order of the written aggregates.
+SORTED_BY = {"mensile": MONTH_KEYS, "clienti": ("IDS_CUSTOMER",), "articoli": ("IDS_ITEM",)}
+
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="ledgerflow")
@@ -19,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--series-key", action="append", default=[], help="forecast one series per value")
     args = ap.parse_args(argv)
 
+    from ledgerflow.operators.forecast import compare_horizons, compare_models
     from ledgerflow.plans.etl import run_etl
     from ledgerflow.plans.forecast import run_forecast
     from ledgerflow.plans.report import chart_data, statistics_report
@@ -27,9 +34,11 @@ def main(argv: list[str] | None = None) -> int:
     from ledgerflow.sources.sinks import write_forecast, write_olap, write_report
 
     spark = build_session(args.master)
-    tables = load_csv_tables(spark, args.csv_dir)
+    problems: dict[str, str] = {}
+    tables = load_csv_tables(spark, args.csv_dir, problems=problems)
     if tables is None:
-        print("ledgerflow: a table is missing, unreadable or empty", file=sys.stderr)
+        for name, reason in problems.items():
+            print(f"ledgerflow: {name}: {reason}", file=sys.stderr)
         return 2
     res = run_etl(tables)
     if res is None:
@@ -41,11 +50,16 @@ def main(argv: list[str] | None = None) -> int:
     write_report({"audit": res.audit()}, out)
     write_report(statistics_report({"SALES_OLAP": olap}), os.path.join(out, "report"))
     write_report(chart_data(olap), os.path.join(out, "charts"))
-    fc = run_forecast(olap, series_keys=args.series_key, with_gbt=not args.no_gbt)
+    fc = run_forecast(olap, series_keys=args.series_key, with_gbt=not args.no_gbt and not args.series_key)
     write_forecast(fc.export, os.path.join(out, "forecast"))
-    parts = {"linear_metrics": fc.linear_metrics, "linear_coefficients": fc.linear_coefficients,
+    write_report({name: df.orderBy(*SORTED_BY[name]) for name, df in fc.aggregates.items() if name in SORTED_BY},
+                 os.path.join(out, "aggregates"))
+    parts = {"linear_6": fc.linear_6, "separation_date": fc.separation, "horizons": compare_horizons({6: fc.linear_6, 12: fc.linear_12}),
+             "linear_metrics": fc.linear_metrics, "linear_coefficients": fc.linear_coefficients,
              "linear_12": fc.linear_12, "gbt_metrics": fc.gbt_metrics, "gbt_importance": fc.gbt_importance,
              "gbt_6": fc.gbt_6}
+    if fc.gbt_6 is not None:
+        parts["compare_models"] = compare_models(fc.aggregates["mensile"], {"LINEAR": fc.linear_6, "GBT": fc.gbt_6})
     write_report(parts, os.path.join(out, "models"))
     spark.stop()
     return 0

@@ -1,3 +1 @@
-from ledgerflow.functions.columns import (  # noqa: F401
-    money, normalise_numeric_key, parse_yyyymmdd, round_half_up, safe_corr, to_key, zero_if_null_sum,
-)
+"""Column-expression helpers."""

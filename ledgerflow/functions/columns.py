@@ -33,11 +33,6 @@ def parse_yyyymmdd(c: str | Column) -> Column:
     return F.coalesce(F.try_to_date(s, "yyyyMMdd"), F.try_to_date(s, "yyyy-MM-dd"))
 
 
-def as_date(c: str | Column) -> Column:
-    """Date columns that may already be dates/timestamps or YYYYMMDD text."""
-    return parse_yyyymmdd(c)
-
-
 def money(c: str | Column, scale: int = 4) -> Column:
     """Money kept as an exact decimal so sums do not depend on order."""
     return _c(c).cast(f"decimal(18,{scale})")
@@ -48,10 +43,6 @@ def zero_if_null_sum(c: str | Column) -> Column:
     return F.coalesce(F.sum(_c(c)), F.lit(0).cast("decimal(1,0)"))
 
 
-def round_half_up(c: str | Column, digits: int = 2) -> Column:
-    return F.round(_c(c), digits)
-
-
 def pair_complete(x: str | Column, y: str | Column) -> tuple[Column, Column]:
     """Both values only where both are present (pairwise-complete rows)."""
     xc, yc = _c(x).cast("double"), _c(y).cast("double")

@@ -139,6 +139,9 @@ def fk_report(child_name: str, child: DataFrame, fk: str, parent_name: str,
     """(CHILD, FK, PARENT, ROWS, NULL_FK, ORPHAN_VALUES, ORPHAN_ROWS) in one pass
     over the child's key counts."""
     pk = pk or fk
+    if fk not in child.columns or pk not in parent.columns:         # a key that isn't there can't be checked
+        return child.sparkSession.createDataFrame(
+            [], "CHILD string, FK string, PARENT string, ROWS long, NULL_FK long, ORPHAN_VALUES long, ORPHAN_ROWS long")
     per_key = child.groupBy(to_key(fk).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     hits = parent_keys(parent, pk, "k").distinct().withColumn("_hit", F.lit(True))
     joined = per_key.join(hits, on="k", how="left")
@@ -164,6 +167,8 @@ def cast_technical_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 def technical_key_report(name: str, df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """(TABLE, COLUMN, NULLS) per technical key present in the table."""
     present = [k for k in keys if k in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "TABLE_NAME string, COLUMN_NAME string, NULLS long")
     row = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in present])
     return (row.unpivot([], present, "COLUMN_NAME", "NULLS")
             .select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", F.col("NULLS").cast("long").alias("NULLS")))

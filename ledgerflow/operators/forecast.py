@@ -76,21 +76,25 @@ def _det3(a):
             + a[0][2] * (a[1][0] * a[2][1] - a[1][1] * a[2][0]))
 
 
-def linear_fit(folded: DataFrame, series_keys: Sequence[str] = (), rel_tol: float = 1e-12) -> DataFrame:
-    """OLS with intercept per (series, FOLD) on the TRAIN rows.
-
-    Slopes solve Cov(X) b = Cov(X, y) (sample covariances, computed by a
-    stable online aggregate); intercept = mean(y) - b . mean(X).  A singular
-    (rank-deficient) system gives null coefficients and SINGULAR = true.
+def linear_fit(folded: DataFrame, series_keys: Sequence[str] = (), rel_tol: float = 1e-10) -> DataFrame:
+    """OLS with intercept per (series, FOLD) on the TRAIN rows; of all solutions the one of
+    minimum norm, as least-squares solvers give for collinear features.
+
+    Slopes solve A b = c with A = Cov(X), c = Cov(X, y) (sample covariances from a stable
+    online aggregate; 0 for a single row); intercept = mean(y) - b . mean(X).  RANK is the
+    rank of the correlation matrix: 3 gives Cramer's rule, 2 and 1 the closed forms of the
+    pseudo-inverse (from A's characteristic polynomial on its range), 0 a constant.
+    SINGULAR says RANK < 3.
     """
     keys = [*series_keys, "FOLD"]
     xs = [F.col(c).cast("double") for c in FEATURES]
     y = F.col(TARGET).cast("double")
     train = folded.where(F.col("ROLE") == "TRAIN")
+    zero = F.lit(0.0)
     aggs = [F.count(F.lit(1)).alias("N_TRAIN"), F.avg(y).alias("_my")]
     aggs += [F.avg(x).alias(f"_m{i}") for i, x in enumerate(xs)]
-    aggs += [F.covar_samp(xs[i], xs[j]).alias(f"_c{i}{j}") for i in range(3) for j in range(i, 3)]
-    aggs += [F.covar_samp(xs[i], y).alias(f"_c{i}y") for i in range(3)]
+    aggs += [F.coalesce(F.covar_samp(xs[i], xs[j]), zero).alias(f"_c{i}{j}") for i in range(3) for j in range(i, 3)]
+    aggs += [F.coalesce(F.covar_samp(xs[i], y), zero).alias(f"_c{i}y") for i in range(3)]
     m = train.groupBy(*keys).agg(*aggs)
 
     def c(i, j):
@@ -98,15 +102,26 @@ def linear_fit(folded: DataFrame, series_keys: Sequence[str] = (), rel_tol: floa
         return F.col(f"_c{i}{j}")
     a = [[c(i, j) for j in range(3)] for i in range(3)]
     rhs = [F.col(f"_c{i}y") for i in range(3)]
+    varies = [c(i, i) > F.lit(1e-24) * F.col(f"_m{i}") * F.col(f"_m{i}") for i in range(3)]
+    unit = [[F.when(varies[i], 1.0).otherwise(0.0) if i == j else
+             F.when(varies[i] & varies[j], c(i, j) / F.sqrt(c(i, i) * c(j, j))).otherwise(0.0)
+             for j in range(3)] for i in range(3)]
+    pairs = [(0, 1), (0, 2), (1, 2)]
+    minors = sum((unit[i][i] * unit[j][j] - unit[i][j] * unit[i][j] for i, j in pairs), zero)
+    rank = F.when(_det3(unit) > rel_tol, 3).when(minors > rel_tol, 2) \
+        .when(varies[0] | varies[1] | varies[2], 1).otherwise(0)
+    m = m.withColumn("RANK", rank)
     det = _det3(a)
-    scale = F.abs(c(0, 0) * c(1, 1) * c(2, 2))
-    singular = F.coalesce((F.abs(det) <= F.lit(rel_tol) * scale) | (F.col("N_TRAIN") < 4), F.lit(True))
+    e2 = sum((a[i][i] * a[j][j] - a[i][j] * a[i][j] for i, j in pairs), zero)
+    trace = a[0][0] + a[1][1] + a[2][2]
     betas = []
     for k in range(3):
         ak = [[rhs[i] if j == k else a[i][j] for j in range(3)] for i in range(3)]
-        betas.append(F.when(~singular, _det3(ak) / det))
-    out = m.select(*keys, "N_TRAIN", *[b.alias(f"B_{FEATURES[k]}") for k, b in enumerate(betas)],
-                   singular.alias("SINGULAR"), "_my", "_m0", "_m1", "_m2")
+        two = sum((a[j][j] * rhs[k] - a[k][j] * rhs[j] for j in range(3) if j != k), zero)
+        betas.append(F.when(F.col("RANK") == 3, _det3(ak) / det).when(F.col("RANK") == 2, two / e2)
+                     .when(F.col("RANK") == 1, rhs[k] / trace).otherwise(0.0))
+    out = m.select(*keys, "N_TRAIN", "RANK", *[b.alias(f"B_{FEATURES[k]}") for k, b in enumerate(betas)],
+                   (F.col("RANK") < 3).alias("SINGULAR"), "_my", "_m0", "_m1", "_m2")
     intercept = F.col("_my") - (F.col(f"B_{FEATURES[0]}") * F.col("_m0") + F.col(f"B_{FEATURES[1]}") * F.col("_m1")
                                 + F.col(f"B_{FEATURES[2]}") * F.col("_m2"))
     return out.withColumn("INTERCEPT", intercept).drop("_my", "_m0", "_m1", "_m2")
@@ -123,8 +138,7 @@ def linear_predict(idx: Column, month: Column, lag: Column) -> Column:
 def fold_metrics(predicted: DataFrame, series_keys: Sequence[str] = (), model: str = "LINEAR") -> DataFrame:
     """Per (series, FOLD>0): MAE, RMSE, R2 over TEST rows (R2 = 1 - SSE/SST;
     a constant test target gives 1 if perfectly predicted, else 0); then a
-    FOLD = 0 row holding their plain means.  MAE/RMSE are rounded to whole
-    units and R2 to 4 decimals, the precision the source reports."""
+    FOLD = 0 row holding their plain means.  Nothing is rounded here."""
     keys = [*series_keys, "FOLD"]
     test = predicted.where((F.col("ROLE") == "TEST") & (F.col("FOLD") > 0))
     err = F.col(TARGET).cast("double") - F.col("PREDICTION")
@@ -141,9 +155,12 @@ def fold_metrics(predicted: DataFrame, series_keys: Sequence[str] = (), model: s
         F.lit(0).alias("FOLD"), F.lit(None).cast("long").alias("N_TEST"),
         F.avg("MAE").alias("MAE"), F.avg("RMSE").alias("RMSE"), F.avg("R2").alias("R2"))
     both = per.unionByName(mean)
-    return both.select(F.lit(model).alias("MODEL"), *keys, "N_TEST",
-                       F.round("MAE", 0).alias("MAE"), F.round("RMSE", 0).alias("RMSE"),
-                       F.round("R2", 4).alias("R2"))
+    return both.select(F.lit(model).alias("MODEL"), *keys, "N_TEST", "MAE", "RMSE", "R2")
+
+
+def rounded_metrics(metrics: DataFrame) -> DataFrame:
+    """MAE and RMSE in whole units, R2 with 4 decimals: the precision of a printed report."""
+    return metrics.withColumns({"MAE": F.round("MAE", 0), "RMSE": F.round("RMSE", 0), "R2": F.round("R2", 4)})
 
 
 def linear_cv(monthly: DataFrame, series_keys: Sequence[str] = (), n_splits: int = 3):
@@ -190,7 +207,7 @@ def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
     def step(acc, k):
         month = ((m + k - 1) % 12 + 1)
         raw = linear_predict(i0 + k, month, acc["lag"])
-        pred = F.when(raw.isNotNull(), F.greatest(raw, F.lit(0.0)))      # a singular fit forecasts null
+        pred = F.greatest(raw, F.lit(0.0))
         row = F.struct(k.alias("STEP"), pred.alias("P"))
         return F.struct(pred.alias("lag"), F.array_append(acc["rows"], row).alias("rows"))
 
@@ -220,6 +237,11 @@ def history_plus_forecast(monthly: DataFrame, forecast: DataFrame, series_keys:
         *series_keys, "ORDER_YEAR", "ORDER_MONTH", "FORECAST_REVENUES", "DATE", "TIPO"))
 
 
+def separation_date(monthly: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
+    """(series.., DATE): the last month of the history, where a chart separates it from the forecast."""
+    return last_month(monthly, series_keys).select(*series_keys, F.make_date("LAST_YEAR", "LAST_MONTH", F.lit(1)).alias("DATE"))
+
+
 def compare_horizons(forecasts: dict[int, DataFrame]) -> DataFrame:
     out = None
     for h, df in forecasts.items():
@@ -233,10 +255,12 @@ def compare_horizons(forecasts: dict[int, DataFrame]) -> DataFrame:
 GBT_PARAMS = dict(maxIter=100, maxDepth=2, stepSize=0.1, subsamplingRate=0.8, seed=42)
 
 
-def _gbt(max_bins: int = 128):
+def _gbt(max_bins: int):
+    """``max_bins``: more than there are samples, so that every split is considered; the trees
+    are small and their input is stored, so MLlib's checkpoints every few trees are off."""
     from pyspark.ml.regression import GBTRegressor
     return GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="PREDICTION",
-                        maxBins=max_bins, featureSubsetStrategy="all", **GBT_PARAMS)
+                        maxBins=max_bins, featureSubsetStrategy="all", checkpointInterval=-1, **GBT_PARAMS)
 
 
 def _assemble(df: DataFrame) -> DataFrame:
@@ -247,7 +271,8 @@ def _assemble(df: DataFrame) -> DataFrame:
 
 def gbt_cv(monthly: DataFrame, n_splits: int = 3, parallelism: int | None = None):
     """Folds 1..n_splits trained and scored, plus the final model on all
-    samples.  Returns (predictions of every fold, final model).
+    samples.  Returns (predictions of every fold, final model); a series too short for folds
+    has no predictions (None), one without samples no model (None).
 
     The feature table has one row per month, so it is held in one partition;
     the independent fold models are fitted concurrently (as MLlib's
@@ -256,14 +281,13 @@ def gbt_cv(monthly: DataFrame, n_splits: int = 3, parallelism: int | None = None
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from ledgerflow.session import checkpoint_dir
-    checkpoint_dir(monthly.sparkSession)    # MLlib checkpoints the boosting state every 10 trees
-    folded = _assemble(cv_folds(features(monthly), (), n_splits)).coalesce(1).persist()
-    folds = [f for f in range(0, n_splits + 1)
-             if not folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")).isEmpty()]
+    from ledgerflow.session import cut_lineage
+    folded = _assemble(cut_lineage(cv_folds(features(monthly), (), n_splits).coalesce(1)))
+    sizes = dict(folded.where(F.col("ROLE") == "TRAIN").groupBy("FOLD").count().collect())
+    folds = sorted(sizes)
 
     def fit(f):
-        return f, _gbt().fit(folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")))
+        return f, _gbt(max(sizes[f] + 1, 2)).fit(folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")))
 
     with ThreadPoolExecutor(max_workers=parallelism or len(folds) or 1) as pool:
         models = dict(pool.map(fit, folds))

@@ -119,7 +119,7 @@ _OK = "_ok"
 
 
 def _lookup_view(table: str, pk_tables: dict[str, DataFrame], relations: dict,
-                 names: dict, keep: dict | None = None) -> DataFrame:
+                 names: dict, keep: dict | None = None, primary_keys: dict = S.PRIMARY_KEYS) -> DataFrame:
     """A lookup as the final join sees it, keyed by its primary key.
 
     Carries every primary-key-checked row plus ``_ok``: whether the row also
@@ -127,15 +127,15 @@ def _lookup_view(table: str, pk_tables: dict[str, DataFrame], relations: dict,
     are already nulled where that parent row fails its own checks.
     """
     base = pk_tables[table]
-    pk = S.PRIMARY_KEYS[table][0]
+    pk = primary_keys[table][0]
     base = base.select(pk, *[c for c in base.columns if c != pk and c != ORDER_COLUMN])
     ok = (keep or {}).get(table, F.lit(True))
     parent_cols: list[str] = []
     for fk, parent in relations.get(table, ()):
-        if fk not in base.columns:
+        ppk = primary_keys[parent][0]
+        if fk not in base.columns or ppk not in pk_tables[parent].columns:      # reported, not checked
             continue
-        pv = _lookup_view(parent, pk_tables, relations, names, keep)
-        ppk = S.PRIMARY_KEYS[parent][0]
+        pv = _lookup_view(parent, pk_tables, relations, names, keep, primary_keys)
         cols = [c for c in pv.columns if c not in (ppk, _OK)]
         pv = pv.select(F.col(ppk).alias(fk),
                        *[F.when(F.col(_OK), F.col(c)).alias(c) for c in cols],
@@ -149,7 +149,8 @@ def _lookup_view(table: str, pk_tables: dict[str, DataFrame], relations: dict,
 
 
 def check_and_enrich(fact: DataFrame, fact_name: str, pk_tables: dict[str, DataFrame],
-                     relations: dict = S.RELATIONS, keep: dict | None = None) -> DataFrame:
+                     relations: dict = S.RELATIONS, keep: dict | None = None,
+                     primary_keys: dict = S.PRIMARY_KEYS) -> DataFrame:
     """Foreign-key repair of the fact and the snowflake LEFT JOIN as one
     inner join per fact relation.
 
@@ -165,10 +166,10 @@ def check_and_enrich(fact: DataFrame, fact_name: str, pk_tables: dict[str, DataF
     names = join_column_names(shapes, fact_name, relations)
     out = fact.drop(ORDER_COLUMN) if ORDER_COLUMN in fact.columns else fact
     for fk, parent in relations.get(fact_name, ()):
-        if fk not in out.columns:
+        ppk = primary_keys[parent][0]
+        if fk not in out.columns or ppk not in pk_tables[parent].columns:       # reported, not checked
             continue
-        view = _lookup_view(parent, pk_tables, relations, names, keep)
-        ppk = S.PRIMARY_KEYS[parent][0]
+        view = _lookup_view(parent, pk_tables, relations, names, keep, primary_keys)
         cols = [c for c in view.columns if c not in (ppk, _OK)]
         view = view.select(F.col(ppk).alias(fk), *[F.when(F.col(_OK), F.col(c)).alias(c) for c in cols])
         out = out.withColumn(fk, F.col(fk).cast("string")).join(view, on=fk, how="inner")

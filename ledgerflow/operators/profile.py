@@ -169,21 +169,18 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, digits: int
     """Pearson matrix in long form (COL_A, COL_B, CORR), pairwise-complete
     rows, null (not an error) for a constant column.
 
-    The matrix is symmetric, so only the upper triangle is computed: every
-    row emits one (pair, x, y) entry per pair, and one grouped aggregate with
-    three statistics covers all pairs (it stays inside whole-stage codegen).
+    The matrix is symmetric, so only the upper triangle is computed, in one
+    ungrouped aggregate over the input rows.
     """
     cols = list(columns if columns is not None else numeric_columns(df, profiled_only=False))
     if len(cols) < 2:
         return None
-    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("A"), F.lit(b).alias("B"), F.col(a).cast("double").alias("X"),
-                 F.col(b).cast("double").alias("Y")) for a, b in upper])).alias("r")).select("r.*")
-    tri = long.groupBy("A", "B").agg(safe_corr("X", "Y").alias("CORR"))
-    mirrored = tri.unionByName(tri.where(F.col("A") != F.col("B")).select(
-        F.col("B").alias("A"), F.col("A").alias("B"), "CORR"))
-    return mirrored.select(F.col("A").alias("COL_A"), F.col("B").alias("COL_B"), F.round("CORR", digits).alias("CORR"))
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in upper])
+    cells = [F.struct(F.lit(cols[i]).alias("COL_A"), F.lit(cols[j]).alias("COL_B"),
+                      F.round(F.col(f"c{min(i, j)}_{max(i, j)}"), digits).alias("CORR"))
+             for i in range(len(cols)) for j in range(len(cols))]
+    return row.select(F.inline(F.array(*cells)))
 
 
 def correlation_with_profit(df: DataFrame, digits: int = 3) -> DataFrame:
@@ -206,9 +203,11 @@ def _bin(x, lo, hi, bins: int):
 
 def histogram(df: DataFrame, col: str = "VAL_REVENUES", bins: int = 50) -> DataFrame:
     """(BIN, LOWER, UPPER, COUNT) for all bins, empty ones included.  The
-    range comes from two scalar subqueries (one value each)."""
+    range comes from two scalar subqueries (one value each); constant data
+    get a range of 1 around the value."""
     x = F.col(col).cast("double")
     lo, hi = _bounds(df, col)
+    lo, hi = F.when(hi == lo, lo - 0.5).otherwise(lo), F.when(hi == lo, hi + 0.5).otherwise(hi)
     counts = df.where(x.isNotNull()).groupBy(_bin(x, lo, hi, bins).alias("BIN")).agg(
         F.count(F.lit(1)).alias("COUNT"))
     edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("BIN"))
@@ -232,14 +231,14 @@ def density(df: DataFrame, col: str = "VAL_REVENUES", grid: int = 200, bins: int
     significant digits: the kernel sums depend on summation order in the last
     few digits.
     """
-    x = F.col(col).cast("double")
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
     st = df.where(x.isNotNull()).select(x.alias("x"))
     p = st.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"),
                F.stddev_samp("x").alias("sd")).first()
-    if p is None or not p["n"]:
-        return None
+    if not p["n"] or not p["sd"] or p["hi"] == p["lo"]:
+        return None                      # no data or constant data: no curve
     lo, hi, n = float(p["lo"]), float(p["hi"]), float(p["n"])
-    h = (p["sd"] or 0.0) * n ** -0.2
+    h = p["sd"] * n ** -0.2
     step = (hi - lo) / (grid - 1)
 
     def partial_sums(batches):

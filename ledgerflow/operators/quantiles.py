@@ -1,22 +1,22 @@
-"""Exact quantiles with bounded per-task memory.
+"""Exact quantiles with bounded per-task memory, one path for every size.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer,
-which a hot group at scale cannot afford.  Here each target rank is narrowed
-down in rounds:
-
-1. every (group, probability) starts with the bracket (-inf, +inf) and the
-   exact count of values below it (0);
-2. while a bracket holds more than ``rank_limit`` rows, one pass sketches the
-   rows inside every open bracket (``percentile_approx``, a mergeable
-   summary, at a fixed grid of percentages) and moves each bracket to the two
-   grid values around its target, counting exactly how many rows fell below;
-   each round shrinks a bracket by roughly the grid size;
-3. the rows inside the final brackets (at most ``rank_limit`` per bracket) are
-   ranked with a window, and the two order statistics around the target are
-   interpolated linearly (numpy's default, DuckDB's ``quantile_cont``).
-
-The only driver-side step is reading the largest bracket size after each
-round (one number), to decide whether another round is needed.
+which a hot group at scale cannot afford.  Here equal values are first counted
+(ties collapse to one row, NaN counts as null), and each target rank keeps a
+bracket of values around it with the exact number of rows below:
+
+1. every bracket starts as the whole group;
+2. while a bracket holds more than ``rank_limit`` *different* values, one pass
+   sketches the different values inside the open brackets (``percentile_approx``
+   at a fixed grid), counts the rows between the grid values exactly and moves
+   each bracket to the cells that hold its target; a bracket that has become
+   one value is closed by that;
+3. inside the final brackets a running count over the different values finds
+   the two order statistics, which are interpolated linearly (numpy's default,
+   DuckDB's ``quantile_cont``).
+
+The limit only says when to narrow further, never what is counted: any limit
+gives the same result.  Driver-side, one number is read a round.
 """
 
 from __future__ import annotations
@@ -29,86 +29,85 @@ from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 100_000
 RANK_LIMIT = 1_000_000
 GRID = 1000          # grid intervals per sketch; a round shrinks a bracket ~GRID / 2 times
-MAX_ROUNDS = 8
 
 
-def _bracket_rows(data: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    return (data.join(state.select(*keys, "PROB", "_lo", "_hi"), on=keys)
-            .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
+def _inside(pairs: DataFrame, keys: list[str], brackets: DataFrame) -> DataFrame:
+    on = [pairs[k].eqNullSafe(brackets[f"_k_{k}"]) for k in keys]
+    return pairs.join(brackets, on).where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))).drop(*[f"_k_{k}" for k in keys])
+
+
+def _keyed(df: DataFrame, keys: list[str], *cols: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *cols)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = DEFAULT_ACCURACY, rank_limit: int = RANK_LIMIT,
-                    grid: int = GRID, small_group: int | None = None) -> DataFrame:
-    """(keys.., PROB, QUANTILE) per group with at least one non-null value.
-
-    ``small_group`` is accepted as an alias of ``rank_limit``.
-    """
-    keys = list(keys)
-    rank_limit = small_group or rank_limit
-    probs = [float(p) for p in probs]
-    data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-
-    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    state = (sizes.select(*keys, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("PROB"))
+                    accuracy: int = DEFAULT_ACCURACY, rank_limit: int = RANK_LIMIT, grid: int = GRID) -> DataFrame:
+    """(keys.., PROB, QUANTILE) per group with at least one value that is neither null nor NaN."""
+    keys, rank_limit = list(keys), max(rank_limit, 2)        # two order statistics at least
+    if not keys:
+        raise ValueError("at least one grouping column is needed")
+    x = F.col(value).cast("double")
+    pairs = (df.select(*keys, F.nanvl(x, F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
+             .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")))
+    sizes = pairs.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_m"))
+    state = (sizes.select(*keys, "_n", "_m", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("PROB"))
              .withColumn("_pos", F.col("PROB") * (F.col("_n") - 1))
              .withColumn("_i", F.floor("_pos").cast("long"))
              .withColumn("_frac", F.col("_pos") - F.col("_i"))
              .withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf")))
-             .withColumn("_below", F.lit(0).cast("long")).withColumn("_m", F.col("_n")))
-    # the sketch's rank error plus one grid step, as a fraction of the bracket
-    slack = 1.0 / accuracy
-    percentages = [k / grid for k in range(grid + 1)]
-    rounds = 0
-    for _ in range(MAX_ROUNDS):
+             .withColumn("_below", F.lit(0).cast("long")).withColumn("_w", F.col("_n")))
+    state = _freeze(state)          # groups x probabilities rows
+    percentages = F.array(*[F.lit(k / grid) for k in range(grid + 1)])
+    while True:
         widest = state.agg(F.max("_m")).first()[0]
         if widest is None or widest <= rank_limit:
             break
-        inside = _bracket_rows(data, keys, state)
-        sk = inside.groupBy(*keys, "PROB").agg(
-            F.percentile_approx("_x", F.array(*[F.lit(p) for p in percentages]), accuracy).alias("_g"))
-        # target position inside the current bracket, as a fraction of it
-        r = (F.col("_i") - F.col("_below")).cast("double")
-        q_lo = (r / F.col("_m")) - F.lit(slack)
-        q_hi = ((r + 1) / F.col("_m")) + F.lit(slack)
-        j_lo = F.greatest(F.floor(q_lo * grid) - 1, F.lit(0)).cast("int")
-        j_hi = F.least(F.ceil(q_hi * grid) + 1, F.lit(grid)).cast("int")
-        moved = state.join(sk, on=[*keys, "PROB"], how="left").select(
-            *keys, "PROB", "_n", "_pos", "_i", "_frac", "_below", "_m",
-            F.when(F.col("_m") > rank_limit, F.when(j_lo > 0, F.element_at("_g", j_lo + 1))
-                   .otherwise(F.col("_lo"))).otherwise(F.col("_lo")).alias("_lo2"),
-            F.when(F.col("_m") > rank_limit, F.when(j_hi < grid, F.element_at("_g", j_hi + 1))
-                   .otherwise(F.col("_hi"))).otherwise(F.col("_hi")).alias("_hi2"),
-            F.col("_lo").alias("_lo"), F.col("_hi").alias("_hi"))
-        # exact counts for the new brackets: rows of the old bracket below / inside the new one
-        counted = (_bracket_rows(data, keys, state).join(moved.select(*keys, "PROB", "_lo2", "_hi2"),
-                                                         on=[*keys, "PROB"])
-                   .groupBy(*keys, "PROB").agg(
-                       F.count_if(F.col("_x") < F.col("_lo2")).alias("_add"),
-                       F.count_if((F.col("_x") >= F.col("_lo2")) & (F.col("_x") <= F.col("_hi2"))).alias("_m2")))
-        state = moved.join(counted, on=[*keys, "PROB"], how="left").select(
+        open_ = state.where(F.col("_m") > rank_limit)
+        rows = _inside(pairs, keys, _keyed(open_, keys, "PROB", "_lo", "_hi"))
+        sketch = rows.groupBy(*keys, "PROB").agg(F.percentile_approx("_x", percentages, accuracy).alias("_g"))
+        # the sketch is over different values; where the target lies among them is counted exactly next
+        edges = sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("PROB").alias("_p"),
+                              F.array_sort(F.array_distinct("_g")).alias("_g"))
+        on = [rows[k].eqNullSafe(edges[f"_k_{k}"]) for k in keys] + [rows["PROB"] == edges["_p"]]
+        # number of edges at or below a value: its cell (an edge of its own is the cell's first value)
+        cell = rows.join(edges, on).select(*keys, "PROB", "_c", "_x", F.size(F.filter("_g", lambda g: g <= F.col("_x"))).alias("_cell"))
+        cells = cell.groupBy(*keys, "PROB", "_cell").agg(F.sum("_c").alias("_cw"), F.count(F.lit(1)).alias("_cm"),
+                                                         F.min("_x").alias("_cl"), F.max("_x").alias("_ch"))
+        run = Window.partitionBy(*keys, "PROB").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        cells = cells.withColumn("_to", F.sum("_cw").over(run)).withColumnRenamed("PROB", "_p") \
+            .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_p", "_cw", "_cm", "_cl", "_ch", "_to")
+        joined = state.join(cells, [state[k].eqNullSafe(cells[f"_k_{k}"]) for k in keys] + [state["PROB"] == cells["_p"]], "left")
+        t = F.col("_i") - F.col("_below")
+        # the cells that hold order statistics t and t + 1
+        holds = (F.col("_to") > t) & (F.col("_to") - F.col("_cw") <= t + 1)
+        moved = joined.groupBy(*keys, "PROB").agg(
+            *[F.first(c).alias(c) for c in ("_n", "_pos", "_i", "_frac")],
+            F.first("_lo").alias("_lo0"), F.first("_hi").alias("_hi0"), F.first("_m").alias("_m0"),
+            F.first("_w").alias("_w0"), F.first("_below").alias("_below0"),
+            F.min(F.when(holds, F.col("_cl"))).alias("_lo1"), F.max(F.when(holds, F.col("_ch"))).alias("_hi1"),
+            F.sum(F.when(holds, F.col("_cm"))).alias("_m1"), F.sum(F.when(holds, F.col("_cw"))).alias("_w1"),
+            F.sum(F.when(F.col("_to") <= t, F.col("_cw"))).alias("_add"))
+        narrowed = F.col("_lo1").isNotNull()
+        state = _freeze(moved.select(
             *keys, "PROB", "_n", "_pos", "_i", "_frac",
-            (F.col("_below") + F.coalesce("_add", F.lit(0))).alias("_below"),
-            F.coalesce("_m2", F.lit(0)).cast("long").alias("_m"),
-            F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"))
-        state = _freeze(state)
-        rounds += 1
-
-    tgt = state.select(*keys, "PROB", (F.col("_i") - F.col("_below")).alias("_t"))
-    if rounds == 0:
-        # every bracket is its whole group: rank each group once, for all probabilities
-        ranked = data.withColumn("_rk", F.row_number().over(Window.partitionBy(*keys).orderBy("_x")) - 1)
-        picked = ranked.join(tgt, on=keys).where((F.col("_rk") == F.col("_t")) | (F.col("_rk") == F.col("_t") + 1))
-    else:
-        ranked = _bracket_rows(data, keys, state).withColumn(
-            "_rk", F.row_number().over(Window.partitionBy(*keys, "PROB").orderBy("_x")) - 1)
-        picked = ranked.join(tgt, on=[*keys, "PROB"]).where(
-            (F.col("_rk") == F.col("_t")) | (F.col("_rk") == F.col("_t") + 1))
-    vals = picked.groupBy(*keys, "PROB").agg(
-        F.max(F.when(F.col("_rk") == F.col("_t"), F.col("_x"))).alias("_a"),
-        F.max(F.when(F.col("_rk") == F.col("_t") + 1, F.col("_x"))).alias("_b"))
-    return state.join(vals, on=[*keys, "PROB"]).select(
-        *keys, "PROB", (F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * F.col("_frac")).alias("QUANTILE"))
+            F.when(narrowed, F.col("_lo1")).otherwise(F.col("_lo0")).alias("_lo"),
+            F.when(narrowed, F.col("_hi1")).otherwise(F.col("_hi0")).alias("_hi"),
+            (F.col("_below0") + F.when(narrowed, F.coalesce("_add", F.lit(0))).otherwise(0)).alias("_below"),
+            F.when(narrowed, F.col("_m1")).otherwise(F.col("_m0")).alias("_m"),
+            F.when(narrowed, F.col("_w1")).otherwise(F.col("_w0")).alias("_w")))
+
+    # one running count per different bracket, whatever the number of probabilities it serves
+    brackets = _keyed(state.select(*keys, "_lo", "_hi").distinct(), keys, "_lo", "_hi")
+    run = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _inside(pairs, keys, brackets).withColumn("_to", F.sum("_c").over(run)) \
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_x", "_c", "_to")
+    t = F.col("_i") - F.col("_below")
+    on = [state[k].eqNullSafe(ranked[f"_k_{k}"]) for k in keys] + [
+        state["_lo"] == ranked["_l"], state["_hi"] == ranked["_h"], F.col("_to") > t, F.col("_to") - F.col("_c") <= t + 1]
+    vals = state.join(ranked, on).groupBy(*keys, "PROB", "_frac").agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+    # with a fraction of 0 the next order statistic has no weight
+    return vals.select(*keys, "PROB", F.when(F.col("_frac") == 0, F.col("_a")).otherwise(
+        F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias("QUANTILE"))
 
 
 def _freeze(state: DataFrame) -> DataFrame:

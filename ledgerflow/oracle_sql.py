@@ -242,7 +242,7 @@ def _det3(a):
             f"+ ({a[0][2]} * (({a[1][0]} * {a[2][1]}) - ({a[1][1]} * {a[2][0]})))")
 
 
-def _forecast_ctes(e: str, series: list[str]) -> str:
+def _forecast_ctes(e: str, series: list[str], splits: int = 3) -> str:
     """monthly totals (t), features (f), folds (fo), coefficients (co), last month (lm)."""
     sk = ", ".join(series)
     sk_ = sk + ", " if series else ""
@@ -257,12 +257,23 @@ def _forecast_ctes(e: str, series: list[str]) -> str:
     a = [[c(i, j) for j in range(3)] for i in range(3)]
     rhs = [f"_c{i}y" for i in range(3)]
     det = _det3(a)
+    varies = [f"(_c{i}{i} > 1e-24 * _m{i} * _m{i})" for i in range(3)]
+    unit = [[f"(CASE WHEN {varies[i]} THEN 1.0::DOUBLE ELSE 0.0 END)" if i == j else
+             f"(CASE WHEN {varies[i]} AND {varies[j]} THEN {c(i, j)} / sqrt(_c{i}{i} * _c{j}{j}) ELSE 0.0 END)"
+             for j in range(3)] for i in range(3)]
+    pairs = [(0, 1), (0, 2), (1, 2)]
+    minors = " + ".join(f"({unit[i][i]} * {unit[j][j]} - {unit[i][j]} * {unit[i][j]})" for i, j in pairs)
+    e2 = " + ".join(f"({a[i][i]} * {a[j][j]} - {a[i][j]} * {a[i][j]})" for i, j in pairs)
+    rank = (f"CASE WHEN {_det3(unit)} > 1e-10 THEN 3 WHEN {minors} > 1e-10 THEN 2 "
+            f"WHEN {' OR '.join(varies)} THEN 1 ELSE 0 END")
     betas = []
     for k in range(3):
         ak = [[rhs[i] if j == k else a[i][j] for j in range(3)] for i in range(3)]
-        betas.append(f"CASE WHEN NOT SINGULAR THEN ({_det3(ak)}) / ({det}) END AS B_{FEATURES[k]}")
-    covs = ", ".join([f"covar_samp({xs[i]}, {xs[j]}) AS _c{i}{j}" for i in range(3) for j in range(i, 3)]
-                     + [f"covar_samp({xs[i]}, {y}) AS _c{i}y" for i in range(3)])
+        two = " + ".join(f"({a[j][j]} * {rhs[k]} - {a[k][j]} * {rhs[j]})" for j in range(3) if j != k)
+        betas.append(f"CASE RANK WHEN 3 THEN ({_det3(ak)}) / ({det}) WHEN 2 THEN ({two}) / ({e2}) "
+                     f"WHEN 1 THEN {rhs[k]} / (_c00 + _c11 + _c22) ELSE 0.0 END AS B_{FEATURES[k]}")
+    covs = ", ".join([f"coalesce(covar_samp({xs[i]}, {xs[j]}), 0.0) AS _c{i}{j}" for i in range(3) for j in range(i, 3)]
+                     + [f"coalesce(covar_samp({xs[i]}, {y}), 0.0) AS _c{i}y" for i in range(3)])
     return f"""{e},
 m AS ({_totals(MONTH_KEYS, "DECIMAL(38,4)")}),
 t AS (SELECT {sk_}ORDER_YEAR, ORDER_MONTH, CAST(sum(TOTAL_REVENUES) AS DOUBLE) AS TOTAL_REVENUES,
@@ -271,18 +282,18 @@ s AS (SELECT *, CAST(row_number() OVER ({part}ORDER BY ORDER_YEAR, ORDER_MONTH)
         lag(TOTAL_REVENUES) OVER ({part}ORDER BY ORDER_YEAR, ORDER_MONTH) AS LAG_1 FROM t),
 f AS (SELECT *, MONTH_IDX - 1 AS SAMPLE FROM s WHERE LAG_1 IS NOT NULL),
 fn AS (SELECT *, count(*) OVER ({part}) AS _n FROM f),
-fn2 AS (SELECT *, CAST(floor(_n / 4) AS BIGINT) AS _ts FROM fn),
+fn2 AS (SELECT *, CAST(floor(_n / {splits + 1}) AS BIGINT) AS _ts FROM fn),
 fo AS (SELECT * EXCLUDE (_n, _ts) FROM (
   SELECT fn2.*, CAST(k.range AS INTEGER) AS FOLD,
     CASE WHEN k.range = 0 THEN 'TRAIN' WHEN _ts < 1 THEN NULL
-         WHEN SAMPLE < _n - (3 - k.range + 1) * _ts THEN 'TRAIN'
-         WHEN SAMPLE < _n - (3 - k.range + 1) * _ts + _ts THEN 'TEST' END AS ROLE
-  FROM fn2, range(4) k) WHERE ROLE IS NOT NULL),
+         WHEN SAMPLE < _n - ({splits} - k.range + 1) * _ts THEN 'TRAIN'
+         WHEN SAMPLE < _n - ({splits} - k.range + 1) * _ts + _ts THEN 'TEST' END AS ROLE
+  FROM fn2, range({splits + 1}) k) WHERE ROLE IS NOT NULL),
 mo AS (SELECT {sk_}FOLD, count(*) AS N_TRAIN, avg({y}) AS _my, {", ".join(f"avg({x}) AS _m{i}" for i, x in enumerate(xs))},
          {covs}
        FROM fo WHERE ROLE = 'TRAIN' GROUP BY {sk_}FOLD),
-mo2 AS (SELECT *, coalesce((abs({det}) <= 1e-12 * abs(_c00 * _c11 * _c22)) OR (N_TRAIN < 4), TRUE) AS SINGULAR FROM mo),
-co0 AS (SELECT {sk_}FOLD, N_TRAIN, {", ".join(betas)}, SINGULAR, _my, _m0, _m1, _m2 FROM mo2),
+mo2 AS (SELECT *, {rank} AS RANK FROM mo),
+co0 AS (SELECT {sk_}FOLD, N_TRAIN, RANK, {", ".join(betas)}, RANK < 3 AS SINGULAR, _my, _m0, _m1, _m2 FROM mo2),
 co AS (SELECT * EXCLUDE (_my, _m0, _m1, _m2),
          _my - (((B_MONTH_IDX * _m0) + (B_ORDER_MONTH * _m1)) + (B_LAG_1 * _m2)) AS INTERCEPT FROM co0),
 pr AS (SELECT fo.*, (((B_MONTH_IDX * CAST(MONTH_IDX AS DOUBLE)) + (B_ORDER_MONTH * CAST(ORDER_MONTH AS DOUBLE)))
@@ -321,16 +332,7 @@ SELECT {sk_}CAST(LAST_YEAR + floor((LAST_MONTH + k - 1) / 12) AS INTEGER) AS ORD
 FROM roll WHERE k >= 1"""
 
 
-def _forecasts(e: str) -> dict[str, str]:
-    q: dict[str, str] = {}
-    fc = _forecast_ctes(e, [])
-    q["forecast_features"] = fc + "\nSELECT ORDER_YEAR, ORDER_MONTH, TOTAL_REVENUES, N_ORDERS, MONTH_IDX, LAG_1, SAMPLE FROM f"
-    q["cv_folds"] = fc + ("\nSELECT FOLD, ROLE, SAMPLE, ORDER_YEAR, ORDER_MONTH, MONTH_IDX, LAG_1, TOTAL_REVENUES "
-                          "FROM fo")
-    q["linear_model"] = fc + ("\nSELECT FOLD, N_TRAIN, SINGULAR, round(B_MONTH_IDX, 4) AS B_MONTH_IDX, "
-                              "round(B_ORDER_MONTH, 4) AS B_ORDER_MONTH, round(B_LAG_1, 10) AS B_LAG_1, "
-                              "round(INTERCEPT, 2) AS INTERCEPT FROM co")
-    q["cv_metrics"] = fc + """,
+_METRICS = """,
 per AS (SELECT FOLD, count(*) AS N_TEST, avg(abs(CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION)) AS MAE,
           sqrt(avg((CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION) * (CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION))) AS RMSE,
           sum((CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION) * (CAST(TOTAL_REVENUES AS DOUBLE) - PREDICTION)) AS sse,
@@ -340,8 +342,24 @@ per2 AS (SELECT FOLD, N_TEST, MAE, RMSE,
            CASE WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 - sse / sst END AS R2 FROM per),
 allr AS (SELECT * FROM per2 UNION ALL
          SELECT 0, NULL, avg(MAE), avg(RMSE), avg(R2) FROM per2)
-SELECT 'LINEAR' AS MODEL, CAST(FOLD AS INTEGER) AS FOLD, N_TEST, round(MAE, 0) AS MAE, round(RMSE, 0) AS RMSE,
-  round(R2, 4) AS R2 FROM allr"""
+SELECT 'LINEAR' AS MODEL, CAST(FOLD AS INTEGER) AS FOLD, N_TEST, round(MAE, {}) AS MAE, round(RMSE, {}) AS RMSE,
+  round(R2, {}) AS R2 FROM allr"""
+
+
+def _forecasts(e: str) -> dict[str, str]:
+    q: dict[str, str] = {}
+    fc = _forecast_ctes(e, [])
+    q["forecast_features"] = fc + "\nSELECT ORDER_YEAR, ORDER_MONTH, TOTAL_REVENUES, N_ORDERS, MONTH_IDX, LAG_1, SAMPLE FROM f"
+    q["cv_folds"] = fc + ("\nSELECT FOLD, ROLE, SAMPLE, ORDER_YEAR, ORDER_MONTH, MONTH_IDX, LAG_1, TOTAL_REVENUES "
+                          "FROM fo")
+    model = ("\nSELECT FOLD, N_TRAIN, RANK, SINGULAR, round(B_MONTH_IDX, {}) AS B_MONTH_IDX, "
+             "round(B_ORDER_MONTH, {}) AS B_ORDER_MONTH, round(B_LAG_1, {}) AS B_LAG_1, "
+             "round(INTERCEPT, {}) AS INTERCEPT FROM co")
+    short = _forecast_ctes(e, [], 12)
+    q["linear_model"] = fc + model.format(4, 4, 10, 2)
+    q["linear_model_short_folds"] = short + model.format(2, 2, 8, 0)
+    q["cv_metrics"] = fc + _METRICS.format(0, 0, 4)
+    q["cv_metrics_short_folds"] = short + _METRICS.format(0, 0, 4)
     q["forecast_linear"] = _recursive(fc) + _rollout(6, [])
     fcs = _forecast_ctes(e, ["ID_COMPANY"])
     q["forecast_linear_by_company"] = _recursive(fcs) + _rollout(6, ["ID_COMPANY"])

@@ -12,8 +12,6 @@ from ledgerflow import schema as S
 from ledgerflow.operators import clean, olap
 from ledgerflow.sources.csv_tables import ORDER_COLUMN, expected_table_report, missing_tables
 
-AUDIT_SCHEMA = "PHASE string, TABLE_NAME string, COLUMN_NAME string, CHECK string, LEVEL string, N long"
-
 
 @dataclass
 class EtlConfig:
@@ -58,11 +56,21 @@ def _check_foreign_keys(tables: dict, cfg: EtlConfig) -> tuple[dict, list]:
     return state, seen
 
 
-def _row_prep(df: DataFrame, name: str, cfg: EtlConfig, date_cols: list[str]) -> DataFrame:
+def row_prep(df: DataFrame, name: str, cfg: EtlConfig, date_cols: list[str]) -> DataFrame:
     df = clean.cast_technical_keys(df, cfg.technical_keys.get(name, ()))
     return clean.normalise_dates(df, date_cols)
 
 
+def lookup_policy(views: dict, date_cols: dict, cfg: EtlConfig) -> dict[str, Column]:
+    """The null policy of each lookup as a condition: its date and critical columns are present."""
+    keep = {}
+    for n, df in views.items():
+        drop = [c for c in df.columns if c in set(date_cols[n]) | set(cfg.critical)]
+        if drop:
+            keep[n] = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drop])
+    return keep
+
+
 class _Stages(dict):
     """Intermediate states, built on first use (the fused OLAP path does not
     need the sequential foreign-key states; the audit does)."""
@@ -93,7 +101,7 @@ class _Stages(dict):
         elif key == "final":
             val = {}
             for n, df in self["fk"].items():
-                df = _row_prep(df, n, cfg, self["date_cols"][n])
+                df = row_prep(df, n, cfg, self["date_cols"][n])
                 val[n] = clean.apply_null_policy(df, self["date_cols"][n], cfg.critical)
             val[cfg.fact] = olap.add_margin(val[cfg.fact])
         else:
@@ -122,15 +130,10 @@ def run_etl(tables: dict[str, DataFrame], cfg: EtlConfig | None = None,
 
     if fused and _fused_allowed(cfg):
         # fact rows: every row step except the FK filter, which the inner joins do
-        fact = _row_prep(pk_state[cfg.fact], cfg.fact, cfg, date_cols[cfg.fact])
+        fact = row_prep(pk_state[cfg.fact], cfg.fact, cfg, date_cols[cfg.fact])
         fact = olap.add_margin(clean.apply_null_policy(fact, date_cols[cfg.fact], cfg.critical))
-        views = {n: _row_prep(df, n, cfg, date_cols[n]) for n, df in pk_state.items() if n != cfg.fact}
-        keep: dict[str, Column] = {}
-        for n, df in views.items():
-            drop = [c for c in df.columns if c in set(date_cols[n]) | set(cfg.critical)]
-            if drop:
-                keep[n] = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drop])
-        joined = olap.check_and_enrich(fact, cfg.fact, views, cfg.relations, keep)
+        views = {n: row_prep(df, n, cfg, date_cols[n]) for n, df in pk_state.items() if n != cfg.fact}
+        joined = olap.check_and_enrich(fact, cfg.fact, views, cfg.relations, lookup_policy(views, date_cols, cfg), cfg.primary_keys)
     else:
         final = st["final"]
         joined = olap.snowflake_join(final[cfg.fact], cfg.fact, final, cfg.relations)
@@ -200,7 +203,7 @@ def build_audit(res: EtlResult, phases: tuple = ("LOAD", "DEDUP", "PK", "FK", "T
                                {"N_8_DIGITS": "INFO", "N_OTHER": "INFO", "N_YEAR_GT_2262": "WARNING"}))
     if "NULLS_PRE" in phases:
         for n, df in st["fk"].items():
-            prepared = _row_prep(df, n, cfg, st["date_cols"][n])
+            prepared = row_prep(df, n, cfg, st["date_cols"][n])
             rep = clean.null_policy_report(n, prepared, st["date_cols"][n], cfg.critical)
             parts.append(_level_rows(rep, "NULLS_PRE"))
     if "NULLS_POST" in phases:

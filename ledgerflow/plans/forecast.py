@@ -19,6 +19,7 @@ class ForecastResult:
     linear_6: DataFrame
     linear_12: DataFrame
     export: DataFrame
+    separation: DataFrame
     gbt_metrics: DataFrame | None = None
     gbt_importance: DataFrame | None = None
     gbt_6: DataFrame | None = None
@@ -32,10 +33,15 @@ def run_forecast(olap: DataFrame, series_keys: Sequence[str] = (), with_gbt: boo
     lr12 = FC.rollout_linear(monthly, coef, 12, series_keys)
     res = ForecastResult(aggregates=aggs, linear_metrics=FC.fold_metrics(pred, series_keys),
                          linear_coefficients=coef, linear_6=lr6, linear_12=lr12,
-                         export=FC.history_plus_forecast(monthly, lr6, series_keys))
-    if with_gbt and not series_keys:
+                         export=FC.history_plus_forecast(monthly, lr6, series_keys),
+                         separation=FC.separation_date(monthly, series_keys))
+    if with_gbt and series_keys:
+        raise ValueError("gradient boosting is fitted for the total series only; pass with_gbt=False with series_keys")
+    if with_gbt:
         gpred, model = FC.gbt_cv(monthly)
-        res.gbt_metrics = FC.fold_metrics(gpred, model="GBT")
-        res.gbt_importance = FC.gbt_importance(model)
-        res.gbt_6 = FC.rollout_model(monthly, model, 6)
+        if gpred is not None:                  # None: too few months for folds
+            res.gbt_metrics = FC.fold_metrics(gpred, model="GBT")
+        if model is not None:
+            res.gbt_importance = FC.gbt_importance(model)
+            res.gbt_6 = FC.rollout_model(monthly, model, 6)
     return res

@@ -11,68 +11,78 @@ recomputing the joins.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.session import checkpoint_dir
 
-ETL_VERSION = "etl-4"
-CACHE_CONF = "ledgerflow.cache.dir"
+ETL_VERSION = "etl-5"
+CACHE_CONF = "spark.ledgerflow.cache.dir"
+
+
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of a path (of any scheme, or of the default one) and the path on it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", "", 1))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:
     """Entry names in a folder on any Hadoop-supported file system."""
-    if "://" not in folder or folder.startswith("file:"):
-        return sorted(os.listdir(folder.replace("file:", "", 1)))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+    fs, p = _fs(spark, folder)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """Every file below a folder with its size and time of change."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    found, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        found.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return sorted(found)
 
 
-def fingerprint(*parts: str, inputs: str | None = None) -> str:
+def fingerprint(*parts: str, inputs: str | None = None, spark: SparkSession | None = None) -> str:
+    """A key of the ETL version, ``parts`` and the state of all files below ``inputs``."""
     h = hashlib.sha1(ETL_VERSION.encode())
     for p in parts:
         h.update(str(p).encode())
-    if inputs and os.path.isdir(inputs):
-        for f in sorted(os.listdir(inputs)):
-            st = os.stat(os.path.join(inputs, f))
-            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
+    if inputs:
+        for f in _files(spark or SparkSession.getActiveSession(), inputs):
+            h.update(f.encode())
     return h.hexdigest()[:16]
 
 
 def cache_root(spark: SparkSession) -> str:
+    """``spark.ledgerflow.cache.dir``, else a folder in the one that ``spark.checkpoint.dir`` names: both
+    outlive the application, so a later run finds the tables.  A session without either (tests) uses
+    its own checkpoint folder."""
     root = spark.conf.get(CACHE_CONF, None)
-    return root or os.path.join(checkpoint_dir(spark), "ledgerflow-tables")
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    return root or f"{base.rstrip('/')}/ledgerflow-tables"
 
 
 def materialized(spark: SparkSession, name: str, build, key: str) -> DataFrame:
     """Read ``name`` for ``key`` if a complete copy exists, else build, write, read."""
-    path = os.path.join(cache_root(spark), f"{name}-{key}")
-    if not _fs_exists(spark, os.path.join(path, "_SUCCESS")):
+    path = f"{cache_root(spark).rstrip('/')}/{name}-{key}"
+    if not _fs_exists(spark, f"{path}/_SUCCESS"):
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
         build().write.mode("overwrite").parquet(tmp)
-        if not _fs_exists(spark, os.path.join(path, "_SUCCESS")):
-            _rename(spark, tmp, path)
-        else:
+        if _fs_exists(spark, f"{path}/_SUCCESS") or not _rename(spark, tmp, path):
             path = tmp   # another writer finished first; use our own complete copy
     return spark.read.parquet(path)
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    if "://" not in src or src.startswith("file:"):
-        os.replace(src.replace("file:", "", 1), dst.replace("file:", "", 1))
-        return
-    jvm = spark.sparkContext._jvm
-    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
+def _rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Whether ``src`` is now ``dst``; not if ``dst`` was there already."""
+    fs, s = _fs(spark, src)
+    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    return not fs.exists(d) and bool(fs.rename(s, d))

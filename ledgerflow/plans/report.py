@@ -8,32 +8,23 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import aggregate as G
 from ledgerflow.operators import profile as P
 
-SHEET_BAD = "\\/*[]:?"
+SUMMARY = "riepilogo"
 
 
-def part_name(name: str, max_len: int = 31) -> str:
-    """Report part names follow spreadsheet sheet-name limits (the report's
-    original destination): forbidden characters become '_', 31 characters."""
-    for ch in SHEET_BAD:
-        name = name.replace(ch, "_")
-    return name[:max_len]
-
-
-def statistics_report(datasets: dict[str, DataFrame], top_k: int = 5) -> dict[str, DataFrame]:
-    """summary + {dataset}_info / _missing / _numeriche / _categoriche."""
-    parts: dict[str, DataFrame] = {"riepilogo": P.shape(datasets)}
+def statistics_report(datasets: dict[str, DataFrame], top_k: int = 5) -> dict[tuple[str, ...], DataFrame]:
+    """Parts by (dataset, part): the summary of all datasets as ("riepilogo",), and for each
+    dataset info, missing, numeriche and categoriche.  Names are kept whole; ``write_report``
+    makes folders of them."""
+    parts: dict[tuple[str, ...], DataFrame] = {(SUMMARY,): P.shape(datasets)}
     for name, df in datasets.items():
-        base = part_name(name)
-        rows = df.agg(F.count(F.lit(1)).alias("v"))
-        parts[part_name(f"{base}_info")] = rows.select(F.explode(F.array(
-            F.struct(F.lit("Numero righe").alias("METRIC"), F.col("v").alias("VALUE")),
-            F.struct(F.lit("Numero colonne").alias("METRIC"), F.lit(len(df.columns)).cast("long").alias("VALUE")),
-        )).alias("r")).select("r.*")
-        parts[part_name(f"{base}_missing")] = P.missing(df)
+        figures = F.array(*[F.struct(F.lit(label).alias("METRIC"), value.cast("long").alias("VALUE")) for label, value in (
+            ("Numero righe", F.col("v")), ("Numero colonne", F.lit(len(df.columns))))])
+        parts[name, "info"] = df.agg(F.count(F.lit(1)).alias("v")).select(F.inline(figures))
+        parts[name, "missing"] = P.missing(df)
         if P.numeric_columns(df):
-            parts[part_name(f"{base}_numeriche")] = P.describe(df)
+            parts[name, "numeriche"] = P.describe(df)
         if P.categorical_columns(df):
-            parts[part_name(f"{base}_categoriche")] = P.top_values(df, k=top_k, include_nulls=True)
+            parts[name, "categoriche"] = P.top_values(df, k=top_k, include_nulls=True)
     return parts
 
 

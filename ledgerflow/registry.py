@@ -21,7 +21,7 @@ from ledgerflow.operators import olap as O
 from ledgerflow.operators import profile as P
 from ledgerflow.plans.etl import build_audit, run_etl
 from ledgerflow.plans.materialize import _fs_exists, cache_root, fingerprint, materialized
-from ledgerflow.sources.csv_tables import ORDER_COLUMN, load_csv_tables
+from ledgerflow.sources.csv_tables import CSV_WRITE, ORDER_COLUMN, load_csv_tables
 from ledgerflow.sources.star import star_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,10 +46,10 @@ def star(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, Dat
     """The six input tables, derived from the test tables once per input
     fingerprint and stored in the shared folder (the source pipeline's CSV
     files play this role)."""
-    key = (*_sid(spark), sf_dir, dirty, "star")
+    variant = "dirty" if dirty else "clean"
+    fp = fingerprint(sf_dir, variant, inputs=sf_dir, spark=spark)
+    key = (*_sid(spark), fp, "star")
     if key not in _PLANS:
-        variant = "dirty" if dirty else "clean"
-        fp = fingerprint(sf_dir, variant, inputs=sf_dir)
         lazy = star_tables(spark, sf_dir, dirty=dirty)
         _PLANS[key] = {n: materialized(spark, f"star-{variant}-{n}", (lambda d=d: d), fp) for n, d in lazy.items()}
     return _PLANS[key]
@@ -58,10 +58,10 @@ def star(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, Dat
 def etl(spark: SparkSession, sf_dir: str, dirty: bool = False):
     """The ETL plan over the star tables; logical plans are immutable, so one
     is built per (session, folder, variant) and shared by every query."""
-    key = (*_sid(spark), sf_dir, dirty)
+    variant = "dirty" if dirty else "clean"
+    fp = fingerprint(sf_dir, variant, inputs=sf_dir, spark=spark)
+    key = (*_sid(spark), fp)
     if key not in _PLANS:
-        variant = "dirty" if dirty else "clean"
-        fp = fingerprint(sf_dir, variant, inputs=sf_dir)
 
         def keep(name, df):
             return materialized(spark, f"{variant}-{name}", lambda: df, fp)
@@ -72,9 +72,9 @@ def etl(spark: SparkSession, sf_dir: str, dirty: bool = False):
 def olap(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """The OLAP table, written once per input fingerprint to the shared folder
     and read back (see plans.materialize)."""
-    key = (*_sid(spark), sf_dir, dirty, "olap")
+    fp = fingerprint(sf_dir, "dirty" if dirty else "clean", inputs=sf_dir, spark=spark)
+    key = (*_sid(spark), fp, "olap")
     if key not in _PLANS:
-        fp = fingerprint(sf_dir, "dirty" if dirty else "clean", inputs=sf_dir)
         _PLANS[key] = materialized(spark, "olap-dirty" if dirty else "olap", lambda: etl(spark, sf_dir, dirty).olap, fp)
     return _PLANS[key]
 
@@ -221,6 +221,8 @@ def q_cost_revenue_bins(spark, sf_dir):
 
 
 COEF_DIGITS = {"B_MONTH_IDX": 4, "B_ORDER_MONTH": 4, "B_LAG_1": 10, "INTERCEPT": 2}
+#: Folds of few samples magnify the last digits of the covariances.
+SHORT_FOLDS, SHORT_DIGITS = 12, {"B_MONTH_IDX": 2, "B_ORDER_MONTH": 2, "B_LAG_1": 8, "INTERCEPT": 0}
 
 
 def monthly_exact(spark, sf_dir, dirty: bool = False):
@@ -239,17 +241,29 @@ def q_cv_folds(spark, sf_dir):
         "FOLD", "ROLE", "SAMPLE", "ORDER_YEAR", "ORDER_MONTH", "MONTH_IDX", "LAG_1", "TOTAL_REVENUES")
 
 
+def _coefficients(coef, digits):
+    return coef.select("FOLD", "N_TRAIN", "RANK", "SINGULAR", *[F.round(c, d).alias(c) for c, d in digits.items()])
+
+
 @query("linear_model")
 def q_linear_model(spark, sf_dir):
-    _, coef = FC.linear_cv(monthly_exact(spark, sf_dir))
-    return coef.select("FOLD", "N_TRAIN", "SINGULAR",
-                       *[F.round(c, d).alias(c) for c, d in COEF_DIGITS.items()])
+    return _coefficients(FC.linear_cv(monthly_exact(spark, sf_dir))[1], COEF_DIGITS)
+
+
+@query("linear_model_short_folds")
+def q_linear_model_short_folds(spark, sf_dir):
+    """The whole series in 12 folds: the first ones lie within one year, where the features are collinear."""
+    return _coefficients(FC.linear_cv(monthly_exact(spark, sf_dir), n_splits=SHORT_FOLDS)[1], SHORT_DIGITS)
 
 
 @query("cv_metrics")
 def q_cv_metrics(spark, sf_dir):
-    pred, _ = FC.linear_cv(monthly_exact(spark, sf_dir))
-    return FC.fold_metrics(pred)
+    return FC.rounded_metrics(FC.fold_metrics(FC.linear_cv(monthly_exact(spark, sf_dir))[0]))
+
+
+@query("cv_metrics_short_folds")
+def q_cv_metrics_short_folds(spark, sf_dir):
+    return FC.rounded_metrics(FC.fold_metrics(FC.linear_cv(monthly_exact(spark, sf_dir), n_splits=SHORT_FOLDS)[0]))
 
 
 def _linear_forecast(spark, sf_dir, horizon, series_keys=()):
@@ -283,7 +297,7 @@ def q_history_plus_forecast(spark, sf_dir):
 
 
 def _gbt(spark, sf_dir):
-    key = (*_sid(spark), sf_dir, "gbt")
+    key = (*_sid(spark), fingerprint(sf_dir, inputs=sf_dir, spark=spark), "gbt")
     if key not in _PLANS:
         _PLANS[key] = FC.gbt_cv(monthly_exact(spark, sf_dir))
     return _PLANS[key]
@@ -292,7 +306,7 @@ def _gbt(spark, sf_dir):
 @query("gbt_model")
 def q_gbt_model(spark, sf_dir):
     preds, _ = _gbt(spark, sf_dir)
-    return FC.fold_metrics(preds, model="GBT")
+    return FC.rounded_metrics(FC.fold_metrics(preds, model="GBT"))
 
 
 @query("gbt_importance")
@@ -432,15 +446,15 @@ def csv_folder(spark, sf_dir: str, dirty: bool = True) -> str:
     <TABLE>.csv, header row, empty field for null) once per input
     fingerprint, in the shared folder."""
     variant = "dirty" if dirty else "clean"
-    folder = os.path.join(cache_root(spark), f"csv-{variant}-{fingerprint(sf_dir, variant, inputs=sf_dir)}")
+    folder = os.path.join(cache_root(spark), f"csv-{variant}-{fingerprint(sf_dir, variant, inputs=sf_dir, spark=spark)}")
     for name, df in star(spark, sf_dir, dirty).items():
         path = os.path.join(folder, f"{name}.csv")
         if not _fs_exists(spark, os.path.join(path, "_SUCCESS")):
-            df.write.mode("overwrite").option("header", True).csv(path)
+            df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
     return folder
 
 
 @query("load_csv")
 def q_load_csv(spark, sf_dir):
     tables = load_csv_tables(spark, csv_folder(spark, sf_dir))
-    return tables[S.SALES].drop(ORDER_COLUMN)
+    return _money_double(tables[S.SALES].drop(ORDER_COLUMN))

@@ -66,9 +66,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives lost executors)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)

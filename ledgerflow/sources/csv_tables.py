@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import re
 from collections.abc import Iterable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow import schema as S
 
+log = logging.getLogger(__name__)
+
 ORDER_COLUMN = "_ROW_ORDER"
 
 
@@ -32,61 +36,100 @@ def expected_table_report(spark: SparkSession, tables: Iterable[str],
     return spark.createDataFrame([(t, t in have) for t in expected], "TABLE_NAME string, PRESENT boolean")
 
 
-def _schema_for(name: str, header: list[str] | None) -> T.StructType:
-    """Declared types for known columns, text for any extra column."""
+#: Dialect of the files that are read and written: quotes doubled inside quoted fields, no trimming.
+CSV_READ = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE", "enforceSchema": False}
+CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "ignoreLeadingWhiteSpace": False,
+             "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+#: Field contents that mean "no value" (fixed values, as data frame libraries read them).
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+               "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+MONEY = T.DecimalType(24, 6)
+
+
+def _text(column: str):
+    """A field as text, null tokens as null."""
+    c = F.col(f"`{column}`")
+    return F.when(~c.isin(*NULL_TOKENS), c)
+
+
+def _kinds(name: str) -> dict[str, T.DataType]:
+    """Declared columns that are not text; money is read as an exact decimal."""
     known = S.TABLE_SCHEMAS.get(name)
-    if known is None or header is None:
-        return known
-    by_name = {f.name: f for f in known.fields}
-    return T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in header])
+    return {f.name: MONEY if isinstance(f.dataType, T.DoubleType) else f.dataType
+            for f in (known.fields if known else ()) if not isinstance(f.dataType, T.StringType)}
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every column as text with null tokens read as null.  Files of one folder must have their
+    columns in one order: Spark compares each file's header with the first and fails if not."""
+    reader = spark.read.options(**CSV_READ).option("multiLine", multi_line)
+    return reader.csv(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str | None = None,
-                   with_order: bool = True) -> DataFrame:
-    """One table. Keys and dates are read as text; money as double.
+                   with_order: bool = True, multi_line: bool = False) -> DataFrame:
+    """One table. Keys and dates are read as text; money as an exact decimal, null where the
+    text is no number (``malformed_values`` counts those).
 
     ``with_order`` adds a file-order column (file, block, position) used to
-    keep the *first* of duplicate primary keys.
+    keep the *first* of duplicate primary keys.  ``multi_line`` reads fields
+    with line breaks inside quotes (a file is then one task).
     """
-    name = name or table_name_from_file(path)
-    header_df = spark.read.option("header", True).csv(path)
-    schema = _schema_for(name, header_df.columns)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    df = reader.schema(schema).csv(path) if schema is not None else header_df
+    raw = read_csv_text(spark, path, multi_line)
     if with_order:
-        df = df.withColumn(ORDER_COLUMN, F.struct(
+        raw = raw.withColumn(ORDER_COLUMN, F.struct(
             F.col("_metadata.file_path").alias("f"),
             F.col("_metadata.file_block_start").alias("b"),
             F.monotonically_increasing_id().alias("i")))
-    return df
+    return typed(raw, name or table_name_from_file(path))
+
+
+def typed(raw: DataFrame, name: str) -> DataFrame:
+    """Text columns of table ``name`` with null tokens as null and numbers as numbers."""
+    kinds = _kinds(name)
+    return raw.select(*[F.col(c) if c == ORDER_COLUMN else (_text(c).try_cast(kinds[c]) if c in kinds else _text(c)).alias(c)
+                        for c in raw.columns])
+
+
+def malformed_values(spark: SparkSession, path: str, name: str | None = None, multi_line: bool = False) -> DataFrame:
+    """(TABLE_NAME, COLUMN_NAME, MALFORMED): values of declared number columns that are no number."""
+    name = name or table_name_from_file(path)
+    raw = read_csv_text(spark, path, multi_line)
+    kinds = {c: k for c, k in _kinds(name).items() if c in raw.columns}
+    if not kinds:
+        return spark.createDataFrame([], "TABLE_NAME string, COLUMN_NAME string, MALFORMED long")
+    row = raw.agg(*[F.count_if(_text(c).isNotNull() & _text(c).try_cast(k).isNull()).alias(c) for c, k in kinds.items()])
+    return row.unpivot([], list(kinds), "COLUMN_NAME", "MALFORMED").select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", "MALFORMED")
 
 
-def load_csv_tables(spark: SparkSession, folder: str,
-                    expected: Iterable[str] = S.EXPECTED_TABLES) -> dict[str, DataFrame] | None:
-    """All expected tables from ``folder``; None when any is missing or empty.
+def load_csv_tables(spark: SparkSession, folder: str, expected: Iterable[str] = S.EXPECTED_TABLES,
+                    problems: dict[str, str] | None = None, multi_line: bool = False) -> dict[str, DataFrame] | None:
+    """All expected tables from ``folder``; None when any is missing, unreadable or empty.
+    ``problems`` is filled with the reason for each table that failed.
 
     Emptiness is checked with ``isEmpty`` (reads one row), not a count.
     """
     from ledgerflow.plans.materialize import list_names
-    files = {table_name_from_file(f): os.path.join(folder, f)
+    files = {table_name_from_file(f): f"{folder.rstrip('/')}/{f}"
              for f in list_names(spark, folder) if f.lower().endswith(".csv")}
     tables: dict[str, DataFrame] = {}
-    failed = []
+    problems = {} if problems is None else problems
     for name in expected:
-        path = files.get(name)
-        if path is None:
-            failed.append(name)
+        if name not in files:
+            problems[name] = "no file of this name"
             continue
         try:
-            df = read_csv_table(spark, path, name)
+            df = read_csv_table(spark, files[name], name, multi_line=multi_line)
             if df.isEmpty():
-                failed.append(name)
+                problems[name] = "no rows"
                 continue
-        except Exception:  # unreadable file: the whole load fails
-            failed.append(name)
+        except PySparkException as e:
+            problems[name] = f"unreadable: {str(e).splitlines()[0]}"
             continue
         tables[name] = df
-    return None if failed else tables
+    for name, reason in problems.items():
+        log.warning("table %s: %s", name, reason)
+    return None if problems else tables
 
 
 def choose_tables(tables: dict[str, DataFrame] | None, load: bool,

@@ -13,7 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from ledgerflow.session import build_session
     s = build_session("local[4]", shuffle_partitions=4,
-                      **{"ledgerflow.cache.dir": str(tmp_path_factory.mktemp("tables"))})
+                      **{"spark.ledgerflow.cache.dir": str(tmp_path_factory.mktemp("tables"))})
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s

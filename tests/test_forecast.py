@@ -46,10 +46,35 @@ def test_ols_matches_lstsq(spark):
     assert [c.INTERCEPT, c.B_MONTH_IDX, c.B_ORDER_MONTH, c.B_LAG_1] == pytest.approx(beta, rel=1e-6)
 
 
-def test_singular_fit_is_null(spark):
-    monthly = _monthly(spark, [5.0] * 30)                # constant: LAG_1 is collinear with the intercept
+@pytest.mark.parametrize("revenues,rank", [
+    ([100 + 7 * i + (i * i) % 11 for i in range(30)], 3),
+    ([100 + 7 * i + (i * i) % 11 for i in range(12)], 2),       # one calendar year: month and index are collinear
+    ([5.0] * 12, 1), ([5.0] * 30, 2), ([3.0, 5.0], 0)])
+def test_minimum_norm_fit_equals_lstsq(spark, revenues, rank):
+    monthly = _monthly(spark, revenues, start=(2025, 1))
     c = FC.linear_fit(FC.cv_folds(FC.features(monthly))).where("FOLD = 0").first()
-    assert c.SINGULAR and c.B_LAG_1 is None
+    pdf = FC.features(monthly).orderBy("SAMPLE").toPandas()
+    X = pdf[["MONTH_IDX", "ORDER_MONTH", "LAG_1"]].to_numpy(float)
+    y = pdf.TOTAL_REVENUES.to_numpy()
+    beta = np.linalg.lstsq(X - X.mean(0), y - y.mean(), rcond=1e-9)[0]
+    assert c.RANK == rank and c.SINGULAR == (rank < 3)
+    assert [c.B_MONTH_IDX, c.B_ORDER_MONTH, c.B_LAG_1] == pytest.approx(beta, rel=1e-6, abs=1e-8)
+    assert c.INTERCEPT == pytest.approx(y.mean() - X.mean(0) @ beta, rel=1e-6)
+
+
+def test_fifteen_months_have_metrics_and_a_forecast(spark):
+    monthly = _monthly(spark, [0.3 + 0.01 * i + 0.02 * (i % 3) for i in range(15)], start=(2025, 1))
+    pred, coef = FC.linear_cv(monthly)
+    metrics = FC.fold_metrics(pred).collect()
+    assert len(metrics) == 4 and all(None not in (r.MAE, r.RMSE, r.R2) for r in metrics)
+    assert 0 < [r.MAE for r in metrics if r.FOLD == 0][0] < 0.5            # not rounded away
+    assert all(r.FORECAST_REVENUES is not None for r in FC.rollout_linear(monthly, coef, 6).collect())
+    assert str(FC.separation_date(monthly).first().DATE) == "2026-03-01"
+
+
+def test_gbt_on_a_short_series(spark):
+    preds, model = FC.gbt_cv(_monthly(spark, [1.0, 2.0, 3.0]))
+    assert preds is None and model is not None
 
 
 def test_rollout_wraps_months_and_clips(spark):
@@ -97,10 +122,3 @@ def test_gbt_importances_sum_to_one(spark):
     assert sum(r.IMPORTANCE for r in imp) == pytest.approx(1.0)
     assert preds.count() == 3 * (35 // 4)
     assert FC.rollout_model(monthly, model, 2).count() == 2
-
-
-def test_singular_fit_forecasts_null(spark):
-    monthly = _monthly(spark, [5.0] * 30)
-    _, coef = FC.linear_cv(monthly)
-    out = FC.rollout_linear(monthly, coef, 3).collect()
-    assert len(out) == 3 and all(r.FORECAST_REVENUES is None for r in out)

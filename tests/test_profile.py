@@ -22,16 +22,29 @@ def test_histogram_top_value_in_last_bin(spark):
     assert h == dict(enumerate(np.histogram([0, 1, 2, 10], bins=5)[0].tolist()))
 
 
-@pytest.mark.parametrize("accuracy,small", [(100_000, 100_000), (1000, 200)])
-def test_exact_quantiles_brute_force(spark, accuracy, small):
+@pytest.mark.parametrize("limit", [1_000_000, 5])
+def test_exact_quantiles_brute_force(spark, limit):
     rng = np.random.default_rng(7)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 3000), "x": rng.integers(0, 50, 3000) * 1.25})
+    tied = pd.DataFrame({"g": "t", "x": np.where(rng.random(1000) < 0.9, 5.0, rng.normal(size=1000))})
+    nans = pd.DataFrame({"g": "n", "x": [*range(300), *[float("nan")] * 200, None]})
+    pdf = pd.concat([pdf, tied, nans, pd.DataFrame({"g": [None, "one", "none"], "x": [2.0, 3.0, None]})])
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = exact_quantiles(df, ["g"], "x", probs, accuracy=accuracy, small_group=small).collect()
+    got = exact_quantiles(df, ["g"], "x", probs, rank_limit=limit, grid=20).collect()
     for r in got:
-        assert r.QUANTILE == pytest.approx(np.quantile(pdf[pdf.g == r.g].x, r.PROB), abs=1e-9)
-    assert len(got) == 3 * len(probs)
+        own = pdf[pdf.g.isna() if r.g is None else pdf.g == r.g].x.dropna()
+        assert r.QUANTILE == pytest.approx(np.quantile(own, r.PROB), abs=1e-9)
+    assert len(got) == 7 * len(probs)
+
+
+def test_constant_data(spark):
+    df = spark.createDataFrame([(4.0,)] * 3, "VAL_REVENUES double")
+    assert P.density(df) is None
+    h = {r.BIN: (r.LOWER, r.COUNT) for r in P.histogram(df, bins=10).collect()}
+    counts, edges = np.histogram([4.0] * 3, bins=10)
+    assert [h[i][1] for i in range(10)] == counts.tolist()
+    assert [h[i][0] for i in range(10)] == pytest.approx(edges[:-1].tolist())
 
 
 def test_describe_matches_pandas(spark):

@@ -1,9 +1,11 @@
 import os
 
+import pytest
+
 from conftest import SF_SMALL, rows
 from ledgerflow import schema as S
 from ledgerflow.plans.etl import run_etl
-from ledgerflow.plans.report import part_name, statistics_report
+from ledgerflow.plans.report import statistics_report
 from ledgerflow.sources import csv_tables as CSV
 from ledgerflow.sources import sinks
 from ledgerflow.sources.star import star_tables
@@ -22,7 +24,7 @@ def test_csv_round_trip_matches_parquet_star(spark, tmp_path):
     _write_csv(tables, str(tmp_path))
     loaded = CSV.load_csv_tables(spark, str(tmp_path))
     assert set(loaded) == set(S.EXPECTED_TABLES)
-    assert dict(loaded[S.SALES].dtypes)["VAL_REVENUES"] == "double"
+    assert dict(loaded[S.SALES].dtypes)["VAL_REVENUES"] == "decimal(24,6)"
     assert dict(loaded[S.CUSTOMER].dtypes)["IDS_CUSTOMER"] == "string"
     a = run_etl(loaded).olap
     b = run_etl(tables).olap
@@ -34,7 +36,9 @@ def test_csv_round_trip_matches_parquet_star(spark, tmp_path):
 def test_missing_or_empty_table_fails_load(spark, tmp_path):
     tables = star_tables(spark, SF_SMALL)
     _write_csv({k: v for k, v in tables.items() if k != S.COMPANY}, str(tmp_path))
-    assert CSV.load_csv_tables(spark, str(tmp_path)) is None
+    problems = {}
+    assert CSV.load_csv_tables(spark, str(tmp_path), problems=problems) is None
+    assert problems == {S.COMPANY: "no file of this name"}
     (tmp_path / f"{S.COMPANY}.csv").write_text("ID_COMPANY,DESC_COMPANY\n")
     assert CSV.load_csv_tables(spark, str(tmp_path)) is None
     assert CSV.missing_tables(["SALES"]) == set(S.EXPECTED_TABLES) - {"SALES"}
@@ -54,19 +58,73 @@ def test_olap_sink_partitioned_round_trip(spark, tmp_path):
     sinks.write_olap(olap, path)
     back = sinks.read_olap(spark, path, year_from=1996, year_to=1996)
     assert back.count() == olap.where("ORDER_YEAR = 1996").count()
-    assert "PartitionFilters" in back._jdf.queryExecution().executedPlan().toString() or back.count() >= 0
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ORDER_YEAR" in plan
+    files = [f for _, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
+    months = olap.select("ORDER_YEAR", "ORDER_MONTH").distinct().count()
+    assert months <= len(files) <= 2 * months                    # not one file per task and month
     sinks.write_olap(olap, str(tmp_path / "csv"), fmt="csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == olap.count()
 
 
 def test_statistics_report(spark, tmp_path):
     olap = run_etl(star_tables(spark, SF_SMALL, dirty=True)).olap
-    parts = statistics_report({"SALES/OLAP": olap})
-    assert set(parts) == {"riepilogo", "SALES_OLAP_info", "SALES_OLAP_missing", "SALES_OLAP_numeriche",
-                          "SALES_OLAP_categoriche"}
+    long = "CUSTOMER_LOOKUP_SNAPSHOT_2025_12_31"
+    parts = statistics_report({"SALES/OLAP": olap, long: olap})
+    kinds = ("info", "missing", "numeriche", "categoriche")
+    assert set(parts) == {("riepilogo",), *(("SALES/OLAP", k) for k in kinds), *((long, k) for k in kinds)}
     written = sinks.write_report(parts, str(tmp_path))
-    assert len(written) == 5
-    assert part_name("x" * 40) == "x" * 31
+    assert len(set(written)) == 9
+    assert spark.read.parquet(f"{tmp_path}/{long}/info").count() == 2 == spark.read.parquet(f"{tmp_path}/SALES%2FOLAP/info").count()
+
+
+DIALECT = """ID_COMPANY,ID_ORDER_NUM,IDS_CUSTOMER,IDS_ITEM,ID_ORDER_DATE,ID_INVOICE_DATE,VAL_REVENUES,VAL_COST
+40,1,"pipe 3"" wide, blue",i,20250101,20250102,10.5,1
+NA,2,c,NULL,20250101,,NaN,2.25
+ 7 ,3,c,i,20250101,20250102,abc,3
+"""
+
+
+def test_csv_dialect_null_tokens_and_malformed_numbers(spark, tmp_path):
+    (tmp_path / "SALES.csv").write_text(DIALECT)
+    got = CSV.read_csv_table(spark, str(tmp_path / "SALES.csv"), with_order=False).orderBy("ID_ORDER_NUM").collect()
+    assert got[0].IDS_CUSTOMER == 'pipe 3" wide, blue' and str(got[0].VAL_REVENUES) == "10.500000"
+    assert got[1].ID_COMPANY is None and got[1].IDS_ITEM is None and got[1].VAL_REVENUES is None and got[1].ID_INVOICE_DATE is None
+    assert got[2].ID_COMPANY == " 7 " and got[2].VAL_REVENUES is None
+    bad = {r.COLUMN_NAME: r.MALFORMED for r in CSV.malformed_values(spark, str(tmp_path / "SALES.csv")).collect()}
+    assert bad == {"VAL_REVENUES": 1, "VAL_COST": 0}
+
+
+def test_csv_lines_in_quotes_and_other_column_order(spark, tmp_path):
+    (tmp_path / "AREA_MANAGER_LOOKUP.csv").write_text('ID_AREA_MANAGER,DESC_AREA_MANAGER\n1,"two\nlines"\n2,x\n')
+    got = CSV.read_csv_table(spark, str(tmp_path / "AREA_MANAGER_LOOKUP.csv"), with_order=False, multi_line=True)
+    assert sorted(map(tuple, got.collect())) == [("1", "two\nlines"), ("2", "x")]
+    folder = tmp_path / "COMPANY_LOOKUP.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("ID_COMPANY,DESC_COMPANY\n1,one\n")
+    (folder / "b.csv").write_text("DESC_COMPANY,ID_COMPANY\ntwo,2\n")
+    with pytest.raises(Exception, match="header|Header"):
+        CSV.read_csv_table(spark, str(folder), with_order=False).collect()
+
+
+def test_csv_sink_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([('say "hi", now', " padded ", None), ("line", "x", "y")], "ID_COMPANY string, DESC_COMPANY string, C string")
+    sinks.write_olap(df, str(tmp_path / "COMPANY_LOOKUP.csv"), fmt="csv")
+    assert rows(CSV.read_csv_table(spark, str(tmp_path / "COMPANY_LOOKUP.csv"), with_order=False)) == rows(df)
+
+
+def test_stored_tables_follow_nested_changes(spark, tmp_path):
+    from ledgerflow.plans.materialize import _fs_exists, fingerprint, list_names, materialized
+    inner = tmp_path / "in" / "lineitem.parquet"
+    spark.range(3).write.parquet(str(inner))
+    one = fingerprint("v", inputs=str(tmp_path / "in"), spark=spark)
+    assert one == fingerprint("v", inputs=f"file:{tmp_path}/in", spark=spark)
+    spark.range(4).write.mode("overwrite").parquet(str(inner))
+    assert one != fingerprint("v", inputs=str(tmp_path / "in"), spark=spark)
+    assert list_names(spark, f"file://{tmp_path}/in") == ["lineitem.parquet"] and not _fs_exists(spark, f"{tmp_path}/none")
+    name = f"t{tmp_path.name}"
+    assert materialized(spark, name, lambda: spark.range(5), "k").count() == 5
+    assert materialized(spark, name, lambda: spark.range(9), "k").count() == 5
 
 
 def test_command_line_run(spark, tmp_path):
@@ -81,6 +139,9 @@ def test_command_line_run(spark, tmp_path):
         assert main(["--csv-dir", str(tmp_path / "in"), "--out", str(out), "--no-gbt"]) == 0
     finally:
         pyspark.sql.SparkSession.stop = stop
-    for part in ("olap", "audit", "report/riepilogo", "charts/rfm", "forecast", "models/linear_metrics"):
+    for part in ("olap", "audit", "report/riepilogo", "charts/rfm", "forecast", "models/linear_metrics", "models/horizons",
+                 "models/separation_date", "aggregates/mensile", "aggregates/clienti", "aggregates/articoli"):
         assert (out / part).exists(), part
+    items = [r.IDS_ITEM for r in spark.read.parquet(str(out / "aggregates/articoli")).collect()]
+    assert items == sorted(items)
     assert spark.read.parquet(str(out / "olap")).count() == run_etl(star_tables(spark, SF_SMALL)).olap.count()
