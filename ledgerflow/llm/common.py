@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ledgerflow.session import checkpoint_dir
 
+#: Rows that a Python function gets at a time: what it builds beside an Arrow batch stays small.
+SLICE_ROWS = 512
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -50,7 +52,9 @@ def arrow_column(df: DataFrame, source: str, out: str, kind: T.DataType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), of(batch.column(at))], schema.names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), of(batch.column(at))], schema.names)
 
     return df.mapInArrow(run, schema)
