@@ -164,14 +164,19 @@ FROM u WHERE MISSING > 0"""
   {round_exact(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)")} AS P75, {round_exact(f"max({c})")} AS MAX
 FROM olap""" for c in MONEY])
     pairs = _union([f"SELECT '{c}' AS COLUMN_NAME, CAST({c} AS VARCHAR) AS VALUE FROM olap" for c in CATEGORICAL])
-    q["profile_topk"] = f"""{ed},
+    def topk(k: int, nulls: bool) -> str:
+        base = "(SELECT count(*) FROM olap)" if nulls else "sum(FREQUENCY) OVER (PARTITION BY COLUMN_NAME)"
+        return f"""{ed},
 p AS ({pairs}),
-c AS (SELECT COLUMN_NAME, VALUE, count(*) AS FREQUENCY FROM p GROUP BY COLUMN_NAME, VALUE),
-r AS (SELECT *, row_number() OVER (PARTITION BY COLUMN_NAME ORDER BY FREQUENCY DESC, VALUE ASC NULLS LAST) AS RANK
-      FROM c)
+c AS (SELECT COLUMN_NAME, VALUE, count(*) AS FREQUENCY FROM p {"" if nulls else "WHERE VALUE IS NOT NULL"} GROUP BY COLUMN_NAME, VALUE),
+r AS (SELECT *, row_number() OVER (PARTITION BY COLUMN_NAME ORDER BY FREQUENCY DESC, VALUE ASC NULLS LAST) AS RANK,
+        {base} AS N FROM c)
 SELECT COLUMN_NAME, CAST(RANK AS INTEGER) AS RANK, VALUE, FREQUENCY,
-  {round_exact("CAST(FREQUENCY AS DOUBLE) * 100.0::DOUBLE / CAST((SELECT count(*) FROM olap) AS DOUBLE)", 2, 10)} AS PCT
-FROM r WHERE RANK <= 5"""
+  {round_exact("CAST(FREQUENCY AS DOUBLE) * 100.0::DOUBLE / CAST(N AS DOUBLE)", 2, 10)} AS PCT
+FROM r WHERE RANK <= {k}"""
+    q["profile_topk"] = topk(5, True)
+    q["profile_topk_10"] = topk(10, True)
+    q["profile_topk_10_values"] = topk(10, False)
     q["profile_range"] = e + "\n" + _union(
         [f"SELECT '{c}' AS COLUMN_NAME, CAST(min({c}) AS DOUBLE) AS MIN, CAST(max({c}) AS DOUBLE) AS MAX FROM olap"
          for c in MONEY])
@@ -514,6 +519,14 @@ SELECT COLUMN_NAME, CAST(NULLS AS BIGINT) AS NULLS, CASE COLUMN_NAME {pos} END A
                    f"AS ROWS_BEFORE, (SELECT count(*) FROM (SELECT DISTINCT * FROM {cs}) a LEFT JOIN "
                    f"(SELECT DISTINCT * FROM {ps}) b ON a.{fk} = b.{PKS[p]}) AS ROWS_AFTER")
     q["join_fanout"] = ed + "\n" + _union(fan)
+    columns = 'PHASE, TABLE_NAME, COLUMN_NAME, "CHECK", LEVEL, N'
+    load = [f"SELECT 'LOAD' AS PHASE, '{n}' AS TABLE_NAME, NULL AS COLUMN_NAME, 'PRESENT' AS \"CHECK\", 'OK' AS LEVEL, 1 AS N"
+            for n in TABLES]
+    dates = [f"SELECT 'DATES', TABLE_NAME, COLUMN_NAME, '{c}', {level}, {c} FROM ({q['date_profile']})" for c, level in (
+        ("N_8_DIGITS", "'INFO'"), ("N_OTHER", "'INFO'"), ("N_YEAR_GT_2262", "CASE WHEN N_YEAR_GT_2262 > 0 THEN 'WARNING' ELSE 'OK' END"))]
+    nulls = [f"SELECT '{phase}', TABLE_NAME, COLUMN_NAME, 'NULLS_' || ACTION, LEVEL, NULLS FROM ({q[name]})"
+             for phase, name in (("NULLS_PRE", "nulls_pre"), ("NULLS_POST", "nulls_post"))]
+    q["audit_full"] = _union([*load, f"SELECT {columns} FROM ({q['integrity_audit']})", *dates, *nulls])
     return q
 
 

@@ -158,7 +158,8 @@ def _rows(df: DataFrame, phase: str, table: Column, column: Column, checks: dict
         parts.append(df.select(F.lit(phase).alias("PHASE"), table.alias("TABLE_NAME"), column.alias("COLUMN_NAME"),
                                F.lit(check).alias("CHECK"),
                                (F.lit(level) if level == "INFO" else
-                                F.when(n > 0, F.lit(level)).otherwise(F.lit("OK"))).alias("LEVEL"),
+                                F.when(n.isNull(), F.lit("WARNING"))          # the column isn't there
+                                .when(n > 0, F.lit(level)).otherwise(F.lit("OK"))).alias("LEVEL"),
                                n.alias("N")))
     return reduce(DataFrame.unionByName, parts)
 
@@ -169,7 +170,7 @@ def build_audit(res: EtlResult, phases: tuple = ("LOAD", "DEDUP", "PK", "FK", "T
     parts = []
     if "LOAD" in phases:
         inputs = _input_tables(res)
-        rep = expected_table_report(res.olap.sparkSession, inputs.keys(), [cfg.fact, *cfg.primary_keys])
+        rep = expected_table_report(res.olap.sparkSession, inputs.keys(), dict.fromkeys([cfg.fact, *cfg.primary_keys]))
         parts.append(rep.select(F.lit("LOAD").alias("PHASE"), "TABLE_NAME", F.lit(None).cast("string").alias("COLUMN_NAME"),
                                 F.lit("PRESENT").alias("CHECK"),
                                 F.when(F.col("PRESENT"), "OK").otherwise("ERROR").alias("LEVEL"),

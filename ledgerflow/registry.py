@@ -177,6 +177,16 @@ def q_profile_topk(spark, sf_dir):
     return P.top_values(olap(spark, sf_dir, dirty=True), k=5, include_nulls=True)
 
 
+@query("profile_topk_10")
+def q_profile_topk_10(spark, sf_dir):
+    return P.top_values(olap(spark, sf_dir, dirty=True), k=10, include_nulls=True)
+
+
+@query("profile_topk_10_values")
+def q_profile_topk_10_values(spark, sf_dir):
+    return P.top_values(olap(spark, sf_dir, dirty=True), k=10, include_nulls=False)
+
+
 @query("profile_range")
 def q_profile_range(spark, sf_dir):
     return P.numeric_range(olap(spark, sf_dir))
@@ -385,6 +395,11 @@ def q_integrity_audit(spark, sf_dir):
     return build_audit(_dirty(spark, sf_dir), phases=("DEDUP", "PK", "FK", "TECHNICAL"))
 
 
+@query("audit_full")
+def q_audit_full(spark, sf_dir):
+    return build_audit(_dirty(spark, sf_dir))
+
+
 @query("nulls_pre")
 def q_nulls_pre(spark, sf_dir):
     res = _dirty(spark, sf_dir)
