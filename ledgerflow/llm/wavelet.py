@@ -26,6 +26,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from ledgerflow.session import checkpoint_dir
 SHARD_TOKENS = 1 << 20
 #: Bits to one entry of a rank directory.
 BLOCK = 2048
-#: Units a worker remembers before it starts anew.
-REMEMBER = 300_000
+#: Units a worker remembers before it starts anew; new units that are encoded as one text.
+REMEMBER, TOGETHER = 600_000, 500
 MAGIC = b"WMX1"
 _HEAD = struct.Struct("<4sBQQ")
 _PLANE = struct.Struct("<QI")
@@ -195,6 +196,10 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[str, bytes | None] = {}          # units behind a blank; None: not a unit
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)          # bytes of each id
+        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]   # a character stands for a byte
+        self.joins = not any(c.isspace() for t in self.tokenizer.get_added_tokens_decoder().values() for c in t.content)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -202,27 +207,51 @@ class UnitEncoder:
     def _learn(self, units: set[str]) -> None:
         if len(self.known) + len(units) > REMEMBER:
             self.known.clear()
-        new = [u for u in units if u not in self.known]
+        unseen = units.difference(self.known)
         # an empty unit or one that ends in white space is part of a run of white space
-        self.known.update((u, None) for u in new if not u or u[-1].isspace())
-        new = [u for u in new if u and not u[-1].isspace()]
-        for u, e in zip(new, self.tokenizer.encode_batch_fast([" " + u for u in new], add_special_tokens=False)):
-            self.known[u] = np.array(e.ids, "<u4").tobytes()
+        runs = [u for u in unseen if not u or u[-1].isspace()]
+        self.known.update(dict.fromkeys(runs))
+        new = list(unseen.difference(runs))
+        for k in range(0, len(new), TOGETHER):
+            some = new[k:k + TOGETHER]
+            self.known.update(zip(some, self._together(some)))
+
+    def _together(self, units: list[str]) -> list[bytes]:
+        """Ids of units, encoded as one text and cut where the bytes of the ids reach each unit's end."""
+        behind = [" " + u for u in units]
+        if self.joins:
+            one, = self.tokenizer.encode_batch_fast(["".join(behind)], add_special_tokens=False)
+            ids = np.array(one.ids, "<u4")
+            reached = np.cumsum(self.sizes[ids])
+            ends = np.cumsum([len(u.encode()) for u in behind])
+            cuts = np.searchsorted(reached, ends)
+            if len(ids) and cuts[-1] == len(ids) - 1 and (reached[cuts] == ends).all():
+                data, cuts = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+                return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(behind, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").split(" ") for t in texts]
-        units: set[str] = set()
-        for s in split:
-            units.update(s[1:])
-        self._learn(units)
-        out, known = [], self.known
-        for t, s in zip(texts, split):
-            rest = [known[u] for u in s[1:]]
-            if None in rest or rest and (not s[0] or s[0][-1].isspace()):
-                out.append(self._ids(t) + self.end)
-            else:
-                out.append(b"".join([self._ids(s[0]), *rest, self.end]) if s[0] else self.end)
-        return out
+        split = []
+        for t in texts:
+            first, blank, rest = (t or "").partition(" ")
+            split.append((first, rest.split(" ") if blank else []))
+        self._learn(set().union(*(rest for _, rest in split)))
+        return [self._one(t, first, rest) for t, (first, rest) in zip(texts, split)]
+
+    def _one(self, text: str | None, first: str, rest: list[str]) -> bytes:
+        if rest and (not first or first[-1].isspace()):
+            return self._ids(text) + self.end
+        try:
+            tail = b"".join(map(self.known.__getitem__, rest))
+        except TypeError:                                  # a run of white space: no units here
+            return self._ids(text) + self.end
+        return (self._ids(first) if first else b"") + tail + self.end
+
+
+@lru_cache(maxsize=2)
+def unit_encoder(tokenizer_json: str, end_id: int) -> UnitEncoder:
+    """One for each worker process, so that later tasks find the units of earlier ones."""
+    return UnitEncoder(tokenizer_json, end_id)
 
 
 def write_shards(df: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, id_col: str = "doc_id",
@@ -235,7 +264,7 @@ def write_shards(df: DataFrame, tokenizer_path: str, end_id: int, path: str | No
     width = max(max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end_id + 1) - 1, 1).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = UnitEncoder(tokenizer_json, end_id), TaskContext.get().partitionId()
+        encoder, part = unit_encoder(tokenizer_json, end_id), TaskContext.get().partitionId()
         docs, ids, size, before, number = [], [], 0, 0, 0
 
         def shard() -> pa.RecordBatch:
