@@ -309,6 +309,7 @@ def infer_wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     order = Window.partitionBy("host").orderBy(F.xxhash64("page"), "page")
     slim = rows.filter("html <> ''").select("host", "page").distinct() \
         .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_pages).select("host", "page")
+    slim = stored(slim, "wrapper-sample")         # its known size lets Spark broadcast it where it is small
     sample = rows.join(slim, ["host", "page"]).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_pages)
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
