@@ -9,7 +9,8 @@ often an id occurs), ``select`` and ``occurrences`` (where).  Spark writes and
 commits the files (a Parquet row each), so any store it can write will do and a
 lost executor costs a task.
 
-Encoding uses the tokenizers library.  A blank that follows a visible character
+Encoding uses the tokenizers library, for byte-level BPE with the usual split
+into words, numbers and signs.  A blank that follows a visible character
 always starts a new unit in byte-level BPE, so units between such blanks are
 encoded once and remembered; a text with other runs of white space is encoded
 whole.
@@ -43,6 +44,8 @@ SHARD_TOKENS = 1 << 20
 BLOCK = 2048
 #: Units a worker remembers before it starts anew; new units that are encoded as one text.
 REMEMBER, TOGETHER = 600_000, 500
+#: Letters up to here are letters for every version of Unicode.
+LATIN_END = "\u0250"
 MAGIC = b"WMX1"
 _HEAD = struct.Struct("<4sBQQ")
 _PLANE = struct.Struct("<QI")
@@ -57,9 +60,10 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray, width: int) -> WaveletMatrix:
         planes, zeros, ranks = [], [], []
-        now = ids.astype(np.uint32)
+        kind = np.uint16 if width <= 16 else np.uint32
+        now = ids.astype(kind)
         for level in range(width):
-            bit = ((now >> np.uint32(width - 1 - level)) & np.uint32(1)).astype(bool)
+            bit = (now & kind(1 << (width - 1 - level))) != 0
             packed = np.packbits(bit, bitorder="little")
             planes.append(packed)
             zeros.append(int(len(now) - bit.sum()))
@@ -131,14 +135,15 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """The whole sequence: planes undone from the last to the first."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.width <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for level in range(self.width - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             now = np.empty_like(out)
             now[~bit] = out[:self.zeros[level]]
-            now[bit] = out[self.zeros[level]:] | np.uint32(1 << (self.width - 1 - level))
+            now[bit] = out[self.zeros[level]:] | kind(1 << (self.width - 1 - level))
             out = now
-        return out
+        return out.astype(np.uint32)
 
 
 class Shard:
@@ -196,6 +201,7 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[str, bytes | None] = {}          # units behind a blank; None: not a unit
+        self.pauses = {c: self._ids(c) for c in ",.;:!?"}
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)          # bytes of each id
         self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]   # a character stands for a byte
@@ -211,10 +217,14 @@ class UnitEncoder:
         # an empty unit or one that ends in white space is part of a run of white space
         runs = [u for u in unseen if not u or u[-1].isspace()]
         self.known.update(dict.fromkeys(runs))
-        new = list(unseen.difference(runs))
+        # a pause behind a letter is a piece of its own: the word without it is encoded once
+        stems = {u: u[:-1] for u in unseen if len(u) > 1 and u[-1] in self.pauses and u[-2].isalpha() and u[-2] < LATIN_END}
+        new = [u for u in unseen.difference(runs).union(stems.values()) if u not in stems and u not in self.known]
         for k in range(0, len(new), TOGETHER):
             some = new[k:k + TOGETHER]
             self.known.update(zip(some, self._together(some)))
+        for u in sorted(stems, key=len):
+            self.known[u] = self.known[stems[u]] + self.pauses[u[-1]]
 
     def _together(self, units: list[str]) -> list[bytes]:
         """Ids of units, encoded as one text and cut where the bytes of the ids reach each unit's end."""
