@@ -5,16 +5,18 @@ block elements whose inline markup is part of the text.  For each host a
 union-free regular expression over such trees is inferred: starting from one
 page, every further sample page is aligned with the wrapper; elements that
 only one side has become optional, neighbouring equal elements (or groups of
-them) become repetitions, and differing texts become slots.  Texts that stay
-equal over the sample are the template's own.
-
-A page is extracted by aligning it with its host's wrapper.  The wrapper says
-where the main container (``article`` or ``main``) stands and which texts
-belong to the template; texts in slots and repetitions of the main container
-are the result, in page order.  Menus, headers and footers of the page,
-sidebars, notices, adverts, forms, scripts, styles and reader comments are left
-out wherever they stand, also where a page has more than its wrapper.  Without
-a main container the template's own texts are left out, the others stay.
+them) become repetitions, and differing texts become slots.  A text that is
+equal on all pages that have it, and on ``SURE`` different pages at least, is
+the template's own.
+
+A page is extracted by aligning it with its host's wrapper.  Where a page marks
+its main container (``article`` or ``main``), that mark is taken, and the
+wrapper says which texts in it are the template's: those that every page with
+the container has, unless nothing else stands there.  Without a main container
+all texts that the wrapper knows as the template's own are left out, the others
+stay.  Menus, headers and footers of the page, sidebars, notices, adverts,
+forms, scripts, styles and reader comments are left out wherever they stand,
+also where a page has more than its wrapper.
 
 The sample is ``sample_pages`` pages a host at most, whole, in the order of a
 hash of the page; every page is extracted whole.  The wrappers are one small
@@ -65,7 +67,7 @@ LEFT_OUT_WORDS = frozenset(
     "masthead topbar cookie cookies consent notice notices banner alert popup modal overlay comment comments replies "
     "disqus share sharing social related recommended newsletter subscribe signup login search breadcrumb breadcrumbs "
     "pagination pager widget skip".split())
-#: Members of a repeated group, pages that make a text the template's, levels of a tree.
+#: Members of a repeated group, different pages that make a text the template's, levels of a tree.
 GROUP, SURE, DEEPEST = 4, 3, 150
 
 
@@ -155,7 +157,8 @@ def parse(page: str | None) -> Node:
     return root
 
 
-# -- wrappers: items are dicts; "t" a text (None: a slot), "k"/"c" an element, "g" a repeated group ---------------
+# -- wrappers: items are dicts; "t" a text (None: a slot), "k"/"c" an element, "g" a repeated group; while a wrapper
+# -- is inferred, "n" are up to SURE digests of different pages that have the text
 def item_key(item: dict) -> str:
     return "#" if "t" in item else item["k"] if "k" in item else "(" + " ".join(map(item_key, item["g"])) + ")"
 
@@ -165,12 +168,13 @@ def digest(text: str) -> str:
     return xxhash.xxh3_64_hexdigest(text)
 
 
-def as_items(node: Node, keep: bool = False) -> list[dict]:
+def as_items(node: Node, keep: bool = False, page: int = 0) -> list[dict]:
     """A page's children as items, neighbouring equal ones folded into repetitions; with
     ``keep`` the page's own nodes and texts stay at the items ("of")."""
     items = []
     for child in node.children:
-        item = {"t": digest(child)} if isinstance(child, str) else {"k": child.key, "c": [] if keep else as_items(child)}
+        item = {"t": digest(child), "n": [page]} if isinstance(child, str) else {
+            "k": child.key, "c": [] if keep else as_items(child, page=page)}
         if keep:
             item["of"] = [child]
         items.append(item)
@@ -209,7 +213,8 @@ def merge_item(a: dict, b: dict, keep: bool = False) -> dict:
     if keep:
         flags["of"] = a["of"] + b["of"]
     if "t" in a:
-        return {"t": a["t"] if a["t"] == b["t"] else None} | flags
+        same = a["t"] is not None and a["t"] == b["t"]
+        return ({"t": a["t"], "n": sorted({*a["n"], *b["n"]})[:SURE]} if same else {"t": None}) | flags
     if "k" in a:
         return {"k": a["k"], "c": [] if keep else align(a["c"], b["c"])} | flags
     return {"g": [merge_item(x, y, keep) for x, y in zip(a["g"], b["g"])]} | flags
@@ -246,18 +251,22 @@ def align(a: list[dict], b: list[dict]) -> list[dict]:
 
 
 def infer(pages: list[str | None]) -> list[dict]:
-    """The wrapper of some pages of one host: aligned one after another, equal pages once.  With
-    fewer than ``SURE`` pages no text is known to be the template's."""
+    """The wrapper of some pages of one host: aligned one after another, equal pages once."""
     wrapper: list[dict] | None = None
-    pages = list(dict.fromkeys(pages))
-    for page in pages:
-        items = as_items(parse(page))
+    for page in dict.fromkeys(pages):
+        items = as_items(parse(page), page=xxhash.xxh3_64_intdigest(page or ""))
         wrapper = items if wrapper is None else align(wrapper, items)
-    return as_slots(wrapper or []) if len(pages) < SURE else wrapper
+    return proven(wrapper or [])
 
 
-def as_slots(items: list[dict]) -> list[dict]:
-    return [i | ({"t": None} if "t" in i else {x: as_slots(i[x]) for x in ("c", "g") if x in i}) for i in items]
+def proven(items: list[dict]) -> list[dict]:
+    """The wrapper with texts of fewer than ``SURE`` different pages as slots."""
+    out = []
+    for i in items:
+        known = {"t": i["t"] if len(i.get("n", ())) >= SURE else None} if "t" in i else {
+            x: proven(i[x]) for x in ("c", "g") if x in i}
+        out.append({x: i[x] for x in i if x != "n"} | known)
+    return out
 
 
 # -- extraction --------------------------------------------------------------------------------------------------
@@ -265,8 +274,9 @@ def _has_main(node: Node) -> bool:
     return any(isinstance(c, Node) and not c.left_out(False) and (c.name in MAIN or _has_main(c)) for c in node.children)
 
 
-def _collect(node: Node, wrapper: list[dict], inside: bool, need_main: bool, out: list[str]) -> None:
-    """Texts of ``node`` that stand in slots, walked along the wrapper."""
+def _collect(node: Node, wrapper: list[dict], inside: bool, always: bool, out: list[tuple[str, bool, bool]]) -> None:
+    """Texts of ``node``, walked along the wrapper: text, whether it stands in a main container,
+    whether it is the template's.  ``always``: every page with the container has this part."""
     items = as_items(node, keep=True)
     pair = dict((j, wrapper[i]) for i, j in matches(wrapper, items))
     known: dict[int, dict] = {}
@@ -276,21 +286,25 @@ def _collect(node: Node, wrapper: list[dict], inside: bool, need_main: bool, out
             continue
         members = to["g"] if "g" in to else [to]
         for n, child in enumerate(item["of"]):
-            known[id(child)] = members[n % len(members)]
+            known[id(child)] = members[n % len(members)] | {"opt": bool(to.get("opt") or members[n % len(members)].get("opt"))}
     for child in node.children:
         to = known.get(id(child))
         if isinstance(child, str):
             own = to is not None and to.get("t") == digest(child)
-            if inside or not need_main and not own:
-                out.append(child)
+            out.append((child, inside, own and (not inside or always and not to["opt"])))
         elif not child.left_out(inside):
-            _collect(child, (to or {}).get("c", []), inside or child.name in MAIN, need_main, out)
+            enters = not inside and child.name in MAIN
+            _collect(child, (to or {}).get("c", []), inside or enters, enters or always and not (to or {}).get("opt"), out)
 
 
 def extract(page: str | None, wrapper: list[dict]) -> str:
-    root, out = parse(page), []
-    _collect(root, wrapper, False, _has_main(root), out)
-    return "\n".join(out)
+    root, texts = parse(page), []
+    _collect(root, wrapper, False, False, texts)
+    if _has_main(root):
+        texts = [(text, own) for text, inside, own in texts if inside]
+        only = all(own for _, own in texts)
+        return "\n".join(text for text, own in texts if only or not own)
+    return "\n".join(text for text, _, own in texts if not own)
 
 
 @lru_cache(maxsize=256)

@@ -52,3 +52,18 @@ def test_pages(frame):
     for r in got:
         assert r.text == want[r.page_id] and r.n_chars == len(r.text)
     assert main_text(df.limit(0)).collect() == []
+
+
+def test_the_wrapper_decides_inside_the_main_container():
+    made = [f"<body><article><h1>Title {k}</h1><div class=by>Written by our staff</div><p>text {k}</p>"
+            f"{'<hr><h3>Sources</h3>' * (k < 3)}</article></body>" for k in range(5)]
+    assert extract(made[4], infer(made)) == "Title 4\ntext 4"
+    assert extract(made[0], infer(made)) == "Title 0\ntext 0\nSources"              # not every page has it: no proof
+    assert extract(made[4], infer(made[:2])) == "Title 4\nWritten by our staff\ntext 4"
+    same = [f"<div>{k}</div><article><p>One text</p></article>" for k in range(4)]
+    assert extract(same[0], infer(same)) == "One text"
+
+
+def test_a_text_of_one_page_only_is_not_the_templates():
+    made = [f"<div class=top>Site name</div><div class=c>text {k}</div>" + "<h2>Only here</h2>" * (k == 2) for k in range(6)]
+    assert extract(made[2], infer(made)) == "text 2\nOnly here"
