@@ -16,7 +16,9 @@ the container has, unless nothing else stands there.  Without a main container
 all texts that the wrapper knows as the template's own are left out, the others
 stay.  Menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out wherever they stand,
-also where a page has more than its wrapper.
+also where a page has more than its wrapper: by element name, or by a whole
+word of class, role or id; html, body, main, article, headings and the blocks
+around the main container are never left out for a word.
 
 The sample is ``sample_pages`` pages a host at most, whole, in the order of a
 hash of the page; every page is extracted whole.  The wrappers are one small
@@ -46,7 +48,7 @@ from pyspark.sql.window import Window
 from ledgerflow.llm.common import stored
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 SPACE = re.compile(r"\s+")
 
 # Fixed sets of HTML element names.
@@ -67,31 +69,37 @@ LEFT_OUT_WORDS = frozenset(
     "masthead topbar cookie cookies consent notice notices banner alert popup modal overlay comment comments replies "
     "disqus share sharing social related recommended newsletter subscribe signup login search breadcrumb breadcrumbs "
     "pagination pager widget skip".split())
+#: Never left out for their words; elements whose id is a link target more often than a kind of block.
+NEVER_BY_WORD = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+ID_IS_TARGET = frozenset(["section"])
 #: Members of a repeated group, different pages that make a text the template's, levels of a tree.
 GROUP, SURE, DEEPEST = 4, 3, 150
 
 
 class Node:
-    """A block element: name, words of class, id and role, children (texts and nodes)."""
-    __slots__ = ("name", "words", "children")
+    """A block element: name, words of class, id and role, whether a whole one of them names a
+    left-out block, children (texts and nodes)."""
+    __slots__ = ("name", "words", "marked", "children")
 
-    def __init__(self, name: str, words: tuple[str, ...]):
-        self.name, self.words, self.children = name, words, []
+    def __init__(self, name: str, words: tuple[str, ...], marked: bool = False):
+        self.name, self.words, self.marked, self.children = name, words, marked, []
 
     @property
     def key(self) -> str:
         return ".".join([self.name, *self.words])
 
-    def left_out(self, inside_main: bool) -> bool:
-        return self.name in LEFT_OUT or self.name == "header" and not inside_main or any(
-            w in LEFT_OUT_WORDS for w in self.words)
+    def left_out(self, inside_main: bool, by_word: bool = True) -> bool:
+        return self.name in LEFT_OUT or self.name == "header" and not inside_main or by_word and self.marked
 
 
-def _words(attributes: str) -> tuple[str, ...]:
-    found = set()
-    for _, value in ATTRIBUTE.findall(attributes):
-        found.update(w for w in re.split(r"[^a-z]+", entities.unescape(value).lower()) if w)
-    return tuple(sorted(found))
+def _element(name: str, attributes: str) -> Node:
+    found, tokens = set(), set()
+    for kind, value in ATTRIBUTE.findall(attributes):
+        value = entities.unescape(value.strip("\"'")).lower()
+        found.update(w for w in re.split(r"[^a-z]+", value) if w)
+        if kind.lower() != "id" or name not in ID_IS_TARGET:
+            tokens.update(value.split())
+    return Node(name, tuple(sorted(found)), name not in NEVER_BY_WORD and not LEFT_OUT_WORDS.isdisjoint(tokens))
 
 
 def parse(page: str | None) -> Node:
@@ -149,7 +157,7 @@ def parse(page: str | None) -> Node:
                     k -= 1
             if len(stack) > DEEPEST:                  # still a block of its own, but no level of its own
                 continue
-            node = Node(name, _words(attributes))
+            node = _element(name, attributes)
             stack[-1].children.append(node)
             if name != "hr":
                 stack.append(node)
@@ -270,8 +278,20 @@ def proven(items: list[dict]) -> list[dict]:
 
 
 # -- extraction --------------------------------------------------------------------------------------------------
-def _has_main(node: Node) -> bool:
-    return any(isinstance(c, Node) and not c.left_out(False) and (c.name in MAIN or _has_main(c)) for c in node.children)
+def _has_main(node: Node, by_word: bool = True) -> bool:
+    return any(isinstance(c, Node) and not c.left_out(False, by_word) and (c.name in MAIN or _has_main(c, by_word))
+               for c in node.children)
+
+
+def _free_main(node: Node) -> bool:
+    """Where each main container stands under a word of the list, the blocks around it aren't left out."""
+    if _has_main(node) or not _has_main(node, False):
+        return _has_main(node)
+    for c in node.children:
+        if isinstance(c, Node) and not c.left_out(False, False) and c.name not in MAIN and _has_main(c, False):
+            c.marked = False
+            _free_main(c)
+    return True
 
 
 def _collect(node: Node, wrapper: list[dict], inside: bool, always: bool, out: list[tuple[str, bool, bool]]) -> None:
@@ -299,8 +319,9 @@ def _collect(node: Node, wrapper: list[dict], inside: bool, always: bool, out: l
 
 def extract(page: str | None, wrapper: list[dict]) -> str:
     root, texts = parse(page), []
+    has_main = _free_main(root)
     _collect(root, wrapper, False, False, texts)
-    if _has_main(root):
+    if has_main:
         texts = [(text, own) for text, inside, own in texts if inside]
         only = all(own for _, own in texts)
         return "\n".join(text for text, own in texts if only or not own)

@@ -67,3 +67,15 @@ def test_the_wrapper_decides_inside_the_main_container():
 def test_a_text_of_one_page_only_is_not_the_templates():
     made = [f"<div class=top>Site name</div><div class=c>text {k}</div>" + "<h2>Only here</h2>" * (k == 2) for k in range(6)]
     assert extract(made[2], infer(made)) == "text 2\nOnly here"
+
+
+def test_words_of_slugs_and_of_containers_leave_nothing_out():
+    for name in ("<body class='has-sidebar'><article>", "<body class=sidebar><article>", "<article class='no-sidebar'>", "<article class='post comment'>",
+                 "<main id='search-results'>", "<main id=search>", "<div class='widget page'><div id=login><main>", "<html class=overlay><main>",
+                 "<main><div data-id=search>"):
+        assert extract(name + "<h2>T</h2><p>text", []) == "T\ntext"
+    inner = "<article><h2 id='social-history'>A</h2><h3 id=search>B</h3><section id='related-work'>C</section><section id=search>D</section>" \
+        "<div class='skip-none'>E</div><div class='box share'>x</div><div id=comments>x</div><div role='banner'>x</div></article>"
+    assert extract(inner, []) == "A\nB\nC\nD\nE"
+    assert extract("<main><p>text</main><div class=comments><article>first</article></div>", []) == "text"
+    assert extract("<div class=sidebar>x</div><div class=page><div class=ad>y</div><p>text</div>", []) == "text"
