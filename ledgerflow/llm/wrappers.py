@@ -20,9 +20,11 @@ also where a page has more than its wrapper: by element name, or by a whole
 word of class, role or id; html, body, main, article, headings and the blocks
 around the main container are never left out for a word.
 
-The sample is ``sample_pages`` pages a host at most, whole, in the order of a
-hash of the page; every page is extracted whole.  The wrappers are one small
-row a host.
+All pages of a host are aligned, equal ones once: in buckets of about ``TOGETHER``
+by a hash of the page, in the order of the hash, then the wrappers of ``TOGETHER``
+buckets at a time, round by round, so that no task needs all of a large host and
+the result does not depend on how the rows are dealt.  The wrappers are one row a
+host; every page is extracted whole.
 
 Defined results: null or empty html gives an empty text; elements nested more
 than 150 levels deep only end blocks; pages without a host
@@ -37,15 +39,14 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ledgerflow.llm.common import stored
+from ledgerflow.llm.common import SLICE_ROWS, stored
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -69,11 +70,15 @@ LEFT_OUT_WORDS = frozenset(
     "masthead topbar cookie cookies consent notice notices banner alert popup modal overlay comment comments replies "
     "disqus share sharing social related recommended newsletter subscribe signup login search breadcrumb breadcrumbs "
     "pagination pager widget skip".split())
-#: Never left out for their words; elements whose id is a link target more often than a kind of block.
+#: Never left out for their words; elements whose id is a link target and says nothing about the kind of block.
 NEVER_BY_WORD = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
-ID_IS_TARGET = frozenset(["section"])
+ID_IS_TARGET = frozenset("section h1 h2 h3 h4 h5 h6".split())
 #: Members of a repeated group, different pages that make a text the template's, levels of a tree.
 GROUP, SURE, DEEPEST = 4, 3, 150
+#: Pages or wrappers that are aligned one after another in one round.
+TOGETHER = 64
+#: Pages that a task remembers to pass on copies of one page only once.
+_PAGES_REMEMBERED = 200_000
 
 
 class Node:
@@ -95,10 +100,11 @@ class Node:
 def _element(name: str, attributes: str) -> Node:
     found, tokens = set(), set()
     for kind, value in ATTRIBUTE.findall(attributes):
+        if kind.lower() == "id" and name in ID_IS_TARGET:
+            continue
         value = entities.unescape(value.strip("\"'")).lower()
         found.update(w for w in re.split(r"[^a-z]+", value) if w)
-        if kind.lower() != "id" or name not in ID_IS_TARGET:
-            tokens.update(value.split())
+        tokens.update(value.split())
     return Node(name, tuple(sorted(found)), name not in NEVER_BY_WORD and not LEFT_OUT_WORDS.isdisjoint(tokens))
 
 
@@ -337,27 +343,74 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def infer_wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                   sample_pages: int = 12) -> DataFrame:
-    """host, wrapper (JSON): one row per host, from at most ``sample_pages`` of its pages."""
-    rows = pages.select(host(F.col(url_col)).alias("host"), F.col(id_col).cast("string").alias("page"), F.col(html_col).alias("html"))
-    order = Window.partitionBy("host").orderBy(F.xxhash64("page"), "page")
-    slim = rows.filter("html <> ''").select("host", "page").distinct() \
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_pages).select("host", "page")
-    slim = stored(slim, "wrapper-sample")         # its known size lets Spark broadcast it where it is small
-    sample = rows.join(slim, ["host", "page"]).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_pages)
+def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host, pages of the host, html -> host, bucket, hash, items (JSON) of every page that is new to the task."""
+    seen: set[tuple[str, int]] = set()
+    for whole in batches:
+        for start in range(0, whole.num_rows, SLICE_ROWS):
+            rows = []
+            for name, n, page in zip(*(whole.slice(start, SLICE_ROWS).column(k).to_pylist() for k in range(3))):
+                h = xxhash.xxh3_64_intdigest(page)
+                if (name, h) not in seen:
+                    if len(seen) >= _PAGES_REMEMBERED:
+                        seen.clear()
+                    seen.add((name, h))
+                    rows.append((name, h % -(-n // TOGETHER), h - 2 ** 63, json.dumps(as_items(parse(page), page=h))))
+            if rows:
+                yield _batch(rows)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Wrappers of one (host, bucket) in the order of their hash as one, equal hashes once."""
+    def rows():
+        for batch in batches:
+            yield from zip(*(batch.column(k).to_pylist() for k in range(4)))
+
+    for (name, bucket), group in groupby(rows(), lambda r: r[:2]):
+        wrapper, first, last, count = None, None, None, 0
+        for _, _, h, text in group:
+            if h == last:
+                continue
+            if count == 1:
+                wrapper = json.loads(wrapper)
+            wrapper = text if not count else align(wrapper, json.loads(text))
+            first, last, count = h if first is None else first, h, count + 1
+        yield _batch([(name, bucket, first, wrapper if count == 1 else json.dumps(wrapper))])
+
+
+_PARTS = "host string, bucket long, hash long, wrapper string"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["host", "bucket", "hash", "wrapper"])
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        done = [json.dumps(proven(json.loads(w))) for w in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.string())], ["host", "wrapper"])
 
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        pages = group.sort_values("n")["html"].tolist()
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(infer(pages))]})
 
-    return sample.groupBy("host").applyInPandas(one, "host string, wrapper string")
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """host, wrapper (JSON): one row per host, from all of its pages."""
+    rows = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
+    sizes = stored(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "wrapper-hosts")   # of known size: broadcast if small
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    parts = rows.filter("html <> ''").join(sizes, "host").select("host", "n", "html").mapInArrow(_read_pages, _PARTS)
+    buckets = -(-largest // TOGETHER)
+    while True:
+        parts = parts.repartition("host", "bucket").sortWithinPartitions("host", "bucket", "hash").mapInArrow(_merge, _PARTS)
+        if buckets <= 1:
+            return parts.select("host", "wrapper").mapInArrow(_finish, "host string, wrapper string")
+        # the next round takes TOGETHER neighbouring buckets; the number of a bucket keeps their order
+        parts = parts.select("host", F.expr(f"bucket div {TOGETHER}").alias("bucket"), F.col("bucket").alias("hash"), "wrapper")
+        buckets = -(-buckets // TOGETHER)
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              sample_pages: int = 12) -> DataFrame:
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars: one row per row of ``pages``."""
-    wrappers = stored(infer_wrappers(pages, id_col, url_col, html_col, sample_pages), "wrappers")
+    wrappers = stored(infer_wrappers(pages, url_col, html_col), "wrappers")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
                         host(F.col(url_col)).alias("host")).join(wrappers, "host", "left")
 

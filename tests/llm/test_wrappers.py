@@ -79,3 +79,16 @@ def test_words_of_slugs_and_of_containers_leave_nothing_out():
     assert extract(inner, []) == "A\nB\nC\nD\nE"
     assert extract("<main><p>text</main><div class=comments><article>first</article></div>", []) == "text"
     assert extract("<div class=sidebar>x</div><div class=page><div class=ad>y</div><p>text</div>", []) == "text"
+
+
+def test_all_pages_of_a_host_count(frame):
+    """A late block of the template stands on 3 of 300 pages, a page repeats 90 times, dealt in any way."""
+    made = {k: f"<div class=top>Site name</div><div class=c>text {k}</div>" + "<div class=late>Moved to a new address</div>" * (k % 100 == 7)
+            for k in range(300)}
+    rows = [(k, "http://a.example/", p) for k, p in made.items()] + [(7, "http://a.example/", made[7])] * 90
+    rows += [(1000 + k, "http://b.example/", "<div class=top>Only twice</div>" + f"<p>{k % 2}</p>") for k in range(200)]
+    for parts in (2, 7):
+        df = frame(rows, "page_id long, url string, html string", parts)
+        got = main_text(df).collect()
+        assert len(got) == len(rows)
+        assert all(r.text == (f"text {r.page_id}" if r.page_id < 1000 else f"Only twice\n{r.page_id % 2}") for r in got)
