@@ -26,8 +26,8 @@ buckets at a time, round by round, so that no task needs all of a large host and
 the result does not depend on how the rows are dealt.  The wrappers are one row a
 host; every page is extracted whole.
 
-Defined results: null or empty html gives an empty text; elements nested more
-than 150 levels deep only end blocks; pages without a host
+Defined results: null or empty html gives an empty text; a wrapper
+knows nothing below 150 levels, pages are read and extracted at any depth; pages without a host
 form one host of their own; unclosed elements end with their parent; a cut page
 ends where it ends; rows repeat as they come; other columns are ignored.
 """
@@ -37,6 +37,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -73,7 +74,7 @@ LEFT_OUT_WORDS = frozenset(
 #: Never left out for their words; elements whose id is a link target and says nothing about the kind of block.
 NEVER_BY_WORD = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 ID_IS_TARGET = frozenset("section h1 h2 h3 h4 h5 h6".split())
-#: Members of a repeated group, different pages that make a text the template's, levels of a tree.
+#: Members of a repeated group, different pages that make a text the template's, levels of a wrapper.
 GROUP, SURE, DEEPEST = 4, 3, 150
 #: Pages or wrappers that are aligned one after another in one round.
 TOGETHER = 64
@@ -112,6 +113,7 @@ def parse(page: str | None) -> Node:
     """The page as a tree of blocks; texts decoded, white space as one space."""
     root = Node("#page", ())
     stack, text = [root], []
+    opened: Counter[str] = Counter()
 
     def flush():
         whole = SPACE.sub(" ", entities.unescape("".join(text))).strip()
@@ -121,6 +123,7 @@ def parse(page: str | None) -> Node:
 
     def close_to(depth: int):
         flush()
+        opened.subtract(n.name for n in stack[depth:])
         del stack[depth:]
 
     page, at = page or "", 0
@@ -146,9 +149,8 @@ def parse(page: str | None) -> Node:
         elif name in INLINE or name in VOID and name != "hr":
             continue
         elif closing:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), None)
-            if depth is not None:
-                close_to(depth)
+            if opened[name]:
+                close_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name))
         else:
             flush()
             while len(stack) > 1 and (stack[-1].name == "p" and name in CLOSES_P):
@@ -161,12 +163,11 @@ def parse(page: str | None) -> Node:
                 while k > 0 and stack[k].name in ends:
                     close_to(k)
                     k -= 1
-            if len(stack) > DEEPEST:                  # still a block of its own, but no level of its own
-                continue
             node = _element(name, attributes)
             stack[-1].children.append(node)
             if name != "hr":
                 stack.append(node)
+                opened[name] += 1
     flush()
     return root
 
@@ -182,13 +183,13 @@ def digest(text: str) -> str:
     return xxhash.xxh3_64_hexdigest(text)
 
 
-def as_items(node: Node, keep: bool = False, page: int = 0) -> list[dict]:
-    """A page's children as items, neighbouring equal ones folded into repetitions; with
-    ``keep`` the page's own nodes and texts stay at the items ("of")."""
+def as_items(node: Node, keep: bool = False, page: int = 0, level: int = 1) -> list[dict]:
+    """A page's children as items, neighbouring equal ones folded into repetitions, down to
+    ``DEEPEST``; with ``keep`` the page's own nodes and texts stay at the items ("of")."""
     items = []
     for child in node.children:
         item = {"t": digest(child), "n": [page]} if isinstance(child, str) else {
-            "k": child.key, "c": [] if keep else as_items(child, page=page)}
+            "k": child.key, "c": [] if keep or level > DEEPEST else as_items(child, page=page, level=level + 1)}
         if keep:
             item["of"] = [child]
         items.append(item)
@@ -284,49 +285,75 @@ def proven(items: list[dict]) -> list[dict]:
 
 
 # -- extraction --------------------------------------------------------------------------------------------------
-def _has_main(node: Node, by_word: bool = True) -> bool:
-    return any(isinstance(c, Node) and not c.left_out(False, by_word) and (c.name in MAIN or _has_main(c, by_word))
-               for c in node.children)
+def _blocks_with_main(root: Node, by_word: bool) -> list[Node]:
+    """The blocks around the main containers that stand under no left-out block."""
+    found, path, listed = [], [(root, iter(root.children))], 0
+    while path:
+        child = next(path[-1][1], None)
+        if child is None:
+            path.pop()
+            listed = min(listed, len(path))
+        elif isinstance(child, Node) and not child.left_out(False, by_word):
+            if child.name in MAIN:
+                found += [n for n, _ in path[listed:]]
+                listed = len(path)
+            else:
+                path.append((child, iter(child.children)))
+    return found
 
 
-def _free_main(node: Node) -> bool:
-    """Where each main container stands under a word of the list, the blocks around it aren't left out."""
-    if _has_main(node) or not _has_main(node, False):
-        return _has_main(node)
-    for c in node.children:
-        if isinstance(c, Node) and not c.left_out(False, False) and c.name not in MAIN and _has_main(c, False):
-            c.marked = False
-            _free_main(c)
-    return True
+def _free_main(root: Node) -> bool:
+    """Whether the page has a main container.  Where each one stands under a word of the list,
+    the blocks around them aren't left out."""
+    if _blocks_with_main(root, True):
+        return True
+    around = _blocks_with_main(root, False)
+    for node in around:
+        node.marked = False
+    return bool(around)
 
 
-def _collect(node: Node, wrapper: list[dict], inside: bool, always: bool, out: list[tuple[str, bool, bool]]) -> None:
-    """Texts of ``node``, walked along the wrapper: text, whether it stands in a main container,
-    whether it is the template's.  ``always``: every page with the container has this part."""
-    items = as_items(node, keep=True)
-    pair = dict((j, wrapper[i]) for i, j in matches(wrapper, items))
+def _known(node: Node, wrapper: list[dict]) -> dict[int, dict]:
+    """The item of the wrapper for each child of ``node`` that has one."""
     known: dict[int, dict] = {}
-    for j, item in enumerate(items):
-        to = pair.get(j)
-        if to is None:
-            continue
+    if not wrapper:
+        return known
+    items = as_items(node, keep=True)
+    for i, j in matches(wrapper, items):
+        to = wrapper[i]
         members = to["g"] if "g" in to else [to]
-        for n, child in enumerate(item["of"]):
-            known[id(child)] = members[n % len(members)] | {"opt": bool(to.get("opt") or members[n % len(members)].get("opt"))}
-    for child in node.children:
-        to = known.get(id(child))
+        for n, child in enumerate(items[j]["of"]):
+            member = members[n % len(members)]
+            known[id(child)] = member | {"opt": bool(to.get("opt") or member.get("opt"))}
+    return known
+
+
+def _collect(root: Node, wrapper: list[dict]) -> list[tuple[str, bool, bool]]:
+    """Texts of the page, walked along the wrapper: text, whether it stands in a main container,
+    whether it is the template's."""
+    # children, their items, inside a main container, in a part that every page with the container has
+    out, stack = [], [(iter(root.children), _known(root, wrapper), False, False)]
+    while stack:
+        children, known, inside, always = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            continue
+        to = known.get(id(child), {"opt": True})
         if isinstance(child, str):
-            own = to is not None and to.get("t") == digest(child)
+            own = to.get("t") == digest(child)
             out.append((child, inside, own and (not inside or always and not to["opt"])))
         elif not child.left_out(inside):
             enters = not inside and child.name in MAIN
-            _collect(child, (to or {}).get("c", []), inside or enters, enters or always and not (to or {}).get("opt"), out)
+            stack.append((iter(child.children), _known(child, to.get("c", [])), inside or enters,
+                          enters or always and not to["opt"]))
+    return out
 
 
 def extract(page: str | None, wrapper: list[dict]) -> str:
-    root, texts = parse(page), []
+    root = parse(page)
     has_main = _free_main(root)
-    _collect(root, wrapper, False, False, texts)
+    texts = _collect(root, wrapper)
     if has_main:
         texts = [(text, own) for text, inside, own in texts if inside]
         only = all(own for _, own in texts)

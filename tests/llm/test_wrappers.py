@@ -92,3 +92,14 @@ def test_all_pages_of_a_host_count(frame):
         got = main_text(df).collect()
         assert len(got) == len(rows)
         assert all(r.text == (f"text {r.page_id}" if r.page_id < 1000 else f"Only twice\n{r.page_id % 2}") for r in got)
+
+
+def test_text_after_and_below_a_deep_nest():
+    deep = "<div>" * 3000
+    nest = f"{deep}in<nav>menu</nav><form>f</form><div class=ad>buy</div><p>low{'</div>' * 3000}"
+    page = f"<div><article><h1>T</h1>{nest}<p>after</article></div><p>outside"
+    assert extract(page, []) == "T\nin\nlow\nafter"
+    made = [f"<div><article><h1>T {k}</h1>{nest}<p>after {k}</article></div><p>outside" for k in range(4)]
+    assert extract(made[3], infer(made)) == "T 3\nin\nlow\nafter 3"
+    assert extract(f"<p>x</p>{deep}<div class=widget><main>text</main>", []) == "text"
+    assert extract("<div>" * 100_000 + "</p>" * 100_000 + "end", []) == "end"
