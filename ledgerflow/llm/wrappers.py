@@ -41,6 +41,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
+from math import isqrt
 
 import pyarrow as pa
 import xxhash
@@ -236,21 +237,55 @@ def merge_item(a: dict, b: dict, keep: bool = False) -> dict:
 
 
 def matches(a: list[dict], b: list[dict]) -> list[tuple[int, int]]:
-    """A longest common subsequence of the keys, as index pairs."""
+    """A longest common subsequence of the keys, as index pairs.
+
+    Row ``j`` of the table (longest subsequences of the ends of ``a`` with ``b[j:]``) is one
+    integer: bit ``n - 1 - i`` is clear where ``a[i]`` makes the subsequence longer.  Every
+    ``step``-th row is kept, the rows between are made again, so memory grows with n * sqrt(m) bits."""
     ka, kb = [item_key(i) for i in a], [item_key(i) for i in b]
-    best = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
-    for i in range(len(ka) - 1, -1, -1):
-        for j in range(len(kb) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if ka[i] == kb[j] else max(best[i + 1][j], best[i][j + 1])
+    n, m = len(ka), len(kb)
+    if ka == kb:
+        return [(i, i) for i in range(n)]
+    places: dict[str, list[int]] = {}
+    for i, key in enumerate(ka):
+        places.setdefault(key, []).append(n - 1 - i)
+    masks = {}
+    for key, bits in places.items():
+        if len(bits) > 8:                             # few bits are set when they are needed
+            mask = bytearray(n // 8 + 1)
+            for p in bits:
+                mask[p >> 3] |= 1 << (p & 7)
+            masks[key] = int.from_bytes(mask, "little")
+    full = (1 << n) - 1
+
+    def rows(first: int, last: int, row: int) -> list[int]:
+        """Rows ``first`` to ``last - 1``, from row ``last``."""
+        out = []
+        for j in range(last - 1, first - 1, -1):
+            bits = places.get(kb[j])
+            if bits:
+                mask = masks.get(kb[j]) or sum(1 << p for p in bits)
+                both = row & mask
+                row = (row + both | row - both) & full
+            out.append(row)
+        return out[::-1]
+
+    step = max(isqrt(m), 1)
+    kept = {m: full}
+    for last in range(m, 0, -step):
+        kept[max(last - step, 0)] = rows(max(last - step, 0), last, kept[last])[0]
+    starts = sorted(kept)
     out, i, j = [], 0, 0
-    while i < len(ka) and j < len(kb):
-        if ka[i] == kb[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
+    for first, last in zip(starts, starts[1:]):
+        table = rows(first, last, kept[last])
+        while i < n and j < last:
+            if ka[i] == kb[j]:
+                out.append((i, j))
+                i, j = i + 1, j + 1
+            elif table[j - first] >> (n - 1 - i) & 1:
+                i += 1
+            else:
+                j += 1
     return out
 
 

@@ -1,6 +1,8 @@
 import html
+import random
+import tracemalloc
 
-from ledgerflow.llm.wrappers import align, as_items, extract, infer, item_key, main_text, parse
+from ledgerflow.llm.wrappers import align, as_items, extract, infer, item_key, main_text, matches, parse
 
 PAGE = """<!DOCTYPE html><html><head><title>{t}</title><style>p{{}}</style><script>var x="</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">{t}</a></li><li>b</li></ul></nav><!-- ad --><div class="ad-box">{t} buy</div>
@@ -103,3 +105,24 @@ def test_text_after_and_below_a_deep_nest():
     assert extract(made[3], infer(made)) == "T 3\nin\nlow\nafter 3"
     assert extract(f"<p>x</p>{deep}<div class=widget><main>text</main>", []) == "text"
     assert extract("<div>" * 100_000 + "</p>" * 100_000 + "end", []) == "end"
+
+
+def test_matches_are_a_longest_common_subsequence_in_little_memory():
+    def table(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+        return best[0][0]
+
+    rnd = random.Random(5)
+    for _ in range(300):
+        a, b = ([rnd.choice("abcdefghijkl"[:rnd.randint(1, 12)]) for _ in range(rnd.randint(0, 40))] for _ in range(2))
+        got = matches([{"k": x} for x in a], [{"k": x} for x in b])
+        assert len(got) == table(a, b) and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+    a, b = ([{"k": f"k{rnd.randrange(40)}"} for _ in range(20_000)] for _ in range(2))
+    tracemalloc.start()
+    assert len(matches(a, b)) > 4_000
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
