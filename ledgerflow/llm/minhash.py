@@ -24,22 +24,23 @@ so ``cut`` lies more than five of them below the threshold.
 Defined results: null texts and texts without words have an empty set, link
 with nothing and are their own component; fewer words than ``width`` are one
 shingle; rows repeated with one id have one result each, the same for equal
-texts; a row with a null id is never kept (its component is that of its text
+sets, and each goes with its own text where the texts differ; a row with a null id is never kept (its component is that of its text
 among known ids, or null); other columns are ignored or kept as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerflow.llm.common import stored
+from ledgerflow.llm.common import arrow_column, stored
 
 N_HASHES, ROWS, BANDS, BITS = 256, 6, 42, 4
 CUT_BELOW = 0.14
@@ -120,6 +121,10 @@ def packed(best: np.ndarray) -> np.ndarray:
 _SIGNED_ROWS = "doc_id long, n_shingles long, set_hash binary, bands array<long>, signature array<long>"
 
 
+def _set_hash(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
 def signatures(df: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, set_hash, bands, signature: one row per input row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +136,7 @@ def signatures(df: DataFrame, width: int, id_col: str = "doc_id", text_col: str
                 rows = []
                 for text in batch.column(1).to_pylist():
                     s = shingle_set(text, width, words)
-                    key = xxhash.xxh3_128_digest(s.tobytes())
+                    key = _set_hash(s)
                     if key not in seen:
                         best = minima(s)
                         seen[key] = (len(s), key, band_keys(best).tolist(), packed(best).tolist())
@@ -146,6 +151,22 @@ def signatures(df: DataFrame, width: int, id_col: str = "doc_id", text_col: str
         .mapInArrow(run, _SIGNED_ROWS)
 
 
+def _with_set_hash(df: DataFrame, text_col: str, width: int, out: str) -> DataFrame:
+    """``df`` with the hash of each text's shingle set."""
+    def make():
+        words = _Words()
+        return lambda texts: pa.array([_set_hash(shingle_set(t, width, words)) for t in texts.cast(pa.string()).to_pylist()], pa.binary())
+    return arrow_column(df, text_col, out, T.BinaryType(), make)
+
+
+def _class_texts(df: DataFrame, classes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(rep, text): one text of each class.  The id names candidates; rows of one id may differ in
+    text, so the text's own set decides."""
+    texts = df.select(F.col(id_col).cast("long").alias("low"), F.col(text_col).cast("string").alias("text"))
+    rows = _with_set_hash(texts.join(classes.select("low", "rep", "set_hash"), "low"), "text", width, "h")
+    return rows.filter("h = set_hash").groupBy("rep").agg(F.min("text").alias("text"))
+
+
 def _estimate(a: str, b: str):
     """Similarity from equal low bits, corrected for equality by chance."""
     words = N_HASHES // 64
@@ -220,14 +241,14 @@ def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         .join(labels.select(F.col("rep").alias("y"), F.col("comp").alias("b")), "y").filter("a <> b").select("x", "y")
 
 
-def _link_all(kept: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Labels after confirming every kept pair that still joins two components.  A class confirms
+def _link_all(kept: DataFrame, labels: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> DataFrame:
+    """Labels after confirming every kept pair that still joins two components; ``texts`` gives the
+    text of each class named by its rep.  A class confirms
     its lowest partner first, which joins most groups, then a few more, then all that are left."""
     named = stored(kept.select("x").union(kept.select("y")).toDF("rep").distinct(), "minhash-named")
     if not named.limit(1).count():
         return labels
-    # a class has one text only, also where rows repeat
-    texts = stored(texts.join(named, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "minhash-texts")
+    texts = stored(texts(named), "minhash-texts")
     for tries in (*TRIES, None):
         left = stored(_between(kept, labels), "minhash-left")
         if not left.limit(1).count():
@@ -257,15 +278,14 @@ def _across(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, cut: float)
     return few.join(every, close).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
 
 
-def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``df``.  Documents link when
-    100 * intersection >= percent * union of their shingle sets."""
+def _found(df: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, set_hash: one row per row of ``df``."""
     cut = percent / 100 - CUT_BELOW
     docs = stored(signatures(df, width, id_col, text_col), "minhash-signatures")
+    # a class is its set; it gets a number of its own, as rows of one id may stand in several classes
     classes = stored(docs.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_hash").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-        F.first("signature").alias("signature")), "minhash-classes")
+        F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.first("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
     sigs = classes.select("rep", "n_shingles", "signature")
     keys = classes.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -275,20 +295,43 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     pairs = buckets.join(pivots, "key").select("rep", F.explode(F.array_distinct("pivots")).alias("p")).filter("rep <> p") \
         .select(F.greatest("rep", "p").alias("x"), F.least("rep", "p").alias("y")).distinct()
     labels = stored(classes.select("rep", F.col("rep").alias("comp")), "minhash-labels")
-    texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
+
+    def texts(named: DataFrame) -> DataFrame:
+        return _class_texts(df, classes.join(named, "rep", "left_semi"), width, id_col, text_col)
+
     labels = _link_all(stored(_with_signatures(pairs, sigs, cut), "minhash-pairs"), labels, texts, width, percent)
     labels = _link_all(stored(_across(buckets, labels, sigs, cut), "minhash-pairs"), labels, texts, width, percent)
-    by_set = classes.select(F.col("set_hash").alias("h"), "rep").join(labels, "rep").select("h", "comp")
+    by_set = classes.select("rep", "low", F.col("set_hash").alias("h")).join(labels, "rep").select("h", "comp", "low")
+    lowest = by_set.groupBy("comp").agg(F.min("low").alias("lowest"))
+    by_set = by_set.join(lowest, "comp").select("h", "lowest")
     found = docs.select("doc_id", "n_shingles", "set_hash").join(by_set, F.col("set_hash") == F.col("h"), "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "set_hash")
+
+
+def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``df``.  Documents link when
+    100 * intersection >= percent * union of their shingle sets."""
+    return _found(df, width, percent, id_col, text_col).drop("set_hash")
 
 
 def drop_near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """``df`` without the rows whose id is not the smallest of its component; columns as they
-    were.  A row without an id can't be named and stays."""
-    gone = near_duplicates(df, width, percent, id_col, text_col).filter(~F.col("kept") & F.col("doc_id").isNotNull()) \
-        .select(F.col("doc_id").alias("__gone")).distinct()
-    return df.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    """``df`` without the rows whose id is not the smallest of their component; columns as they
+    were.  A row without an id can't be named and stays.  Where rows of one id have different
+    fates, the row's own text decides."""
+    found = _found(df, width, percent, id_col, text_col).filter(F.col("doc_id").isNotNull()) \
+        .groupBy(F.col("doc_id").alias("__id"), F.col("set_hash").alias("__set")).agg(F.max("kept").alias("kept"))
+    found = stored(found, "minhash-found")
+    gone = found.groupBy("__id").agg(F.max("kept").alias("mixed"), F.min("kept").alias("all")).filter("NOT all")
+    gone = stored(gone, "minhash-gone")
+    named = F.col(id_col).cast("long") == F.col("__id")
+    left = df.join(gone, named, "left_anti")
+    mixed = gone.filter("mixed")
+    if not mixed.limit(1).count():
+        return left
+    rows = _with_set_hash(df.join(mixed.select("__id"), named, "left_semi"), text_col, width, "__hash")
+    pairs = found.filter("NOT kept").join(mixed, "__id", "left_semi").select("__id", "__set")
+    return left.unionByName(rows.join(pairs, named & (F.col("__hash") == F.col("__set")), "left_anti").drop("__hash"))

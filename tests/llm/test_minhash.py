@@ -70,3 +70,16 @@ def test_one_row_of_each_group_stays(frame):
     assert left.schema == df.schema and {r.doc_id for r in left.collect()} == {1, 3, None, 4, 5}
     empty = df.limit(0)
     assert near_duplicates(empty).collect() == [] and drop_near_duplicates(empty).collect() == []
+
+
+def test_rows_of_one_id_with_different_texts(frame):
+    data = rows() + [(9010, "a b c d"), (8000, "p q r s"), (8000, "t u v w x y"), (8001, "p q r s"), (8001, "P  q r s"), (7999, "t u v w x y")]
+    df = frame([(i, t) for i, t in data], "doc_id long, text string")
+    got = Counter(map(tuple, near_duplicates(df, 4).collect()))
+    assert got == brute(data, 4) and sum(got.values()) == len(data)
+
+
+def test_a_clean_row_stays_where_its_id_also_names_a_copy(frame):
+    data = [(1, "a b c d e f"), (2, "A b c d e f"), (2, "quite another text than that"), (3, "quite another text than  that"), (4, "z")]
+    left = drop_near_duplicates(frame(data, "doc_id long, text string"))
+    assert sorted(map(tuple, left.collect())) == [(1, "a b c d e f"), (2, "quite another text than that"), (4, "z")]
