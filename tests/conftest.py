@@ -6,8 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -18,8 +16,3 @@ def spark(tmp_path_factory):
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from tests.helpers import rows
 from ledgerflow.operators import aggregate as G
 
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.helpers import rows
 from ledgerflow.operators import clean
 from ledgerflow.schema import is_date_like, is_id_like, is_profiled_numeric
 from ledgerflow.sources.csv_tables import ORDER_COLUMN

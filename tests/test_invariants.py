@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.helpers import SF_SMALL
 from ledgerflow import schema as S
 from ledgerflow.operators import aggregate as G
 from ledgerflow.operators import clean

@@ -1,7 +1,7 @@
 """Key columns that a source lacks are reported and passed over, in the fused and the step-by-step plan."""
 
 import pytest
-from conftest import SF_SMALL, rows
+from tests.helpers import SF_SMALL, rows
 
 from ledgerflow import schema as S
 from ledgerflow.plans.etl import EtlConfig, run_etl

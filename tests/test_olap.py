@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.helpers import rows
 from ledgerflow import schema as S
 from ledgerflow.operators import olap
 from ledgerflow.plans.etl import run_etl

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from tests.helpers import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
 from ledgerflow.oracle_sql import statements
 from ledgerflow.registry import QUERIES

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from tests.helpers import SF_SMALL
 from ledgerflow.registry import QUERIES
 
 MODEL_BASED = {"gbt_model", "gbt_importance", "forecast_gbt", "compare_models"}

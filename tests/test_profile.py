@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import rows
+from tests.helpers import rows
 from ledgerflow.operators import profile as P
 from ledgerflow.operators.quantiles import exact_quantiles
 

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL, rows
+from tests.helpers import SF_SMALL, rows
 from ledgerflow import schema as S
 from ledgerflow.plans.etl import run_etl
 from ledgerflow.plans.report import statistics_report
