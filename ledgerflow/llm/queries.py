@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, content_sort, crf_quality, decontam, lang_zstd, line_dedup, minhash, piece_codec, wavelet, wrappers
+from ledgerflow.llm import (chat_format, content_sort, crf_quality, decontam, lang_zstd, line_dedup, minhash, piece_codec, token_align,
+                            turn_repair, warc_store, wavelet, wrappers)
 from ledgerflow.llm.common import crc_mod, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +187,95 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines - n_worded +
        coalesce(n_worded - coalesce(n, 0), 0) AS n_removed, coalesce(kept_lines, '') AS kept_lines
 FROM d LEFT JOIN e USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+
+@query
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_store.listing(spark, warc_store.archive_pages(table(spark, sf_dir, "pages")))
+
+
+ORACLE["op12_warc_store"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+w AS (SELECT page_id, strlen(h) AS n, sha1(h) AS digest, strlen(h) >= 1000 AND page_id <> max(page_id) OVER (PARTITION BY h) AS again,
+             max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN last END AS refers_to
+FROM w
+"""
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.damaged(chats), chats)
+
+
+def _op13_sql() -> str:
+    """Forward DP over rows: for each role last said (0 none, 1 system, 2 user, 3 assistant) the least
+    (cost, audit, repaired rows) so far."""
+    def grown(x: str, cost, edit: str, line: str | None) -> str:
+        out = f"list_append({x}.o, {line})" if line else f"{x}.o"
+        return f"CASE WHEN {x} IS NOT NULL THEN struct_pack(c := {x}.c + {cost}, a := {x}.a || '{edit}', o := {out}) END"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def may(condition: str, option: str) -> str:
+        return f"CASE WHEN {condition} THEN {option} END"
+
+    def keep(x: str, initial: str) -> str:
+        return may(f"fault NOT IN (1, 2) AND initial = '{initial}'", grown(x, "CASE WHEN fault = 3 THEN 5 ELSE 0 END", "K", "role || ':' || text"))
+
+    def rerole(x: str, role: str) -> str:
+        return may("fault NOT IN (1, 2)", grown(x, "CASE WHEN fault = 3 THEN 6 ELSE 1 END", "R", f"'{role}:' || text"))
+
+    def speaks(x: str, role: str) -> tuple[str, str]:
+        return keep(x, role[0]), rerole(x, role)
+
+    user = least("x2", *(grown(x, 5, "I", "'user:'") for x in ("x0", "x1", "x3")))
+    rows = {"x0": grown("x0", 2, "D", None), "x1": least(grown("x1", 2, "D", None), keep("x0", "s")),
+            "x2": least(grown("y2", 2, "D", None), *speaks("x0", "user"), *speaks("x1", "user"), *speaks("y3", "user")),
+            "x3": least(grown("y3", 2, "D", None), *speaks("y2", "assistant"))}
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)), "
+           "lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+           "lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+    return rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS fate
+  FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations)),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+             CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM k, (SELECT unnest([1, 2]) AS n) WHERE fate <> 0 AND (n = 1 OR fate = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d),
+f AS (SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS initial,
+             coalesce(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1), 'ua') AS met,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault FROM o),
+r AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, struct_pack(c := CAST(0 AS BIGINT), a := '', o := CAST([] AS VARCHAR[])) AS x0,
+             CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR[])) AS x1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR[])) AS x2,
+             CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR[])) AS x3 FROM conversations
+      UNION ALL
+      SELECT conv_id, n + 1, {', '.join(f'{v} AS {k}' for k, v in rows.items())}
+      FROM (SELECT *, {least("x3", grown("y2", 5, "I", "'assistant:'"))} AS y3
+            FROM (SELECT r.*, f.role, f.text, f.initial, f.fault, {user} AS y2
+                  FROM r JOIN f ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = r.n + 1))),
+g AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 1) AS blank, max(i) AS rows,
+             count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+             count(*) FILTER (met NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+e AS (SELECT r.conv_id, gaps, blank, duplicate, truncated, illegal, x0, {grown("x2", 5, "I", "'assistant:'")} AS x2, x3,
+             {grown("x1", 10, "II", "'user:'")} AS x1
+      FROM r LEFT JOIN g ON r.conv_id IS NOT DISTINCT FROM g.conv_id WHERE r.n = coalesce(g.rows, 0)),
+b AS (SELECT *, list_min([x0, x2, x3, CASE WHEN x1 IS NOT NULL THEN struct_pack(c := x1.c, a := x1.a, o := list_append(x1.o, 'assistant:')) END]) AS x FROM e)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, x.c AS cost, x.a AS audit, sha256(coalesce(array_to_string(x.o, chr(10)), '')) AS repaired_sha256
+FROM b
+"""
+
+
+ORACLE["op13_turn_repair"] = _op13_sql()
