@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--series-key", action="append", default=[], help="forecast one series per value")
     args = ap.parse_args(argv)
 
-    from ledgerflow.operators.forecast import compare_horizons, compare_models
+    from ledgerflow.operators.forecast import compare_horizons
     from ledgerflow.plans.etl import run_etl
     from ledgerflow.plans.forecast import run_forecast
     from ledgerflow.plans.report import chart_data, statistics_report
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     write_report({"audit": res.audit()}, out)
     write_report(statistics_report({"SALES_OLAP": olap}), os.path.join(out, "report"))
     write_report(chart_data(olap), os.path.join(out, "charts"))
-    fc = run_forecast(olap, series_keys=args.series_key, with_gbt=not args.no_gbt and not args.series_key)
+    fc = run_forecast(olap, series_keys=args.series_key, with_gbt=not args.no_gbt)
     write_forecast(fc.export, os.path.join(out, "forecast"))
     write_report({name: df.orderBy(*SORTED_BY[name]) for name, df in fc.aggregates.items() if name in SORTED_BY},
                  os.path.join(out, "aggregates"))
@@ -58,8 +58,8 @@ def main(argv: list[str] | None = None) -> int:
              "linear_metrics": fc.linear_metrics, "linear_coefficients": fc.linear_coefficients,
              "linear_12": fc.linear_12, "gbt_metrics": fc.gbt_metrics, "gbt_importance": fc.gbt_importance,
              "gbt_6": fc.gbt_6}
-    if fc.gbt_6 is not None:
-        parts["compare_models"] = compare_models(fc.aggregates["mensile"], {"LINEAR": fc.linear_6, "GBT": fc.gbt_6})
+    if fc.comparison is not None:
+        parts["compare_models"] = fc.comparison
     write_report(parts, os.path.join(out, "models"))
     spark.stop()
     return 0

@@ -6,7 +6,7 @@ window is partitioned by the series and every aggregate groups by it.
 
 Linear regression is solved in column expressions (centred moments, 3x3
 Cramer), so fitting any number of series is one aggregate.  Gradient
-boosting uses MLlib's GBTRegressor on the (small) monthly feature table.
+boosting (operators.boosting) fits all series and folds together.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.aggregate import monthly_total
+from ledgerflow.operators.boosting import Boosting, fit, importances, predict
 
 FEATURES = ("MONTH_IDX", "ORDER_MONTH", "LAG_1")
 TARGET = "TOTAL_REVENUES"
@@ -184,21 +185,19 @@ def last_month(monthly: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame
                     F.col("_l.ORDER_MONTH").alias("LAST_MONTH"), F.col(f"_l.{TARGET}").alias("LAST_REVENUE"))
 
 
-def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
-                   series_keys: Sequence[str] = ()) -> DataFrame:
+def _rollout(monthly: DataFrame, models: DataFrame, predict, horizon: int, series_keys: Sequence[str]) -> DataFrame:
     """Autoregressive forecast: each month's clipped, unrounded prediction is
-    the next month's LAG_1.  The recursion runs inside ONE expression per
-    series (``aggregate`` over ``sequence(1, horizon)``); the output is
-    rounded to 2 decimals.  Columns: series.., ORDER_YEAR, ORDER_MONTH, DATE,
-    FORECAST_REVENUES, TIPO."""
-    final = (coef.where(F.col("FOLD") == 0)
-             .select(*series_keys, "B_MONTH_IDX", "B_ORDER_MONTH", "B_LAG_1", "INTERCEPT")
-             .withColumn("_has_fit", F.lit(True)))
+    the next month's LAG_1.  ``models`` has one row per series with the columns
+    that ``predict(index, month, lag)`` reads.  The recursion runs inside ONE
+    expression per series (``aggregate`` over ``sequence(1, horizon)``); the
+    output is rounded to 2 decimals.  Columns: series.., ORDER_YEAR,
+    ORDER_MONTH, DATE, FORECAST_REVENUES, TIPO."""
+    models = models.withColumn("_has_fit", F.lit(True))
     last = last_month(monthly, series_keys).withColumn("_has_last", F.lit(True))
     # one row per series from both sides, without a join: union by name, then
     # collapse each series' two rows (keeps series present on both sides)
-    cols = [c for c in last.columns + final.columns if c not in series_keys]
-    merged = last.unionByName(final, allowMissingColumns=True)
+    cols = [c for c in last.columns + models.columns if c not in series_keys]
+    merged = last.unionByName(models, allowMissingColumns=True)
     firsts = [F.first(c, ignorenulls=True).alias(c) for c in dict.fromkeys(cols)]
     base = merged.groupBy(*series_keys).agg(*firsts) if series_keys else merged.agg(*firsts)
     base = base.where(F.col("_has_fit") & F.col("_has_last"))
@@ -206,8 +205,7 @@ def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
 
     def step(acc, k):
         month = ((m + k - 1) % 12 + 1)
-        raw = linear_predict(i0 + k, month, acc["lag"])
-        pred = F.greatest(raw, F.lit(0.0))
+        pred = F.greatest(predict(i0 + k, month, acc["lag"]), F.lit(0.0))
         row = F.struct(k.alias("STEP"), pred.alias("P"))
         return F.struct(pred.alias("lag"), F.array_append(acc["rows"], row).alias("rows"))
 
@@ -222,6 +220,13 @@ def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
                          F.round(F.col("r.P"), 2).alias("FORECAST_REVENUES"), F.lit("PREVISIONE").alias("TIPO"))
 
 
+def rollout_linear(monthly: DataFrame, coef: DataFrame, horizon: int = 6,
+                   series_keys: Sequence[str] = ()) -> DataFrame:
+    """Roll-out of the final (FOLD 0) linear model of each series."""
+    final = coef.where(F.col("FOLD") == 0).select(*series_keys, "B_MONTH_IDX", "B_ORDER_MONTH", "B_LAG_1", "INTERCEPT")
+    return _rollout(monthly, final, linear_predict, horizon, series_keys)
+
+
 # --- F9 / F10 / W7 -------------------------------------------------------------------------
 
 def history_for_export(monthly: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
@@ -250,92 +255,41 @@ def compare_horizons(forecasts: dict[int, DataFrame]) -> DataFrame:
     return out
 
 
-# --- F4 / F6 / F8: gradient boosting (MLlib) ---------------------------------------------
-
-GBT_PARAMS = dict(maxIter=100, maxDepth=2, stepSize=0.1, subsamplingRate=0.8, seed=42)
-
-
-def _gbt(max_bins: int):
-    """``max_bins``: more than there are samples, so that every split is considered; the trees
-    are small and their input is stored, so MLlib's checkpoints every few trees are off."""
-    from pyspark.ml.regression import GBTRegressor
-    return GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="PREDICTION",
-                        maxBins=max_bins, featureSubsetStrategy="all", checkpointInterval=-1, **GBT_PARAMS)
-
-
-def _assemble(df: DataFrame) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        df.withColumns({c: F.col(c).cast("double") for c in FEATURES}))
-
-
-def gbt_cv(monthly: DataFrame, n_splits: int = 3, parallelism: int | None = None):
-    """Folds 1..n_splits trained and scored, plus the final model on all
-    samples.  Returns (predictions of every fold, final model); a series too short for folds
-    has no predictions (None), one without samples no model (None).
-
-    The feature table has one row per month, so it is held in one partition;
-    the independent fold models are fitted concurrently (as MLlib's
-    CrossValidator does with ``parallelism``).  MLlib's trees use binned
-    splits, so numbers differ from exact-split boosting.
-    """
-    from concurrent.futures import ThreadPoolExecutor
+# --- F4 / F6 / F7 / F8: gradient boosting --------------------------------------------------
 
+def gbt_cv(monthly: DataFrame, series_keys: Sequence[str] = (), n_splits: int = 3, params: Boosting | None = None, **kw):
+    """(TEST rows of every fold with PREDICTION, models of every fold; FOLD 0 is the final one on all samples).
+    Models are stored, so that metrics, importances and roll-outs read the same fit.  A series too short for
+    folds has its final model only, one of a single month none."""
     from ledgerflow.session import cut_lineage
-    folded = _assemble(cut_lineage(cv_folds(features(monthly), (), n_splits).coalesce(1)))
-    sizes = dict(folded.where(F.col("ROLE") == "TRAIN").groupBy("FOLD").count().collect())
-    folds = sorted(sizes)
-
-    def fit(f):
-        return f, _gbt(max(sizes[f] + 1, 2)).fit(folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TRAIN")))
-
-    with ThreadPoolExecutor(max_workers=parallelism or len(folds) or 1) as pool:
-        models = dict(pool.map(fit, folds))
-    preds = None
-    for f, model in sorted(models.items()):
-        if f == 0:
-            continue
-        p = model.transform(folded.where((F.col("FOLD") == f) & (F.col("ROLE") == "TEST")))
-        preds = p if preds is None else preds.unionByName(p)
-    return preds, models.get(0)
+    keys = [*series_keys, "FOLD"]
+    folded = cv_folds(features(monthly, series_keys), series_keys, n_splits)
+    models = cut_lineage(fit(folded.where(F.col("ROLE") == "TRAIN"), keys, FEATURES, TARGET, "SAMPLE", params, **kw))
+    test = folded.where(F.col("ROLE") == "TEST")
+    same = [test[k].eqNullSafe(models[k]) for k in keys]
+    pred = test.join(models, same).select(*[test[c] for c in test.columns],
+                                          predict([F.col(c) for c in FEATURES], params).alias("PREDICTION"))
+    return pred, models
 
 
-def gbt_importance(model) -> DataFrame:
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    imp = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, imp)], "FEATURE string, IMPORTANCE double")
+def gbt_importance(models: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
+    """(series.., FEATURE, IMPORTANCE) of the final models."""
+    return importances(models.where(F.col("FOLD") == 0), series_keys, FEATURES)
 
 
-def rollout_model(monthly: DataFrame, model, horizon: int = 6) -> DataFrame:
-    """Autoregressive roll-out with a fitted MLlib model: one small
-    transform per step on the 1-row state, fed back as LAG_1."""
-    from ledgerflow.session import cut_lineage
-    # one row per series; checkpointed so each step starts from stored rows
-    state = cut_lineage(last_month(monthly).select(
-        F.col("LAST_IDX").alias("_i"), F.col("LAST_YEAR").alias("_y"), F.col("LAST_MONTH").alias("_m"),
-        F.col("LAST_REVENUE").cast("double").alias("_lag")))
-    out = None
-    for k in range(1, horizon + 1):
-        month = ((F.col("_m") + k - 1) % 12 + 1).cast("int")
-        year = (F.col("_y") + F.floor((F.col("_m") + k - 1) / 12)).cast("int")
-        x = state.select("_i", "_y", "_m", (F.col("_i") + k).alias("MONTH_IDX"), month.alias("ORDER_MONTH"),
-                         F.col("_lag").alias("LAG_1"), year.alias("ORDER_YEAR"))
-        p = model.transform(_assemble(x)).withColumn("PREDICTION", F.greatest("PREDICTION", F.lit(0.0)))
-        step = p.select("ORDER_YEAR", "ORDER_MONTH", F.make_date("ORDER_YEAR", "ORDER_MONTH", F.lit(1)).alias("DATE"),
-                        F.round("PREDICTION", 2).alias("FORECAST_REVENUES"), F.lit("PREVISIONE").alias("TIPO"))
-        step = cut_lineage(step)
-        out = step if out is None else out.unionByName(step)
-        state = cut_lineage(p.select("_i", "_y", "_m", F.col("PREDICTION").alias("_lag")))
-    return out
+def rollout_gbt(monthly: DataFrame, models: DataFrame, horizon: int = 6, series_keys: Sequence[str] = (),
+                params: Boosting | None = None) -> DataFrame:
+    """Roll-out of the final boosted model of each series, its trees walked inside the same expression."""
+    final = models.where(F.col("FOLD") == 0).select(*series_keys, "BASE", "TREES")
+    return _rollout(monthly, final, lambda *x: predict(x, params), horizon, series_keys)
 
 
-def compare_models(monthly: DataFrame, forecasts: dict[str, DataFrame]) -> DataFrame:
-    """History and each model's forecast in long form: (MODEL, ORDER_YEAR, ORDER_MONTH, DATE, REVENUES)."""
-    hist = history_for_export(monthly).select(F.lit("STORICO").alias("MODEL"), "ORDER_YEAR", "ORDER_MONTH", "DATE",
-                                              F.col("FORECAST_REVENUES").alias("REVENUES"))
+def compare_models(monthly: DataFrame, forecasts: dict[str, DataFrame], series_keys: Sequence[str] = ()) -> DataFrame:
+    """History and each model's forecast in long form: (MODEL, series.., ORDER_YEAR, ORDER_MONTH, DATE, REVENUES)."""
+    hist = history_for_export(monthly, series_keys).select(F.lit("STORICO").alias("MODEL"), *series_keys, "ORDER_YEAR", "ORDER_MONTH",
+                                                           "DATE", F.col("FORECAST_REVENUES").alias("REVENUES"))
     out = hist
     for name, df in forecasts.items():
-        out = out.unionByName(df.select(F.lit(name).alias("MODEL"), "ORDER_YEAR", "ORDER_MONTH", "DATE",
+        out = out.unionByName(df.select(F.lit(name).alias("MODEL"), *series_keys, "ORDER_YEAR", "ORDER_MONTH", "DATE",
                                         F.col("FORECAST_REVENUES").alias("REVENUES")))
     return out

@@ -378,6 +378,107 @@ def _forecasts(e: str) -> dict[str, str]:
     return q
 
 
+def _boosted(fc: str, series: list[str], trees: int = 100) -> str:
+    """Boosted trees of depth 2 as a recursion over trees: b holds every fold row with its prediction so far, the gains
+    of each feature so far and, on one row of each model, the trees; h has the state after the last tree."""
+    keys = [*series, "FOLD"]
+    k_, on = ", ".join(keys), " AND ".join(f"a.{k} IS NOT DISTINCT FROM c.{k}" for k in keys)
+    draw = "((SAMPLE * 1103515245 + (t * 12345 + 42) * 69069) % 2147483647)"
+    for _ in range(3):
+        draw = f"(({draw} * 48271 + 11) % 2147483647)"
+
+    def level(name: str, rows: str) -> str:
+        """Best cut of each (keys, node) of the drawn rows: j, edge, gain, low, high (one row each, j null without a cut)."""
+        return f"""
+{name}_v AS (SELECT {k_}, node, unnest([struct_pack(j := 0, x := x0), struct_pack(j := 1, x := x1), struct_pack(j := 2, x := x2)]) AS v, r
+             FROM {rows} WHERE drawn),
+{name}_c AS (SELECT {k_}, node, v.j AS j, v.x AS x, sum(r) AS s, sum(r * r) AS q, count(*) AS n FROM {name}_v GROUP BY ALL),
+{name}_w AS (SELECT {k_}, node, j, x, sum(s) OVER run AS sl, CAST(sum(n) OVER run AS DOUBLE) AS nl, sum(s) OVER every AS s,
+               CAST(sum(n) OVER every AS DOUBLE) AS n, sum(q) OVER every AS q, lead(x) OVER run AS next FROM {name}_c
+             WINDOW every AS (PARTITION BY {k_}, node, j), run AS (PARTITION BY {k_}, node, j ORDER BY x)),
+{name}_g AS (SELECT *, sl / nl AS low, (s - sl) / (n - nl) AS high, nl * (n - nl) / n * (sl / nl - (s - sl) / (n - nl)) * (sl / nl - (s - sl) / (n - nl)) AS gain
+             FROM {name}_w WHERE next IS NOT NULL AND q > 0),
+{name}_b AS (SELECT {k_}, node, arg_min(struct_pack(j := j, edge := (x + next) / 2, gain := gain, low := low, high := high),
+                                        struct_pack(a := -round(gain / q, 10), b := j, c := x)) AS cut
+             FROM {name}_g WHERE round(gain / q, 10) > 0 GROUP BY {k_}, node),
+{name} AS (SELECT a.*, c.cut FROM (SELECT {k_}, node, sum(r) / count(*) AS mean, count(*) AS m FROM {rows} WHERE drawn GROUP BY {k_}, node) a
+           LEFT JOIN {name}_b c ON {on} AND a.node = c.node)"""
+
+    def right(alias: str) -> str:
+        return f"coalesce(CASE {alias}.cut.j WHEN 0 THEN a.x0 WHEN 1 THEN a.x1 ELSE a.x2 END > {alias}.cut.edge, FALSE)"
+    gains = ", ".join(f"g{j} + coalesce(CASE WHEN root.j = {j} THEN root.gain ELSE 0 END / m, 0) + coalesce(CASE WHEN gl.j = {j} THEN gl.gain ELSE 0 END / m, 0)"
+                      f" + coalesce(CASE WHEN gr.j = {j} THEN gr.gain ELSE 0 END / m, 0) AS g{j}" for j in range(3))
+    return f"""{_recursive(fc)},
+b AS (
+  SELECT a.{", a.".join(keys)}, CAST(a.SAMPLE AS BIGINT) AS SAMPLE, a.ROLE, CAST(a.MONTH_IDX AS DOUBLE) AS x0, CAST(a.ORDER_MONTH AS DOUBLE) AS x1, CAST(a.LAG_1 AS DOUBLE) AS x2,
+         CAST(a.TOTAL_REVENUES AS DOUBLE) AS y, base AS f, base, CAST(0 AS BIGINT) AS t, CAST(0 AS DOUBLE) AS g0, CAST(0 AS DOUBLE) AS g1, CAST(0 AS DOUBLE) AS g2,
+         CAST([] AS STRUCT(j INTEGER, edge DOUBLE, lj INTEGER, le DOUBLE, rj INTEGER, re DOUBLE, v0 DOUBLE, v1 DOUBLE, v2 DOUBLE, v3 DOUBLE)[]) AS trees
+  FROM fo a JOIN (SELECT {k_}, avg(CAST(TOTAL_REVENUES AS DOUBLE)) AS base FROM fo WHERE ROLE = 'TRAIN' GROUP BY {k_}) c ON {on}
+  UNION ALL (
+  WITH s AS (SELECT *, y - f AS r, ROLE = 'TRAIN' AND {draw} < 1717986917 AS drawn, 0 AS node FROM b WHERE t < {trees}),{level("l1", "s")},
+  s2 AS (SELECT a.* EXCLUDE (node), CAST({right("c")} AS INTEGER) AS node, c.cut AS root, c.mean AS mean, c.m AS m
+         FROM s a LEFT JOIN l1 c ON {on}),{level("l2", "s2")},
+  s3 AS (SELECT a.* EXCLUDE (node), a.node, c.cut AS cut, gl.cut AS gl, gr.cut AS gr, gl.mean AS ml, gr.mean AS mr
+         FROM s2 a LEFT JOIN l2 c ON {on} AND a.node = c.node
+         LEFT JOIN (SELECT * FROM l2 WHERE node = 0) gl ON {on.replace("c.", "gl.")} LEFT JOIN (SELECT * FROM l2 WHERE node = 1) gr ON {on.replace("c.", "gr.")}),
+  s4 AS (SELECT *, coalesce(gl.low, ml, 0) AS v0, coalesce(gl.high, ml, 0) AS v1, coalesce(gr.low, mr, ml, 0) AS v2, coalesce(gr.high, mr, ml, 0) AS v3 FROM s3)
+  SELECT {k_}, SAMPLE, ROLE, x0, x1, x2, y,
+         f + 0.1::DOUBLE * CASE WHEN node = 0 THEN CASE WHEN {right("a").replace("a.cut", "a.gl")} THEN v1 ELSE v0 END
+                                ELSE CASE WHEN {right("a").replace("a.cut", "a.gr")} THEN v3 ELSE v2 END END AS f,
+         base, t + 1 AS t, {gains},
+         CASE WHEN SAMPLE = 0 THEN list_append(trees, struct_pack(j := root.j, edge := root.edge, lj := gl.j, le := gl.edge, rj := gr.j, re := gr.edge,
+                                                                  v0 := v0, v1 := v1, v2 := v2, v3 := v3)) ELSE trees END AS trees
+  FROM s4 a)),
+h AS (SELECT * FROM b WHERE t = {trees})"""
+
+
+def _gbt(e: str) -> dict[str, str]:
+    q: dict[str, str] = {}
+    for suffix, series in (("", []), ("_by_company", ["ID_COMPANY"])):
+        sk_ = "".join(f"{k}, " for k in series)
+        fc = _forecast_ctes(e, series)
+        grown = _boosted(fc, series)
+        y, p = "y", "f"
+        group = f"GROUP BY {', '.join(series)}" if series else ""
+        q["gbt_model" if not series else "gbt_by_company"] = grown + f""",
+per AS (SELECT {sk_}FOLD, count(*) AS N_TEST, avg(abs({y} - {p})) AS MAE, sqrt(avg(({y} - {p}) * ({y} - {p}))) AS RMSE,
+          sum(({y} - {p}) * ({y} - {p})) AS sse, count(*) * var_pop({y}) AS sst FROM h WHERE ROLE = 'TEST' AND FOLD > 0 GROUP BY {sk_}FOLD),
+per2 AS (SELECT {sk_}FOLD, N_TEST, MAE, RMSE, CASE WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 - sse / sst END AS R2 FROM per)
+SELECT 'GBT' AS MODEL, {sk_}CAST(FOLD AS INTEGER) AS FOLD, N_TEST, round(MAE, 0) AS MAE, round(RMSE, 0) AS RMSE, round(R2, 4) AS R2
+FROM (SELECT * FROM per2 UNION ALL SELECT {sk_}0, NULL, avg(MAE), avg(RMSE), avg(R2) FROM per2 {group or "HAVING count(*) > 0"})"""
+        q["gbt_importance" + suffix] = grown + f"""
+SELECT {sk_}v.name AS FEATURE, round(CASE WHEN g0 + g1 + g2 > 0 THEN v.g / (g0 + g1 + g2) ELSE 0 END, 6) AS IMPORTANCE
+FROM (SELECT *, unnest([struct_pack(name := 'MONTH_IDX', g := g0), struct_pack(name := 'ORDER_MONTH', g := g1), struct_pack(name := 'LAG_1', g := g2)]) AS v
+      FROM h WHERE FOLD = 0 AND SAMPLE = 0)"""
+        x = [f"CAST({c} AS DOUBLE)" for c in ("r.LAST_IDX + r.k + 1", "(r.LAST_MONTH + r.k + 1 - 1) % 12 + 1", "r.lag")]
+
+        def side(j: str, edge: str) -> str:
+            return f"coalesce(CASE w.{j} WHEN 0 THEN {x[0]} WHEN 1 THEN {x[1]} WHEN 2 THEN {x[2]} END > w.{edge}, FALSE)"
+        leaf = (f"CASE WHEN {side('j', 'edge')} THEN CASE WHEN {side('rj', 're')} THEN w.v3 ELSE w.v2 END "
+                f"ELSE CASE WHEN {side('lj', 'le')} THEN w.v1 ELSE w.v0 END END")
+        using = " AND ".join(f"lm.{k} IS NOT DISTINCT FROM m.{k}" for k in series) or "TRUE"
+        roll = grown + f""",
+roll AS (
+  SELECT {"".join(f"lm.{k}, " for k in series)}0 AS k, CAST(LAST_REVENUE AS DOUBLE) AS lag, LAST_IDX, LAST_MONTH, LAST_YEAR, m.base, m.trees
+  FROM lm JOIN (SELECT * FROM h WHERE FOLD = 0 AND SAMPLE = 0) m ON {using}
+  UNION ALL
+  SELECT {"".join(f"r.{k}, " for k in series)}r.k + 1,
+         greatest(list_reduce(list_prepend(r.base, list_transform(r.trees, lambda w: 0.1::DOUBLE * {leaf})), lambda a, v: a + v), 0.0),
+         r.LAST_IDX, r.LAST_MONTH, r.LAST_YEAR, r.base, r.trees
+  FROM roll r WHERE r.k < 6)
+SELECT {sk_}CAST(LAST_YEAR + floor((LAST_MONTH + k - 1) / 12) AS INTEGER) AS ORDER_YEAR, CAST((LAST_MONTH + k - 1) % 12 + 1 AS INTEGER) AS ORDER_MONTH,
+  make_date(CAST(LAST_YEAR + floor((LAST_MONTH + k - 1) / 12) AS INTEGER), CAST((LAST_MONTH + k - 1) % 12 + 1 AS INTEGER), 1) AS DATE,
+  round(lag, 2) AS FORECAST_REVENUES, 'PREVISIONE' AS TIPO
+FROM roll WHERE k >= 1"""
+        q["forecast_gbt" + suffix] = roll
+        linear = _recursive(fc) + _rollout(6, series)
+        cols = f"{sk_}ORDER_YEAR, ORDER_MONTH, DATE, FORECAST_REVENUES AS REVENUES"
+        q["compare_models" + suffix] = f"""SELECT 'LINEAR' AS MODEL, {cols} FROM ({linear})
+UNION ALL BY NAME SELECT 'GBT' AS MODEL, {cols} FROM ({roll})
+UNION ALL BY NAME ({fc} SELECT 'STORICO' AS MODEL, {sk_}ORDER_YEAR, ORDER_MONTH, make_date(ORDER_YEAR, ORDER_MONTH, 1) AS DATE, TOTAL_REVENUES AS REVENUES FROM t)"""
+    return q
+
+
 TABLES = {  # name -> (source CTE, columns, kinds for the null policy)
     "SALES": ("sales_src", ["ID_COMPANY", "ID_ORDER_NUM", "IDS_CUSTOMER", "IDS_ITEM", "ID_ORDER_DATE",
                             "ID_INVOICE_DATE", "VAL_REVENUES", "VAL_COST"]),
@@ -572,5 +673,6 @@ SELECT ID_ORDER_NUM, IDS_CUSTOMER, CAST(VAL_REVENUES AS DOUBLE) AS VAL_REVENUES,
 FROM olap WHERE ID_ORDER_DATE IS NOT NULL AND ID_INVOICE_DATE IS NOT NULL"""
     q.update(_profiles(e, ed))
     q.update(_forecasts(e))
+    q.update(_gbt(e))
     q.update(_cleaning(ed))
     return q

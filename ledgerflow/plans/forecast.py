@@ -23,6 +23,7 @@ class ForecastResult:
     gbt_metrics: DataFrame | None = None
     gbt_importance: DataFrame | None = None
     gbt_6: DataFrame | None = None
+    comparison: DataFrame | None = None
 
 
 def run_forecast(olap: DataFrame, series_keys: Sequence[str] = (), with_gbt: bool = True) -> ForecastResult:
@@ -35,13 +36,10 @@ def run_forecast(olap: DataFrame, series_keys: Sequence[str] = (), with_gbt: boo
                          linear_coefficients=coef, linear_6=lr6, linear_12=lr12,
                          export=FC.history_plus_forecast(monthly, lr6, series_keys),
                          separation=FC.separation_date(monthly, series_keys))
-    if with_gbt and series_keys:
-        raise ValueError("gradient boosting is fitted for the total series only; pass with_gbt=False with series_keys")
     if with_gbt:
-        gpred, model = FC.gbt_cv(monthly)
-        if gpred is not None:                  # None: too few months for folds
-            res.gbt_metrics = FC.fold_metrics(gpred, model="GBT")
-        if model is not None:
-            res.gbt_importance = FC.gbt_importance(model)
-            res.gbt_6 = FC.rollout_model(monthly, model, 6)
+        gpred, models = FC.gbt_cv(monthly, series_keys)
+        res.gbt_metrics = FC.fold_metrics(gpred, series_keys, model="GBT")
+        res.gbt_importance = FC.gbt_importance(models, series_keys)
+        res.gbt_6 = FC.rollout_gbt(monthly, models, 6, series_keys)
+        res.comparison = FC.compare_models(monthly, {"LINEAR": lr6, "GBT": res.gbt_6}, series_keys)
     return res

@@ -306,37 +306,65 @@ def q_history_plus_forecast(spark, sf_dir):
     return FC.history_plus_forecast(m, _linear_forecast(spark, sf_dir, 6))
 
 
-def _gbt(spark, sf_dir):
-    key = (*_sid(spark), fingerprint(sf_dir, inputs=sf_dir, spark=spark), "gbt")
+def _gbt(spark, sf_dir, series_keys=()):
+    key = (*_sid(spark), fingerprint(sf_dir, inputs=sf_dir, spark=spark), "gbt", series_keys)
     if key not in _PLANS:
-        _PLANS[key] = FC.gbt_cv(monthly_exact(spark, sf_dir))
+        _PLANS[key] = FC.gbt_cv(monthly_exact(spark, sf_dir), series_keys)
     return _PLANS[key]
 
 
+COMPANY = ("ID_COMPANY",)
+
+
+def _importance(models, series_keys=()):
+    imp = FC.gbt_importance(models, series_keys)
+    return imp.withColumn("IMPORTANCE", F.round("IMPORTANCE", 6))
+
+
+def _gbt_forecast(spark, sf_dir, series_keys=()):
+    return FC.rollout_gbt(monthly_exact(spark, sf_dir), _gbt(spark, sf_dir, series_keys)[1], 6, series_keys)
+
+
 @query("gbt_model")
 def q_gbt_model(spark, sf_dir):
-    preds, _ = _gbt(spark, sf_dir)
-    return FC.rounded_metrics(FC.fold_metrics(preds, model="GBT"))
+    return FC.rounded_metrics(FC.fold_metrics(_gbt(spark, sf_dir)[0], model="GBT"))
+
+
+@query("gbt_by_company")
+def q_gbt_by_company(spark, sf_dir):
+    return FC.rounded_metrics(FC.fold_metrics(_gbt(spark, sf_dir, COMPANY)[0], COMPANY, model="GBT"))
 
 
 @query("gbt_importance")
 def q_gbt_importance(spark, sf_dir):
-    _, model = _gbt(spark, sf_dir)
-    return FC.gbt_importance(model)
+    return _importance(_gbt(spark, sf_dir)[1])
+
+
+@query("gbt_importance_by_company")
+def q_gbt_importance_by_company(spark, sf_dir):
+    return _importance(_gbt(spark, sf_dir, COMPANY)[1], COMPANY)
 
 
 @query("forecast_gbt")
 def q_forecast_gbt(spark, sf_dir):
-    _, model = _gbt(spark, sf_dir)
-    return FC.rollout_model(monthly_exact(spark, sf_dir), model, 6)
+    return _gbt_forecast(spark, sf_dir)
+
+
+@query("forecast_gbt_by_company")
+def q_forecast_gbt_by_company(spark, sf_dir):
+    return _gbt_forecast(spark, sf_dir, COMPANY)
 
 
 @query("compare_models")
 def q_compare_models(spark, sf_dir):
-    m = monthly_exact(spark, sf_dir)
-    _, model = _gbt(spark, sf_dir)
-    return FC.compare_models(m, {"LINEAR": _linear_forecast(spark, sf_dir, 6),
-                                 "GBT": FC.rollout_model(m, model, 6)})
+    return FC.compare_models(monthly_exact(spark, sf_dir), {"LINEAR": _linear_forecast(spark, sf_dir, 6),
+                                                            "GBT": _gbt_forecast(spark, sf_dir)})
+
+
+@query("compare_models_by_company")
+def q_compare_models_by_company(spark, sf_dir):
+    return FC.compare_models(monthly_exact(spark, sf_dir), {"LINEAR": _linear_forecast(spark, sf_dir, 6, COMPANY),
+                                                            "GBT": _gbt_forecast(spark, sf_dir, COMPANY)}, COMPANY)
 
 
 # --- cleaning, integrity, audit (S1-S13, J2, J3) -----------------------------------------

@@ -73,8 +73,9 @@ def test_fifteen_months_have_metrics_and_a_forecast(spark):
 
 
 def test_gbt_on_a_short_series(spark):
-    preds, model = FC.gbt_cv(_monthly(spark, [1.0, 2.0, 3.0]))
-    assert preds is None and model is not None
+    preds, models = FC.gbt_cv(_monthly(spark, [1.0, 2.0, 3.0]))
+    assert preds.count() == 0 and [r.FOLD for r in models.collect()] == [0]
+    assert FC.gbt_cv(_monthly(spark, [1.0]))[1].count() == 0
 
 
 def test_rollout_wraps_months_and_clips(spark):
@@ -117,8 +118,8 @@ def test_metrics_and_series(spark):
 
 def test_gbt_importances_sum_to_one(spark):
     monthly = _monthly(spark, [100 + 5 * i + (i % 12) * 3 for i in range(36)])
-    preds, model = FC.gbt_cv(monthly)
-    imp = FC.gbt_importance(model).collect()
-    assert sum(r.IMPORTANCE for r in imp) == pytest.approx(1.0)
+    preds, models = FC.gbt_cv(monthly)
+    imp = FC.gbt_importance(models).collect()
+    assert {r.FEATURE for r in imp} == set(FC.FEATURES) and sum(r.IMPORTANCE for r in imp) == pytest.approx(1.0)
     assert preds.count() == 3 * (35 // 4)
-    assert FC.rollout_model(monthly, model, 2).count() == 2
+    assert FC.rollout_gbt(monthly, models, 2).count() == 2
