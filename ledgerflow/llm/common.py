@@ -42,6 +42,13 @@ def crc_mod(col: Column, n: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % n
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def arrow_column(df: DataFrame, source: str, out: str, kind: T.DataType,
                  make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
     """``df`` with column ``out`` computed batch by batch from ``source``; a column
@@ -52,9 +59,7 @@ def arrow_column(df: DataFrame, source: str, out: str, kind: T.DataType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
-        for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(start, SLICE_ROWS)
-                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), of(batch.column(at))], schema.names)
+        for batch in sliced(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), of(batch.column(at))], schema.names)
 
     return df.mapInArrow(run, schema)

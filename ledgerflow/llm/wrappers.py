@@ -10,9 +10,8 @@ equal on all pages that have it, and on ``SURE`` different pages at least, is
 the template's own.
 
 A page is extracted by aligning it with its host's wrapper.  Where a page marks
-its main container (``article`` or ``main``), that mark is taken, and the
-wrapper says which texts in it are the template's: those that every page with
-the container has, unless nothing else stands there.  Without a main container
+its main container (``article`` or ``main``), that mark is taken, and every text
+in it stays, also one that all pages share.  Without a main container
 all texts that the wrapper knows as the template's own are left out, the others
 stay.  Menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out wherever they stand,
@@ -48,10 +47,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import SLICE_ROWS, stored
+from ledgerflow.llm.common import SLICE_ROWS, sliced, stored
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|(?!["'>])[^\s>]++)?+)?+|=)*+)(?:>|\Z)""", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>=]++)\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s>]++)""")
+NAMING = frozenset(["class", "id", "role"])
 SPACE = re.compile(r"\s+")
 
 # Fixed sets of HTML element names.
@@ -102,7 +102,7 @@ class Node:
 def _element(name: str, attributes: str) -> Node:
     found, tokens = set(), set()
     for kind, value in ATTRIBUTE.findall(attributes):
-        if kind.lower() == "id" and name in ID_IS_TARGET:
+        if kind.lower() not in NAMING or kind.lower() == "id" and name in ID_IS_TARGET:
             continue
         value = entities.unescape(value.strip("\"'")).lower()
         found.update(w for w in re.split(r"[^a-z]+", value) if w)
@@ -366,22 +366,18 @@ def _known(node: Node, wrapper: list[dict]) -> dict[int, dict]:
 def _collect(root: Node, wrapper: list[dict]) -> list[tuple[str, bool, bool]]:
     """Texts of the page, walked along the wrapper: text, whether it stands in a main container,
     whether it is the template's."""
-    # children, their items, inside a main container, in a part that every page with the container has
-    out, stack = [], [(iter(root.children), _known(root, wrapper), False, False)]
+    out, stack = [], [(iter(root.children), _known(root, wrapper), False)]       # children, their items, inside a main container
     while stack:
-        children, known, inside, always = stack[-1]
+        children, known, inside = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
             continue
         to = known.get(id(child), {"opt": True})
         if isinstance(child, str):
-            own = to.get("t") == digest(child)
-            out.append((child, inside, own and (not inside or always and not to["opt"])))
+            out.append((child, inside, to.get("t") == digest(child)))
         elif not child.left_out(inside):
-            enters = not inside and child.name in MAIN
-            stack.append((iter(child.children), _known(child, to.get("c", [])), inside or enters,
-                          enters or always and not to["opt"]))
+            stack.append((iter(child.children), _known(child, to.get("c", [])), inside or child.name in MAIN))
     return out
 
 
@@ -389,11 +385,7 @@ def extract(page: str | None, wrapper: list[dict]) -> str:
     root = parse(page)
     has_main = _free_main(root)
     texts = _collect(root, wrapper)
-    if has_main:
-        texts = [(text, own) for text, inside, own in texts if inside]
-        only = all(own for _, own in texts)
-        return "\n".join(text for text, own in texts if only or not own)
-    return "\n".join(text for text, _, own in texts if not own)
+    return "\n".join(text for text, inside, own in texts if (inside if has_main else not own))
 
 
 @lru_cache(maxsize=256)
@@ -477,7 +469,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                         host(F.col(url_col)).alias("host")).join(wrappers, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [extract(p, _loaded(w)) for p, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

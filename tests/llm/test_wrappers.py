@@ -56,16 +56,21 @@ def test_pages(frame):
     assert main_text(df.limit(0)).collect() == []
 
 
-def test_the_wrapper_decides_inside_the_main_container():
-    made = [f"<body><article><h1>Title {k}</h1><div class=by>Written by our staff</div><p>text {k}</p>"
-            f"{'<hr><h3>Sources</h3>' * (k < 3)}</article></body>" for k in range(5)]
-    assert extract(made[4], infer(made)) == "Title 4\ntext 4"
-    assert extract(made[0], infer(made)) == "Title 0\ntext 0\nSources"              # not every page has it: no proof
-    assert extract(made[4], infer(made[:2])) == "Title 4\nWritten by our staff\ntext 4"
+def test_nothing_of_the_article_is_dropped_for_being_shared():
+    made = [f"<body><article><h1>T {k}</h1><h2>Summary</h2><p>text {k}</p></article></body>" for k in range(4)]
+    assert extract(made[1], infer(made)) == "T 1\nSummary\ntext 1"
     same = [f"<div>{k}</div><article><p>One text</p></article>" for k in range(4)]
     assert extract(same[0], infer(same)) == "One text"
 
 
+def test_attributes_as_html_has_them():
+    assert extract("<article><p title=it's>Hello</p><p>It's World</p><p>x</p></article>", []) == "Hello\nIt's World\nx"
+    assert extract("<article><p title=it's>one apostrophe</p></article>", []) == "one apostrophe"
+    assert extract("<article><p data-x='a>b' title=\"class=ad\">kept</p><div class=ad>gone</div><p =odd / x = \"y\" z>end</article>", []) == "kept\nend"
+    assert extract("<article><p>before</p><p title=\"never closed>rest</p></article>", []) == "before"
+    assert extract("<article>" + "<p a=b " * 3000 + ">x</article>", []) == "x"
+
+
 def test_a_text_of_one_page_only_is_not_the_templates():
     made = [f"<div class=top>Site name</div><div class=c>text {k}</div>" + "<h2>Only here</h2>" * (k == 2) for k in range(6)]
     assert extract(made[2], infer(made)) == "text 2\nOnly here"
