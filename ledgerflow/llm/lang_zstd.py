@@ -22,27 +22,30 @@ never learned.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerflow.llm.common import sliced
+
 UNDETERMINED = "und"
 BLOCK, SHORT_BLOCK = 1024, 128
 #: Saved bytes per byte of text under which the shorter blocks decide.
 CLOSE = 0.02
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+NOT_LETTERS, LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
 
 _OUT = "doc_id long, lang_pred string, score double, margin double, accepted boolean"
 
 
 def _words(text: str) -> str:
-    return NOT_LETTERS.sub(" ", text.lower()).strip()
+    """Letters, with the marks that go with them; nothing if there is no letter."""
+    return NOT_LETTERS.sub(" ", text.lower()).strip() if LETTER.search(text) else ""
 
 
 @dataclass(frozen=True)
@@ -113,7 +116,7 @@ def predict(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
     """doc_id, lang_pred, score, margin, accepted: one row per input row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = _Measure(model)
-        for batch in batches:
+        for batch in sliced(batches):
             got = [measure.of(t) for t in batch.column(1).to_pylist()]
             cols = zip(*got) if got else [[]] * 4
             yield pa.RecordBatch.from_arrays(

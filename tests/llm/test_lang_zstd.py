@@ -1,6 +1,6 @@
 import random
 
-from ledgerflow.llm.lang_zstd import UNDETERMINED, fit, predict
+from ledgerflow.llm.lang_zstd import _words, UNDETERMINED, fit, predict
 
 WORDS = {"en": "the and of with that from this have were been which their would about there".split(),
          "de": "der die und mit nicht eine wurde werden auch zwischen haben über können für sind".split(),
@@ -39,3 +39,8 @@ def test_edge_rows(frame):
     nothing = fit(frame([], "doc_id long, text string, lang string"))
     assert {r.lang_pred for r in predict(frame(data, "doc_id long, text string, lang string"), nothing).collect()} == {UNDETERMINED}
     assert predict(frame([], "doc_id long, text string"), model).collect() == []
+
+
+def test_letters_by_category():
+    assert _words("हिन्दी 12 ²½①") == "हिन्दी" and _words("naïve e\u0301t") == "naïve e\u0301t"
+    assert _words("² ½ ¼ ① 12 _ \u0301 !") == ""
