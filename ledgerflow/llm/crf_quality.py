@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import arrow_column
+from ledgerflow.llm.common import arrow_column, sliced
 
 #: Character classes by byte: new line, blank, lower, upper, digit, sentence end, pause, quote or bracket,
 #: symbol, byte of a multi-byte character, control.
@@ -47,53 +47,95 @@ BYTE_CLASS = _byte_classes()
 N_OWN = N_CLASSES + N_CLASSES * N_CLASSES + 7
 N_SUMMARY = N_CLASSES + 7
 N_FEATURES = N_OWN + 2 * (N_SUMMARY + 1)
-
-
-def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features of every line, first line of each text and the end, bytes of each line)."""
-    whole = ["" if t is None else t for t in texts]
-    data = np.frombuffer(("\n".join(whole) + "\n").encode(), np.uint8)
+#: Lines and characters whose features are built at a time.
+BLOCK_LINES, BLOCK_CHARS = 2048, 1 << 18
+
+
+def _word_facts(lines: list[str], first: np.ndarray) -> np.ndarray:
+    """For each line: words, share of different words, whether the text had the line before, overlap with the line above."""
+    out = np.zeros((len(lines), 4), np.float32)
+    before: set[str] = set()
+    last: set[str] = set()
+    for k, (line, starts) in enumerate(zip(lines, first.tolist())):
+        if starts:
+            before, last = set(), set()
+        found = line.split()
+        now = set(found)
+        if found:
+            out[k] = len(found), len(now) / len(found), line in before, len(now & last) / len(now)
+            before.add(line)
+        else:
+            out[k, 1] = 1
+        last = now
+    return out
+
+
+def _blocks_of(lines: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of lines of at most ``BLOCK_LINES`` lines and about ``BLOCK_CHARS`` characters."""
+    start = size = 0
+    for k, line in enumerate(lines):
+        size += len(line) + 1
+        if size >= BLOCK_CHARS or k + 1 - start >= BLOCK_LINES:
+            yield start, k + 1
+            start, size = k + 1, 0
+    if start < len(lines):
+        yield start, len(lines)
+
+
+def _own_features(lines: list[str], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of the lines by themselves, what their neighbours see of them, bytes of each line)."""
+    data = np.frombuffer(("\n".join(lines) + "\n").encode(), np.uint8)
     cls = BYTE_CLASS[data]
-    ends = np.flatnonzero(data == 10)
-    n = len(ends)
-    line_of = np.zeros(len(data), np.int64)
-    line_of[ends[:-1] + 1] = 1
-    line_of = np.cumsum(line_of)
+    ends, n = np.flatnonzero(data == 10), len(lines)
     sizes = np.diff(ends, prepend=-1) - 1
+    line_of = np.repeat(np.arange(n, dtype=np.int32), sizes + 1)
     counts = np.bincount(line_of * N_CLASSES + cls, minlength=n * N_CLASSES).reshape(n, N_CLASSES).astype(np.float32)
     inside = np.flatnonzero(cls[1:] != 0)
     inside = inside[cls[inside] != 0]
-    pair = line_of[inside] * (N_CLASSES * N_CLASSES) + cls[inside].astype(np.int64) * N_CLASSES + cls[inside + 1]
+    pair = line_of[inside] * (N_CLASSES * N_CLASSES) + cls[inside].astype(np.int32) * N_CLASSES + cls[inside + 1]
     pairs = np.bincount(pair, minlength=n * N_CLASSES * N_CLASSES).reshape(n, -1).astype(np.float32)
     per = 1 / np.maximum(sizes, 1).astype(np.float32)[:, None]
-
-    lines_per_text = np.array([t.count("\n") + 1 for t in whole], np.int64)
-    starts = np.concatenate([[0], np.cumsum(lines_per_text)])
-    words, distinct, seen, same = (np.zeros(n, np.float32) for _ in range(4))
-    k = 0
-    for t in whole:
-        before: dict[str, int] = {}
-        last: set = set()
-        for line in t.split("\n"):
-            found = line.split()
-            now = set(found)
-            words[k], distinct[k] = len(found), len(now) / len(found) if found else 1
-            seen[k] = before.get(line, 0) if found else 0
-            same[k] = len(now & last) / len(now) if now else 0
-            before[line], last = 1, now
-            k += 1
-    extra = np.stack([np.log1p(sizes), np.log1p(words), np.minimum(sizes / np.maximum(words, 1), 40) / 10, distinct,
-                      seen, same, (sizes == 0)], 1).astype(np.float32)
+    n_words = words[:, 0]
+    extra = np.stack([np.log1p(sizes), np.log1p(n_words), np.minimum(sizes / np.maximum(n_words, 1), 40) / 10, *words.T[1:],
+                      (sizes == 0)], 1).astype(np.float32)
     shares = counts * per
-    summary = np.concatenate([shares, extra], 1)
-    first = np.zeros(n, bool)
-    first[starts[:-1]] = True
-    final = np.zeros(n, bool)
-    final[starts[1:] - 1] = True
-    before = np.where(first[:, None], 0, np.roll(summary, 1, 0))
-    after = np.where(final[:, None], 0, np.roll(summary, -1, 0))
-    own = np.concatenate([shares, pairs * per, extra], 1)
-    return np.concatenate([own, before, first[:, None], after, final[:, None]], 1).astype(np.float32), starts, sizes
+    return np.concatenate([shares, pairs * per, extra], 1), np.concatenate([shares, extra], 1), sizes
+
+
+def feature_blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(features, first line of a text, bytes) of the lines of all texts, a block of lines at a time: the wide
+    features of a text of very many lines never exist together."""
+    split = [(t or "").split("\n") for t in texts]
+    lines = [line for one in split for line in one]
+    first, final = np.zeros(len(lines), bool), np.zeros(len(lines), bool)
+    ends = np.cumsum([len(one) for one in split])
+    final[ends - 1] = True
+    first[0], first[ends[:-1]] = True, True
+    words = _word_facts(lines, first)
+    nothing = np.zeros((1, N_SUMMARY), np.float32)
+    above, waiting = nothing, None
+
+    def whole(block, below):
+        a, b, own, summary, sizes, above = block
+        before = np.where(first[a:b, None], 0, np.concatenate([above, summary[:-1]]))
+        after = np.where(final[a:b, None], 0, np.concatenate([summary[1:], below]))
+        return np.concatenate([own, before, first[a:b, None], after, final[a:b, None]], 1).astype(np.float32), first[a:b], sizes
+    for a, b in _blocks_of(lines):
+        own, summary, sizes = _own_features(lines[a:b], words[a:b])
+        if waiting is not None:
+            yield whole(waiting, summary[:1])
+        waiting, above = (a, b, own, summary, sizes, above), summary[-1:]
+    yield whole(waiting, nothing)
+
+
+def _starts(first: np.ndarray) -> np.ndarray:
+    return np.append(np.flatnonzero(first), len(first))
+
+
+def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of every line, first line of each text and the end, bytes of each line)."""
+    x, first, sizes = (np.concatenate(c) for c in zip(*feature_blocks(texts)))
+    return x, _starts(first), sizes
 
 
 @dataclass
@@ -116,8 +158,10 @@ class LineField:
         """Length-weighted mean marginal of "good" for each text."""
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        x, starts, sizes = line_features(texts)
-        good = self.marginals(self.node_scores(x).astype(np.float64), starts)
+        blocks = [(self.node_scores(x).astype(np.float64), first, sizes) for x, first, sizes in feature_blocks(texts)]
+        node, first, sizes = (np.concatenate(c) for c in zip(*blocks))
+        starts = _starts(first)
+        good = self.marginals(node, starts)
         weight = sizes + 1.0
         return np.clip(np.add.reduceat(good * weight, starts[:-1]) / np.add.reduceat(weight, starts[:-1]), 0, 1)
 
@@ -194,9 +238,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, starts, _ = line_features(batch.column(1).to_pylist())
-            rows = [x[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["id", "x"])
+            for one in sliced([batch], 16):
+                x, starts, _ = line_features(one.column(1).to_pylist())
+                rows = [x[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+                yield pa.RecordBatch.from_arrays([one.column(0), pa.array(rows, pa.binary())], ["id", "x"])
 
     sample = docs.filter(F.col(id_col).isin(list(label))) \
         .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).dropDuplicates(["id"])

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -66,3 +67,23 @@ def test_no_labels_one_class_empty_table(frame):
     field = fit(docs, one)
     assert isinstance(field, LineField) and {r.score for r in score_column(docs, field).collect()} == {1.0}
     assert score_column(docs.limit(0), field).collect() == []
+
+
+def test_blocks_of_lines_do_not_change_features(monkeypatch):
+    rnd = random.Random(4)
+    texts = ["\n".join("".join(rnd.choice("ab .!9Üé\t") for _ in range(rnd.randint(0, 12))) for _ in range(rnd.randint(1, 9))) for _ in range(30)]
+    texts += [None, "", "\n", "same\nsame\n\nsame"]
+    want = line_features(texts)
+    for lines, chars in ((1, 1 << 18), (3, 1 << 18), (2048, 10)):
+        monkeypatch.setattr("ledgerflow.llm.crf_quality.BLOCK_LINES", lines)
+        monkeypatch.setattr("ledgerflow.llm.crf_quality.BLOCK_CHARS", chars)
+        assert all(np.array_equal(a, b) for a, b in zip(line_features(texts), want))
+
+
+def test_a_text_of_very_many_lines_in_bounded_memory():
+    field = LineField(np.zeros(177, np.float32), np.ones(177, np.float32), np.full(177, 0.01, np.float32), 0.0, np.zeros((2, 2)))
+    text = "\n".join("abcdefghij"[k % 10] for k in range(300_000))
+    tracemalloc.start()
+    assert 0 <= field.score([text])[0] <= 1
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20           # 970 MB with all features at once
+    tracemalloc.stop()
