@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerflow.llm.common import ascii_lower, stored
+from ledgerflow.llm.common import ascii_lower, sliced, stored
 
 #: Bytes of the text that a splitter may carry.
 SPLITTER_BYTES = 24
@@ -40,7 +40,7 @@ _RUNS = ("doc_id long, part int, run long, group_size long, low long, high long,
 
 
 def _normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         texts = [(t or "").encode().lower() for t in batch.column(1).to_pylist()]   # bytes.lower: A-Z only
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([t[:SPLITTER_BYTES] for t in texts], pa.binary()),
@@ -63,8 +63,10 @@ class _Out:
                               edge, digest, text if edge and k == 0 else None))
 
     def batches(self, all_of_them: bool = False) -> Iterator[pa.RecordBatch]:
-        while len(self.rows) >= CHUNK_ROWS or all_of_them and self.rows:
-            now, self.rows = self.rows[:CHUNK_ROWS], self.rows[CHUNK_ROWS:]
+        full = len(self.rows) if all_of_them else len(self.rows) // CHUNK_ROWS * CHUNK_ROWS
+        ready, self.rows = self.rows[:full], self.rows[full:]
+        for k in range(0, full, CHUNK_ROWS):
+            now = ready[k:k + CHUNK_ROWS]
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(),
                      pa.bool_(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*now), types)],
@@ -75,7 +77,7 @@ def _adjacent_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Neighbouring full comparison over one sorted partition; one run at a time."""
     out = _Out(TaskContext.get().partitionId())
     text, ids, number = None, [], 0
-    for batch in batches:
+    for batch in sliced(batches):
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if t == text:
                 ids.append(i)

@@ -39,7 +39,7 @@ from ledgerflow.llm.common import arrow_column
 SPACE = "▁"
 UNKNOWN = "�"
 #: Entries a worker remembers of words and of piece pairs before it starts anew.
-REMEMBER_WORDS, REMEMBER_PAIRS = 300_000, 600_000
+REMEMBER_WORDS, REMEMBER_PAIRS = 150_000, 300_000
 #: More than there are pieces and characters.
 PAIR = 1 << 21
 
