@@ -61,18 +61,22 @@ def dedup_report(name: str, df: DataFrame, deduped: DataFrame | None = None) ->
 # --- S2: primary keys -------------------------------------------------------
 
 def repair_pk(df: DataFrame, pk_cols: Sequence[str]) -> DataFrame:
-    """Key cast to text, null keys dropped, one row kept per key.
+    """Each listed key in turn: cast to text, null keys dropped, one row kept per key.
 
     The kept row is the first in file order when the table carries one, else
     the smallest row (a defined tie-break; ``dropDuplicates`` would pick an
     arbitrary one).  Grouping by the key keeps its uniqueness visible to the
     optimizer, so unused lookups can be pruned from later joins.
     """
-    pk_cols = [c for c in pk_cols if c in df.columns]
-    if not pk_cols:
-        return df
-    df = df.withColumns({c: to_key(c) for c in pk_cols}).dropna(subset=pk_cols)
-    others = [c for c in df.columns if c not in pk_cols]
+    for pk in pk_cols:
+        if pk in df.columns:
+            df = _one_row_per_key(df, pk)
+    return df
+
+
+def _one_row_per_key(df: DataFrame, pk: str) -> DataFrame:
+    df = df.withColumn(pk, to_key(pk)).dropna(subset=[pk])
+    others = [c for c in df.columns if c != pk]
     if not others:
         return df.distinct()
     row = F.struct(*others)
@@ -80,7 +84,7 @@ def repair_pk(df: DataFrame, pk_cols: Sequence[str]) -> DataFrame:
         kept = F.min_by(row, F.col(ORDER_COLUMN))
     else:
         kept = F.min(row)
-    return df.groupBy(*pk_cols).agg(kept.alias("_kept")).select(*pk_cols, "_kept.*").select(df.columns)
+    return df.groupBy(pk).agg(kept.alias("_kept")).select(pk, "_kept.*").select(df.columns)
 
 
 def pk_report(name: str, df: DataFrame, pk: str) -> DataFrame:
@@ -213,19 +217,34 @@ def apply_null_policy(df: DataFrame, dates: Sequence[str], critical: Sequence[st
     return df.dropna(subset=drop) if drop else df
 
 
+def null_policy_counts(df: DataFrame, dates: Sequence[str], critical: Sequence[str], derived: Sequence[str] = (),
+                       alive: Column | None = None, values: dict[str, Column] | None = None) -> tuple[dict[str, Column], dict[str, str]]:
+    """({column: its nulls among the rows that earlier columns leave, starting from ``alive``}, {column: kind}).
+    ``values`` may give a column's value as an expression over the rows that are counted."""
+    cols = data_columns(df)
+    kinds = {c: _kind(df, c, dates, critical, derived) for c in cols}
+    counts, alive = {}, F.lit(True) if alive is None else alive
+    for c in cols:
+        value = (values or {}).get(c, F.col(c))
+        counts[c] = F.count_if(alive & value.isNull())
+        if kinds[c] in _DROP_KINDS:
+            alive = alive & value.isNotNull()
+    return counts, kinds
+
+
+def policy_of(kind: str) -> tuple[str, str]:
+    """(ACTION, LEVEL) of a kind of column that has nulls."""
+    return "DROP" if kind in _DROP_KINDS else "KEEP", _LEVEL.get(kind, "WARNING")
+
+
 def null_policy_report(name: str, df: DataFrame, dates: Sequence[str], critical: Sequence[str],
                        derived: Sequence[str] = ()) -> DataFrame:
     """(TABLE, COLUMN, KIND, NULLS, ACTION, LEVEL) with the sequential rule:
     columns are visited in order and each count is taken over the rows that
     survive the drops of earlier columns.  One aggregate pass."""
-    cols = data_columns(df)
-    kinds = {c: _kind(df, c, dates, critical, derived) for c in cols}
-    aggs, alive = [], F.lit(True)
-    for c in cols:
-        aggs.append(F.count_if(alive & F.col(c).isNull()).alias(c))
-        if kinds[c] in _DROP_KINDS:
-            alive = alive & F.col(c).isNotNull()
-    row = df.agg(*aggs)
+    counts, kinds = null_policy_counts(df, dates, critical, derived)
+    cols = list(counts)
+    row = df.agg(*[n.alias(c) for c, n in counts.items()])
     kind_map = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(kinds[c]))])
     pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
     kind = kind_map[F.col("COLUMN_NAME")]
@@ -243,6 +262,13 @@ def date_columns(df: DataFrame) -> list[str]:
     return [c for c in data_columns(df) if is_date_like(c)]
 
 
+def date_shapes(c: str) -> tuple[Column, Column]:
+    """(whether a value has eight digits, whether it is such a date after 2262)."""
+    txt = F.trim(F.col(c).cast("string"))
+    eight = txt.rlike(r"^\d{8}$")
+    return eight, eight & (F.substring(txt, 1, 4).try_cast("int") > 2262)
+
+
 def date_profile(name: str, df: DataFrame, columns: Sequence[str] | None = None,
                  examples: int = 5) -> DataFrame:
     """(TABLE, COLUMN, N_8_DIGITS, N_OTHER, N_YEAR_GT_2262, EXAMPLES).
@@ -255,8 +281,7 @@ def date_profile(name: str, df: DataFrame, columns: Sequence[str] | None = None,
     if not cols:
         return None
     txt = {c: F.trim(F.col(c).cast("string")) for c in cols}
-    eight = {c: txt[c].rlike(r"^\d{8}$") for c in cols}
-    far = {c: eight[c] & (F.substring(txt[c], 1, 4).try_cast("int") > 2262) for c in cols}
+    eight, far = ({c: date_shapes(c)[k] for c in cols} for k in (0, 1))
     counts = df.agg(*[e for c in cols for e in (
         F.count_if(eight[c]).alias(f"{c}__8"),
         F.count(F.lit(1)).alias(f"{c}__n"),
@@ -283,10 +308,10 @@ def date_profile(name: str, df: DataFrame, columns: Sequence[str] | None = None,
 def normalise_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """YYYYMMDD (or ISO) text to DateType; unparseable values become null."""
     cols = [c for c in (columns if columns is not None else date_columns(df)) if c in df.columns]
-    return df.withColumns({c: _to_date(df, c) for c in cols}) if cols else df
+    return df.withColumns({c: to_date(df, c) for c in cols}) if cols else df
 
 
-def _to_date(df: DataFrame, c: str) -> Column:
+def to_date(df: DataFrame, c: str) -> Column:
     dtype = df.schema[c].dataType
     if isinstance(dtype, T.DateType):
         return F.col(c)

@@ -175,44 +175,111 @@ def build_audit(res: EtlResult, phases: tuple = ("LOAD", "DEDUP", "PK", "FK", "T
                                 F.lit("PRESENT").alias("CHECK"),
                                 F.when(F.col("PRESENT"), "OK").otherwise("ERROR").alias("LEVEL"),
                                 F.col("PRESENT").cast("long").alias("N")))
-    if "DEDUP" in phases:
+    if {"DEDUP", "PK"} & set(phases):
         for n, df in _input_tables(res).items():
-            rep = clean.dedup_report(n, df, st["deduped"][n])
-            parts.append(_rows(rep, "DEDUP", F.col("TABLE_NAME"), F.lit(None).cast("string"),
-                               {"ROWS_BEFORE": "INFO", "REMOVED": "INFO"}))
-    if "PK" in phases:
-        for n, pks in cfg.primary_keys.items():
-            for pk in pks:
-                rep = clean.pk_report(n, st["deduped"][n], pk)
-                parts.append(_rows(rep, "PK", F.col("TABLE_NAME"), F.col("COLUMN_NAME"),
-                                   {"NULL_KEYS": "ERROR", "DUPLICATE_ROWS": "ERROR"}))
-    if "FK" in phases:
-        for rel, child, parent in st["fk_seen"]:
-            rep = clean.fk_report(rel.child, child, rel.fk, rel.parent, parent, cfg.primary_keys[rel.parent][0])
-            parts.append(_rows(rep, "FK", F.col("CHILD"), F.col("FK"),
-                               {"NULL_FK": "ERROR", "ORPHAN_VALUES": "ERROR", "ORPHAN_ROWS": "ERROR"}))
-    if "TECHNICAL" in phases:
-        for n, keys in cfg.technical_keys.items():
-            rep = clean.technical_key_report(n, st["fk"][n], keys)
-            parts.append(_rows(rep, "TECHNICAL", F.col("TABLE_NAME"), F.col("COLUMN_NAME"), {"NULLS": "WARNING"}))
-    if "DATES" in phases:
-        for n, cols in st["date_cols"].items():
-            if not cols:
-                continue
-            rep = clean.date_profile(n, st["fk"][n], cols)
-            parts.append(_rows(rep, "DATES", F.col("TABLE_NAME"), F.col("COLUMN_NAME"),
-                               {"N_8_DIGITS": "INFO", "N_OTHER": "INFO", "N_YEAR_GT_2262": "WARNING"}))
-    if "NULLS_PRE" in phases:
-        for n, df in st["fk"].items():
-            prepared = row_prep(df, n, cfg, st["date_cols"][n])
-            rep = clean.null_policy_report(n, prepared, st["date_cols"][n], cfg.critical)
-            parts.append(_level_rows(rep, "NULLS_PRE"))
+            parts.append(_key_rows(res, n, df, phases))
+    if {"FK", "TECHNICAL", "DATES", "NULLS_PRE"} & set(phases):
+        parts += [part for n in st["pk"] if (part := _state_rows(res, n, phases)) is not None]
     if "NULLS_POST" in phases:
         rep = clean.null_policy_report("OLAP", st["joined"], st["all_dates"], cfg.critical, cfg.derived)
         parts.append(_level_rows(rep, "NULLS_POST"))
     return reduce(DataFrame.unionByName, parts)
 
 
+_ROW = "PHASE string, TABLE_NAME string, COLUMN_NAME string, CHECK string, LEVEL string, N long"
+
+
+def _audit_row(phase: str, table: str, column: str | None, check: str, level: str, n: Column) -> Column:
+    """One audit row; INFO stays, other levels are OK when the count is 0."""
+    n = F.coalesce(n, F.lit(0)).cast("long")
+    shown = F.lit(level) if level == "INFO" else F.when(n > 0, F.lit(level)).otherwise(F.lit("OK"))
+    return F.struct(F.lit(phase).alias("PHASE"), F.lit(table).alias("TABLE_NAME"), F.lit(column).cast("string").alias("COLUMN_NAME"),
+                    F.lit(check).alias("CHECK"), shown.alias("LEVEL"), n.alias("N"))
+
+
+def _key_rows(res: EtlResult, name: str, df: DataFrame, phases: tuple) -> DataFrame:
+    """DEDUP and PK rows of a table from one grouped pass over its deduplicated state (beside the count of its input)."""
+    cfg, deduped = res.config, res.stages["deduped"][name]
+    parts = []
+    keys = [pk for pk in cfg.primary_keys.get(name, ()) if pk in deduped.columns]
+    missing = [pk for pk in cfg.primary_keys.get(name, ()) if pk not in deduped.columns]
+    before = df.agg(F.count(F.lit(1)).alias("before"))
+    first = keys[0] if keys else None
+    if "DEDUP" in phases or first:
+        per_key = deduped.groupBy(clean.to_key(first).alias("k")).agg(F.count(F.lit(1)).alias("n")) if first else \
+            deduped.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(None).cast("string"))
+        facts = per_key.agg(F.sum("n").alias("after"), F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("nulls"),
+                            F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1)).alias("again"))
+        rows = []
+        if "DEDUP" in phases:
+            facts = facts.unionByName(before, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("after", "nulls", "again", "before")])
+            rows += [_audit_row("DEDUP", name, None, "ROWS_BEFORE", "INFO", F.col("before")),
+                     _audit_row("DEDUP", name, None, "REMOVED", "INFO", F.col("before") - F.coalesce("after", F.lit(0)))]
+        if "PK" in phases and first:
+            rows += [_audit_row("PK", name, first, "NULL_KEYS", "ERROR", F.col("nulls")),
+                     _audit_row("PK", name, first, "DUPLICATE_ROWS", "ERROR", F.col("again"))]
+        if rows:
+            parts.append(facts.select(F.inline(F.array(*rows))))
+    if "PK" in phases:
+        parts += [_rows(clean.pk_report(name, deduped, pk), "PK", F.col("TABLE_NAME"), F.col("COLUMN_NAME"),
+                        {"NULL_KEYS": "ERROR", "DUPLICATE_ROWS": "ERROR"}) for pk in [*keys[1:], *missing]]
+    if not parts:
+        return df.sparkSession.createDataFrame([], _ROW)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _state_rows(res: EtlResult, name: str, phases: tuple) -> DataFrame | None:
+    """FK, TECHNICAL, DATES and NULLS_PRE rows of a table from one conditional aggregate over one scan.
+
+    The foreign keys are looked up once, all of them, as flags on the rows; a row counts for a check while every earlier
+    key of its table was found, which is the state that the check sees in the sequential repair."""
+    cfg, st = res.config, res.stages
+    df, alive = st["pk"][name], F.lit(True)
+    dates, technical = st["date_cols"][name], [k for k in cfg.technical_keys.get(name, ()) if k in st["pk"][name].columns]
+    aggs, rows = [], []
+
+    def count(phase, column, check, level, condition):
+        alias = f"a{len(aggs)}"
+        aggs.append(F.count_if(condition).alias(alias))
+        rows.append(_audit_row(phase, name, column, check, level, F.col(alias)))
+    for k, (rel, _, parent) in enumerate([s for s in st["fk_seen"] if s[0].child == name]):
+        pk = cfg.primary_keys[rel.parent][0]
+        if rel.fk not in df.columns or pk not in parent.columns:
+            continue
+        flag, key = f"_hit{k}", clean.to_key(rel.fk)
+        hits = clean.parent_keys(parent, pk, f"_key{k}").distinct().withColumn(flag, F.lit(True))
+        df = df.join(hits, key == F.col(f"_key{k}"), "left")
+        orphan = alive & key.isNotNull() & F.col(flag).isNull()
+        if "FK" in phases:
+            count("FK", rel.fk, "NULL_FK", "ERROR", alive & key.isNull())
+            aggs.append(F.count_distinct(F.when(orphan, key)).alias(f"a{len(aggs)}"))       # only orphans: nulls fall away map-side
+            rows.append(_audit_row("FK", name, rel.fk, "ORPHAN_VALUES", "ERROR", F.col(f"a{len(aggs) - 1}")))
+            count("FK", rel.fk, "ORPHAN_ROWS", "ERROR", orphan)
+        alive = alive & F.col(flag).isNotNull()
+    if "TECHNICAL" in phases:
+        for c in technical:
+            count("TECHNICAL", c, "NULLS", "WARNING", alive & F.col(c).isNull())
+    if "DATES" in phases:
+        for c in dates:
+            eight, far = clean.date_shapes(c)
+            count("DATES", c, "N_8_DIGITS", "INFO", alive & F.coalesce(eight, F.lit(False)))
+            count("DATES", c, "N_OTHER", "INFO", alive & ~F.coalesce(eight, F.lit(False)))
+            count("DATES", c, "N_YEAR_GT_2262", "WARNING", alive & F.coalesce(far, F.lit(False)))
+    if "NULLS_PRE" in phases:
+        plain = st["pk"][name]
+        values = {**{c: clean.to_key(c) for c in technical}, **{c: clean.to_date(plain, c) for c in dates}}
+        counts, kinds = clean.null_policy_counts(row_prep(plain, name, cfg, dates), dates, cfg.critical, alive=alive, values=values)
+        for c, n in counts.items():
+            action, level = clean.policy_of(kinds[c])
+            aggs.append(n.alias(f"a{len(aggs)}"))
+            rows.append(_audit_row("NULLS_PRE", name, c, f"NULLS_{action}", level, F.col(f"a{len(aggs) - 1}")))
+    if not rows:
+        return None
+    # a column without nulls has no row in NULLS_PRE
+    shown = F.filter(F.array(*rows), lambda r: (r["PHASE"] != "NULLS_PRE") | (r["N"] > 0))
+    return df.agg(*aggs).select(F.inline(shown))
+
+
 def _level_rows(rep: DataFrame, phase: str) -> DataFrame:
     return rep.select(F.lit(phase).alias("PHASE"), "TABLE_NAME", "COLUMN_NAME",
                       F.concat(F.lit("NULLS_"), F.col("ACTION")).alias("CHECK"), "LEVEL",

@@ -109,3 +109,9 @@ def test_numeric_keys_with_and_without_zero_padding(spark):
     parent = spark.createDataFrame([("00040",), ("41",)], "ID_COMPANY string")
     assert clean.repair_fk(child, "ID_COMPANY", parent).count() == 0          # text keys: no match (default)
     assert rows(clean.repair_fk(child, "ID_COMPANY", parent, normalise=True)) == [(1, "40"), (2, "41")]
+
+
+def test_several_keys_are_repaired_one_after_the_other(spark):
+    df = spark.createDataFrame([("1", "x", 1), ("1", "y", 2), ("2", "x", 3), ("3", None, 4), (None, "z", 5)], "p string, q string, v int")
+    assert [tuple(r) for r in clean.repair_pk(df, ["p", "q"]).collect()] == [("1", "x", 1)]
+    assert rows(clean.repair_pk(df, ["p"])) == [("1", "x", 1), ("2", "x", 3), ("3", None, 4)]

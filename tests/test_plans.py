@@ -5,7 +5,7 @@ import pytest
 from tests.helpers import SF_SMALL
 from ledgerflow.registry import QUERIES
 
-MODEL_BASED = {"gbt_model", "gbt_importance", "forecast_gbt", "compare_models"}
+MODEL_BASED = {n for n in QUERIES if "gbt" in n or n.startswith("compare_models")}
 
 
 def _plan(df) -> str:
