@@ -96,7 +96,12 @@ def linear_fit(folded: DataFrame, series_keys: Sequence[str] = (), rel_tol: floa
     aggs += [F.avg(x).alias(f"_m{i}") for i, x in enumerate(xs)]
     aggs += [F.coalesce(F.covar_samp(xs[i], xs[j]), zero).alias(f"_c{i}{j}") for i in range(3) for j in range(i, 3)]
     aggs += [F.coalesce(F.covar_samp(xs[i], y), zero).alias(f"_c{i}y") for i in range(3)]
-    m = train.groupBy(*keys).agg(*aggs)
+    return _solve(train.groupBy(*keys).agg(*aggs), keys, rel_tol)
+
+
+def _solve(m: DataFrame, keys: Sequence[str], rel_tol: float = 1e-10) -> DataFrame:
+    """Coefficients from moments: N_TRAIN, means ``_m0.._m2`` and ``_my``, sample covariances ``_c01``, ``_c0y``, ..."""
+    zero = F.lit(0.0)
 
     def c(i, j):
         i, j = min(i, j), max(i, j)
@@ -164,11 +169,55 @@ def rounded_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.withColumns({"MAE": F.round("MAE", 0), "RMSE": F.round("RMSE", 0), "R2": F.round("R2", 4)})
 
 
+def fold_blocks(feats: DataFrame, series_keys: Sequence[str] = (), n_splits: int = 3) -> DataFrame:
+    """``feats`` with BLOCK: the fold whose TEST rows hold the sample, 0 for the samples before the first test block.
+    The TRAIN rows of fold f are the blocks below f, those of fold 0 are all."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*series_keys) if series_keys else Window.partitionBy())
+    size = F.floor(n / (n_splits + 1)).cast("long")
+    into = F.col("SAMPLE") - (n - n_splits * size)
+    return feats.withColumn("BLOCK", F.when((size < 1) | (into < 0), 0).otherwise(F.floor(into / size) + 1).cast("int"))
+
+
+_PAIRS = [(i, j) for i in range(3) for j in range(i, 3)] + [(i, 3) for i in range(3)]     # 3 is the target
+
+
+def prefix_moments(blocked: DataFrame, series_keys: Sequence[str] = (), n_splits: int = 3) -> DataFrame:
+    """Moments of the TRAIN rows of every (series, FOLD), as ``_solve`` reads them.
+
+    Each block is summed once (count, means, co-moments); a fold is a prefix of its series' blocks, merged with
+    Chan's formula, so rows are not copied for the folds they train, however many folds there are."""
+    cols = [F.col(c).cast("double") for c in (*FEATURES, TARGET)]
+    n = F.count(F.lit(1)).cast("double")
+    parts = blocked.groupBy(*series_keys, "BLOCK").agg(
+        n.alias("n"), F.array(*[F.avg(c) for c in cols]).alias("m"),
+        F.array(*[F.coalesce(F.covar_pop(cols[i], cols[j]), F.lit(0.0)) * n for i, j in _PAIRS]).alias("c"))
+    listed = F.sort_array(F.collect_list(F.struct("BLOCK", "n", "m", "c"))).alias("_blocks")        # n_splits + 1 at most
+    series = parts.groupBy(*series_keys).agg(listed) if series_keys else parts.agg(listed)
+
+    def merge(a, b):
+        total = a["n"] + b["n"]
+        d = [b["m"][i] - a["m"][i] for i in range(4)]
+        return F.struct(total.alias("n"), F.array(*[a["m"][i] + d[i] * (b["n"] / total) for i in range(4)]).alias("m"),
+                        F.array(*[a["c"][k] + b["c"][k] + d[i] * d[j] * (a["n"] * b["n"] / total)
+                                  for k, (i, j) in enumerate(_PAIRS)]).alias("c"))
+    nothing = F.struct(F.lit(0.0).alias("n"), F.array(*[F.lit(0.0)] * 4).alias("m"), F.array(*[F.lit(0.0)] * len(_PAIRS)).alias("c"))
+    last = F.array_max(F.transform("_blocks", lambda x: x["BLOCK"]))
+    folds = series.where(F.size("_blocks") > 0).select(*series_keys, "_blocks", F.explode(F.sequence(F.lit(0), last)).alias("FOLD"))
+    train = F.filter("_blocks", lambda x: (F.col("FOLD") == 0) | (x["BLOCK"] < F.col("FOLD")))
+    merged = folds.select(*series_keys, "FOLD", F.aggregate(train, nothing, merge).alias("_s"))
+    freedom = F.when(F.col("_s.n") > 1, F.col("_s.n") - 1).otherwise(1.0)
+    return merged.select(
+        *series_keys, "FOLD", F.col("_s.n").cast("long").alias("N_TRAIN"), F.col("_s.m")[3].alias("_my"),
+        *[F.col("_s.m")[i].alias(f"_m{i}") for i in range(3)],
+        *[(F.col("_s.c")[k] / freedom).alias(f"_c{i}{'y' if j == 3 else j}") for k, (i, j) in enumerate(_PAIRS)])
+
+
 def linear_cv(monthly: DataFrame, series_keys: Sequence[str] = (), n_splits: int = 3):
-    """(folded rows with PREDICTION, coefficients) for every fold."""
-    folded = cv_folds(features(monthly, series_keys), series_keys, n_splits)
-    coef = linear_fit(folded, series_keys)
-    pred = folded.join(coef, on=[*series_keys, "FOLD"]).withColumn(
+    """(TEST rows of every fold with PREDICTION, coefficients of every fold; FOLD 0 is fitted on all samples)."""
+    blocked = fold_blocks(features(monthly, series_keys), series_keys, n_splits)
+    coef = _solve(prefix_moments(blocked, series_keys, n_splits), [*series_keys, "FOLD"])
+    test = blocked.where(F.col("BLOCK") > 0).withColumnRenamed("BLOCK", "FOLD").withColumn("ROLE", F.lit("TEST"))
+    pred = test.join(coef, on=[*series_keys, "FOLD"]).withColumn(
         "PREDICTION", linear_predict(F.col("MONTH_IDX"), F.col("ORDER_MONTH"), F.col("LAG_1")))
     return pred, coef
 

@@ -123,3 +123,24 @@ def test_gbt_importances_sum_to_one(spark):
     assert {r.FEATURE for r in imp} == set(FC.FEATURES) and sum(r.IMPORTANCE for r in imp) == pytest.approx(1.0)
     assert preds.count() == 3 * (35 // 4)
     assert FC.rollout_gbt(monthly, models, 2).count() == 2
+
+
+@pytest.mark.parametrize("n_splits", [1, 3, 12, 50])
+def test_prefix_moments_equal_a_fit_of_every_fold(spark, n_splits):
+    """Folds as prefixes of blocks give what a copy of the rows for each fold gives."""
+    series = {"a": [1e6 + 3000 * i + 70 * (i * i % 13) for i in range(70)], "b": [500 - 3 * i + (i % 4) ** 2 for i in range(20)], "c": [4.0, 9.0]}
+    parts = [_monthly(spark, v).withColumn("S", F.lit(k)) for k, v in series.items()]
+    monthly = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    folded = FC.cv_folds(FC.features(monthly, ["S"]), ["S"], n_splits)
+    want = {(r.S, r.FOLD): r for r in FC.linear_fit(folded, ["S"]).collect()}
+    pred, coef = FC.linear_cv(monthly, ["S"], n_splits)
+    got = {(r.S, r.FOLD): r for r in coef.collect()}
+    assert got.keys() == want.keys()
+    for k, r in got.items():
+        assert (r.N_TRAIN, r.RANK, r.SINGULAR) == (want[k].N_TRAIN, want[k].RANK, want[k].SINGULAR)
+        for c in ("B_MONTH_IDX", "B_ORDER_MONTH", "B_LAG_1", "INTERCEPT"):
+            assert r[c] == pytest.approx(want[k][c], rel=1e-5, abs=1e-6)
+    tested = sorted((r.S, r.FOLD, r.SAMPLE) for r in folded.where("ROLE = 'TEST'").collect())
+    assert sorted((r.S, r.FOLD, r.SAMPLE) for r in pred.collect()) == tested
+    plan = coef._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")           # folds are made from summed blocks, not from rows
