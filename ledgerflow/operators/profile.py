@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.columns import round_exact, safe_corr
-from ledgerflow.operators.quantiles import quantile_columns
+from ledgerflow.operators.quantiles import quantile_columns, value_counts
 from ledgerflow.schema import is_profiled_numeric
 from ledgerflow.sources.csv_tables import ORDER_COLUMN
 
@@ -277,18 +277,18 @@ def binned_pairs(df: DataFrame, x_col: str = "VAL_COST", y_col: str = "VAL_REVEN
 def box_stats(df: DataFrame, group: str = "ID_BUSINESS_LINE", col: str = "VAL_REVENUES",
               whisker: float = 1.5) -> DataFrame:
     """Per group: quartiles (exact), IQR, whisker ends (most extreme values
-    within 1.5 IQR of the box), outlier count."""
-    data = df.select(group, F.col(col).cast("double").alias("X")).where(F.col("X").isNotNull())
-    q = quantile_columns(data, [group], "X", [0.25, 0.5, 0.75], ["Q1", "MEDIAN", "Q3"])
+    within 1.5 IQR of the box), outlier count.  NaN counts as null."""
+    counts = value_counts(df, [group], col)            # quartiles, whiskers and outliers all come from it
+    q = quantile_columns(df, [group], col, [0.25, 0.5, 0.75], ["Q1", "MEDIAN", "Q3"], counts=counts)
     q = q.withColumn("IQR", F.col("Q3") - F.col("Q1"))
     lo = F.col("Q1") - F.lit(whisker) * F.col("IQR")
     hi = F.col("Q3") + F.lit(whisker) * F.col("IQR")
-    inside = (F.col("X") >= lo) & (F.col("X") <= hi)
-    tails = data.join(q, on=group).groupBy(group).agg(
-        F.count(F.lit(1)).alias("N"),
-        F.min(F.when(inside, F.col("X"))).alias("WHISKER_LOW"),
-        F.max(F.when(inside, F.col("X"))).alias("WHISKER_HIGH"),
-        F.count_if(~inside).alias("N_OUTLIERS"))
+    inside = (F.col("_x") >= lo) & (F.col("_x") <= hi)
+    tails = counts.join(q, on=group).groupBy(group).agg(
+        F.sum("_c").alias("N"),
+        F.min(F.when(inside, F.col("_x"))).alias("WHISKER_LOW"),
+        F.max(F.when(inside, F.col("_x"))).alias("WHISKER_HIGH"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("N_OUTLIERS"))
     out = q.join(tails, on=group)
     return out.select(group, "N", *[round_exact(c, 2).alias(c) for c in
                                     ("Q1", "MEDIAN", "Q3", "IQR", "WHISKER_LOW", "WHISKER_HIGH")], "N_OUTLIERS")

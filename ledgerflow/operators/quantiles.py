@@ -40,15 +40,23 @@ def _keyed(df: DataFrame, keys: list[str], *cols: str) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *cols)
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys.., _x, _c): every different value that is neither null nor NaN with its number of rows, stored:
+    the brackets, their ranking and what a caller takes from the counts read it without a new pass over the rows."""
+    x = F.col(value).cast("double")
+    return _freeze(df.select(*keys, F.nanvl(x, F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
+                   .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")))
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = DEFAULT_ACCURACY, rank_limit: int = RANK_LIMIT, grid: int = GRID) -> DataFrame:
-    """(keys.., PROB, QUANTILE) per group with at least one value that is neither null nor NaN."""
+                    accuracy: int = DEFAULT_ACCURACY, rank_limit: int = RANK_LIMIT, grid: int = GRID,
+                    counts: DataFrame | None = None) -> DataFrame:
+    """(keys.., PROB, QUANTILE) per group with at least one value that is neither null nor NaN.  ``counts`` may
+    give the value_counts of ``df``."""
     keys, rank_limit = list(keys), max(rank_limit, 2)        # two order statistics at least
     if not keys:
         raise ValueError("at least one grouping column is needed")
-    x = F.col(value).cast("double")
-    pairs = (df.select(*keys, F.nanvl(x, F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
-             .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")))
+    pairs = value_counts(df, keys, value) if counts is None else counts
     sizes = pairs.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_m"))
     state = (sizes.select(*keys, "_n", "_m", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("PROB"))
              .withColumn("_pos", F.col("PROB") * (F.col("_n") - 1))
@@ -111,8 +119,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
 
 
 def _freeze(state: DataFrame) -> DataFrame:
-    """The bracket table is small (groups x probabilities); store it so each
-    round's plan starts from stored rows instead of replaying every round."""
+    """Store a table that several rounds read, so that each starts from stored
+    rows instead of replaying the ones before."""
     from ledgerflow.session import cut_lineage
     return cut_lineage(state)
 
