@@ -42,6 +42,14 @@ def crc_mod(col: Column, n: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % n
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``rows`` rows."""
     for batch in batches:

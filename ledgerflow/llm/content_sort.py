@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerflow.llm.common import ascii_lower, sliced, stored
+from ledgerflow.llm.common import ascii_lower, free_name, sliced, stored
 
 #: Bytes of the text that a splitter may carry.
 SPLITTER_BYTES = 24
@@ -123,9 +123,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def key(i, sha):
         return F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("null")), sha)
 
+    name, number = free_name(docs, "__key"), free_name(docs, "__n")
     stays = content_groups(docs, id_col, text_col, keep).filter("kept") \
-        .select(key(F.col("doc_id"), F.col("text_sha256")).alias("__key"))
-    keyed = docs.withColumn("__key", key(F.col(id_col), F.sha2(ascii_lower(F.col(text_col)).cast("binary"), 256)))
-    one = Window.partitionBy("__key").orderBy(F.lit(0))
-    return keyed.join(stays, "__key", "left_semi").withColumn("__n", F.row_number().over(one)) \
-        .filter("__n = 1").drop("__key", "__n")
+        .select(key(F.col("doc_id"), F.col("text_sha256")).alias(name))
+    keyed = docs.withColumn(name, key(F.col(id_col), F.sha2(ascii_lower(F.col(text_col)).cast("binary"), 256)))
+    one = Window.partitionBy(name).orderBy(F.lit(0))
+    return keyed.join(stays, name, "left_semi").withColumn(number, F.row_number().over(one)) \
+        .filter(F.col(number) == 1).drop(name, number)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerflow.llm.common import arrow_column, stored
+from ledgerflow.llm.common import arrow_column, free_name, stored
 
 N_HASHES, ROWS, BANDS, BITS = 256, 6, 42, 4
 CUT_BELOW = 0.14
@@ -322,16 +322,17 @@ def drop_near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_co
     """``df`` without the rows whose id is not the smallest of their component; columns as they
     were.  A row without an id can't be named and stays.  Where rows of one id have different
     fates, the row's own text decides."""
+    ident, its_set, its_hash = (free_name(df, n) for n in ("__id", "__set", "__hash"))
     found = _found(df, width, percent, id_col, text_col).filter(F.col("doc_id").isNotNull()) \
-        .groupBy(F.col("doc_id").alias("__id"), F.col("set_hash").alias("__set")).agg(F.max("kept").alias("kept"))
+        .groupBy(F.col("doc_id").alias(ident), F.col("set_hash").alias(its_set)).agg(F.max("kept").alias("kept"))
     found = stored(found, "minhash-found")
-    gone = found.groupBy("__id").agg(F.max("kept").alias("mixed"), F.min("kept").alias("all")).filter("NOT all")
+    gone = found.groupBy(ident).agg(F.max("kept").alias("mixed"), F.min("kept").alias("all")).filter("NOT all")
     gone = stored(gone, "minhash-gone")
-    named = F.col(id_col).cast("long") == F.col("__id")
+    named = F.col(id_col).cast("long") == F.col(ident)
     left = df.join(gone, named, "left_anti")
     mixed = gone.filter("mixed")
     if not mixed.limit(1).count():
         return left
-    rows = _with_set_hash(df.join(mixed.select("__id"), named, "left_semi"), text_col, width, "__hash")
-    pairs = found.filter("NOT kept").join(mixed, "__id", "left_semi").select("__id", "__set")
-    return left.unionByName(rows.join(pairs, named & (F.col("__hash") == F.col("__set")), "left_anti").drop("__hash"))
+    rows = _with_set_hash(df.join(mixed.select(ident), named, "left_semi"), text_col, width, its_hash)
+    pairs = found.filter("NOT kept").join(mixed, ident, "left_semi").select(ident, its_set)
+    return left.unionByName(rows.join(pairs, named & (F.col(its_hash) == F.col(its_set)), "left_anti").drop(its_hash))

@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 
 from ledgerflow.llm.content_sort import content_groups, drop_copies
+from ledgerflow.llm.minhash import drop_near_duplicates
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 HEAD = "same first bytes in every one of these texts "
@@ -62,3 +63,10 @@ def test_empty_table_and_bad_option(frame):
     assert content_groups(empty).collect() == [] and drop_copies(empty).collect() == []
     with pytest.raises(ValueError):
         content_groups(empty, keep="any")
+
+
+def test_columns_named_like_helpers_stay(frame):
+    df = frame([(1, "A", "k", 5, 6, "i"), (2, "a", "l", 7, 8, "j"), (3, "b", "m", 9, 10, "o")],
+               "doc_id long, text string, __key string, __n long, __set long, __id string")
+    for drop in (drop_copies, lambda d: drop_near_duplicates(d)):
+        assert sorted(map(tuple, drop(df).collect())) == [(1, "A", "k", 5, 6, "i"), (3, "b", "m", 9, 10, "o")]
