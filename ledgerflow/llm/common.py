@@ -70,4 +70,5 @@ def arrow_column(df: DataFrame, source: str, out: str, kind: T.DataType,
         for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), of(batch.column(at))], schema.names)
 
-    return df.mapInArrow(run, schema)
+    # mapInArrow looks its input columns up by name, where a dot would be read as a field
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, schema)

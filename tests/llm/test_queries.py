@@ -90,3 +90,10 @@ def test_pipeline_against_brute_force(spark):
     for r in got:
         assert r.n_tokens == len(r.ids) and r.decoded_sha256 == hashlib.sha256(lib.decode(r.ids).encode()).hexdigest()
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
+
+
+def test_quality_stage_keeps_odd_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("*", "doc_id AS __quality", "lang AS `a.b`")
+    got = corpus_pipeline.quality(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    assert all(r["__quality"] == r.doc_id and r["a.b"] == r.lang for r in got.collect())
