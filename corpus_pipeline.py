@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import content_sort, crf_quality, decontam, minhash, piece_codec
-from ledgerflow.llm.common import stored, table
+from ledgerflow.llm.common import free_name, stored, table
 
 MODEL = "piece_bpe_32k.model"
 
@@ -15,8 +15,9 @@ MODEL = "piece_bpe_32k.model"
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field, fitted on all labelled documents' sample, scores 0.5 or more."""
     field = crf_quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = crf_quality.score_column(docs, field, out_col="__quality")
-    return scored.filter(F.col("__quality") >= 0.5).select(*docs.columns)
+    score = free_name(docs, "__quality")
+    scored = crf_quality.score_column(docs, field, out_col=score)
+    return scored.filter(F.col(score) >= 0.5).select(*[f"`{c}`" for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
