@@ -9,11 +9,14 @@ often an id occurs), ``select`` and ``occurrences`` (where).  Spark writes and
 commits the files (a Parquet row each), so any store it can write will do and a
 lost executor costs a task.
 
-Encoding uses the tokenizers library, for byte-level BPE with the usual split
-into words, numbers and signs.  A blank that follows a visible character
-always starts a new unit in byte-level BPE, so units between such blanks are
-encoded once and remembered; a text with other runs of white space is encoded
-whole.
+Encoding is that of the tokenizers library, for byte-level BPE with the usual
+split into words, numbers and signs.  Texts of Latin letters without a control
+string are encoded whole by tiktoken with the ranks of the same file, if the
+file's merges are in the order of its ids (checked).  In all others, a blank that
+follows a visible character always starts a new unit of byte-level BPE, so units
+between such blanks are encoded once and remembered, Latin ones by tiktoken and
+the rest by the tokenizers library; a text with other runs of white space is
+encoded whole by that.
 
 Defined results: a null text is empty, an empty text is the end id alone; null
 document ids sort first; rows repeat as they come (same id: in text order);
@@ -22,11 +25,13 @@ an empty table gives no shard.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerflow.llm.token_align import _byte_of_char
 from ledgerflow.session import checkpoint_dir
 
 SHARD_TOKENS = 1 << 20
@@ -46,6 +52,7 @@ BLOCK = 2048
 REMEMBER, TOGETHER = 600_000, 500
 #: Letters up to here are letters for every version of Unicode.
 LATIN_END = "\u0250"
+_FAR = re.compile(f"[{LATIN_END}-\U0010ffff]")
 MAGIC = b"WMX1"
 _HEAD = struct.Struct("<4sBQQ")
 _PLANE = struct.Struct("<QI")
@@ -192,6 +199,24 @@ class Shard:
         return cls(ids, ends, WaveletMatrix(n, planes, zeros, ranks))
 
 
+def _ranked(tokenizer_json: str):
+    """tiktoken's encoder with the ranks of a byte-level BPE file; None if the file's merges
+    aren't in the order of its ids or it does more than byte-level BPE."""
+    import public_tokenizers
+    import tiktoken
+
+    config = json.loads(tokenizer_json)
+    vocabulary, pre = config["model"]["vocab"], config.get("pre_tokenizer") or {}
+    results = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in config["model"]["merges"]]
+    if results != sorted(results) or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) \
+            or pre.get("add_prefix_space") or config.get("normalizer"):
+        return None
+    chars = _byte_of_char()
+    control = {t["content"] for t in config.get("added_tokens", ())}
+    ranks = {bytes(chars[c] for c in t): i for t, i in vocabulary.items() if t not in control and all(c in chars for c in t)}
+    return tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class UnitEncoder:
     """Exact ids of whole texts with the tokenizers library; units remembered."""
 
@@ -205,6 +230,9 @@ class UnitEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)          # bytes of each id
         self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]   # a character stands for a byte
+        control = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.control = re.compile("|".join(map(re.escape, control))) if control else None
+        self.ranked = _ranked(tokenizer_json)
         self.joins = not any(c.isspace() for t in self.tokenizer.get_added_tokens_decoder().values() for c in t.content)
 
     def _ids(self, text: str) -> bytes:
@@ -220,18 +248,28 @@ class UnitEncoder:
         # a pause behind a letter is a piece of its own: the word without it is encoded once
         stems = {u: u[:-1] for u in unseen if len(u) > 1 and u[-1] in self.pauses and u[-2].isalpha() and u[-2] < LATIN_END}
         new = [u for u in unseen.difference(runs).union(stems.values()) if u not in stems and u not in self.known]
-        for k in range(0, len(new), TOGETHER):
-            some = new[k:k + TOGETHER]
-            self.known.update(zip(some, self._together(some)))
+        near = [u for u in new if self._is_near(u)] if self.ranked else []
+        self._fill(near, self.ranked.encode_ordinary if near else None)
+        self._fill([u for u in new if u not in self.known] if near else new, self._whole)
         for u in sorted(stems, key=len):
             self.known[u] = self.known[stems[u]] + self.pauses[u[-1]]
 
-    def _together(self, units: list[str]) -> list[bytes]:
+    def _is_near(self, text: str) -> bool:
+        return not _FAR.search(text) and not (self.control and self.control.search(text))
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _fill(self, units: list[str], encode: Callable[[str], list[int]]) -> None:
+        for k in range(0, len(units), TOGETHER):
+            some = units[k:k + TOGETHER]
+            self.known.update(zip(some, self._together(some, encode)))
+
+    def _together(self, units: list[str], encode: Callable[[str], list[int]]) -> list[bytes]:
         """Ids of units, encoded as one text and cut where the bytes of the ids reach each unit's end."""
         behind = [" " + u for u in units]
         if self.joins:
-            one, = self.tokenizer.encode_batch_fast(["".join(behind)], add_special_tokens=False)
-            ids = np.array(one.ids, "<u4")
+            ids = np.array(encode("".join(behind)), "<u4")
             reached = np.cumsum(self.sizes[ids])
             ends = np.cumsum([len(u.encode()) for u in behind])
             cuts = np.searchsorted(reached, ends)
@@ -241,12 +279,18 @@ class UnitEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(behind, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for t in texts:
+        out, split = [], []
+        for k, t in enumerate(texts):
+            if self.ranked and self._is_near(t or ""):
+                out.append(np.array(self.ranked.encode_ordinary(t or ""), "<u4").tobytes() + self.end)
+                continue
             first, blank, rest = (t or "").partition(" ")
-            split.append((first, rest.split(" ") if blank else []))
-        self._learn(set().union(*(rest for _, rest in split)))
-        return [self._one(t, first, rest) for t, (first, rest) in zip(texts, split)]
+            split.append((k, first, rest.split(" ") if blank else []))
+            out.append(b"")
+        self._learn(set().union(*(rest for _, _, rest in split)))
+        for k, first, rest in split:
+            out[k] = self._one(texts[k], first, rest)
+        return out
 
     def _one(self, text: str | None, first: str, rest: list[str]) -> bytes:
         if rest and (not first or first[-1].isspace()):

@@ -1,3 +1,5 @@
+import json
+import random
 import zlib
 
 import numpy as np
@@ -48,6 +50,30 @@ def test_units_equal_whole_texts():
         assert np.frombuffer(one, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids + [2], repr(text)
 
 
+def test_random_units_equal_the_library():
+    """Letters, numbers, signs, marks and control strings in any order, by both encoders."""
+    tok = Tokenizer.from_file(FILE)
+    rng = random.Random(5)
+    bits = ["a", "Z", "é", "ß", "Ɏ", "ɐ", "я", "日", "\u0301", "1", "½", "²", "'s", "'LL", "'", ".", "!!", "-", "_", "\xa0", "\x85", "\x1c",
+            "\x00", "\x7f", "\n", "\t", " ", " ", " ", "the", "ing", "<|endoftext|>", "</s>", "\U0001f600", "ª", "ĸ", "\xad"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(1, 40))) for _ in range(4000)]
+    encoder = UnitEncoder(tok.to_str(), 2)
+    assert encoder.ranked is not None
+    for k in range(0, len(texts), 100):
+        for text, one in zip(texts[k:k + 100], encoder.encode(texts[k:k + 100])):
+            assert np.frombuffer(one, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids + [2], repr(text)
+
+
+def test_a_file_with_merges_in_another_order_goes_to_the_library():
+    config = json.loads(Tokenizer.from_file(FILE).to_str())
+    config["model"]["merges"] = config["model"]["merges"][::-1]
+    other = json.dumps(config)
+    encoder, tok = UnitEncoder(other, 2), Tokenizer.from_str(other)
+    assert encoder.ranked is None
+    got, = encoder.encode(["words of another order"])
+    assert np.frombuffer(got, "<u4").tolist() == tok.encode("words of another order", add_special_tokens=False).ids + [2]
+
+
 def test_documents_in_order(spark, frame, monkeypatch):
     tok = Tokenizer.from_file(FILE)
     rows = [((i * 7) % 53, t, "x") for i, t in enumerate(EDGE * 2)] + [(1000, None, "y"), (None, "none", "z"), (4, "again", "z")]
