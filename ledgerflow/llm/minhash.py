@@ -13,9 +13,13 @@ confirmed pairs link.
 
 Large buckets are not expanded into pairs.  Each class is compared with the
 three pivots of its bucket.  A pair inside one component is never confirmed
-again.  After that, classes outside the pivot's component are compared with the
-members of other components in the bucket, which keeps every link between
-groups; in a bucket of near copies only few classes are left for it.
+again.  In buckets that still hold several components, the shingles that a class
+shares with no other such class are counted: two classes have at most as many in
+common as either shares with anyone, which bounds their similarity exactly.  The
+classes with the least share of own shingles, those in the middle of a group of
+near copies, are the next pivots.  After that, classes outside the main component
+are compared with the members of other components in the bucket, where the bound
+leaves the threshold within reach; this keeps every link between groups.
 
 With 42 bands of 6 rows a pair at similarity 0.8 shares no key with
 probability 3e-6 (1e-9 at 0.86); the estimate's standard error at 0.8 is 0.025,
@@ -30,21 +34,23 @@ among known ids, or null); other columns are ignored or kept as they are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerflow.llm.common import arrow_column, free_name, stored
+from ledgerflow.llm.common import arrow_column, free_name, sliced, stored
 
 N_HASHES, ROWS, BANDS, BITS = 256, 6, 42, 4
 CUT_BELOW = 0.14
 PIVOTS = 3
+#: Parts in which classes of one component, or of one bucket, are dealt.
+PARTS = 16
 #: Members that are confirmed against one partner's text in one sorted run.
 SALT = 64
 #: Partners that a class has confirmed in the rounds before all the rest.
@@ -176,12 +182,21 @@ def _estimate(a: str, b: str):
     return F.expr(f"(({N_HASHES} - ({unequal})) / {float(N_HASHES)} - {chance}) / {1 - chance}")
 
 
-def _with_signatures(pairs: DataFrame, sigs: DataFrame, cut: float) -> DataFrame:
-    """Distinct pairs (x, y) whose estimate reaches ``cut``; sizes rule out what cannot reach it."""
-    left = sigs.select(F.col("rep").alias("x"), F.col("signature").alias("sx"), F.col("n_shingles").alias("nx"))
-    right = sigs.select(F.col("rep").alias("y"), F.col("signature").alias("sy"), F.col("n_shingles").alias("ny"))
-    return pairs.join(left, "x").join(right, "y").filter(_estimate("sx", "sy") >= cut) \
-        .filter(F.least("nx", "ny") >= cut * F.greatest("nx", "ny")).select("x", "y")
+def _possible(percent: int) -> Column:
+    """Whether the most that x and y can have in common (``mx``, ``my``: the shingles of each that
+    stand elsewhere too) is enough for their sizes."""
+    return F.least("mx", "my") * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent
+
+
+def _side(sigs: DataFrame, side: str) -> DataFrame:
+    return sigs.select(F.col("rep").alias(side), F.col("signature").alias(f"s{side}"),
+                       F.col("n_shingles").alias(f"n{side}"), F.col("most").alias(f"m{side}"))
+
+
+def _with_signatures(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x, y) whose estimate reaches the cut and whose sizes leave the threshold in reach."""
+    return pairs.join(_side(sigs, "x"), "x").join(_side(sigs, "y"), "y").filter(_possible(percent)) \
+        .filter(_estimate("sx", "sy") >= percent / 100 - CUT_BELOW).select("x", "y")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -241,14 +256,10 @@ def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         .join(labels.select(F.col("rep").alias("y"), F.col("comp").alias("b")), "y").filter("a <> b").select("x", "y")
 
 
-def _link_all(kept: DataFrame, labels: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> DataFrame:
-    """Labels after confirming every kept pair that still joins two components; ``texts`` gives the
-    text of each class named by its rep.  A class confirms
+def _link_all(kept: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Labels after confirming every kept pair that still joins two components; ``texts`` has
+    (rep, text) of the classes.  A class confirms
     its lowest partner first, which joins most groups, then a few more, then all that are left."""
-    named = stored(kept.select("x").union(kept.select("y")).toDF("rep").distinct(), "minhash-named")
-    if not named.limit(1).count():
-        return labels
-    texts = stored(texts(named), "minhash-texts")
     for tries in (*TRIES, None):
         left = stored(_between(kept, labels), "minhash-left")
         if not left.limit(1).count():
@@ -262,31 +273,58 @@ def _link_all(kept: DataFrame, labels: DataFrame, texts: Callable[[DataFrame], D
     return labels
 
 
-def _across(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, cut: float) -> DataFrame:
+def _shared(texts: DataFrame, width: int) -> DataFrame:
+    """(rep, own): how many shingles of a class stand in none of the other classes of ``texts``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for batch in sliced(batches, 64):
+            sets = [shingle_set(t, width, words) for t in batch.column(1).to_pylist()]
+            reps = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(_signed(np.concatenate(sets)))], ["rep", "s"])
+
+    return texts.select("rep", "text").mapInArrow(run, "rep long, s long") \
+        .groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep")).filter("n = 1") \
+        .groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, comp, main): members of the buckets that hold several components; main is one of these."""
+    rows = buckets.join(labels, "rep")
+    several = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                      F.min_by("comp", "rep").alias("main")).filter("lo <> hi").select("key", "main")
+    return rows.join(several, "key").select("key", "rep", "comp", "main")
+
+
+def _light_pairs(mixed: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Distinct pairs (x, y) of bucket members and their bucket's light classes: those with the least
+    share of own shingles, of all, of either half by hash and of those outside the main component."""
+    rows = mixed.join(sigs.select("rep", (1 - F.col("most") / F.col("n_shingles")).alias("own")), "rep")
+    weight = F.struct("own", F.xxhash64("rep"), "rep")
+    half = F.pmod(F.xxhash64("rep"), F.lit(2))
+    picks = [F.min(weight), *(F.min(F.when(half == k, weight)) for k in (0, 1)), F.min(F.when(F.col("comp") != F.col("main"), weight))]
+    pivots = rows.groupBy("key").agg(F.array(*[p["rep"] for p in picks]).alias("pivots"))
+    return rows.join(pivots, "key").select("rep", F.explode(F.array_distinct(F.array_compact("pivots"))).alias("p")).filter("rep <> p") \
+        .select(F.greatest("rep", "p").alias("x"), F.least("rep", "p").alias("y")).distinct()
+
+
+def _across(mixed: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket in different components that the pivots have not compared: the
-    classes outside the pivot's component against the bucket, kept by estimate in the join."""
-    rows = buckets.filter("n > 2").join(labels, "rep")
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                    F.min_by("comp", "rep").alias("main")).filter("lo <> hi").select("key", "main")
-    rows = rows.join(mixed, "key").join(sigs, "rep")
-    few = rows.filter("comp <> main").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"),
-                                             F.col("signature").alias("sx"), F.col("n_shingles").alias("nx"))
-    every = rows.select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"),
-                        F.col("signature").alias("sy"), F.col("n_shingles").alias("ny"))
-    close = (few.key == every.key) & (F.col("cx") != F.col("cy")) & (_estimate("sx", "sy") >= cut) \
-        & (F.least("nx", "ny") >= cut * F.greatest("nx", "ny"))
+    classes outside the main component against the bucket, kept by bound and estimate in the join."""
+    few = mixed.filter("comp <> main").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx")).join(_side(sigs, "x"), "x")
+    every = mixed.select("key", F.col("rep").alias("y"), F.col("comp").alias("cy")).join(_side(sigs, "y"), "y")
+    close = (few.key == every.key) & (F.col("cx") != F.col("cy")) & _possible(percent) \
+        & (_estimate("sx", "sy") >= percent / 100 - CUT_BELOW)
     return few.join(every, close).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
 
 
 def _found(df: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, set_hash: one row per row of ``df``."""
-    cut = percent / 100 - CUT_BELOW
     docs = stored(signatures(df, width, id_col, text_col), "minhash-signatures")
     # a class is its set; it gets a number of its own, as rows of one id may stand in several classes
     classes = stored(docs.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_hash").agg(
         F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
         F.first("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
-    sigs = classes.select("rep", "n_shingles", "signature")
+    sigs = classes.select("rep", "n_shingles", "signature", F.col("n_shingles").alias("most"))
     keys = classes.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stored(keys.join(shared, "key"), "minhash-buckets")
@@ -297,13 +335,32 @@ def _found(df: DataFrame, width: int, percent: int, id_col: str, text_col: str)
     labels = stored(classes.select("rep", F.col("rep").alias("comp")), "minhash-labels")
 
     def texts(named: DataFrame) -> DataFrame:
-        return _class_texts(df, classes.join(named, "rep", "left_semi"), width, id_col, text_col)
-
-    labels = _link_all(stored(_with_signatures(pairs, sigs, cut), "minhash-pairs"), labels, texts, width, percent)
-    labels = _link_all(stored(_across(buckets, labels, sigs, cut), "minhash-pairs"), labels, texts, width, percent)
-    by_set = classes.select("rep", "low", F.col("set_hash").alias("h")).join(labels, "rep").select("h", "comp", "low")
-    lowest = by_set.groupBy("comp").agg(F.min("low").alias("lowest"))
-    by_set = by_set.join(lowest, "comp").select("h", "lowest")
+        return stored(_class_texts(df, classes.join(named, "rep", "left_semi"), width, id_col, text_col), "minhash-texts")
+
+    near = stored(_with_signatures(pairs, sigs, percent), "minhash-pairs")
+    named = stored(near.select("x").union(near.select("y")).toDF("rep").distinct(), "minhash-named")
+    if named.limit(1).count():
+        labels = _link_all(near, labels, texts(named), width, percent)
+    buckets = buckets.filter("n > 2").select("key", "rep")
+    mixed = stored(_mixed(buckets, labels), "minhash-mixed")
+    named = stored(mixed.select("rep").distinct(), "minhash-named")
+    if named.limit(1).count():
+        some = texts(named)
+        sigs = sigs.join(named, "rep").join(_shared(some, width), "rep", "left") \
+            .withColumn("most", F.col("n_shingles") - F.coalesce("own", F.lit(0))).drop("own")
+        # a class that shares too little with all others together has no link
+        sigs = stored(sigs.filter(F.col("most") * 100 >= F.col("n_shingles") * percent), "minhash-shared")
+        buckets = stored(mixed.select("key", "rep").join(sigs.select("rep"), "rep", "left_semi"), "minhash-buckets")
+        near = stored(_with_signatures(_light_pairs(_mixed(buckets, labels), sigs), sigs, percent), "minhash-pairs")
+        labels = _link_all(near, labels, some, width, percent)
+        mixed = stored(_mixed(buckets, labels), "minhash-mixed")
+        labels = _link_all(stored(_across(mixed, sigs, percent), "minhash-pairs"), labels, some, width, percent)
+    by_set = classes.select("rep", "low", F.col("set_hash").alias("h")).join(labels, "rep").select("rep", "h", "comp", "low")
+    # a component's lowest id goes to each part of its classes; a class alone has its own
+    lowest = by_set.groupBy("comp").agg(F.min("low").alias("lowest"), F.count(F.lit(1)).alias("n")).filter("n > 1") \
+        .select("comp", "lowest", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    by_set = by_set.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(PARTS)).cast("int")).join(lowest, ["comp", "part"], "left") \
+        .select("h", F.coalesce("lowest", "low").alias("lowest"))
     found = docs.select("doc_id", "n_shingles", "set_hash").join(by_set, F.col("set_hash") == F.col("h"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
