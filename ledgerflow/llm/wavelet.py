@@ -31,6 +31,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -75,7 +76,7 @@ class WaveletMatrix:
             planes.append(packed)
             zeros.append(int(len(now) - bit.sum()))
             ranks.append(cls._directory(packed))
-            now = np.concatenate([now[~bit], now[bit]])
+            now = np.concatenate([np.compress(~bit, now), np.compress(bit, now)])
         return cls(len(ids), planes, zeros, ranks)
 
     @staticmethod
@@ -147,8 +148,8 @@ class WaveletMatrix:
         for level in range(self.width - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             now = np.empty_like(out)
-            now[~bit] = out[:self.zeros[level]]
-            now[bit] = out[self.zeros[level]:] | kind(1 << (self.width - 1 - level))
+            now[np.flatnonzero(~bit)] = out[:self.zeros[level]]
+            now[np.flatnonzero(bit)] = out[self.zeros[level]:] | kind(1 << (self.width - 1 - level))
             out = now
         return out.astype(np.uint32)
 
@@ -282,7 +283,7 @@ class UnitEncoder:
         out, split = [], []
         for k, t in enumerate(texts):
             if self.ranked and self._is_near(t or ""):
-                out.append(np.array(self.ranked.encode_ordinary(t or ""), "<u4").tobytes() + self.end)
+                out.append(array("I", self.ranked.encode_ordinary(t or "")).tobytes() + self.end)
                 continue
             first, blank, rest = (t or "").partition(" ")
             split.append((k, first, rest.split(" ") if blank else []))
