@@ -83,8 +83,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
     ``approx`` uses HyperLogLog++ sketches instead (fixed memory per column)."""
     cols = list(columns or _cols(df))
     agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    row = df.agg(*[agg(c).alias(c) for c in cols])
-    return row.unpivot([], cols, "COLUMN_NAME", "N_DISTINCT").select(
+    row = df.agg(*[agg(F.col(f"`{c}`")).alias(c) for c in cols])
+    return row.unpivot([], [F.col(f"`{c}`") for c in cols], "COLUMN_NAME", "N_DISTINCT").select(
         "COLUMN_NAME", F.col("N_DISTINCT").cast("long").alias("N_DISTINCT"))
 
 
@@ -165,16 +165,24 @@ def date_range(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 # --- C8 / C9 ------------------------------------------------------------------------
 
+EXPRESSION_COLUMNS = 64     # wider tables take co-moment blocks instead of an expression for each pair
+BLOCK_COLUMNS = 512         # of one side of a block: a task holds six matrices of this width
+BLOCK_ROWS = 1024
+
+
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 3) -> DataFrame:
     """Pearson matrix in long form (COL_A, COL_B, CORR), pairwise-complete
     rows, null (not an error) for a constant column.
 
     The matrix is symmetric, so only the upper triangle is computed, in one
-    ungrouped aggregate over the input rows.
+    ungrouped aggregate over the input rows; tables of more than 64 columns
+    take ``correlation_blocks``.
     """
     cols = list(columns if columns is not None else numeric_columns(df, profiled_only=False))
     if len(cols) < 2:
         return None
+    if len(cols) > EXPRESSION_COLUMNS:
+        return correlation_blocks(df, cols, digits)
     upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     row = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in upper])
     cells = [F.struct(F.lit(cols[i]).alias("COL_A"), F.lit(cols[j]).alias("COL_B"),
@@ -183,6 +191,72 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, digits: int
     return row.select(F.inline(F.array(*cells)))
 
 
+def _co_moments(df: DataFrame, cols: list[str], left: range, right: range, shift: list[float]) -> DataFrame:
+    """(I, J, N, SX, SY, SXX, SYY, SXY) for the pairs I <= J of two column blocks: every task sums its rows with
+    matrix products (values about ``shift``, zeros and a mask for nulls) and gives one row a pair."""
+    own = sorted({*left, *right})
+    at = {c: k for k, c in enumerate(own)}
+    a, b = [at[i] for i in left], [at[j] for j in right]
+
+    def partial(batches):
+        import numpy as np
+        import pyarrow as pa
+        n, sx, sy, sxx, syy, sxy = (np.zeros((len(a), len(b))) for _ in range(6))
+        for whole in batches:
+            for s in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(s, BLOCK_ROWS)
+                x, m = np.zeros((batch.num_rows, len(own))), np.zeros((batch.num_rows, len(own)))
+                for k, i in enumerate(own):
+                    m[:, k] = batch.column(k).is_valid().to_numpy(zero_copy_only=False)
+                    x[:, k] = np.where(m[:, k] > 0, batch.column(k).fill_null(0.0).to_numpy(zero_copy_only=False) - shift[i], 0.0)
+                xa, xb, ma, mb = x[:, a], x[:, b], m[:, a], m[:, b]
+                n += ma.T @ mb
+                sx += xa.T @ mb
+                sy += ma.T @ xb
+                sxx += (xa * xa).T @ mb
+                syy += ma.T @ (xb * xb)
+                sxy += xa.T @ xb
+        i, j = np.meshgrid(np.array(left), np.array(right), indexing="ij")
+        keep = i <= j
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i[keep], pa.int32()), pa.array(j[keep], pa.int32()), *[pa.array(v[keep]) for v in (n, sx, sy, sxx, syy, sxy)]],
+            names=["I", "J", "N", "SX", "SY", "SXX", "SYY", "SXY"])
+
+    values = df.select(*[F.col(f"`{cols[i]}`").cast("double").alias(f"c{i}") for i in own])
+    return values.mapInArrow(partial, "I int, J int, N double, SX double, SY double, SXX double, SYY double, SXY double")
+
+
+def correlation_blocks(df: DataFrame, cols: Sequence[str], digits: int = 3, block: int = BLOCK_COLUMNS) -> DataFrame:
+    """``correlation`` for wide tables: co-moments of column blocks by row batches.  The plan has a scan for each
+    pair of blocks, not an expression for each pair of columns, and a task's memory is set by the block.
+
+    Values are taken about the column's mean (one aggregate before).  A pair with one row or none, with a NaN or
+    an infinite value, or whose spread over the common rows is under 3e-7 of their distance from the column's
+    mean (constant, up to rounding) has a null correlation."""
+    cols = list(cols)
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    finite = [m is not None and abs(m) < float("inf") for m in means]          # False for NaN too
+    shift = [float(m) if ok else 0.0 for m, ok in zip(means, finite)]
+    blocks = [range(s, min(s + block, len(cols))) for s in range(0, len(cols), block)]
+    parts = [_co_moments(df, cols, u, v, shift) for p, u in enumerate(blocks) for v in blocks[p:]]
+    # every pair once with zeros, so that an empty table has its rows too
+    moments = df.sparkSession.range(len(cols)).select(
+        F.col("id").cast("int").alias("I"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(len(cols) - 1))).alias("J"),
+        *[F.lit(0.0).alias(c) for c in ("N", "SX", "SY", "SXX", "SYY", "SXY")])
+    for part in parts:
+        moments = moments.unionByName(part)
+    total = moments.groupBy("I", "J").agg(*[F.sum(c).alias(c) for c in ("N", "SX", "SY", "SXX", "SYY", "SXY")])
+    vx, vy = F.col("SXX") - F.col("SX") * F.col("SX") / F.col("N"), F.col("SYY") - F.col("SY") * F.col("SY") / F.col("N")
+    spread = (F.col("N") > 1) & (vx > F.col("SXX") * 1e-13) & (vy > F.col("SYY") * 1e-13)
+    r = F.when(spread, (F.col("SXY") - F.col("SX") * F.col("SY") / F.col("N")) / (F.sqrt(vx) * F.sqrt(vy)))
+    r = F.when(r.isNotNull() & ~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    names = F.array(*[F.lit(c) for c in cols])
+    both = total.select("I", "J", F.round(r, digits).alias("CORR")).select("CORR", F.explode(F.when(
+        F.col("I") == F.col("J"), F.array(F.struct(F.col("I").alias("A"), F.col("J").alias("B")))).otherwise(
+        F.array(F.struct(F.col("I").alias("A"), F.col("J").alias("B")), F.struct(F.col("J").alias("A"), F.col("I").alias("B"))))).alias("p"))
+    return both.select(F.element_at(names, F.col("p.A") + 1).alias("COL_A"), F.element_at(names, F.col("p.B") + 1).alias("COL_B"), "CORR")
+
+
 def correlation_with_profit(df: DataFrame, digits: int = 3) -> DataFrame:
     with_profit = df.withColumn("VAL_PROFIT", F.col("VAL_REVENUES") - F.col("VAL_COST"))
     return correlation(with_profit, ["VAL_REVENUES", "VAL_COST", "VAL_PROFIT"], digits)
@@ -217,19 +291,38 @@ def histogram(df: DataFrame, col: str = "VAL_REVENUES", bins: int = 50) -> DataF
         F.coalesce("COUNT", F.lit(0)).cast("long").alias("COUNT"))
 
 
+TERMS = 12          # of the kernel's series in a cell; with cells of a quarter bandwidth the rest is below 3e-16
+
+
+def kernel_moments(values: DataFrame, lo: float, h: float) -> DataFrame:
+    """(CELL, M0, M1, ..): for every occupied cell of a quarter bandwidth, from ``lo`` on, the sums over its
+    rows of exp(-t^2/2) t^k / k!, with t the distance to the middle of the cell in bandwidths.  Sums of
+    disjoint inputs add up."""
+    at = (F.col("x") - F.lit(lo)) / F.lit(h)
+    cell = F.floor(at * 4.0)
+    rows = values.select(cell.alias("CELL"), (at - (cell + 0.5) / 4.0).alias("t"))
+    rows = rows.select("CELL", "t", F.exp(F.col("t") * F.col("t") * -0.5).alias("e"))
+    factorial, sums, power = 1.0, [], F.col("e")
+    for k in range(TERMS):
+        sums.append((F.sum(power) / F.lit(factorial)).alias(f"M{k}"))
+        factorial, power = factorial * (k + 1), power * F.col("t")
+    return rows.groupBy("CELL").agg(*sums)
+
+
 def density(df: DataFrame, col: str = "VAL_REVENUES", grid: int = 200, bins: int = 50,
             digits: int = 6, count_digits: int = 3) -> DataFrame:
     """Gaussian kernel density on ``grid`` points spanning [min, max]
     (no extension past the data), Scott bandwidth ``std * n^(-1/5)``.
 
-    The four parameters come from one 1-row aggregate.  Each task then sums
-    the kernel at every grid point over its own rows with numpy (Arrow
-    batches in, ``grid`` rows out), and one small grouped sum combines the
-    tasks: no grid-by-row join, and the shuffle carries ``grid`` rows per
-    task.  DENSITY_PER_MILLION is the pdf times 1e6; COUNT_DENSITY scales it
-    to the histogram's expected count per bin.  Both are rounded to about 8
-    significant digits: the kernel sums depend on summation order in the last
-    few digits.
+    The four parameters come from one 1-row aggregate.  One JVM aggregate then reduces the rows to
+    kernel moments of cells a quarter bandwidth wide, and each occupied cell adds to every grid point
+    exp(-z^2/2) * sum(M_k z^k), with z the distance of the point to the cell's middle: the kernel's
+    exponential series about the middle.  Since |t| <= 1/8, what the series leaves out is at most
+    z^12 exp(z/8 - z^2/2) / (8^12 12!) < 1e-15 of a kernel's height for each row, less than a double's
+    rounding.  The shuffle carries cells, not rows, and no Python worker sees a row.
+    DENSITY_PER_MILLION is the pdf times 1e6; COUNT_DENSITY scales it to the histogram's expected
+    count per bin.  Both are rounded to about 8 significant digits: the kernel sums depend on summation
+    order in the last few digits.  Null and NaN are left out; no data or constant data give None.
     """
     x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
     st = df.where(x.isNotNull()).select(x.alias("x"))
@@ -241,19 +334,13 @@ def density(df: DataFrame, col: str = "VAL_REVENUES", grid: int = 200, bins: int
     h = p["sd"] * n ** -0.2
     step = (hi - lo) / (grid - 1)
 
-    def partial_sums(batches):
-        import numpy as np
-        import pandas as pd
-        points = lo + np.arange(grid) * step
-        acc = np.zeros(grid)
-        for b in batches:
-            v = b["x"].to_numpy(dtype="float64")
-            for s in range(0, len(v), 4096):       # bounded temporary: grid x 4096
-                z = (points[:, None] - v[None, s:s + 4096]) / h
-                acc += np.exp(-0.5 * z * z).sum(axis=1)
-        yield pd.DataFrame({"POINT": np.arange(grid, dtype="int32"), "S": acc})
-
-    sums = st.mapInPandas(partial_sums, "POINT int, S double").groupBy("POINT").agg(F.sum("S").alias("S"))
+    points = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("POINT")
+    z = F.col("POINT") * F.lit(step / h) - (F.col("CELL") + 0.5) / 4.0
+    series = F.lit(0.0)
+    for k in reversed(range(TERMS)):
+        series = series * F.col("z") + F.col(f"M{k}")
+    cells = kernel_moments(st, lo, h).select("*", points).withColumn("z", z)
+    sums = cells.groupBy("POINT").agg(F.sum(F.exp(F.col("z") * F.col("z") * -0.5) * series).alias("S"))
     pdf = F.col("S") / (F.lit(n) * F.lit(h) * F.lit(2.5066282746310002))
     return sums.select("POINT", (F.lit(lo) + F.col("POINT") * F.lit(step)).alias("X"),
                        F.round(pdf * F.lit(1e6), digits).alias("DENSITY_PER_MILLION"),

@@ -92,3 +92,113 @@ def test_describe_approx_option(spark):
     exact = P.describe(df).first()
     approx = P.describe(df, approx=True).first()
     assert exact.P50 == 500.5 and abs(approx.P50 - 500.5) <= 1.0
+
+
+VALUES = {
+    "i": ("bigint", [0, -1, -64, -65, 63, 64, 64, 2 ** 63 - 1, -2 ** 63, None]),
+    "s": ("string", ["7", "07", "007", "a7", "a07", "", "a", "7a", "1" * 40, "0" + "1" * 39]),
+    "u": ("string", ["é9", "é09", " 9", "9 ", "9", "\u0669", None, "123456789012345678", "1234567890123456789", "9"]),
+    "d": ("date", [None, "1969-12-31", "1970-01-01", "1970-01-01", "2788-01-01", "0001-01-01", None, None, None, None]),
+    "t": ("timestamp", ["2024-01-01 00:00:00", "2024-01-01 00:00:00.000001", *["2024-01-01 00:00:00"] * 8]),
+    "m": ("decimal(18,2)", ["0.00", "0.01", "-0.01", "9999999999999999.99", "-9999999999999999.99", "0.01", *[None] * 4]),
+    "w": ("decimal(38,2)", ["0.00", "0.01", "123456789012345678901234567890.12", *[None] * 7]),
+    "f": ("double", ["0.0", "-0.0", "NaN", "NaN", "1.5", *[None] * 5]),
+    "b": ("boolean", [True, False, None, *[True] * 7]),
+    "n": ("int", [None] * 10),
+    "a.b": ("int", [*range(10)]),
+}
+
+
+def odd_values(spark):
+    text = ", ".join(f"`{c}` string" for c in VALUES)
+    raw = [tuple(None if v[k] is None else str(v[k]) for _, v in VALUES.values()) for k in range(10)]
+    df = spark.createDataFrame(raw, text)
+    return df.selectExpr(*[f"cast(`{c}` as {t}) as `{c}`" for c, (t, _) in VALUES.items()])
+
+
+def test_distinct_counts_of_odd_values(spark):
+    df = odd_values(spark)
+    got = dict(rows(P.distinct_counts(df)))
+    want = {c: df.selectExpr(f"count(distinct `{c}`) as n").first().n for c in VALUES}
+    assert got == want and want["s"] == 10 and want["n"] == 0 and want["f"] == 3
+    assert dict(rows(P.distinct_counts(df.limit(0)))) == dict.fromkeys(VALUES, 0)
+    approx = dict(rows(P.distinct_counts(df, ["i", "a.b"], approx=True)))
+    assert approx == {"i": want["i"], "a.b": 10}
+
+
+def exact_density(v, grid=200):
+    v = np.asarray(v, dtype="float64")
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.linspace(v.min(), v.max(), grid)
+    return np.array([np.exp(-0.5 * ((p - v) / h) ** 2).sum() for p in x]) / (len(v) * h * np.sqrt(2 * np.pi))
+
+
+@pytest.mark.parametrize("kind", ["normal", "lognormal", "two values", "ties and outlier", "uniform"])
+def test_density_equals_the_whole_sum(spark, kind):
+    rng = np.random.default_rng(5)
+    v = {"normal": lambda: rng.normal(100, 10, 3000), "lognormal": lambda: rng.lognormal(3, 1.2, 3000),
+         "two values": lambda: np.array([1.0, 2.0]), "ties and outlier": lambda: np.array([*[5.0] * 500, *range(20), 1e6]),
+         "uniform": lambda: rng.random(3000) * 1e-6}[kind]()
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),)], "VAL_REVENUES double")
+    got = sorted(P.density(df, digits=300, count_digits=300).collect(), key=lambda r: r.POINT)
+    want = exact_density(v)
+    assert np.abs(np.array([r.DENSITY_PER_MILLION for r in got]) / 1e6 - want).max() <= 1e-13 * want.max()
+
+
+def test_kernel_moments_of_parts_add_up(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(float(x),) for x in rng.normal(0, 1, 400)], "x double")
+    from pyspark.sql import functions as F
+    both = P.kernel_moments(df.where("x < 0.3"), -5.0, 0.3).unionByName(P.kernel_moments(df.where("x >= 0.3"), -5.0, 0.3))
+    both = {r.CELL: r for r in both.groupBy("CELL").agg(*[F.sum(f"M{k}").alias(f"M{k}") for k in range(P.TERMS)]).collect()}
+    whole = {r.CELL: r for r in P.kernel_moments(df, -5.0, 0.3).collect()}
+    assert both.keys() == whole.keys()
+    for c, r in whole.items():
+        assert [both[c][f"M{k}"] for k in range(P.TERMS)] == pytest.approx([r[f"M{k}"] for k in range(P.TERMS)], abs=1e-12)
+
+
+def test_density_plans_no_python(spark):
+    df = spark.range(100).selectExpr("cast(id as double) as VAL_REVENUES")
+    plan = P.density(df)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "Python" not in plan
+
+
+def wide_table(spark, n_cols, n_rows=400, seed=1):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(1000, 3, (n_rows, n_cols))
+    x[:, 1] = x[:, 0] * -2 + rng.normal(0, 0.5, n_rows)
+    x[:, 2] = 0.1 if n_cols > 9 else 0.5                 # constant (0.1: up to rounding)
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(n_cols)])
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.1)
+    pdf["c3"] = np.where(pdf.c0.isna(), pdf.c3, 7.25)    # constant wherever c0 is present
+    pdf["c4"] = np.nan                                   # nothing at all
+    data = [tuple(None if pd.isna(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    return pdf, spark.createDataFrame(data, ", ".join(f"{c} double" for c in pdf.columns))
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_correlation_blocks_equal_the_expressions(spark, block):
+    _, df = wide_table(spark, 9)
+    assert rows(P.correlation_blocks(df, df.columns, 9, block=block)) == rows(P.correlation(df, df.columns, 9))
+
+
+def test_correlation_of_300_columns(spark):
+    pdf, df = wide_table(spark, 300)
+    got = {(r.COL_A, r.COL_B): r.CORR for r in P.correlation(df, df.columns, 6).collect()}
+    want = pdf.corr(min_periods=2)
+    assert len(got) == 90_000
+    for c in ("c2", "c4"):
+        assert all(got[(c, o)] is None for o in pdf.columns)
+    assert got[("c0", "c3")] is None and got[("c1", "c0")] == pytest.approx(want.loc["c1", "c0"], abs=1e-6)
+    skip = {"c2", "c3", "c4"}
+    assert all(got[(a, b)] == pytest.approx(want.loc[a, b], abs=1.1e-6) for a in pdf.columns for b in pdf.columns
+               if not {a, b} & skip)
+
+
+def test_correlation_blocks_odd_tables(spark):
+    _, df = wide_table(spark, 5)
+    empty = P.correlation_blocks(df.limit(0), df.columns).collect()
+    assert len(empty) == 25 and all(r.CORR is None for r in empty)
+    bad = spark.createDataFrame([(1.0, 2.0, 3), (2.0, float("nan"), 4), (4.0, 1.0, 9), (None, 1.0, None)], "`a.b` double, n double, i int")
+    got = {(r.COL_A, r.COL_B): r.CORR for r in P.correlation_blocks(bad, bad.columns).collect()}
+    assert got[("a.b", "n")] is None and got[("n", "n")] is None and got[("a.b", "i")] == got[("i", "a.b")] == 0.984
