@@ -640,6 +640,8 @@ def statements() -> dict[str, str]:
     q["monthly_sales"] = f"{e}\n{_totals(MONTH_KEYS)}"
     q["customer_sales"] = f"{e}\n{_totals(CUSTOMER_KEYS)}"
     q["item_sales"] = f"{e}\n{_totals(ITEM_KEYS)}"
+    for name in ("monthly_sales", "customer_sales", "item_sales"):      # merged from monthly state: same rows
+        q[f"{name}_parts"] = q[name]
     q["monthly_total"] = f"""{e},
 m AS ({_totals(MONTH_KEYS, "DECIMAL(38,4)")})
 SELECT ORDER_YEAR, ORDER_MONTH, CAST(sum(TOTAL_REVENUES) AS DOUBLE) AS TOTAL_REVENUES,

@@ -19,9 +19,11 @@ from ledgerflow.operators import clean as C
 from ledgerflow.operators import forecast as FC
 from ledgerflow.operators import olap as O
 from ledgerflow.operators import profile as P
+from ledgerflow.plans import incremental
 from ledgerflow.plans.etl import build_audit, run_etl
 from ledgerflow.plans.materialize import _fs_exists, cache_root, fingerprint, materialized
 from ledgerflow.sources.csv_tables import CSV_WRITE, ORDER_COLUMN, load_csv_tables
+from ledgerflow.sources.sinks import write_olap
 from ledgerflow.sources.star import star_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +110,31 @@ def q_item_sales(spark, sf_dir):
     return G.item_sales(olap(spark, sf_dir))
 
 
+def _months(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The published OLAP table (folders by year and month) and the folder of its monthly state, both kept
+    for the next application."""
+    fp = fingerprint(sf_dir, "clean", inputs=sf_dir, spark=spark)
+    path = f"{cache_root(spark).rstrip('/')}/olap-months-{fp}"
+    if not _fs_exists(spark, f"{path}/_SUCCESS"):
+        write_olap(olap(spark, sf_dir), path)
+    return path, f"{path}-state"
+
+
+@query("monthly_sales_parts")
+def q_monthly_sales_parts(spark, sf_dir):
+    return incremental.monthly_sales(spark, *_months(spark, sf_dir))
+
+
+@query("customer_sales_parts")
+def q_customer_sales_parts(spark, sf_dir):
+    return incremental.customer_sales(spark, *_months(spark, sf_dir))
+
+
+@query("item_sales_parts")
+def q_item_sales_parts(spark, sf_dir):
+    return incremental.item_sales(spark, *_months(spark, sf_dir))
+
+
 @query("monthly_total")
 def q_monthly_total(spark, sf_dir):
     return G.monthly_total(G.monthly_sales(olap(spark, sf_dir), as_double=False))
