@@ -8,14 +8,16 @@ column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.columns import round_exact, safe_corr
-from ledgerflow.operators.quantiles import quantile_columns, value_counts
+from ledgerflow.operators.quantiles import quantile_columns, small
 from ledgerflow.schema import is_profiled_numeric
+from ledgerflow.session import cut_lineage
 from ledgerflow.sources.csv_tables import ORDER_COLUMN
 
 
@@ -38,13 +40,6 @@ def date_columns(df: DataFrame) -> list[str]:
             if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
 
 
-def _long(df: DataFrame, cols: Sequence[str], as_type: str = "string", keep_nulls: bool = False) -> DataFrame:
-    """(COLUMN, VALUE) rows for the given columns, one pass, no join."""
-    arr = F.array(*[F.struct(F.lit(c).alias("COLUMN_NAME"), F.col(c).cast(as_type).alias("VALUE")) for c in cols])
-    out = df.select(F.explode(arr).alias("r")).select("r.*")
-    return out if keep_nulls else out.where(F.col("VALUE").isNotNull())
-
-
 def _position(cols: Sequence[str]):
     return F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
 
@@ -77,15 +72,18 @@ def missing(df: DataFrame) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
                     rsd: float = 0.01) -> DataFrame:
-    """(COLUMN_NAME, N_DISTINCT), nulls excluded.  Exact by default: one
-    aggregate with a distinct count per column (Spark expands the rows once
-    per column and aggregates in two levels, values kept in their own types);
-    ``approx`` uses HyperLogLog++ sketches instead (fixed memory per column)."""
+    """(COLUMN_NAME, N_DISTINCT), nulls excluded.  Exact by default: the different values of each column on their
+    own, in their own type (partial sets before the shuffle, which carries one value and nothing of the other
+    columns); every column is a scan of that column, so give a stored table.  ``approx`` uses HyperLogLog++
+    sketches in one aggregate instead (fixed memory per column)."""
     cols = list(columns or _cols(df))
-    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    row = df.agg(*[agg(F.col(f"`{c}`")).alias(c) for c in cols])
-    return row.unpivot([], [F.col(f"`{c}`") for c in cols], "COLUMN_NAME", "N_DISTINCT").select(
-        "COLUMN_NAME", F.col("N_DISTINCT").cast("long").alias("N_DISTINCT"))
+    if approx:
+        row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(c) for c in cols])
+        return row.unpivot([], [F.col(f"`{c}`") for c in cols], "COLUMN_NAME", "N_DISTINCT").select(
+            "COLUMN_NAME", F.col("N_DISTINCT").cast("long").alias("N_DISTINCT"))
+    return reduce(DataFrame.unionByName, [
+        df.select(F.col(f"`{c}`").alias("VALUE")).where(F.col("VALUE").isNotNull()).distinct()
+        .agg(F.count(F.lit(1)).alias("N_DISTINCT")).select(F.lit(c).alias("COLUMN_NAME"), "N_DISTINCT") for c in cols])
 
 
 # --- C4 / C6 -----------------------------------------------------------------------
@@ -112,7 +110,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, rounded: bool
         q = long.groupBy("COLUMN_NAME").agg(pq.alias("_q")).select(
             "COLUMN_NAME", *[F.col("_q")[i].alias(n) for i, n in enumerate(("P25", "P50", "P75"))])
     else:
-        q = quantile_columns(long, ["COLUMN_NAME"], "X", [0.25, 0.5, 0.75], ["P25", "P50", "P75"])
+        values = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("COLUMN_NAME"), F.col(c).cast("double").alias("X")) for c in cols])))
+        q = quantile_columns(values, ["COLUMN_NAME"], "X", [0.25, 0.5, 0.75], ["P25", "P50", "P75"])
     out = moments.join(q, on="COLUMN_NAME", how="left")
     stats = ["MEAN", "STD", "MIN", "P25", "P50", "P75", "MAX"]
     fix = (lambda c: round_exact(c, 2)) if rounded else (lambda c: F.col(c).cast("double"))
@@ -134,15 +134,19 @@ def top_values(df: DataFrame, k: int = 5, columns: Sequence[str] | None = None,
                include_nulls: bool = True) -> DataFrame:
     """(COLUMN, RANK, VALUE, FREQUENCY, PCT) per categorical column.
 
-    One grouped count over (column, value); ties are broken by value
-    ascending (null last).  The per-column limit runs partially before the
-    shuffle, so no task sees more than k rows per column from each input.
+    One grouped count for each column (a scan of that column, so give a stored
+    table); ties are broken by value ascending (null last).  Every partition
+    keeps its first k values, so the ranking reads k rows a partition.
     """
     cols = list(columns if columns is not None else categorical_columns(df))
-    pairs = _long(df, cols, keep_nulls=include_nulls)
-    counts = pairs.groupBy("COLUMN_NAME", "VALUE").agg(F.count(F.lit(1)).alias("FREQUENCY"))
-    w = Window.partitionBy("COLUMN_NAME").orderBy(F.desc("FREQUENCY"), F.asc_nulls_last("VALUE"))
-    top = counts.withColumn("RANK", F.row_number().over(w)).where(F.col("RANK") <= k)
+    order = [F.desc("FREQUENCY"), F.asc_nulls_last("VALUE")]
+
+    def first_of(c: str) -> DataFrame:
+        values = df.select(F.col(f"`{c}`").cast("string").alias("VALUE"))
+        counts = (values if include_nulls else values.where(F.col("VALUE").isNotNull())).groupBy("VALUE").agg(F.count(F.lit(1)).alias("FREQUENCY"))
+        return counts.orderBy(*order).limit(k).select(F.lit(c).alias("COLUMN_NAME"), "VALUE", "FREQUENCY")
+    top = reduce(DataFrame.unionByName, [first_of(c) for c in cols])
+    top = top.withColumn("RANK", F.row_number().over(Window.partitionBy("COLUMN_NAME").orderBy(*order)))
     if include_nulls:
         base = df.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("COLUMN_NAME"), F.col("_n").alias("_n")) for c in cols])).alias("r")).select("r.*")
@@ -365,17 +369,18 @@ def box_stats(df: DataFrame, group: str = "ID_BUSINESS_LINE", col: str = "VAL_RE
               whisker: float = 1.5) -> DataFrame:
     """Per group: quartiles (exact), IQR, whisker ends (most extreme values
     within 1.5 IQR of the box), outlier count.  NaN counts as null."""
-    counts = value_counts(df, [group], col)            # quartiles, whiskers and outliers all come from it
-    q = quantile_columns(df, [group], col, [0.25, 0.5, 0.75], ["Q1", "MEDIAN", "Q3"], counts=counts)
-    q = q.withColumn("IQR", F.col("Q3") - F.col("Q1"))
+    q = quantile_columns(df, [group], col, [0.25, 0.5, 0.75], ["Q1", "MEDIAN", "Q3"])
+    q = cut_lineage(q.withColumn("IQR", F.col("Q3") - F.col("Q1")))
     lo = F.col("Q1") - F.lit(whisker) * F.col("IQR")
     hi = F.col("Q3") + F.lit(whisker) * F.col("IQR")
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    rows = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull())
     inside = (F.col("_x") >= lo) & (F.col("_x") <= hi)
-    tails = counts.join(q, on=group).groupBy(group).agg(
-        F.sum("_c").alias("N"),
+    tails = rows.join(small(q), on=group).groupBy(group).agg(
+        F.count(F.lit(1)).alias("N"),
         F.min(F.when(inside, F.col("_x"))).alias("WHISKER_LOW"),
         F.max(F.when(inside, F.col("_x"))).alias("WHISKER_HIGH"),
-        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("N_OUTLIERS"))
+        F.sum(F.when(inside, 0).otherwise(1)).alias("N_OUTLIERS"))
     out = q.join(tails, on=group)
     return out.select(group, "N", *[round_exact(c, 2).alias(c) for c in
                                     ("Q1", "MEDIAN", "Q3", "IQR", "WHISKER_LOW", "WHISKER_HIGH")], "N_OUTLIERS")

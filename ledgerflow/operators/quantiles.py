@@ -1,119 +1,120 @@
 """Exact quantiles with bounded per-task memory, one path for every size.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer,
-which a hot group at scale cannot afford.  Here equal values are first counted
-(ties collapse to one row, NaN counts as null), and each target rank keeps a
-bracket of values around it with the exact number of rows below:
-
-1. every bracket starts as the whole group;
-2. while a bracket holds more than ``rank_limit`` *different* values, one pass
-   sketches the different values inside the open brackets (``percentile_approx``
-   at a fixed grid), counts the rows between the grid values exactly and moves
-   each bracket to the cells that hold its target; a bracket that has become
-   one value is closed by that;
-3. inside the final brackets a running count over the different values finds
-   the two order statistics, which are interpolated linearly (numpy's default,
-   DuckDB's ``quantile_cont``).
-
-The limit only says when to narrow further, never what is counted: any limit
-gives the same result.  Driver-side, one number is read a round.
+which a hot group at scale cannot afford, and a shuffle of all distinct values
+is as large as the table.  Here each target order statistic keeps a bracket of
+values around it with the exact number of rows below (NaN counts as null):
+
+1. every bracket starts as the whole range of its group;
+2. while a bracket may hold more than ``rank_limit`` *different* values, one pass
+   cuts it into ``grid`` cells, counts the rows of each exactly (partial sums, so
+   that the shuffle carries cells) and moves the bracket to the range of values
+   in the cell that holds its target.  Cells are equally wide by value and by
+   logarithm in turn, so that a range of many magnitudes narrows as fast;
+3. inside the final brackets equal values are counted and a running count over
+   the different values finds the order statistics, which are interpolated
+   linearly (numpy's default, DuckDB's ``quantile_cont``).
+
+The lowest and the highest value of a bracket lie in different cells, so every
+round narrows it.  The limits only say when to narrow further, never what is
+counted: any limit gives the same result.  Driver-side, two numbers are read a
+round.  The rows are read once a round: give a stored table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
 RANK_LIMIT = 1_000_000
-GRID = 1000          # grid intervals per sketch; a round shrinks a bracket ~GRID / 2 times
+GRID = 4096          # cells of a bracket
+SMALL_ROWS = 10_000  # of brackets or groups that are broadcast to the rows; more of them are joined by key
+_MAX = 1.7976931348623157e308
 
 
-def _inside(pairs: DataFrame, keys: list[str], brackets: DataFrame) -> DataFrame:
-    on = [pairs[k].eqNullSafe(brackets[f"_k_{k}"]) for k in keys]
-    return pairs.join(brackets, on).where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))).drop(*[f"_k_{k}" for k in keys])
+def _rows(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys.., _x) of the rows whose value is neither null nor NaN."""
+    x = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    return df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull())
 
 
-def _keyed(df: DataFrame, keys: list[str], *cols: str) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *cols)
+def small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it has few rows: the other side of its join isn't shuffled then."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(keys.., _x, _c): every different value that is neither null nor NaN with its number of rows, stored:
-    the brackets, their ranking and what a caller takes from the counts read it without a new pass over the rows."""
-    x = F.col(value).cast("double")
-    return _freeze(df.select(*keys, F.nanvl(x, F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
-                   .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")))
+def _inside(rows: DataFrame, keys: list[str], brackets: DataFrame) -> DataFrame:
+    """The rows in each different bracket of a stored table of brackets."""
+    b = small(_freeze(brackets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", "_hi").distinct()))
+    on = [rows[k].eqNullSafe(b[f"_k_{k}"]) for k in keys]
+    return rows.join(b, on).where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))).drop(*[f"_k_{k}" for k in keys])
+
+
+def _joined(state: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """The state with the columns of ``other`` (a table by bracket) beside it."""
+    o = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_lo").alias("_l"), F.col("_hi").alias("_h"),
+                     *[c for c in other.columns if c not in (*keys, "_lo", "_hi")])
+    on = [state[k].eqNullSafe(o[f"_k_{k}"]) for k in keys] + [state["_lo"] == o["_l"], state["_hi"] == o["_h"]]
+    return state.join(o, on).drop(*[f"_k_{k}" for k in keys], "_l", "_h")
+
+
+def _cell(grid: int, by_logarithm: bool) -> Column:
+    """0-based cell of ``_x`` in its bracket; never falls as ``_x`` grows, 0 for ``_lo`` and the last for ``_hi``."""
+    def at(c: str) -> Column:
+        x = F.greatest(F.lit(-_MAX), F.least(F.lit(_MAX), F.col(c)))
+        far = F.greatest(F.abs("_lo"), F.abs("_hi")) > 1e307               # a difference could overflow
+        return F.signum(x) * (F.log2(F.abs(x) + 1e-300) + 1000.0) if by_logarithm else F.when(far, x / 4.0).otherwise(x)
+    x, lo, hi = at("_x"), at("_lo"), at("_hi")
+    even = F.floor(F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(0.5) * F.lit(float(grid - 2)))
+    return F.when(F.col("_x") == F.col("_lo"), F.lit(0)).when(F.col("_x") == F.col("_hi"), F.lit(grid - 1)) \
+        .otherwise(F.greatest(F.lit(0), F.least(F.lit(grid - 3), even)) + 1).cast("int")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = DEFAULT_ACCURACY, rank_limit: int = RANK_LIMIT, grid: int = GRID,
-                    counts: DataFrame | None = None) -> DataFrame:
-    """(keys.., PROB, QUANTILE) per group with at least one value that is neither null nor NaN.  ``counts`` may
-    give the value_counts of ``df``."""
-    keys, rank_limit = list(keys), max(rank_limit, 2)        # two order statistics at least
+                    rank_limit: int = RANK_LIMIT, grid: int = GRID) -> DataFrame:
+    """(keys.., PROB, QUANTILE) per group with at least one value that is neither null nor NaN."""
+    keys, grid = list(keys), max(grid, 3)
     if not keys:
         raise ValueError("at least one grouping column is needed")
-    pairs = value_counts(df, keys, value) if counts is None else counts
-    sizes = pairs.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_m"))
-    state = (sizes.select(*keys, "_n", "_m", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("PROB"))
-             .withColumn("_pos", F.col("PROB") * (F.col("_n") - 1))
-             .withColumn("_i", F.floor("_pos").cast("long"))
-             .withColumn("_frac", F.col("_pos") - F.col("_i"))
-             .withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf")))
-             .withColumn("_below", F.lit(0).cast("long")).withColumn("_w", F.col("_n")))
-    state = _freeze(state)          # groups x probabilities rows
-    percentages = F.array(*[F.lit(k / grid) for k in range(grid + 1)])
+    rows = _rows(df, keys, value)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    targets = sizes.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("PROB")) \
+        .withColumn("_pos", F.col("PROB") * (F.col("_n") - 1)).withColumn("_i", F.floor("_pos").cast("long")) \
+        .withColumn("_frac", F.col("_pos") - F.col("_i"))
+    # with a fraction of 0 the next order statistic has no weight
+    ranks = F.when(F.col("_frac") == 0, F.array(F.col("_i"))).otherwise(F.array(F.col("_i"), F.col("_i") + 1))
+    state = _freeze(targets.select(
+        *keys, "PROB", "_frac", F.posexplode(ranks).alias("_side", "_t"), "_lo", "_hi",
+        F.when(F.col("_lo") == F.col("_hi"), 1).otherwise(F.col("_n")).cast("long").alias("_m")))      # groups x probabilities rows
+    turn = 0
     while True:
         widest = state.agg(F.max("_m")).first()[0]
-        if widest is None or widest <= rank_limit:
+        if widest is None or widest <= max(rank_limit, 1):
             break
         open_ = state.where(F.col("_m") > rank_limit)
-        rows = _inside(pairs, keys, _keyed(open_, keys, "PROB", "_lo", "_hi"))
-        sketch = rows.groupBy(*keys, "PROB").agg(F.percentile_approx("_x", percentages, accuracy).alias("_g"))
-        # the sketch is over different values; where the target lies among them is counted exactly next
-        edges = sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("PROB").alias("_p"),
-                              F.array_sort(F.array_distinct("_g")).alias("_g"))
-        on = [rows[k].eqNullSafe(edges[f"_k_{k}"]) for k in keys] + [rows["PROB"] == edges["_p"]]
-        # number of edges at or below a value: its cell (an edge of its own is the cell's first value)
-        cell = rows.join(edges, on).select(*keys, "PROB", "_c", "_x", F.size(F.filter("_g", lambda g: g <= F.col("_x"))).alias("_cell"))
-        cells = cell.groupBy(*keys, "PROB", "_cell").agg(F.sum("_c").alias("_cw"), F.count(F.lit(1)).alias("_cm"),
-                                                         F.min("_x").alias("_cl"), F.max("_x").alias("_ch"))
-        run = Window.partitionBy(*keys, "PROB").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-        cells = cells.withColumn("_to", F.sum("_cw").over(run)).withColumnRenamed("PROB", "_p") \
-            .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_p", "_cw", "_cm", "_cl", "_ch", "_to")
-        joined = state.join(cells, [state[k].eqNullSafe(cells[f"_k_{k}"]) for k in keys] + [state["PROB"] == cells["_p"]], "left")
-        t = F.col("_i") - F.col("_below")
-        # the cells that hold order statistics t and t + 1
-        holds = (F.col("_to") > t) & (F.col("_to") - F.col("_cw") <= t + 1)
-        moved = joined.groupBy(*keys, "PROB").agg(
-            *[F.first(c).alias(c) for c in ("_n", "_pos", "_i", "_frac")],
-            F.first("_lo").alias("_lo0"), F.first("_hi").alias("_hi0"), F.first("_m").alias("_m0"),
-            F.first("_w").alias("_w0"), F.first("_below").alias("_below0"),
-            F.min(F.when(holds, F.col("_cl"))).alias("_lo1"), F.max(F.when(holds, F.col("_ch"))).alias("_hi1"),
-            F.sum(F.when(holds, F.col("_cm"))).alias("_m1"), F.sum(F.when(holds, F.col("_cw"))).alias("_w1"),
-            F.sum(F.when(F.col("_to") <= t, F.col("_cw"))).alias("_add"))
-        narrowed = F.col("_lo1").isNotNull()
+        cells = _inside(rows, keys, open_).groupBy(*keys, "_lo", "_hi", _cell(grid, turn % 2 == 1).alias("_cell")).agg(
+            F.count(F.lit(1)).alias("_cw"), F.min("_x").alias("_cl"), F.max("_x").alias("_ch"))
+        run = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        cells = cells.withColumn("_to", F.sum("_cw").over(run))
+        # ``_t`` counts from the bracket's first row
+        moved = _joined(open_, cells, keys).where((F.col("_to") > F.col("_t")) & (F.col("_to") - F.col("_cw") <= F.col("_t")))
         state = _freeze(moved.select(
-            *keys, "PROB", "_n", "_pos", "_i", "_frac",
-            F.when(narrowed, F.col("_lo1")).otherwise(F.col("_lo0")).alias("_lo"),
-            F.when(narrowed, F.col("_hi1")).otherwise(F.col("_hi0")).alias("_hi"),
-            (F.col("_below0") + F.when(narrowed, F.coalesce("_add", F.lit(0))).otherwise(0)).alias("_below"),
-            F.when(narrowed, F.col("_m1")).otherwise(F.col("_m0")).alias("_m"),
-            F.when(narrowed, F.col("_w1")).otherwise(F.col("_w0")).alias("_w")))
-
-    # one running count per different bracket, whatever the number of probabilities it serves
-    brackets = _keyed(state.select(*keys, "_lo", "_hi").distinct(), keys, "_lo", "_hi")
+            *keys, "PROB", "_frac", "_side", (F.col("_t") - F.col("_to") + F.col("_cw")).alias("_t"), F.col("_cl").alias("_lo"),
+            F.col("_ch").alias("_hi"), F.when(F.col("_cl") == F.col("_ch"), 1).otherwise(F.col("_cw")).cast("long").alias("_m"))
+            .unionByName(state.where(F.col("_m") <= rank_limit)))
+        turn += 1
+
+    # a bracket of one value is that value; one running count per different bracket of more
+    known = state.where(F.col("_lo") == F.col("_hi")).withColumn("_x", F.col("_lo"))
+    wide = state.where(F.col("_lo") < F.col("_hi"))
     run = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _inside(pairs, keys, brackets).withColumn("_to", F.sum("_c").over(run)) \
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_x", "_c", "_to")
-    t = F.col("_i") - F.col("_below")
-    on = [state[k].eqNullSafe(ranked[f"_k_{k}"]) for k in keys] + [
-        state["_lo"] == ranked["_l"], state["_hi"] == ranked["_h"], F.col("_to") > t, F.col("_to") - F.col("_c") <= t + 1]
-    vals = state.join(ranked, on).groupBy(*keys, "PROB", "_frac").agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"))
-    # with a fraction of 0 the next order statistic has no weight
+    ranked = _inside(rows, keys, wide).groupBy(*keys, "_lo", "_hi", "_x").agg(F.count(F.lit(1)).alias("_c")) \
+        .withColumn("_to", F.sum("_c").over(run))
+    found = _joined(wide, ranked, keys).where((F.col("_to") > F.col("_t")) & (F.col("_to") - F.col("_c") <= F.col("_t")))
+    vals = known.unionByName(found.select(known.columns)).groupBy(*keys, "PROB", "_frac").agg(
+        F.max(F.when(F.col("_side") == 0, F.col("_x"))).alias("_a"), F.max(F.when(F.col("_side") == 1, F.col("_x"))).alias("_b"))
     return vals.select(*keys, "PROB", F.when(F.col("_frac") == 0, F.col("_a")).otherwise(
         F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias("QUANTILE"))
 

@@ -202,3 +202,37 @@ def test_correlation_blocks_odd_tables(spark):
     bad = spark.createDataFrame([(1.0, 2.0, 3), (2.0, float("nan"), 4), (4.0, 1.0, 9), (None, 1.0, None)], "`a.b` double, n double, i int")
     got = {(r.COL_A, r.COL_B): r.CORR for r in P.correlation_blocks(bad, bad.columns).collect()}
     assert got[("a.b", "n")] is None and got[("n", "n")] is None and got[("a.b", "i")] == got[("i", "a.b")] == 0.984
+
+
+def test_quantiles_store_targets_not_values(spark, monkeypatch):
+    """What is stored between the rounds grows with groups and probabilities, not with the different values."""
+    from ledgerflow.operators import quantiles as Q
+    stored, freeze = [], Q._freeze
+
+    def counted(df):
+        out = freeze(df)
+        stored.append(out.count())
+        return out
+    monkeypatch.setattr(Q, "_freeze", counted)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=2000), 10.0 ** rng.uniform(-250, 250, 1000), -(10.0 ** rng.uniform(-5, 300, 500)), [-np.inf, np.inf] * 3])
+    df = spark.createDataFrame([("a", float(v)) for v in x], "g string, x double").repartition(4)
+    probs = [0.0, 0.2, 0.3331, 0.5, 0.9, 1.0]
+    got = {r.PROB: r.QUANTILE for r in exact_quantiles(df, ["g"], "x", probs, rank_limit=20, grid=50).collect()}
+    for p in probs[1:-1]:
+        assert got[p] == pytest.approx(np.quantile(x, p))
+    assert got[0.0] == -np.inf and got[1.0] == np.inf
+    assert max(stored) <= 2 * len(probs)
+
+
+def test_distinct_counts_and_top_values_shuffle_single_columns(spark):
+    rows = [(f"k{i}", "x" if i % 3 else None, float(i % 4), float("nan") if i % 2 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "a string, b string, c double, d double")
+    out = P.distinct_counts(df)
+    assert {r.COLUMN_NAME: r.N_DISTINCT for r in out.collect()} == {"a": 40, "b": 1, "c": 4, "d": 1}
+    top = P.top_values(df, k=2)
+    assert {(r.COLUMN_NAME, r.RANK, r.VALUE, r.FREQUENCY) for r in top.collect()} == {
+        ("a", 1, "k0", 1), ("a", 2, "k1", 1), ("b", 1, "x", 26), ("b", 2, None, 14)}
+    for df in (out, top):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "struct(COLUMN_NAME, a, VALUE" not in plan
