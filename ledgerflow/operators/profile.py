@@ -144,9 +144,9 @@ def top_values(df: DataFrame, k: int = 5, columns: Sequence[str] | None = None,
     def first_of(c: str) -> DataFrame:
         values = df.select(F.col(f"`{c}`").cast("string").alias("VALUE"))
         counts = (values if include_nulls else values.where(F.col("VALUE").isNotNull())).groupBy("VALUE").agg(F.count(F.lit(1)).alias("FREQUENCY"))
-        return counts.orderBy(*order).limit(k).select(F.lit(c).alias("COLUMN_NAME"), "VALUE", "FREQUENCY")
+        return counts.select(F.lit(c).alias("COLUMN_NAME"), "VALUE", "FREQUENCY")
     top = reduce(DataFrame.unionByName, [first_of(c) for c in cols])
-    top = top.withColumn("RANK", F.row_number().over(Window.partitionBy("COLUMN_NAME").orderBy(*order)))
+    top = top.withColumn("RANK", F.row_number().over(Window.partitionBy("COLUMN_NAME").orderBy(*order))).where(F.col("RANK") <= k)
     if include_nulls:
         base = df.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("COLUMN_NAME"), F.col("_n").alias("_n")) for c in cols])).alias("r")).select("r.*")
