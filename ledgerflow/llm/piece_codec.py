@@ -10,7 +10,9 @@ never entered again, so the work stays linear in the text.
 No piece has the space mark after another character (checked on the model), so
 no merge crosses from a word into the next space: each unit of a space run and
 the word behind it is encoded alone and remembered.  A model with other pieces
-is encoded text by text.
+is encoded text by text.  Where no piece joins a line break to another character,
+no merge crosses one either: lines are encoded one by one, or else the last word of
+a line and the first of the next would be one unit that hardly ever comes again.
 
 Supported: merge-type models with the identity normaliser; anything else raises
 ValueError.  Defined results: null and empty texts give no ids and decode to an
@@ -26,6 +28,7 @@ from __future__ import annotations
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -38,7 +41,8 @@ from ledgerflow.llm.common import arrow_column
 
 SPACE = "▁"
 UNKNOWN = "�"
-#: Entries a worker remembers of words and of piece pairs before it starts anew.
+#: Entries a worker remembers of words and of piece pairs: half of them new, half the ones before,
+#: of which those asked for again become new, so frequent ones are never lost.
 REMEMBER_WORDS, REMEMBER_PAIRS = 150_000, 300_000
 #: More than there are pieces and characters.
 PAIR = 1 << 21
@@ -50,11 +54,16 @@ class _Units(dict):
     def __init__(self, codec: PieceCodec, mark: str):
         super().__init__()
         self.codec, self.mark = codec, mark
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= REMEMBER_WORDS:
+        got = self.before.get(unit)
+        if got is None:
+            got = self.codec.unit_ids(self.mark + unit)
+        if len(self) >= REMEMBER_WORDS // 2:
+            self.before = dict(self)
             self.clear()
-        got = self[unit] = self.codec.unit_ids(self.mark + unit)
+        self[unit] = got
         return got
 
 
@@ -81,6 +90,7 @@ class PieceCodec:
         by_value = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == piece.BYTE}
         self.byte_ids = [by_value[b] for b in range(256)] if kind.byte_fallback else None
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        self.by_lines = not any("\n" in p and p != "\n" for p in self.ids)
 
         #: Every token by number: the pieces, then characters outside the vocabulary as they come.
         self.tokens = [p.piece for p in proto.pieces]
@@ -90,7 +100,7 @@ class PieceCodec:
         self.find = ahocorasick.Automaton()
         self.shorter = [-1] * self.n_pieces
         for p, i in self.ids.items():
-            self.find.add_word(p, i)
+            self.find.add_word(p, (len(p) - 1, i))
             self.shorter[i] = next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), -1)
         self.find.make_automaton()
 
@@ -100,13 +110,16 @@ class PieceCodec:
             if p.type == piece.NORMAL:
                 self.surface[i] = p.piece.replace(SPACE, " ").encode()
             elif p.type == piece.BYTE:
-                self.byte_of[i] = int(p.piece[3:5], 16)
-                self.surface[i] = None
+                value = self.byte_of[i] = int(p.piece[3:5], 16)
+                # ASCII stands for itself in any run; a space is left out, for the one before a text
+                self.surface[i] = bytes([value]) if value < 0x80 and value != 0x20 else None
             elif p.type == piece.UNKNOWN:
                 self.surface[i] = kind.unk_surface.encode()
         self._fits: dict[int, bool] = {}
+        self._fits_before: dict[int, bool] = {}
         self._words = _Units(self, SPACE)          # of words, without the mark before them
         self._other = _Units(self, "")
+        self._break = self.unit_ids("\n") if self.by_lines else b""
 
     # -- encoding ---------------------------------------------------------
     def merged(self, text: str) -> list[str]:
@@ -127,15 +140,18 @@ class PieceCodec:
         key = (last + 1) * PAIR + token
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= REMEMBER_PAIRS:
-                self._fits.clear()
+            known = self._fits_before.get(key)
+        if known is None:
             text = self.tokens[token]
             if last < 0:
                 known = self.merged(text) == [text]
             else:
                 before = self.tokens[last]
                 known = self.fits(-1, last) and self.fits(-1, token) and self.merged(before + text) == [before, text]
-            self._fits[key] = known
+        if len(self._fits) >= REMEMBER_PAIRS // 2:
+            self._fits_before = dict(self._fits)
+            self._fits.clear()
+        self._fits[key] = known
         return known
 
     def _outside(self, char: str) -> int:
@@ -151,10 +167,8 @@ class PieceCodec:
         """Tokens of a text: backtracking over longest matches."""
         n, sizes, shorter, checked = len(text), self.sizes, self.shorter, self._fits
         longest = [-1] * n
-        for end, i in self.find.iter(text):
-            at = end - sizes[i] + 1
-            if longest[at] < 0 or sizes[i] > sizes[longest[at]]:
-                longest[at] = i
+        for end, (back, i) in self.find.iter(text):     # ends ascend: the last piece from a place is its longest
+            longest[end - back] = i
         failed = bytearray(n + 1)
         out: list[int] = []
         pos = 0
@@ -205,12 +219,20 @@ class PieceCodec:
         if not text:
             return b""
         if self.by_words and self.dummy_prefix and text[0] != " " and "  " not in text and SPACE not in text:
-            return b"".join(map(self._words.__getitem__, text.split(" ")))
+            if not self.by_lines or "\n" not in text:
+                return b"".join(map(self._words.__getitem__, text.split(" ")))
+            return self._break.join(map(self._line_bytes, text.split("\n"), chain((self._words,), repeat(self._other))))
         marked = (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE)
         if not self.by_words:
             return self.unit_ids(marked)
         return b"".join(map(self._other.__getitem__, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", marked)))
 
+    def _line_bytes(self, line: str, first: _Units) -> bytes:
+        """Ids of one line; ``first`` has those of its first word, which only in the first line has a mark."""
+        word, space, rest = line.partition(" ")
+        head = first[word] if word or first is self._words else b""
+        return head + b"".join(map(self._words.__getitem__, rest.split(" "))) if space else head
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
