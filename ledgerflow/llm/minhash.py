@@ -18,8 +18,9 @@ shares with no other such class are counted: two classes have at most as many in
 common as either shares with anyone, which bounds their similarity exactly.  The
 classes with the least share of own shingles, those in the middle of a group of
 near copies, are the next pivots.  After that, classes outside the main component
-are compared with the members of other components in the bucket, where the bound
-leaves the threshold within reach; this keeps every link between groups.
+are compared with the members of other components that differ from a class in the middle
+in the same shingles; a link demands that they share about half of these, so this
+keeps every link between groups without comparing all their members.
 
 With 42 bands of 6 rows a pair at similarity 0.8 shares no key with
 probability 3e-6 (1e-9 at 0.86); the estimate's standard error at 0.8 is 0.025,
@@ -55,7 +56,7 @@ PARTS = 16
 SALT = 64
 #: Partners that a class has confirmed in the rounds before all the rest.
 TRIES = (1, 8)
-_WORDS_REMEMBERED = 400_000
+_WORDS_REMEMBERED = 100_000
 _NO_WORD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -273,16 +274,20 @@ def _link_all(kept: DataFrame, labels: DataFrame, texts: DataFrame, width: int,
     return labels
 
 
-def _shared(texts: DataFrame, width: int) -> DataFrame:
-    """(rep, own): how many shingles of a class stand in none of the other classes of ``texts``."""
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """(rep, s): the full shingle set of each class of ``texts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in sliced(batches, 64):
-            sets = [shingle_set(t, width, words) for t in batch.column(1).to_pylist()]
-            reps = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(_signed(np.concatenate(sets)))], ["rep", "s"])
+            sets = [_signed(shingle_set(t, width, words)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "s"])
 
-    return texts.select("rep", "text").mapInArrow(run, "rep long, s long") \
+    return texts.select("rep", "text").mapInArrow(run, "rep long, s array<long>")
+
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """(rep, own): how many shingles of a class stand in none of the other classes of ``sets``."""
+    return sets.select("rep", F.explode("s").alias("s")) \
         .groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep")).filter("n = 1") \
         .groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
 
@@ -295,11 +300,18 @@ def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(several, "key").select("key", "rep", "comp", "main")
 
 
+def _weight() -> Column:
+    return F.struct("own", F.xxhash64("rep"), "rep")
+
+
+def _weighed(mixed: DataFrame, sigs: DataFrame) -> DataFrame:
+    return mixed.join(sigs.select("rep", (1 - F.col("most") / F.col("n_shingles")).alias("own")), "rep")
+
+
 def _light_pairs(mixed: DataFrame, sigs: DataFrame) -> DataFrame:
     """Distinct pairs (x, y) of bucket members and their bucket's light classes: those with the least
     share of own shingles, of all, of either half by hash and of those outside the main component."""
-    rows = mixed.join(sigs.select("rep", (1 - F.col("most") / F.col("n_shingles")).alias("own")), "rep")
-    weight = F.struct("own", F.xxhash64("rep"), "rep")
+    rows, weight = _weighed(mixed, sigs), _weight()
     half = F.pmod(F.xxhash64("rep"), F.lit(2))
     picks = [F.min(weight), *(F.min(F.when(half == k, weight)) for k in (0, 1)), F.min(F.when(F.col("comp") != F.col("main"), weight))]
     pivots = rows.groupBy("key").agg(F.array(*[p["rep"] for p in picks]).alias("pivots"))
@@ -307,14 +319,48 @@ def _light_pairs(mixed: DataFrame, sigs: DataFrame) -> DataFrame:
         .select(F.greatest("rep", "p").alias("x"), F.least("rep", "p").alias("y")).distinct()
 
 
-def _across(mixed: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that the pivots have not compared: the
-    classes outside the main component against the bucket, kept by bound and estimate in the join."""
-    few = mixed.filter("comp <> main").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx")).join(_side(sigs, "x"), "x")
-    every = mixed.select("key", F.col("rep").alias("y"), F.col("comp").alias("cy")).join(_side(sigs, "y"), "y")
-    close = (few.key == every.key) & (F.col("cx") != F.col("cy")) & _possible(percent) \
-        & (_estimate("sx", "sy") >= percent / 100 - CUT_BELOW)
-    return few.join(every, close).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+def _differences(mixed: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(main, hub, rep, comp, n, nh, d): each class of the buckets with one main component, and the shingles
+    ``d`` that stand either in it or in the hub (the lightest class of the main component), not in both;
+    n and nh are the sizes of the two sets."""
+    rows = _weighed(mixed.select("main", "rep", "comp").distinct(), sigs)
+    hubs = rows.filter("comp = main").groupBy("main").agg(F.min(_weight())["rep"].alias("hub"))
+    hubs = hubs.join(sets.select(F.col("rep").alias("hub"), F.col("s").alias("h")), "hub") \
+        .select("main", "hub", "h", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    members = rows.select("main", "rep", "comp", F.pmod(F.xxhash64("rep"), F.lit(PARTS)).cast("int").alias("part")).join(sets, "rep")
+    return members.join(hubs, ["main", "part"]).select("main", "hub", "rep", "comp", F.size("s").alias("n"), F.size("h").alias("nh"),
+                                                       F.concat(F.array_except("s", "h"), F.array_except("h", "s")).alias("d"))
+
+
+def _across(mixed: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components that the pivots have not compared, of a class x outside the main
+    component and a class y of a bucket with that component.
+
+    Sets are told by their differences from the hub: |x ^ y| = |dx ^ dy|, which a link bounds by
+    ``t = (nx + ny) * (100 - percent) / (100 + percent)``.  So dx and dy share at least (|dx| + |dy| - t) / 2 shingles, and
+    as x has no link with the hub, about half of dy at least.  With the rarest shingles first, one of these stands in the
+    first half of dy.  Members of a group of near copies whose edits differ share none there, so that they make no pairs."""
+    far, near = 100 - percent, 100 + percent
+    apart = stored(_differences(mixed, sigs, sets), "minhash-differences")
+    # a class that the hub itself reaches, should the bands have missed it
+    pairs = apart.filter((F.col("comp") != F.col("main")) & (F.size("d") * near <= (F.col("n") + F.col("nh")) * far)) \
+        .select(F.col("rep").alias("x"), F.col("hub").alias("y"))
+    rows = apart.select("main", "rep", "comp", "n", "nh", F.size("d").alias("z"), F.explode("d").alias("s"))
+    often = rows.groupBy("main", "s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    of = Window.partitionBy("main", "rep")
+    # what stands in one difference only comes first and meets nothing; ``left``: the shingle itself and those behind it
+    rows = stored(rows.join(often, ["main", "s"])
+                  .withColumn("left", F.count(F.lit(1)).over(of) - F.row_number().over(of.orderBy("f", "s")) + 1).drop("f"), "minhash-places")
+
+    def side(df: DataFrame, x: str) -> DataFrame:
+        return df.select("main", "s", *[F.col(c).alias(f"{c}{x}") for c in ("rep", "comp", "n", "z", "left")])
+    few = side(rows.filter("comp <> main"), "x")
+    every = side(rows.filter(F.col("left") * 2 * near >= F.col("z") * near + (F.col("nh") - F.col("n")) * far), "y")
+    least = (F.col("zx") + F.col("zy")) * near - (F.col("nx") + F.col("ny")) * far
+    close = (few.main == every.main) & (few.s == every.s) & (F.col("compx") != F.col("compy")) \
+        & (F.least("leftx", "lefty") * 2 * near >= least)
+    pairs = pairs.union(few.join(every, close).select("repx", "repy"))
+    return _with_signatures(pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), sigs, percent)
 
 
 def _found(df: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -346,7 +392,8 @@ def _found(df: DataFrame, width: int, percent: int, id_col: str, text_col: str)
     named = stored(mixed.select("rep").distinct(), "minhash-named")
     if named.limit(1).count():
         some = texts(named)
-        sigs = sigs.join(named, "rep").join(_shared(some, width), "rep", "left") \
+        sets = stored(_sets(some, width), "minhash-sets")
+        sigs = sigs.join(named, "rep").join(_shared(sets), "rep", "left") \
             .withColumn("most", F.col("n_shingles") - F.coalesce("own", F.lit(0))).drop("own")
         # a class that shares too little with all others together has no link
         sigs = stored(sigs.filter(F.col("most") * 100 >= F.col("n_shingles") * percent), "minhash-shared")
@@ -354,7 +401,7 @@ def _found(df: DataFrame, width: int, percent: int, id_col: str, text_col: str)
         near = stored(_with_signatures(_light_pairs(_mixed(buckets, labels), sigs), sigs, percent), "minhash-pairs")
         labels = _link_all(near, labels, some, width, percent)
         mixed = stored(_mixed(buckets, labels), "minhash-mixed")
-        labels = _link_all(stored(_across(mixed, sigs, percent), "minhash-pairs"), labels, some, width, percent)
+        labels = _link_all(stored(_across(mixed, sigs, sets, percent), "minhash-pairs"), labels, some, width, percent)
     by_set = classes.select("rep", "low", F.col("set_hash").alias("h")).join(labels, "rep").select("rep", "h", "comp", "low")
     # a component's lowest id goes to each part of its classes; a class alone has its own
     lowest = by_set.groupBy("comp").agg(F.min("low").alias("lowest"), F.count(F.lit(1)).alias("n")).filter("n > 1") \

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from ledgerflow.llm import minhash
 from ledgerflow.llm.minhash import drop_near_duplicates, near_duplicates
 
 RND = random.Random(4)
@@ -83,3 +84,27 @@ def test_a_clean_row_stays_where_its_id_also_names_a_copy(frame):
     data = [(1, "a b c d e f"), (2, "A b c d e f"), (2, "quite another text than that"), (3, "quite another text than  that"), (4, "z")]
     left = drop_near_duplicates(frame(data, "doc_id long, text string"))
     assert sorted(map(tuple, left.collect())) == [(1, "a b c d e f"), (2, "quite another text than that"), (4, "z")]
+
+
+def test_pairs_do_not_grow_with_the_square_of_a_group(frame, monkeypatch):
+    """Half of a group of near copies links with its base, the other half differs a little too much."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    data = []
+    for i in range(160):
+        words = list(base)
+        for k in rnd.sample(range(5, 145), 2 if i % 2 else 5):
+            words[k] = f"own{i}-{k}"
+        data.append((i, " ".join(words)))
+    data.append((500, data[0][1] + " tail"))      # links with an outsider only
+    made, real = [], minhash.stored
+
+    def counted(df, name):
+        got = real(df, name)
+        if name == "minhash-pairs":
+            made.append(got.count())
+        return got
+    monkeypatch.setattr(minhash, "stored", counted)
+    got = Counter(map(tuple, near_duplicates(frame(data, "doc_id long, text string"), 4).collect()))
+    assert got == brute(data, 4) and len({r[2] for r in got}) > 20
+    assert made[-1] <= len(data), made
