@@ -21,7 +21,7 @@ from ledgerflow import schema as S
 from ledgerflow.operators import clean, olap
 from ledgerflow.plans.etl import EtlConfig, lookup_policy, row_prep
 from ledgerflow.plans.materialize import _fs_exists, cache_root, list_names
-from ledgerflow.session import cut_lineage
+from ledgerflow.session import cut_lineage, has_many_rows
 from ledgerflow.sources.csv_tables import CSV_READ, typed
 from ledgerflow.sources.sinks import together
 
@@ -48,7 +48,8 @@ def olap_rows(sales: DataFrame, lookups: dict[str, DataFrame], cfg: EtlConfig |
     views = {n: row_prep(df, n, cfg, dates[n]) for n, df in pk.items()}
     rows = clean.apply_null_policy(row_prep(sales, cfg.fact, cfg, dates[cfg.fact]), dates[cfg.fact], cfg.critical)
     rows = olap.add_margin(rows)
-    joined = olap.check_and_enrich(rows, cfg.fact, views, cfg.relations, lookup_policy(views, dates, cfg), cfg.primary_keys)
+    large = {n for n, df in lookups.items() if has_many_rows(df)}
+    joined = olap.check_and_enrich(rows, cfg.fact, views, cfg.relations, lookup_policy(views, dates, cfg), cfg.primary_keys, large)
     order = olap.olap_column_order(rows.columns, {n: d.columns for n, d in lookups.items()}, cfg.fact, cfg.relations)
     every_date = sorted({c for cols in dates.values() for c in cols})
     return olap.add_order_calendar(clean.apply_null_policy(joined.select(order), every_date, cfg.critical))

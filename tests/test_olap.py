@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from ledgerflow import schema as S
-from ledgerflow.operators import olap
-from ledgerflow.plans.etl import run_etl
+from ledgerflow.operators import clean, olap
+from ledgerflow.plans.etl import build_audit, run_etl
 
 
 def _tables(spark):
@@ -106,3 +106,43 @@ def test_other_relation_order_falls_back_to_sequential(spark):
     assert not _fused_allowed(cfg) and _fused_allowed(EtlConfig())
     got = sorted(r.ID_ORDER_NUM for r in run_etl(t, cfg).olap.collect())
     assert got == ["1"]          # order 4's customer and order 7's item fail their own checks first
+
+
+def _of_many_rows(spark, tmp_path, n=450_000):
+    """The tables with ``n`` more items; all of them stored, the items in a file far below the broadcast threshold."""
+    t = _tables(spark)
+    more = spark.range(n).select(F.concat(F.lit("X"), "id").alias("IDS_ITEM"), F.lit("item").alias("DESC_ITEM"), F.lit("B1").alias("ID_BUSINESS_LINE"))
+    for name, df in {**t, S.ITEM: t[S.ITEM].unionByName(more)}.items():
+        df.write.parquet(str(tmp_path / name))
+        t[name] = spark.read.parquet(str(tmp_path / name))
+    return t
+
+
+def _joins(df, key: str) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Join [")[0].split()[-1] for line in plan.splitlines() if f"Join [{key}#" in line]
+
+
+def test_lookups_of_many_rows_are_not_broadcast(spark, tmp_path):
+    t = _of_many_rows(spark, tmp_path)
+    res, want = run_etl(t), run_etl(_tables(spark))
+    assert _joins(res.olap, "IDS_ITEM") == _joins(res.stages["fk"][S.SALES], "IDS_ITEM") == ["SortMerge"]
+    assert _joins(run_etl(t, fused=False).olap, "IDS_ITEM") == ["SortMerge"] * 2
+    assert _joins(res.olap, "IDS_CUSTOMER") == ["BroadcastHash"]                # a small one still is
+    assert rows(res.olap) == rows(want.olap)
+    assert rows(res.stages["fk"][S.SALES]) == rows(want.stages["fk"][S.SALES])
+    audit = build_audit(res, phases=("FK",))
+    assert "BroadcastHashJoin [key" not in audit._jdf.queryExecution().executedPlan().toString()
+    assert rows(audit.where("TABLE_NAME = 'SALES'")) == rows(build_audit(want, phases=("FK",)).where("TABLE_NAME = 'SALES'"))
+
+
+def test_orphans_and_fanout_of_many_rows(spark, tmp_path):
+    t = _of_many_rows(spark, tmp_path)
+    small, large = run_etl(_tables(spark)).stages, run_etl(t).stages
+    assert large["large"] == {S.ITEM} and small["large"] == set()
+    orphans = [clean.fk_orphans(st["pk"][S.SALES], "IDS_ITEM", st["pk"][S.ITEM], large=S.ITEM in st["large"]) for st in (large, small)]
+    assert _joins(orphans[0], "IDS_ITEM") == ["SortMerge"]
+    assert rows(orphans[0]) == rows(orphans[1])
+    reports = [olap.fanout_report(st["deduped"], large=st["large"]).where("CHILD = 'SALES'") for st in (large, small)]
+    assert _joins(reports[0], "IDS_ITEM") == ["SortMerge"]
+    assert rows(reports[0]) == rows(reports[1])

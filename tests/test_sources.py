@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import SF_SMALL, rows
 from ledgerflow import schema as S
@@ -169,3 +170,16 @@ def test_stored_star_has_repeated_rows_from_one_join(spark, tmp_path):
     assert plan.count("Join Inner") == 1
     kept = materialized(spark, "zstd-test", lambda: sales, f"{abs(hash(str(tmp_path)))}")
     assert all(".zstd." in f for f in kept.inputFiles()) and kept.count() == sales.count()
+
+
+def test_orders_of_many_rows_are_not_broadcast(spark, tmp_path):
+    """The planner goes by the size of the compressed file, 450,000 equal rows but for their key."""
+    for name in ("customer", "part", "supplier", "nation", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    spare = orders.limit(1).crossJoin(spark.range(450_000)).withColumn("o_orderkey", F.col("id") + 10 ** 9).drop("id")
+    orders.unionByName(spare).write.parquet(str(tmp_path / "orders.parquet"))
+    got = star_tables(spark, str(tmp_path))[S.SALES]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [l_orderkey" in plan and "BroadcastHashJoin [l_orderkey" not in plan
+    assert rows(got) == rows(star_tables(spark, SF_SMALL)[S.SALES])
